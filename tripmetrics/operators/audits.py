@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..functions import columns as C
 from ..sources.dims import Dims
+from ..sources.tables import small_rows
 
 
 def _with_city_profile(df: DataFrame, dims: Dims) -> DataFrame:
     """Join the trip's city profile; a city without one takes the default's."""
-    d = dims.city.filter(F.col("city") == dims.default_city).first()  # one row of a bounded dimension
+    rows = small_rows(dims.city.filter(F.col("city") == dims.default_city), 1)
+    d = rows[0] if rows else None
     prof = dims.city.drop("display_name", "country", "currency", "currency_code", "timezone")
     cols = [c for c in prof.columns if c != "city"]
     x = df.join(F.broadcast(prof.select("city", *[F.col(c).alias(f"_p_{c}") for c in cols])), "city", "left")

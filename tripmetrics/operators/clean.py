@@ -14,6 +14,7 @@ from pyspark.sql.types import StringType
 from .. import settings as S
 from ..functions import columns as C
 from ..sources.dims import Dims
+from ..sources.tables import small_rows
 
 NUMERIC_TRIP_COLUMNS = ["fare_amount", "tip_amount", "total_amount",
                         "trip_distance_miles", "trip_duration_min", "speed_mph"]
@@ -94,8 +95,8 @@ def derive_speed(df: DataFrame) -> DataFrame:
 def trip_flags(df: DataFrame, dims: Dims) -> DataFrame:
     """Surge hour, weekend and airport flags.  The airport set is the trip
     city's (an unknown city falls back to the default city's)."""
-    default_airports = [r[0] for r in dims.airport.filter(F.col("city") == dims.default_city)
-                        .select("neighborhood").collect()]  # a handful of rows, bounded by the dimension
+    default_airports = [r[0] for r in small_rows(
+        dims.airport.filter(F.col("city") == dims.default_city).select("neighborhood"), 1000)]
     sets = (dims.city.select("city")
             .join(dims.airport, "city", "left")
             .groupBy("city")

@@ -4,12 +4,13 @@ The checks run in order and each one only sees the rows the earlier ones
 kept.  Instead of filtering step by step, every row gets the name of the
 first check it fails (``first_fail``); one grouped aggregate per city then
 gives every count, and each check's base is the input count minus the
-rows rejected before it.  Survivors are ``first_fail IS NULL``.
+rows rejected before it.  Survivors are ``first_fail IS NULL`` (written
+as the conjunction of the checks so each part can be pushed down).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import settings as S
@@ -29,20 +30,31 @@ NULL_CHECK_COLUMNS = ["pickup_datetime", "trip_distance_miles", "fare_amount"]
 REJECT_ORDER = [c[0] for c in RANGE_CHECKS] + ["date_range"]
 
 
-def with_first_fail(df: DataFrame, params: Params) -> DataFrame:
-    """Add ``first_fail``: the first rejecting check of the row, or NULL."""
+def checks(params: Params) -> list[tuple[str, Column]]:
+    """(name, passes) of every rejecting check, in order."""
     tests = [(name, C.in_range(col, lo, hi)) for name, col, lo, hi in RANGE_CHECKS]
     tests.append(("date_range", C.in_range(
         "pickup_datetime", F.lit(S.DQ_MIN_PICKUP).cast("timestamp_ntz"),
         F.lit(params.as_of_ts).cast("timestamp_ntz"))))
+    return tests
+
+
+def with_first_fail(df: DataFrame, params: Params) -> DataFrame:
+    """Add ``first_fail``: the first rejecting check of the row, or NULL."""
     expr = None
-    for name, ok in tests:
+    for name, ok in checks(params):
         expr = (F.when(~ok, F.lit(name)) if expr is None else expr.when(~ok, F.lit(name)))
     return df.withColumn("first_fail", expr.otherwise(F.lit(None).cast("string")))
 
 
-def survivors(df_ff: DataFrame) -> DataFrame:
-    return df_ff.filter(F.col("first_fail").isNull())
+def survivors(df: DataFrame, params: Params) -> DataFrame:
+    """Rows passing every check.  Written as a conjunction (equal to
+    ``first_fail IS NULL``) so Catalyst can push each check down to the
+    earliest operator that has its columns - down to the scan."""
+    ok = None
+    for _, t in checks(params):
+        ok = t if ok is None else ok & t
+    return df.filter(ok)
 
 
 def dq_counts(df_ff: DataFrame, keys=("city",)) -> DataFrame:

@@ -94,7 +94,7 @@ def dq_completeness(ws):
 
 @register("dq_survivors", lambda p: with_base(p, "SELECT trip_id, city, batch_id FROM ff WHERE first_fail IS NULL"))
 def dq_survivors(ws):
-    return Q.survivors(ws.enriched).select("trip_id", "city", "batch_id")
+    return Q.survivors(ws.enriched, ws.params).select("trip_id", "city", "batch_id")
 
 
 @register("dq_rejects", lambda p: with_base(p, """

@@ -51,7 +51,7 @@ class Workspace:
 
     @cached_property
     def clean(self) -> DataFrame:
-        return Q.survivors(self.enriched).select(*CL.KEEP_COLUMNS, "batch_id")
+        return Q.survivors(self.enriched, self.params).select(*CL.KEEP_COLUMNS, "batch_id")
 
     @cached_property
     def dq_counts(self) -> DataFrame:

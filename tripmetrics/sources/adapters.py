@@ -64,13 +64,18 @@ def trips_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False)
     supp = s.join(geo.select(F.col("n_nationkey").alias("s_nationkey"),
                              F.col("n_name").alias("s_nation")), "s_nationkey") \
             .select("s_suppkey", "s_nation")
+    # lineitem is hash-partitioned on the order key, the partitioning the
+    # join with orders needs at scale anyway (no extra exchange then); with
+    # a broadcast orders side it also spreads a single-file input over tasks
+    l = l.repartition("l_orderkey")
     x = (l.join(o, l.l_orderkey == o.o_orderkey)
           .join(cust, F.col("o_custkey") == F.col("c_custkey"))
           .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
 
     day = F.pmod(F.datediff(F.col("o_orderdate").cast("date"), F.lit(ORDER_EPOCH).cast("date")), F.lit(SPAN_DAYS))
     sec = (F.col("l_orderkey") * 7919 + F.col("l_partkey") * 31 + F.col("l_linenumber") * 10007) % 86400
-    pickup = F.lit(TRIP_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(day.cast("int"), F.lit(0), F.lit(0), sec.cast("decimal(18,6)"))
+    # integer seconds added to a zone-less epoch (cheap, codegen friendly)
+    pickup = F.timestamp_add("SECOND", day * 86400 + sec, F.lit(TRIP_EPOCH).cast("timestamp_ntz"))
     trip_min = F.lit(5) + F.col("l_partkey") % 180
     cents = F.floor(F.col("l_extendedprice") / 10) / 100
     no_charge_terms = (F.col("l_discount") == 0) & (F.col("l_tax") == 0)
@@ -80,7 +85,7 @@ def trips_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False)
         F.col("r_name").alias("city"),
         pickup.alias("pickup_datetime"),
         F.when(F.col("l_orderkey") % 97 == 0, F.lit(None).cast("timestamp_ntz"))
-         .otherwise(pickup + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (trip_min * 60).cast("decimal(18,6)")))
+         .otherwise(F.timestamp_add("MINUTE", trip_min, pickup))
          .alias("dropoff_datetime"),
         F.when(F.col("c_custkey") % 50 == 0, F.lit(None).cast("string")).otherwise(F.col("c_nation")).alias("pickup_neighborhood"),
         F.col("s_nation").alias("dropoff_neighborhood"),

@@ -12,12 +12,39 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | No
     return df.select(*cols) if cols else df
 
 
+_SIZE_CHECKS: dict[int, int] = {}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
     Used for dimension tables whose size is bounded by their definition
     (regions, nations, cities).  Above the bound the frame is returned
     unhinted and the planner / AQE choose a shuffle join from runtime sizes.
+    The check (a ``limit(max_rows + 1)`` count) is remembered per plan for
+    the session, so a dimension is measured once, not once per query.
     """
-    n = df.limit(max_rows + 1).count()
+    key = df.semanticHash()
+    n = _SIZE_CHECKS.get(key)
+    if n is None:
+        n = _SIZE_CHECKS[key] = df.limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
+
+
+_SMALL_ROWS: dict[int, list] = {}
+
+
+def small_rows(df: DataFrame, max_rows: int) -> list:
+    """Rows of a dimension known to be small, fetched once per session.
+
+    Raises if the frame holds more than ``max_rows`` rows: this is only for
+    bounded lookups (a city's airports or tariff), never for data.
+    """
+    key = df.semanticHash()
+    rows = _SMALL_ROWS.get(key)
+    if rows is None:
+        rows = df.limit(max_rows + 1).collect()
+        if len(rows) > max_rows:
+            raise ValueError(f"lookup of more than {max_rows} rows")
+        _SMALL_ROWS[key] = rows
+    return rows

@@ -51,7 +51,7 @@ def _read_stream(spark: SparkSession, path: str, schema) -> DataFrame:
 def clean_stream(stream: DataFrame, dims: Dims, params: Params) -> DataFrame:
     """The batch cleaning plan, unchanged, on a streaming frame (the quality
     survivors are a row-local filter, so they stream)."""
-    return Q.survivors(Q.with_first_fail(CL.enrich_trips(stream, dims), params)).select(*CL.KEEP_COLUMNS, "batch_id")
+    return Q.survivors(CL.enrich_trips(stream, dims), params).select(*CL.KEEP_COLUMNS, "batch_id")
 
 
 def _drain(q):

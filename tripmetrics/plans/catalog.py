@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import tune
 from ..settings import Params
 from .workspace import Workspace, present
 
@@ -37,9 +38,24 @@ def register(key: str, sql: Callable[[Params], str] | None = None, params: Param
     return deco
 
 
+_WORKSPACES: dict = {}
+
+
+def workspace(spark: SparkSession, sf_dir: str, params: Params) -> Workspace:
+    """One Workspace per (session, input folder, parameters): its attributes
+    are lazy, immutable plans, so keys share them instead of re-reading file
+    footers and rebuilding the same plan for every query."""
+    k = (id(spark), sf_dir, params)
+    ws = _WORKSPACES.get(k)
+    if ws is None or ws.spark is not spark:
+        ws = _WORKSPACES[k] = Workspace(spark, sf_dir, params)
+    return ws
+
+
 def run(key: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     e = REGISTRY[key]
-    return present(e.build(Workspace(spark, sf_dir, e.params)))
+    tune(spark)
+    return present(e.build(workspace(spark, sf_dir, e.params)))
 
 
 def oracle(key: str) -> str | None:

@@ -17,6 +17,7 @@ from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
 from ..operators import quality as Q
+from ..session import scratch_path
 from ..settings import Params
 from ..sources import adapters as A
 from ..sources.dims import Dims, fixture_dims
@@ -37,11 +38,11 @@ class Workspace:
 
     @cached_property
     def raw_trips(self) -> DataFrame:
-        return A.trips_from_tables(self.spark, self.sf_dir)
+        return land(self.spark, self.sf_dir, "trips", A.trips_from_tables)
 
     @cached_property
     def raw_weather(self) -> DataFrame:
-        return A.weather_from_tables(self.spark, self.sf_dir)
+        return land(self.spark, self.sf_dir, "weather", A.weather_from_tables)
 
     # -- cleaning + quality --------------------------------------------------
     @cached_property
@@ -97,6 +98,26 @@ class Workspace:
         return MG.stage_weather(self.weather)
 
 
+_LANDED: dict = {}
+
+
+def land(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """The raw layer: records mapped from the input tables are written once
+    per session to the shared scratch folder and read back, as the original
+    lands raw records before transforming them.  Every plan then starts from
+    a plain Parquet scan (parallel, prunable) instead of re-running the
+    mapping joins, and lineage is cut there."""
+    k = (id(spark), sf_dir, name)
+    hit = _LANDED.get(k)
+    if hit is not None and hit[0] is spark:
+        return spark.read.parquet(hit[1])
+    df = build(spark, sf_dir)
+    path = scratch_path(spark, f"raw-{name}")
+    df.write.mode("overwrite").parquet(path)
+    _LANDED[k] = (spark, path)
+    return spark.read.parquet(path).select(*df.columns)
+
+
 def present(df: DataFrame) -> DataFrame:
     """Query output form: zone-less timestamps as ISO text (as the original
     stores them), everything else unchanged."""

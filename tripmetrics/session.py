@@ -16,8 +16,21 @@ BASE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Generated methods over 8000 bytes are not JIT-compiled by HotSpot; at
+    # this limit Spark splits such a stage instead of running it interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
+# Runtime SQL settings a library may apply to a caller's session: only when
+# the caller left Spark's default in place.
+RUNTIME_DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000")}
+
+
+def tune(spark: SparkSession) -> None:
+    for k, (spark_default, ours) in RUNTIME_DEFAULTS.items():
+        if spark.conf.get(k, spark_default) == spark_default:
+            spark.conf.set(k, ours)
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tripmetrics", extra: dict | None = None) -> SparkSession:

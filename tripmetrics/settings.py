@@ -7,7 +7,7 @@ original hard-wires to the wall clock (``now``) are explicit here.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 # ---------------------------------------------------------------------------
@@ -141,7 +141,6 @@ class Params:
     rows_per_run: int = 50_000                # rows per run after top-up from the second source
     hours_covered_min: int = 20
     default_city: str = DEFAULT_CITY
-    extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

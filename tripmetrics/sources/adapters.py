@@ -64,12 +64,19 @@ def trips_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False)
     supp = s.join(geo.select(F.col("n_nationkey").alias("s_nationkey"),
                              F.col("n_name").alias("s_nation")), "s_nationkey") \
             .select("s_suppkey", "s_nation")
-    # lineitem is hash-partitioned on the order key, the partitioning the
-    # join with orders needs at scale anyway (no extra exchange then); with
-    # a broadcast orders side it also spreads a single-file input over tasks
-    l = l.repartition("l_orderkey")
-    x = (l.join(o, l.l_orderkey == o.o_orderkey)
-          .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+    # orders carry their customer's nation first (orders is far smaller than
+    # lineitem), so lineitem is joined once on the order key and once on the
+    # supplier key.  lineitem is hash-partitioned on the order key: the
+    # partitioning that join needs at scale anyway, and it spreads a
+    # single-file input over tasks when the orders side is broadcast.
+    # The lineitem-orders join is a sort-merge join by hint: neither side has
+    # a size bound, and without statistics the estimate of a join output is
+    # the product of its inputs, which would make the planner broadcast
+    # lineitem.  lineitem is already partitioned on the key, so only the
+    # orders side moves.
+    oc = o.join(cust, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey")
+    x = (l.repartition("l_orderkey")
+          .join(oc.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
           .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
 
     day = F.pmod(F.datediff(F.col("o_orderdate").cast("date"), F.lit(ORDER_EPOCH).cast("date")), F.lit(SPAN_DAYS))

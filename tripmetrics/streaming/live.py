@@ -9,19 +9,17 @@ a set of new files in a landing folder and a streaming query picks them up
   ``dropDuplicatesWithinWatermark`` (state bounded by the watermark).
 * ``stream_hourly`` - hourly tumbling windows, complete mode, rewritten
   through ``foreachBatch`` on every trigger.
-* ``stream_fold``   - each micro-batch (one run) merged into the stored mart
-  by the column rules, in ``foreachBatch``; mart versions are folders named
-  by epoch, so a replayed epoch is skipped (the ``+`` and ``half`` rules are
-  not idempotent).  No watermark: late rows of any age are added to their
-  hour, as in the original.
+* ``stream_fold``   - runs merged into the mart by the column rules: each
+  micro-batch writes its partial sums per load in ``foreachBatch``
+  (idempotent per epoch), the mart folds the per-load roll-ups in load
+  order.  No watermark: late rows of any age are added to their hour, as in
+  the original.
 
 All paths are under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,17 +32,16 @@ from ..settings import Params
 from ..sources.dims import Dims
 
 
-def land_batches(df: DataFrame, path: str, batch_col: str = "batch_id") -> int:
-    """Write each load as its own files, in load order (the file source
-    replays files oldest first).  Returns the number of loads."""
-    ids = sorted(r[0] for r in df.select(batch_col).distinct().collect())  # a handful of load ids
-    for b in ids:
-        df.filter(F.col(batch_col) == b).coalesce(1).write.mode("append").parquet(path)
-    return len(ids)
+def land_batches(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
+    """Land the loads as files partitioned by load id (one job, any number
+    of files per load; the stream does not depend on file boundaries)."""
+    df.write.mode("append").partitionBy(batch_col).parquet(path)
 
 
-def _read_stream(spark: SparkSession, path: str, schema) -> DataFrame:
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+def _read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 16) -> DataFrame:
+    """Stream the landing folder; ``files_per_trigger`` only paces the
+    micro-batches, results do not depend on it."""
+    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
                  .option("latestFirst", "false").parquet(path))
 
 
@@ -114,50 +111,31 @@ def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params:
     return M.hourly_pulse(cube_like)
 
 
-def _latest_version(spark: SparkSession, mart_dir: str):
-    """(epoch, path) of the newest complete mart version, or (None, None)."""
-    jvm_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(mart_dir)
-    fs = jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jvm_path):
-        return None, None
-    best = None
-    for st in fs.listStatus(jvm_path):
-        name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            e = int(name[2:])
-            best = e if best is None or e > best else best
-    return (best, f"{mart_dir}/v={best}") if best is not None else (None, None)
-
-
 def stream_fold(spark: SparkSession, landing: str, schema, dims: Dims, params: Params,
                 keys=MG.HOURLY_KEYS, rules=MG.HOURLY_RULES) -> DataFrame:
-    """Each run's hourly mart merged into the stored mart in foreachBatch."""
-    mart_dir, ck = scratch_path(spark, "stream-fold-mart"), scratch_path(spark, "stream-fold-ck")
+    """Runs merged into the hourly mart by the column rules.
+
+    Each micro-batch adds its partial sums, keyed by load id and the cube
+    keys, under ``partials/epoch=<id>`` (overwritten on replay, so a
+    re-delivered epoch counts once).  The mart is the rule fold over the
+    per-load roll-ups of all partials: a load split over several
+    micro-batches, or several loads in one, give the same mart.  Partials
+    are pre-aggregated, so the fold reads far fewer rows than the stream.
+    """
+    base, ck = scratch_path(spark, "stream-fold"), scratch_path(spark, "stream-fold-ck")
     c = clean_stream(_read_stream(spark, landing, schema), dims, params)
 
-    def merge(batch: DataFrame, epoch: int):
-        last, path = _latest_version(batch.sparkSession, mart_dir)
-        if last is not None and last >= epoch:
-            return  # replayed epoch: already merged
-        new = M.hourly_pulse(M.trip_cube(batch))
-        if path is None:
-            merged = new.select(*keys, *rules)
-        else:
-            merged = MG.merge_upsert(batch.sparkSession.read.parquet(path), new, keys, rules)
-        merged.write.mode("overwrite").parquet(f"{mart_dir}/v={epoch}")
-
-    q = c.writeStream.option("checkpointLocation", ck).foreachBatch(merge).trigger(availableNow=True).start()
+    def add_partials(batch: DataFrame, epoch: int):
+        M.trip_cube(batch, ["batch_id"]).write.mode("overwrite").parquet(f"{base}/partials/epoch={epoch}")
+
+    q = c.writeStream.option("checkpointLocation", ck).foreachBatch(add_partials).trigger(availableNow=True).start()
     _drain(q)
-    _, path = _latest_version(spark, mart_dir)
-    from ..functions.columns import rnd
-    half = [k for k, r in rules.items() if r == "half"]
-    return spark.read.parquet(path).select(*keys, *[rnd(c, 6).alias(c) if c in half else F.col(c) for c in rules])
+    partials = spark.read.parquet(f"{base}/partials").drop("epoch")
+    per_load = M.hourly_pulse(partials, ["batch_id"])
+    return MG.fold(per_load, keys, rules)
 
 
 def landing_for(spark: SparkSession, trips: DataFrame) -> str:
     path = scratch_path(spark, "landing")
     land_batches(trips, path)
     return path
-
-
-_ = os

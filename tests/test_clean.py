@@ -76,3 +76,16 @@ def test_day_name_each_weekday(spark):
     got = df.select(C.weekday_of("ts"), C.day_name_of("ts")).collect()
     assert [tuple(r) for r in got] == list(enumerate(
         ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]))
+
+
+def test_text_is_zone_free(spark):
+    """Wall-clock text and calendar parts do not move under a session zone
+    with a daylight-saving gap."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(datetime(2024, 3, 10, 2, 30, 5, 120000),)], "ts timestamp_ntz")
+        r = df.select(C.ts_text("ts"), C.date_text("ts"), C.hour_of("ts"), C.day_name_of("ts")).first()
+        assert tuple(r) == ("2024-03-10 02:30:05.120000", "2024-03-10", 2, "Sunday")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

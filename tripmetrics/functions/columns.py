@@ -14,7 +14,6 @@ from .. import settings as S
 
 ROUND_TYPE = "decimal(30,12)"
 MONEY_TYPE = "decimal(18,2)"
-TS_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def col(c) -> Column:
@@ -43,11 +42,17 @@ def money_sum(c) -> Column:
 
 
 def ts_text(c) -> Column:
-    return F.date_format(col(c), TS_TEXT)
+    """'yyyy-MM-dd HH:mm:ss.ffffff' of a zone-less timestamp, built from its
+    fields: ``date_format`` would pass through the session zone and move a
+    wall-clock time that falls in a daylight-saving gap."""
+    c = col(c)
+    sec = F.extract(F.lit("SECOND"), c).cast("double")
+    txt = F.format_string("%s %02d:%02d:%09.6f", c.cast("date").cast("string"), F.hour(c), F.minute(c), sec)
+    return F.when(c.isNotNull(), txt)
 
 
 def date_text(c) -> Column:
-    return F.date_format(col(c), "yyyy-MM-dd")
+    return col(c).cast("date").cast("string")
 
 
 def in_range(c, lo, hi) -> Column:
@@ -79,7 +84,7 @@ def weekday_of(ts) -> Column:
 
 
 def day_name_of(ts) -> Column:
-    return F.date_format(col(ts), "EEEE")
+    return F.element_at(F.array(*[F.lit(d) for d in S.DAY_NAMES]), weekday_of(ts) + 1)
 
 
 def decode_payment(c) -> Column:

@@ -22,6 +22,34 @@ def top_n_per(df: DataFrame, part: list[str], order: list, n: int) -> DataFrame:
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+def latest_n_per(df: DataFrame, part: str, ts: str, order: list, n) -> DataFrame:
+    """The n latest rows of each ``part`` by ``order`` (which must start with
+    ``ts`` descending), for n too large for a map-side window limit.
+
+    Exact, and no task sorts a whole group: rows are counted per (part, hour)
+    - a small pre-aggregated table - and a running sum over hours from the
+    latest finds each group's boundary hour.  Hours after it are taken whole
+    (a join, no sort); only the boundary hour's rows are ranked.  ``n`` is an
+    int or a column of ``df`` (a per-group limit).
+    """
+    n_col = F.lit(n) if isinstance(n, int) else F.col(n)
+    day = F.date_trunc("hour", F.col(ts))
+    x = df.withColumn("_day", day).withColumn("_n", n_col)
+    days = x.groupBy(part, "_day").agg(F.count(F.lit(1)).alias("_c"), F.first("_n").alias("_n"))
+    w = Window.partitionBy(part).orderBy(F.col("_day").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    days = (days.withColumn("_upto", F.sum("_c").over(w))
+                .withColumn("_before", F.col("_upto") - F.col("_c"))
+                .filter(F.col("_before") < F.col("_n"))
+                .select(part, "_day", (F.col("_upto") <= F.col("_n")).alias("_whole"),
+                        (F.col("_n") - F.col("_before")).alias("_rest")))
+    y = x.join(days, [part, "_day"])
+    whole = y.filter(F.col("_whole"))
+    edge = y.filter(~F.col("_whole"))
+    rw = Window.partitionBy(part, "_day").orderBy(*order)
+    edge = edge.withColumn("_rn", F.row_number().over(rw)).filter(F.col("_rn") <= F.col("_rest")).drop("_rn")
+    return whole.unionByName(edge).drop("_day", "_n", "_whole", "_rest")
+
+
 def days_back(params: Params, days: int) -> str:
     return (params.as_of - timedelta(days=days)).strftime("%Y-%m-%d")
 

@@ -202,12 +202,10 @@ def union_sources_df(ws):
         F.col("dropoff_datetime").try_cast("timestamp_ntz").alias("dropoff_datetime"),
         *UNION_COLS[4:])
     feed = SV.top_n_per(feed, ["city"], _order_cols(), p.feed_cap)
-    second = ws.raw_trips.filter(F.col("batch_id") != 0).select(*UNION_COLS)
-    second = SV.top_n_per(second, ["city"], _order_cols(), p.rows_per_run)
     room = feed.groupBy("city").agg((F.lit(p.rows_per_run) - F.count(F.lit(1))).alias("_room"))
+    second = ws.raw_trips.filter(F.col("batch_id") != 0).select(*UNION_COLS)
     second = second.join(room, "city", "left").withColumn("_room", F.coalesce("_room", F.lit(p.rows_per_run)))
-    w = SV.Window.partitionBy("city").orderBy(*_order_cols())
-    second = second.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= F.col("_room")).drop("_rn", "_room")
+    second = SV.latest_n_per(second, "city", "pickup_datetime", _order_cols(), "_room").drop("_room")
     return (feed.withColumn("source", F.lit("feed"))
                 .unionByName(second.withColumn("source", F.lit("synthetic")), allowMissingColumns=True))
 

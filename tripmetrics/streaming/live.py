@@ -23,6 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import date_text, hour_of
 from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
@@ -105,8 +106,8 @@ def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params:
          .foreachBatch(write).trigger(availableNow=True).start())
     _drain(q)
     s = spark.read.parquet(out)
-    cube_like = s.select(F.col("city"), F.date_format("w.start", "yyyy-MM-dd").alias("date"),
-                         F.hour("w.start").cast("int").alias("hour"), "day_of_week", "day_name",
+    cube_like = s.select(F.col("city"), date_text("w.start").alias("date"),
+                         hour_of("w.start").alias("hour"), "day_of_week", "day_name",
                          F.lit("all").alias("neighborhood"), *M.SUMS)
     return M.hourly_pulse(cube_like)
 

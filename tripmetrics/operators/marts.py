@@ -4,7 +4,8 @@ Plan shape: clean trips are aggregated once at the finest grain the marts
 share, (city, date, hour, neighbourhood) - map-side partial aggregation
 first, so only partial sums cross the shuffle and a hot key costs no more
 than any other.  The hourly, neighbourhood and daily marts are roll-ups of
-that small cube; Spark reuses its exchange when a plan needs it twice.
+that small cube; the daily mart needs two roll-ups and takes both in one
+GROUPING SETS aggregation, so it too scans the trips once.
 Averages are sums / counts of the cube, rounded half-up at the end.
 """
 
@@ -90,19 +91,28 @@ def neighborhood_stats(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame
 
 def daily_summary(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
     """Per (city, date): totals, 4-dp means, busiest / quietest hour (first
-    hour on ties) and peak neighbourhood (first name on ties)."""
-    h = hour_level(cube, extra_keys)
+    hour on ties) and peak neighbourhood (first name on ties).
+
+    The hour roll-up and the neighbourhood roll-up of the cube are one
+    GROUPING SETS aggregation, so the cube (and the scan under it) is
+    computed once; a second small aggregation per day combines them.
+    """
     day_keys = [*extra_keys, "city", "date"]
-    days = h.groupBy(*day_keys).agg(
-        F.sum("n").alias("n"), F.sum("pax").alias("pax"), F.sum("rev").alias("rev"),
-        F.sum("fare_s").alias("fare_s"), F.sum("dist_s").alias("dist_s"), F.sum("dur_s").alias("dur_s"),
-        F.max_by("hour", F.struct(F.col("n"), -F.col("hour"))).alias("busiest_hour"),
-        F.min_by("hour", F.struct(F.col("n"), F.col("hour"))).alias("quietest_hour"),
-        F.first("day_of_week").alias("dow"))
-    peak = neighborhood_level(cube, extra_keys).groupBy(*day_keys).agg(
-        F.min_by("neighborhood", F.struct(-F.col("n"), F.col("neighborhood"))).alias("peak_neighborhood"))
+    sets = (cube.groupingSets([[*day_keys, "hour", "day_of_week"], [*day_keys, "neighborhood"]],
+                              *day_keys, "hour", "day_of_week", "neighborhood")
+                .agg(*[F.sum(c).alias(c) for c in ("n", "pax", "rev", "fare_s", "dist_s", "dur_s")],
+                     F.grouping("neighborhood").alias("_hour_set")))
+    h = F.col("_hour_set") == 1
+    nb = ~h
+    days = sets.groupBy(*day_keys).agg(
+        *[F.sum(F.when(h, F.col(c))).alias(c) for c in ("n", "pax", "rev", "fare_s", "dist_s", "dur_s")],
+        F.max_by(F.when(h, F.col("hour")), F.when(h, F.struct(F.col("n"), -F.col("hour")))).alias("busiest_hour"),
+        F.min_by(F.when(h, F.col("hour")), F.when(h, F.struct(F.col("n"), F.col("hour")))).alias("quietest_hour"),
+        F.min_by(F.when(nb, F.col("neighborhood")),
+                 F.when(nb, F.struct(-F.col("n"), F.col("neighborhood")))).alias("peak_neighborhood"),
+        F.max(F.when(h, F.col("day_of_week"))).alias("dow"))
     n = F.col("n")
-    return days.join(peak, day_keys, "left").select(
+    return days.select(
         *day_keys,
         n.alias("total_trips"),
         F.col("pax").alias("total_passengers"),

@@ -17,7 +17,16 @@ from ..functions import columns as C
 from ..settings import Params
 
 
+# Spark applies the map-side WindowGroupLimit up to this n
+# (spark.sql.optimizer.windowGroupLimitThreshold); above it use latest_n_per.
+WINDOW_LIMIT_MAX = 1000
+
+
 def top_n_per(df: DataFrame, part: list[str], order: list, n: int) -> DataFrame:
+    """First n rows per group: partial top-n in every map task, then the
+    final top-n after the shuffle, so a group never reaches a task whole."""
+    if n > WINDOW_LIMIT_MAX:
+        raise ValueError(f"top-{n} per group is above the map-side limit; use latest_n_per")
     w = Window.partitionBy(*part).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 

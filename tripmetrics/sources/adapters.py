@@ -29,6 +29,7 @@ WEATHER_BY_EVENT = {  # event_type -> (condition, code)
 }
 N_BATCHES = 4  # batch_id = l_orderkey % 4
 DIM_ROWS_MAX = 10_000  # nations / regions are tiny by definition
+ORDERS_BROADCAST_ROWS = 2_000_000  # orders+customer rows broadcast at most
 
 TRIP_COLUMNS = [
     "trip_id", "city", "pickup_datetime", "dropoff_datetime", "pickup_neighborhood",
@@ -69,14 +70,15 @@ def trips_from_tables(spark: SparkSession, sf_dir: str, keep_keys: bool = False)
     # supplier key.  lineitem is hash-partitioned on the order key: the
     # partitioning that join needs at scale anyway, and it spreads a
     # single-file input over tasks when the orders side is broadcast.
-    # The lineitem-orders join is a sort-merge join by hint: neither side has
-    # a size bound, and without statistics the estimate of a join output is
-    # the product of its inputs, which would make the planner broadcast
-    # lineitem.  lineitem is already partitioned on the key, so only the
-    # orders side moves.
+    # The orders side is broadcast only after a row-count check; above the
+    # bound the join is a sort-merge join by hint - without statistics the
+    # estimate of a join output is the product of its inputs, which would
+    # make the planner broadcast lineitem instead.  lineitem is already
+    # partitioned on the key, so only the orders side moves.
     oc = o.join(cust, F.col("o_custkey") == F.col("c_custkey")).drop("o_custkey")
+    oc = bounded_broadcast(oc, ORDERS_BROADCAST_ROWS, otherwise="merge")
     x = (l.repartition("l_orderkey")
-          .join(oc.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+          .join(oc, F.col("l_orderkey") == F.col("o_orderkey"))
           .join(supp, F.col("l_suppkey") == F.col("s_suppkey")))
 
     day = F.pmod(F.datediff(F.col("o_orderdate").cast("date"), F.lit(ORDER_EPOCH).cast("date")), F.lit(SPAN_DAYS))

@@ -51,7 +51,8 @@ def latest_n_per(df: DataFrame, part: str, ts: str, order: list, n) -> DataFrame
                 .filter(F.col("_before") < F.col("_n"))
                 .select(part, "_day", (F.col("_upto") <= F.col("_n")).alias("_whole"),
                         (F.col("_n") - F.col("_before")).alias("_rest")))
-    y = x.join(days, [part, "_day"])
+    d = days.withColumnRenamed(part, "_p").withColumnRenamed("_day", "_d")
+    y = x.join(d, (F.col(part) == F.col("_p")) & F.col("_day").eqNullSafe(F.col("_d"))).drop("_p", "_d")
     whole = y.filter(F.col("_whole"))
     edge = y.filter(~F.col("_whole"))
     rw = Window.partitionBy(part, "_day").orderBy(*order)

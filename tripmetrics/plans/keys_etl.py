@@ -17,6 +17,7 @@ from ..sources import feeds as FD
 from .catalog import register
 from .keys_marts import weekly_sql
 from .oracle import R, TS, _values, cols_sql, q, with_base
+from .workspace import land
 
 # -- raw text inputs ----------------------------------------------------------
 
@@ -46,7 +47,8 @@ extracted AS (
 
 
 def dirty(ws):
-    return A.dirty_trips_from_tables(ws.spark, ws.sf_dir)
+    """The raw-text feed of the fixture, landed once like the typed trips."""
+    return land(ws.spark, ws.sf_dir, "dirty-trips", A.dirty_trips_from_tables)
 
 
 @register("extract_trips", lambda p: with_base(p, DIRTY + """

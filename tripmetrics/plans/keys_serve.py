@@ -177,12 +177,14 @@ def _days_back(p, days):
 
 @register("recent_hourly", lambda p: with_base(p, f"SELECT * FROM hourly WHERE date >= '{_days_back(p, p.recent_hourly_days)}'"))
 def recent_hourly(ws):
-    return SV.recent_hourly(ws.hourly, ws.params, ws.params.recent_hourly_days)
+    p = ws.params
+    return SV.recent_hourly(ws.hourly_since(SV.days_back(p, p.recent_hourly_days)), p, p.recent_hourly_days)
 
 
 @register("recent_daily", lambda p: with_base(p, f"SELECT * FROM daily WHERE date >= '{_days_back(p, p.recent_daily_days)}'"))
 def recent_daily(ws):
-    return SV.recent_daily(ws.daily, ws.params, ws.params.recent_daily_days)
+    p = ws.params
+    return SV.recent_daily(ws.daily_since(SV.days_back(p, p.recent_daily_days)), p, p.recent_daily_days)
 
 
 RECENT_WI = """
@@ -192,7 +194,7 @@ RECENT_WI = """
 
 
 def _wi(ws):
-    return M.weather_impact(ws.hourly, ws.staged_weather, ws.params)
+    return M.weather_impact(ws.hourly_since(M.week_start(ws.params)), ws.staged_weather, ws.params)
 
 
 @register("recent_weather_impact", lambda p: with_base(p, WI_SQL + RECENT_WI.replace("{n}", str(p.recent_weather_n))

@@ -79,6 +79,20 @@ class Workspace:
     def daily(self) -> DataFrame:
         return M.daily_summary(self.cube)
 
+    # -- marts of a trailing window ------------------------------------------
+    def clean_since(self, day: str) -> DataFrame:
+        """Clean trips picked up on or after ``day`` (yyyy-MM-dd).  The bound
+        is on the raw pickup column, so it reaches the Parquet scan as a
+        pushed filter (row groups outside the window are skipped); it equals
+        the marts' ``date >= day`` on the derived date text."""
+        return self.clean.filter(F.col("pickup_datetime") >= F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
+
+    def hourly_since(self, day: str) -> DataFrame:
+        return M.hourly_pulse(M.trip_cube(self.clean_since(day)))
+
+    def daily_since(self, day: str) -> DataFrame:
+        return M.daily_summary(M.trip_cube(self.clean_since(day)))
+
     # -- per-batch marts for the fold ---------------------------------------
     @cached_property
     def batch_cube(self) -> DataFrame:

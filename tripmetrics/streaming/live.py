@@ -113,7 +113,7 @@ def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params:
 
 
 def stream_fold(spark: SparkSession, landing: str, schema, dims: Dims, params: Params,
-                keys=MG.HOURLY_KEYS, rules=MG.HOURLY_RULES) -> DataFrame:
+                keys=MG.HOURLY_KEYS, rules=MG.HOURLY_RULES, state_dir: str | None = None) -> DataFrame:
     """Runs merged into the hourly mart by the column rules.
 
     Each micro-batch adds its partial sums, keyed by load id and the cube
@@ -122,8 +122,11 @@ def stream_fold(spark: SparkSession, landing: str, schema, dims: Dims, params: P
     per-load roll-ups of all partials: a load split over several
     micro-batches, or several loads in one, give the same mart.  Partials
     are pre-aggregated, so the fold reads far fewer rows than the stream.
+    Pass the same ``state_dir`` again to resume: the checkpoint under it
+    makes the restarted query read only files it has not seen.
     """
-    base, ck = scratch_path(spark, "stream-fold"), scratch_path(spark, "stream-fold-ck")
+    base = state_dir or scratch_path(spark, "stream-fold")
+    ck = f"{base}/_checkpoint"
     c = clean_stream(_read_stream(spark, landing, schema), dims, params)
 
     def add_partials(batch: DataFrame, epoch: int):

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import columns as C
+from ..sources.tables import bounded_broadcast
 
 STAGE_NOT_NULL = ["trip_id", "city", "pickup_datetime", "dropoff_datetime", "pickup_hour",
                   "pickup_weekday", "pickup_weekday_name", "pickup_date"]
@@ -64,15 +65,26 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
               .select("_r.*"))
 
 
+LOAD_IDS_BROADCAST_MAX = 5_000_000
+
+
 def insert_or_ignore(batch: DataFrame, key: str, not_null: list[str], order: list[str],
                      target: DataFrame | None = None) -> DataFrame:
-    """Rows of ``batch`` a keyed insert-or-ignore would add to ``target``."""
+    """Rows of ``batch`` a keyed insert-or-ignore would add to ``target``.
+
+    Against a stored table the load's keys (bounded by the load size, checked)
+    are broadcast and semi-joined to the table's key column, so the table is
+    only scanned, never shuffled; the load is then anti-joined with the few
+    keys that already exist.  A load over the bound takes a shuffle join.
+    """
     ok = batch
     for c in not_null:
         ok = ok.filter(F.col(c).isNotNull())
     first = first_per_key(ok, key, order)
     if target is not None:
-        first = first.join(target.select(key), key, "left_anti")
+        ids = bounded_broadcast(first.select(key), LOAD_IDS_BROADCAST_MAX)
+        existing = target.select(key).join(ids, key, "left_semi")
+        first = first.join(existing, key, "left_anti")
     return first
 
 

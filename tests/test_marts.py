@@ -5,14 +5,15 @@ from datetime import datetime
 from tripmetrics.operators import marts as M
 from tripmetrics.settings import Params
 
-COLS = ("trip_id string, city string, pickup_date string, pickup_hour int, pickup_weekday int, "
+COLS = ("trip_id string, city string, pickup_datetime timestamp_ntz, pickup_date string, pickup_hour int, pickup_weekday int, "
         "pickup_weekday_name string, pickup_neighborhood string, passenger_count int, "
         "trip_distance_miles double, fare_amount double, tip_amount double, total_amount double, "
         "trip_duration_min double, speed_mph double, is_surge_hour int, is_airport_trip int")
 
 
 def t(i, hour, nb="A", fare=10.0, tip=1.0, total=11.5, speed=15.0, airport=0, date="2024-01-06", city="X"):
-    return (f"t{i}", city, date, hour, 5, "Saturday", nb, 2, 3.0, fare, tip, total, 12.0, speed,
+    ts = datetime.strptime(date, "%Y-%m-%d").replace(hour=hour)
+    return (f"t{i}", city, ts, date, hour, ts.weekday(), ts.strftime("%A"), nb, 2, 3.0, fare, tip, total, 12.0, speed,
             int(hour in (7, 8, 9, 16, 17, 18, 19)), airport)
 
 

@@ -14,19 +14,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .. import settings as S
 from ..functions import columns as C
 from ..settings import Params
 
-CUBE_KEYS = ["city", "date", "hour", "day_of_week", "day_name", "neighborhood"]
+# The cube groups on the date value and weekday number; the date text and
+# day name of the marts are formatted on the aggregated rows only.
+CUBE_KEYS = ["city", "day", "hour", "day_of_week", "neighborhood"]
 SUMS = ["n", "pax", "fare_s", "dist_s", "dur_s", "speed_s", "rev", "tip_s", "surge", "airport"]
 
 
+def _date(c="day"):
+    return F.col(c).cast("string")
+
+
+def _day_name(c="day_of_week"):
+    return F.element_at(F.array(*[F.lit(d) for d in S.DAY_NAMES]), F.col(c) + 1)
+
+
 def trip_cube(clean: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
     return (clean.groupBy(*extra_keys,
-                          F.col("city"), F.col("pickup_date").alias("date"),
+                          F.col("city"), F.col("pickup_datetime").cast("date").alias("day"),
                           F.col("pickup_hour").alias("hour"),
                           F.col("pickup_weekday").alias("day_of_week"),
-                          F.col("pickup_weekday_name").alias("day_name"),
                           F.col("pickup_neighborhood").alias("neighborhood"))
                  .agg(F.count("trip_id").alias("n"),
                       F.sum("passenger_count").cast("bigint").alias("pax"),
@@ -45,7 +55,7 @@ def _rollup(cube: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def hour_level(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
-    return _rollup(cube, [*extra_keys, "city", "date", "hour", "day_of_week", "day_name"])
+    return _rollup(cube, [*extra_keys, "city", "day", "hour", "day_of_week"])
 
 
 def hourly_pulse(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
@@ -55,7 +65,7 @@ def hourly_pulse(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
     tip_avg = F.col("tip_s") / n
     surge_pct = C.rnd(F.col("surge") / n * 100, 2)
     return h.select(
-        *extra_keys, "city", "date", "hour", "day_of_week", "day_name",
+        *extra_keys, "city", _date().alias("date"), "hour", "day_of_week", _day_name().alias("day_name"),
         n.alias("trip_count"),
         F.col("pax").alias("total_passengers"),
         C.rnd(avg_fare, 4).alias("avg_fare"),
@@ -71,16 +81,16 @@ def hourly_pulse(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
 
 
 def neighborhood_level(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
-    return _rollup(cube, [*extra_keys, "city", "date", "neighborhood"])
+    return _rollup(cube, [*extra_keys, "city", "day", "neighborhood"])
 
 
 def neighborhood_stats(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
     """Per (city, date, pickup neighbourhood); averages unrounded; rank by
     trips within the day, ties share the lowest rank."""
     nb = neighborhood_level(cube, extra_keys)
-    w = Window.partitionBy(*extra_keys, "city", "date").orderBy(F.col("n").desc())
+    w = Window.partitionBy(*extra_keys, "city", "day").orderBy(F.col("n").desc())
     return nb.select(
-        *extra_keys, "city", "date", "neighborhood",
+        *extra_keys, "city", _date().alias("date"), "neighborhood",
         F.col("n").alias("trip_count"),
         (F.col("fare_s") / F.col("n")).alias("avg_fare"),
         F.col("rev").cast("double").alias("total_revenue"),
@@ -97,7 +107,7 @@ def daily_summary(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
     GROUPING SETS aggregation, so the cube (and the scan under it) is
     computed once; a second small aggregation per day combines them.
     """
-    day_keys = [*extra_keys, "city", "date"]
+    day_keys = [*extra_keys, "city", "day"]
     sets = (cube.groupingSets([[*day_keys, "hour", "day_of_week"], [*day_keys, "neighborhood"]],
                               *day_keys, "hour", "day_of_week", "neighborhood")
                 .agg(*[F.sum(c).alias(c) for c in ("n", "pax", "rev", "fare_s", "dist_s", "dur_s")],
@@ -113,7 +123,7 @@ def daily_summary(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
         F.max(F.when(h, F.col("day_of_week"))).alias("dow"))
     n = F.col("n")
     return days.select(
-        *day_keys,
+        *extra_keys, "city", _date().alias("date"),
         n.alias("total_trips"),
         F.col("pax").alias("total_passengers"),
         C.rnd(F.col("rev"), 4).alias("total_revenue"),
@@ -128,7 +138,7 @@ def daily_summary(cube: DataFrame, extra_keys: list[str] = ()) -> DataFrame:
 
 
 def hour_counts(cube: DataFrame) -> DataFrame:
-    return hour_level(cube).select("city", "date", "hour", F.col("n").alias("trip_count"))
+    return hour_level(cube).select("city", _date().alias("date"), "hour", F.col("n").alias("trip_count"))
 
 
 def week_start(params: Params) -> str:

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import date_text, hour_of
+from ..functions.columns import hour_of
 from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
@@ -89,7 +89,7 @@ def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params:
     out, ck = scratch_path(spark, "stream-hourly-out"), scratch_path(spark, "stream-hourly-ck")
     c = clean_stream(_read_stream(spark, landing, schema), dims, params)
     sums = (c.groupBy(F.window("pickup_datetime", "1 hour").alias("w"), "city",
-                      F.col("pickup_weekday").alias("day_of_week"), F.col("pickup_weekday_name").alias("day_name"))
+                      F.col("pickup_weekday").alias("day_of_week"))
              .agg(F.count("trip_id").alias("n"),
                   F.sum("passenger_count").cast("bigint").alias("pax"),
                   F.sum("fare_amount").alias("fare_s"), F.sum("trip_distance_miles").alias("dist_s"),
@@ -106,8 +106,8 @@ def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params:
          .foreachBatch(write).trigger(availableNow=True).start())
     _drain(q)
     s = spark.read.parquet(out)
-    cube_like = s.select(F.col("city"), date_text("w.start").alias("date"),
-                         hour_of("w.start").alias("hour"), "day_of_week", "day_name",
+    cube_like = s.select(F.col("city"), F.col("w.start").cast("date").alias("day"),
+                         hour_of("w.start").alias("hour"), "day_of_week",
                          F.lit("all").alias("neighborhood"), *M.SUMS)
     return M.hourly_pulse(cube_like)
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators.clean import KEEP_COLUMNS
 from ..sources.adapters import TRIP_COLUMNS
 from .catalog import register
@@ -38,5 +36,3 @@ def neighborhood_stats(ws):
 def daily_summary(ws):
     return ws.daily
 
-
-_ = F

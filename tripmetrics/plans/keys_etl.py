@@ -1,5 +1,5 @@
-"""Query keys: raw feeds, per-step cleaning, audits, staging, merges
-(A2-A9, B1-B14, B21-B25, M1-M5, S1, T6)."""
+"""Query keys: raw feeds, per-step cleaning, audits, staging
+(A2-A9, B1-B14, B21-B25, M1)."""
 
 from __future__ import annotations
 
@@ -9,13 +9,9 @@ from .. import settings as S
 from ..functions import columns as C
 from ..operators import audits as AU
 from ..operators import clean as CL
-from ..operators import marts as M
-from ..operators import merge as MG
-from ..operators import serve as SV
 from ..sources import adapters as A
 from ..sources import feeds as FD
 from .catalog import register
-from .keys_marts import weekly_sql
 from .oracle import R, TS, _values, cols_sql, q, with_base
 from .workspace import land
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators import marts as M
 from .catalog import DEFAULT, JANUARY, register
-from .oracle import R, TS, week_start, with_base
+from .oracle import R, week_start, with_base
 
 
 @register("hour_counts", lambda p: with_base(p, "SELECT city, date, hour, cnt AS trip_count FROM hour_cnt"))
@@ -67,5 +67,3 @@ FROM week_hourly h LEFT JOIN (SELECT *, strftime(recorded_at, '%Y-%m-%d') AS dat
 def weather_join(ws):
     return M.weather_join(ws.hourly_since(M.week_start(ws.params)), ws.staged_weather, ws.params)
 
-
-_ = TS

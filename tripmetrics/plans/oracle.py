@@ -11,7 +11,6 @@ from __future__ import annotations
 from datetime import timedelta
 
 from .. import settings as S
-from ..operators import merge as MG
 from ..sources import adapters as A
 from ..sources import dims as D
 from ..settings import Params

@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions import columns as C
-from ..sources.tables import bounded_broadcast
 
 STAGE_NOT_NULL = ["trip_id", "city", "pickup_datetime", "dropoff_datetime", "pickup_hour",
                   "pickup_weekday", "pickup_weekday_name", "pickup_date"]
@@ -82,7 +81,10 @@ def insert_or_ignore(batch: DataFrame, key: str, not_null: list[str], order: lis
         ok = ok.filter(F.col(c).isNotNull())
     first = first_per_key(ok, key, order)
     if target is not None:
-        ids = bounded_broadcast(first.select(key), LOAD_IDS_BROADCAST_MAX)
+        # the load's row count bounds its distinct keys; counting the rows
+        # avoids computing the first-wins aggregate twice
+        small = ok.limit(LOAD_IDS_BROADCAST_MAX + 1).count() <= LOAD_IDS_BROADCAST_MAX
+        ids = F.broadcast(first.select(key)) if small else first.select(key)
         existing = target.select(key).join(ids, key, "left_semi")
         first = first.join(existing, key, "left_anti")
     return first

@@ -2,7 +2,8 @@
 
 Every step is a column expression over the whole DataFrame (no per-row
 Python), so Catalyst fuses them into one codegen stage after the scan.
-The airport lookup is the only join, against a broadcast dimension.
+Even the airport lookup is an expression (a literal map built from the
+bounded dimension), not a join.
 """
 
 from __future__ import annotations
@@ -92,27 +93,31 @@ def derive_speed(df: DataFrame) -> DataFrame:
     return df.withColumn("speed_mph", C.clip(sp, 0.0, 80.0))
 
 
+AIRPORT_MAP_MAX = 10_000
+
+
+def airport_lookup(dims: Dims):
+    """City -> airport names as a literal map column, built once per session
+    from the (bounded, size-checked) dimensions: the per-row lookup is an
+    expression, not a join.  A city without a profile gets the default
+    city's airports."""
+    rows = small_rows(dims.city.select("city").join(dims.airport, "city", "left")
+                      .groupBy("city").agg(F.collect_set("neighborhood").alias("a")), AIRPORT_MAP_MAX)
+    sets = {r["city"]: sorted(r["a"] or []) for r in rows}
+    arr = lambda names: F.array(*[F.lit(a) for a in names]).cast("array<string>")
+    m = F.create_map(*[x for c, names in sorted(sets.items()) for x in (F.lit(c), arr(names))])
+    return lambda city: F.coalesce(F.try_element_at(m, city), arr(sets.get(dims.default_city, [])))
+
+
 def trip_flags(df: DataFrame, dims: Dims) -> DataFrame:
     """Surge hour, weekend and airport flags.  The airport set is the trip
     city's (an unknown city falls back to the default city's)."""
-    default_airports = [r[0] for r in small_rows(
-        dims.airport.filter(F.col("city") == dims.default_city).select("neighborhood"), 1000)]
-    sets = (dims.city.select("city")
-            .join(dims.airport, "city", "left")
-            .groupBy("city")
-            .agg(F.collect_set("neighborhood").alias("_airports"),
-                 F.lit(True).alias("_known")))
-    sets = F.broadcast(sets)
-    x = df.join(sets, "city", "left")
-    airports = F.when(F.col("_known").isNull(),
-                      F.array(*[F.lit(a) for a in default_airports]).cast("array<string>")) \
-        .otherwise(F.col("_airports"))
+    airports = airport_lookup(dims)(F.col("city"))
     is_airport = F.coalesce(F.array_contains(airports, F.col("pickup_neighborhood")), F.lit(False)) | \
         F.coalesce(F.array_contains(airports, F.col("dropoff_neighborhood")), F.lit(False))
-    return (x.withColumn("is_surge_hour", F.col("pickup_hour").isin(*S.SURGE_HOURS).cast("int"))
-             .withColumn("is_weekend", (F.col("pickup_weekday") >= 5).cast("int"))
-             .withColumn("is_airport_trip", is_airport.cast("int"))
-             .drop("_airports", "_known"))
+    return (df.withColumn("is_surge_hour", F.col("pickup_hour").isin(*S.SURGE_HOURS).cast("int"))
+              .withColumn("is_weekend", (F.col("pickup_weekday") >= 5).cast("int"))
+              .withColumn("is_airport_trip", is_airport.cast("int")))
 
 
 def with_trip_id(df: DataFrame) -> DataFrame:

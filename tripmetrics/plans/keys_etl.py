@@ -183,7 +183,8 @@ def stage_trips(ws):
     return ws.staged
 
 
-@register("stage_weather", lambda p: with_base(p, f"SELECT {cols_sql(A.WEATHER_COLUMNS)} FROM staged_weather"))
+@register("stage_weather", lambda p: with_base(p, "SELECT " + cols_sql(A.WEATHER_COLUMNS).replace(
+    "humidity_pct", "CAST(humidity_pct AS DOUBLE) AS humidity_pct", 1) + " FROM staged_weather"))
 def stage_weather(ws):
     return ws.staged_weather
 

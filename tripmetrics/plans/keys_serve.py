@@ -338,7 +338,7 @@ def heatmap_pivot(ws):
 
 
 @register("top_hours_share", lambda p: with_base(p, HOUR_PROFILE.replace("{n}", str(p.top_hours_n)) + f"""
-SELECT city, hour, avg_pulse, row_number() OVER (PARTITION BY city ORDER BY avg_pulse DESC, hour) AS position,
+SELECT city, hour, avg_pulse, CAST(row_number() OVER (PARTITION BY city ORDER BY avg_pulse DESC, hour) AS INTEGER) AS position,
   {R('avg_pulse / CASE WHEN max(avg_pulse) OVER (PARTITION BY city) IS NULL OR max(avg_pulse) OVER (PARTITION BY city) = 0 THEN 1.0E0 ELSE max(avg_pulse) OVER (PARTITION BY city) END * 100', 1)} AS share_pct
 FROM top"""))
 def top_hours_share(ws):

@@ -32,3 +32,16 @@ def test_two_loads_and_replay(spark):
     staged = spark.read.parquet(f"{out}/stg_taxi_trips")
     assert staged.count() == staged.select("trip_id").distinct().count()   # insert-or-ignore across loads
     assert spark.read.parquet(f"{out}/dq_log").filter(F.col("load_id") == 0).count() > 0
+
+
+def test_text_records_without_batch_id(spark):
+    """Feed-shaped text records (no batch id, some bad values) go through the job."""
+    from tripmetrics.sources.adapters import dirty_trips_from_tables
+    ws = Workspace(spark, SF_SMALL)
+    out = tempfile.mkdtemp(prefix="tm-etl-text-")
+    text = dirty_trips_from_tables(spark, SF_SMALL).drop("batch_id")
+    run_etl(spark, text, ws.raw_weather, out, ws.dims, ws.params, 7)
+    marts = spark.read.parquet(latest(spark, f"{out}/agg_hourly_pulse"))
+    assert marts.count() > 0
+    staged = spark.read.parquet(f"{out}/stg_taxi_trips")
+    assert staged.select(F.min("batch_id")).first()[0] == 7

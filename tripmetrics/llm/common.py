@@ -11,6 +11,7 @@ from ..session import scratch_path
 
 #: Rows per Arrow batch: a batch of long texts must fit a Python worker.
 BATCH_ROWS = "1000"
+WIDE_EDGES = 1_000_000
 
 
 def prepare(spark: SparkSession) -> None:
@@ -77,19 +78,21 @@ def components(nodes_edges: DataFrame, name: str = "components", max_rounds: int
     neighbour, so every edge set stays linear in the first one and a node
     with very many neighbours is only ever aggregated with min(), never
     gathered.  Each round is written to shared storage; the end is reached
-    when a round changes no edge.
+    when a round changes no edge.  Over ``WIDE_EDGES`` edges the minima are
+    written too, so that both sides of the joins come from plain shuffles and
+    the skew join can split a hub.
     """
     e = (nodes_edges.select(F.col("a").cast("long").alias("u"), F.col("b").cast("long").alias("v"))
          .where("u is not null and v is not null and u <> v"))
     e = materialize(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
-    seen = None
+    seen, put = None, lambda d: d
     for _ in range(max_rounds):
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        low = put(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")))
         large = (both.where("v > u").join(low, "u").where("v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
-        large = large.distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = put(large.distinct())
+        low2 = put(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(low2, "u").select(
             F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
             F.col("m").alias("v")).where("u <> v").distinct())
@@ -99,6 +102,8 @@ def components(nodes_edges: DataFrame, name: str = "components", max_rounds: int
         if tuple(stat) == seen:
             break
         seen = tuple(stat)
+        if seen[0] > WIDE_EDGES:
+            put = lambda d: materialize(d, name)
     else:
         raise RuntimeError(f"components: no fixed point after {max_rounds} rounds")
     return (e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("root"))

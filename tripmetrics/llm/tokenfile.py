@@ -41,7 +41,7 @@ from .common import attempt_name, col, materialize, open_fs, partitions, prepare
 BLOCK_IDS = 1 << 20
 MAX_LANES = 4096
 LEAST_STEPS = 64
-REFRESH = 32                   # steps between rebuilds of the order-0 table
+REFRESH = 4                    # order 0 is rebuilt when a fourth more steps are known
 BITS, BASE_BITS = 24, 22       # total of the mixture; total of order 0
 HASH_BITS = 18
 MEMO_WORDS = 1_000_000
@@ -63,12 +63,13 @@ class Model:
         self.tot = np.full(256, 4, np.int64)
         self.hit1, self.hit2 = np.ones(256, np.int64), np.ones(256, np.int64)
         self.prev, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.step = 0
+        self.step = self.due = 0
         self.cum = np.zeros(vocabulary + 1, np.int64)
 
     def predict(self) -> None:
         """Sets, per lane, the two guesses and the three weights."""
-        if self.step % REFRESH == 0:
+        if self.step >= self.due:
+            self.due = self.step + 1 + self.step // REFRESH
             room = _BASE - self.v
             np.cumsum(1 + self.counts * room // max(1, self.seen), out=self.cum[1:])
             self.cum[-1] = _BASE
@@ -329,7 +330,7 @@ def write_ids(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end
                 part = batch.column(2)[0].as_py()
                 fs, base = open_fs(folder)
                 fs.create_dir(base, recursive=True)
-                out = fs.open_output_stream(f"{base}/{name}")
+                out = fs.open_output_stream(f"{base}/{name}", compression=None)
                 writer = FileWriter(out, tok.vocabulary, end_id)
             for d, ids in zip(batch.column(0).to_pylist(), tok(batch.column(1).to_pylist()), strict=True):
                 writer.add(d, ids)
@@ -339,7 +340,7 @@ def write_ids(df: DataFrame, folder: str, tokenizer_path: str, pattern: str, end
             yield pa.RecordBatch.from_pylist([{"part": part, "file": name, "n_ids": writer.total,
                                                "n_docs": len(writer.ids), "vocabulary": writer.v}])
 
-    return materialize(rows.mapInArrow(run, "part int, file string, n_ids long, n_docs long, vocabulary long"), "ids-manifest")
+    return materialize(rows.mapInArrow(run, "part long, file string, n_ids long, n_docs long, vocabulary long"), "ids-manifest")
 
 
 def read_ids(manifest: DataFrame, folder: str) -> DataFrame:

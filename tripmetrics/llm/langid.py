@@ -114,6 +114,7 @@ def predict(df: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     prepare(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(model)
     keep = [c for c in df.columns if c != text] if keep is None else keep
+    out = (fresh(keep, out[0]), fresh([*keep, out[0]], out[1]))
     src = fresh([*keep, *out], "text_in")
     part = df.select(*[col(c) for c in keep], col(text).alias(src))
 

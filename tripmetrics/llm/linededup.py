@@ -9,9 +9,9 @@ only, so inserted or removed lines move the chunks next to them alone, and no
 inner chunk has fewer than two lines.
 
 A chunk of at least two lines and ``LEAST_CHARS`` characters that occurs again
-anywhere is removed, all but its first occurrence by (doc_id, place).  Texts
-are cut once into a written table of chunks; hashes are counted after partial
-aggregation, and the occurrences of repeated ones are grouped by their bytes, so equal hashes of different bytes
+anywhere is removed, all but its first occurrence by (doc_id, place).  Hashes
+are counted after partial aggregation, and the occurrences of repeated ones
+are grouped by their bytes, so equal hashes of different bytes
 never remove anything; a hot chunk is split by the skew join.
 
 Edge cases: null and empty texts and rows with a null doc_id come back as
@@ -50,43 +50,42 @@ def with_chunks(df: DataFrame, text: str, out: str) -> DataFrame:
     return df.select(*[col(c) for c in names], out)
 
 
-def _occurrences(rows: DataFrame, least_chars: int) -> DataFrame:
-    """(id, tkey, pos, chunk) of the chunks that may be removed."""
-    # the outer form: from the inner one Spark infers a filter on the array's
-    # size and computes the array a second time for it
-    found = rows.select("id", "tkey", F.posexplode_outer("chunks").alias("pos", "c")).select("id", "tkey", "pos", "c.chunk", "c.lines")
-    return found.where(f"lines >= 2 and length(chunk) >= {least_chars}").select("id", "tkey", "pos", "chunk")
-
-
-def removals(df: DataFrame, doc_id: str, text: str, least_chars: int = LEAST_CHARS) -> DataFrame:
-    """(id, tkey, gone): places of the chunks to remove per document."""
-    rows = df.select(col(doc_id).alias("id"), col(text).alias("t")).where("id is not null and t is not null and t <> ''")
-    rows = with_chunks(rows, "t", "chunks").select("id", F.xxhash64("t").alias("tkey"), "chunks")
-    one = F.struct("id", "tkey", "pos")
-    occurs = materialize(_occurrences(rows, least_chars).withColumn("h", F.xxhash64("chunk")), "line-chunks")
-    place = F.xxhash64("id", "tkey", "pos")
-    again = occurs.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h")
-    repeated = occurs.join(again, "h")
-    first = repeated.groupBy("h", "chunk").agg(F.min(one).alias("first"))
-    gone = repeated.join(first, ["h", "chunk"]).where(one != F.col("first"))
-    return gone.groupBy("id", "tkey").agg(F.collect_set("pos").alias("gone"))
-
-
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tuple[str, str] | None = ("n_removed", "chars_removed"),
           least_chars: int = LEAST_CHARS) -> DataFrame:
     """``df`` with repeated chunks cut from the text; ``counts`` names two more
-    columns, the removed chunks and characters."""
+    columns, the removed chunks and characters.
+
+    Only hashes of all chunks are written and shuffled.  Texts are shuffled
+    once, by document, to meet the places of chunks with repeated hashes; the
+    bytes of those chunks alone are then grouped.
+    """
     names = list(df.columns)
-    tkey, iid, gone, chunks, kept = (fresh([*names, *(counts or ())], x) for x in ("tkey_", "id_", "gone_", "chunks_", "kept_"))
-    cut = removals(df, doc_id, text, least_chars).select(F.col("id").alias(iid), F.col("tkey").alias(tkey), F.col("gone").alias(gone))
-    rows = df.withColumn(tkey, F.xxhash64(col(text)))
-    rows = rows.join(cut, (rows[tkey] == cut[tkey]) & (col(doc_id) == cut[iid]), "left").drop(cut[tkey]).drop(iid)
+    taken = [*names, *(counts or ())]
+    i, k, maybe, gone, chunks, cut, kept = (fresh(taken, x) for x in ("id_", "tkey_", "maybe_", "gone_", "chunks_", "cut_", "kept_"))
+    whole = col(doc_id).isNotNull() & col(text).isNotNull() & (col(text) != "")
+    rows = df.where(whole).withColumn(i, col(doc_id)).withColumn(k, F.xxhash64(col(text)))
+    # the outer explode: from the inner one Spark infers a filter on the
+    # array's size and computes the array a second time for it
+    found = with_chunks(rows.select(i, k, col(text)), text, chunks).select(i, k, F.posexplode_outer(chunks).alias("pos", "c"))
+    found = found.where(f"c.lines >= 2 and length(c.chunk) >= {least_chars}").select(i, k, "pos", F.xxhash64("c.chunk").alias("h"))
+    found = materialize(found, "line-chunks")
+    place = F.xxhash64(i, k, "pos")
+    again = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h")
+    places = found.join(again, "h").groupBy(i, k).agg(F.collect_set("pos").alias(maybe))
+    met = with_chunks(rows.select(i, k, col(text)).join(places, [i, k]), text, chunks)
+    met = met.select(i, k, F.explode_outer(F.expr(f"transform({maybe}, p -> struct(p as pos, {chunks}[p].chunk as chunk))")).alias("c"))
+    met = met.select(i, k, "c.pos", "c.chunk", F.xxhash64("c.chunk").alias("h"))
+    one = F.struct(i, k, "pos")
+    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first"))
+    drop = met.join(first, ["h", "chunk"]).where(one != F.col("first")).groupBy(i, k).agg(F.collect_set("pos").alias(gone))
+    out = rows.join(drop, [i, k], "left").select(*[col(c) for c in names], gone)
+    out = out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn(gone, F.lit(None).cast("array<int>")))
     plain = F.col(gone).isNull()
-    rows = with_chunks(rows.withColumn(chunks + "t", F.when(~plain, col(text))), chunks + "t", chunks)
-    rows = rows.withColumn(kept, F.when(plain, col(text)).otherwise(
-        F.expr(f"array_join(transform(filter({chunks}, (c, i) -> not array_contains({gone}, i)), c -> c.chunk), '')")))
-    out = [(F.col(kept) if c == text else col(c)).alias(c) for c in names]
+    out = with_chunks(out.withColumn(cut, F.when(~plain, col(text))), cut, chunks)
+    out = out.withColumn(kept, F.when(plain, col(text)).otherwise(
+        F.expr(f"array_join(transform(filter({chunks}, (c, x) -> not array_contains({gone}, x)), c -> c.chunk), '')")))
+    cols = [(F.col(kept) if c == text else col(c)).alias(c) for c in names]
     if counts:
-        out += [F.when(plain, 0).otherwise(F.size(gone)).alias(counts[0]),
-                F.coalesce(F.length(col(text)) - F.length(F.col(kept)), F.lit(0)).alias(counts[1])]
-    return rows.select(*out)
+        cols += [F.when(plain, 0).otherwise(F.size(gone)).alias(counts[0]),
+                 F.coalesce(F.length(col(text)) - F.length(F.col(kept)), F.lit(0)).alias(counts[1])]
+    return out.select(*cols)

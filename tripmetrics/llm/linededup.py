@@ -63,7 +63,10 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     taken = [*names, *(counts or ())]
     i, k, maybe, gone, chunks, cut, kept = (fresh(taken, x) for x in ("id_", "tkey_", "maybe_", "gone_", "chunks_", "cut_", "kept_"))
     whole = col(doc_id).isNotNull() & col(text).isNotNull() & (col(text) != "")
-    rows = df.where(whole).withColumn(i, col(doc_id)).withColumn(k, F.xxhash64(col(text)))
+    # one and the same projection for both joins with texts, so that where no
+    # other columns are carried Spark reuses one shuffle of the texts
+    rest = [c for c in names if c not in (doc_id, text)]
+    rows = df.where(whole).select(col(doc_id).alias(i), F.xxhash64(col(text)).alias(k), col(text), *[col(c) for c in rest])
     # the outer explode: from the inner one Spark infers a filter on the
     # array's size and computes the array a second time for it
     found = with_chunks(rows.select(i, k, col(text)), text, chunks).select(i, k, F.posexplode_outer(chunks).alias("pos", "c"))
@@ -78,7 +81,7 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     one = F.struct(i, k, "pos")
     first = met.groupBy("h", "chunk").agg(F.min(one).alias("first"))
     drop = met.join(first, ["h", "chunk"]).where(one != F.col("first")).groupBy(i, k).agg(F.collect_set("pos").alias(gone))
-    out = rows.join(drop, [i, k], "left").select(*[col(c) for c in names], gone)
+    out = rows.join(drop, [i, k], "left").select(*[col(i).alias(c) if c == doc_id else col(c) for c in names], gone)
     out = out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn(gone, F.lit(None).cast("array<int>")))
     plain = F.col(gone).isNull()
     out = with_chunks(out.withColumn(cut, F.when(~plain, col(text))), cut, chunks)

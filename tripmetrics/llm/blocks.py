@@ -85,3 +85,17 @@ def fixed_binary(column, dtype, width: int) -> np.ndarray:
     """A binary column of equal sizes as a (rows, width) array."""
     c = column.combine_chunks() if hasattr(column, "combine_chunks") else column
     return np.frombuffer(b"".join(c.to_pylist()), dtype).reshape(len(c), width)
+
+
+def clusters(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Smallest index of each member's cluster under the pairs (p, q)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[p], label[q])
+        new = label.copy()
+        np.minimum.at(new, p, low)
+        np.minimum.at(new, q, low)
+        new = new[new]
+        if np.array_equal(new, label):
+            return label
+        label = new

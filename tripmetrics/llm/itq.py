@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import fixed_binary, group_starts, grouped, shared_buckets, whole_groups
+from .blocks import clusters, fixed_binary, group_starts, grouped, shared_buckets, whole_groups
 from .common import col, components, materialize, prepare
 from .langid import sample_below
 
@@ -105,20 +105,6 @@ def read_vectors(df: DataFrame, vec_id: str, vector: str) -> DataFrame:
     return materialize(rows.mapInArrow(run, "id long, key binary, vec binary, dim int"), "itq-vectors")
 
 
-def _clusters(n: int, p: np.ndarray, q: np.ndarray) -> np.ndarray:
-    """Smallest index of each member's cluster under the pairs (p, q)."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[p], label[q])
-        new = label.copy()
-        np.minimum.at(new, p, low)
-        np.minimum.at(new, q, low)
-        new = new[new]
-        if np.array_equal(new, label):
-            return label
-        label = new
-
-
 def compare_buckets(classes: DataFrame, coder: Codes, width: int, dim: int, threshold: float) -> DataFrame:
     """(id, n_links, root) per member and group with at least one link."""
     import pyarrow as pa
@@ -162,7 +148,7 @@ def compare_buckets(classes: DataFrame, coder: Codes, width: int, dim: int, thre
                 diff, first = codes[s + p] ^ codes[s + q], np.ones(len(p), bool)
                 for x in range(int(t[s])):
                     first &= (diff[:, x // per] >> np.uint64(x % per * width)) & mask != 0
-                label = _clusters(e - s, p, q)
+                label = clusters(e - s, p, q)
                 p, q = p[first], q[first]
                 links = np.bincount(p, n[s + q], e - s) + np.bincount(q, n[s + p], e - s)
                 at = np.flatnonzero((links > 0) | (label != np.arange(e - s)))

@@ -15,7 +15,9 @@ least ``THRESHOLD`` are linked.
    leave Pr[similarity >= threshold] = Pr[Binomial(n + 1, threshold) <= m]; a
    pair is dropped once that falls below ``TOLERANCE``.  A pair that shares
    several buckets is handled in the first alone.
-4. Survivors are verified exactly on their shingle sets.
+4. Members with a likely pair meet again in that bucket, now with their
+   shingle sets, and likely pairs are verified exactly.  A task gives a row
+   per member (links, smallest id of its cluster there), never one per pair.
 
 Edge cases: null, empty and blank texts have no shingles and link with
 nothing; rows with a null doc_id link with nothing and have a null class; a
@@ -33,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import fixed_binary, grouped, pairs, shared_buckets, whole_groups
+from .blocks import clusters, fixed_binary, grouped, pairs, shared_buckets, whole_groups
 from .common import col, components, materialize, prepare
 
 WORDS, THRESHOLD = 5, 0.8
@@ -121,53 +123,86 @@ def signed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return materialize(rows.mapInArrow(run, "id long, key binary, sig binary"), "jaccard-signed")
 
 
-def survivors(classes: DataFrame) -> DataFrame:
-    """(a, b) of classes (id, sig) that Bayesian pruning keeps, once each."""
+_STEPS = [(n - STEP, n, least_matches(n)) for n in range(STEP, HASHES + 1, STEP)]
+
+
+def likely(table, sig: np.ndarray):
+    """Index pairs of a table of groups that Bayesian pruning keeps, each only
+    in the first band that it shares."""
+    band_of = table.column(0).to_numpy()
+    for p, q in pairs(table):
+        for i in range(0, len(p), 1 << 16):
+            a, b = p[i:i + (1 << 16)], q[i:i + (1 << 16)]
+            same = np.zeros(len(a), np.int64)
+            for start, stop, least in _STEPS:
+                same += (sig[a, start:stop] == sig[b, start:stop]).sum(axis=1)
+                stay = same >= least
+                a, b, same = a[stay], b[stay], same[stay]
+                if not len(a):
+                    break
+            if len(a):
+                first = (sig[a] == sig[b]).reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1)
+                own = first == band_of[a]
+                yield a[own], b[own]
+
+
+def candidates(classes: DataFrame) -> DataFrame:
+    """(t, k, i, j, id, own): the members of groups that have a likely pair
+    there - a row per member, however many pairs it has."""
     import pyarrow as pa
     band = f"transform(sequence(0, {BANDS - 1}), x -> xxhash64(substring(sig, x * {2 * ROWS} + 1, {2 * ROWS})))"
     keys = classes.select("id", F.posexplode_outer(F.expr(band)).alias("t", "k")).select("t", "k", "id")
     rows = grouped(shared_buckets(keys).join(classes.select("id", "sig"), "id").select("t", "k", "i", "j", "id", "own", "sig"))
-    steps = [(n - STEP, n, least_matches(n)) for n in range(STEP, HASHES + 1, STEP)]
 
     def compare(table):
-        sig, ids, band_of = fixed_binary(table.column(6), "<u2", HASHES), table.column(4).to_numpy(), table.column(0).to_numpy()
-        for p, q in pairs(table):
-            for i in range(0, len(p), 1 << 16):
-                a, b = p[i:i + (1 << 16)], q[i:i + (1 << 16)]
-                same = np.zeros(len(a), np.int64)
-                for start, stop, least in steps:
-                    same += (sig[a, start:stop] == sig[b, start:stop]).sum(axis=1)
-                    stay = same >= least
-                    a, b, same = a[stay], b[stay], same[stay]
-                    if not len(a):
-                        break
-                if len(a):
-                    first = (sig[a] == sig[b]).reshape(len(a), BANDS, ROWS).all(axis=2).argmax(axis=1)
-                    own = first == band_of[a]
-                    x, y = ids[a[own]], ids[b[own]]
-                    if len(x):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
-
-    return rows.mapInArrow(lambda batches: whole_groups(batches, compare), "a long, b long")
-
-
-def verified(docs: DataFrame, found: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
-    """Of pairs (a, b) of doc_ids those with the exact similarity, (a, b, jaccard)."""
+        sig, active = fixed_binary(table.column(6), "<u2", HASHES), np.zeros(table.num_rows, bool)
+        for a, b in likely(table, sig):
+            active[a] = active[b] = True
+        if active.any():
+            yield table.select([0, 1, 2, 3, 4, 5]).filter(pa.array(active)).combine_chunks().to_batches()[0]
+
+    return rows.mapInArrow(lambda batches: whole_groups(batches, compare), "t int, k long, i int, j int, id long, own int")
+
+
+def verified(docs: DataFrame, classes: DataFrame, found: DataFrame, doc_id: str, text: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, n_links, root) per member and group: the candidates' groups meet
+    again with their shingle sets, likely pairs are compared exactly, and each
+    member gives the documents it links with and its local cluster's smallest
+    id, so no row stands for a pair."""
     import pyarrow as pa
 
-    def run(batches):
+    def read(batches):
         shingle = _shingler()
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingle(t).view(np.int64) for t in b.column(1).to_pylist()], pa.list_(pa.int64()))],
-                                             names=["id", "s"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([shingle(t).tobytes() for t in b.column(2).to_pylist()], pa.binary())],
+                                             names=["id", "n", "s"])
+
+    need = found.select("id").distinct().join(classes.select("id", "n"), "id")
+    texts = docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("t")).join(need, "id").select("id", "n", "t")
+    sets = materialize(texts.mapInArrow(read, "id long, n long, s binary").dropDuplicates(["id"]), "jaccard-sets")
+    rows = grouped(found.join(sets, "id").select("t", "k", "i", "j", "id", "own", "n", "s"))
 
-    need = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.select(col(doc_id).cast("long").alias("id"), col(text).alias("t")).join(need, "id").select("id", "t")
-    sets = materialize(texts.mapInArrow(run, "id long, s array<long>").dropDuplicates(["id"]), "jaccard-sets")
-    both = (found.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
-            .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
-    both = both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("n"))
-    return both.select("a", "b", (F.col("n") / (F.col("na") + F.col("nb") - F.col("n"))).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    def compare(table):
+        ids, n = table.column(4).to_numpy(), table.column(6).to_numpy()
+        sets = [np.frombuffer(x, np.uint64) for x in table.column(7).to_pylist()]
+        sig, size = np.stack([signature(s) for s in sets]), np.array([len(s) for s in sets])
+        links, p, q = np.zeros(len(ids), np.int64), [], []
+        for a, b in likely(table, sig):
+            for x, y in zip(a.tolist(), b.tolist(), strict=True):
+                if min(size[x], size[y]) < threshold * max(size[x], size[y]):
+                    continue
+                common = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if common / (size[x] + size[y] - common) >= threshold:
+                    links[x] += n[y]
+                    links[y] += n[x]
+                    p.append(x)
+                    q.append(y)
+        if p:
+            label = clusters(len(ids), np.array(p), np.array(q))
+            at = np.flatnonzero(links)
+            yield pa.RecordBatch.from_arrays([pa.array(ids[at]), pa.array(links[at]), pa.array(ids[label[at]])], names=["id", "n_links", "root"])
+
+    return rows.mapInArrow(lambda batches: whole_groups(batches, compare), "id long, n_links long, root long")
 
 
 def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -178,11 +213,10 @@ def join(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     rows = signed(docs, doc_id, text)
     usable = rows.where("id is not null and key is not null")
     classes = materialize(usable.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.any_value("sig").alias("sig")), "jaccard-classes")
-    links = materialize(verified(docs, materialize(survivors(classes), "jaccard-survivors"), doc_id, text), "jaccard-links")
-    roots = components(links, "jaccard-components")
-    size = classes.select("id", "n")
-    ends = links.select(F.col("a").alias("id"), F.col("b").alias("o")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("o")))
-    linked = ends.join(size.select(F.col("id").alias("o"), F.col("n").alias("m")), "o").groupBy("id").agg(F.sum("m").alias("m"))
+    found = materialize(candidates(classes), "jaccard-candidates")
+    links = materialize(verified(docs, classes, found, doc_id, text), "jaccard-links")
+    roots = components(links.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).distinct(), "jaccard-components")
+    linked = links.groupBy("id").agg(F.sum("n_links").alias("m"))
     of = (classes.select("key", "id", "n").join(linked, "id", "left").join(roots, "id", "left")
           .select("key", F.coalesce("root", "id").alias("root"), (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_links")))
     out = rows.where("id is not null and key is not null").select("id", "key").join(of, "key").select("id", "root", "n_links")

@@ -89,3 +89,10 @@ def test_text_is_zone_free(spark):
         assert tuple(r) == ("2024-03-10 02:30:05.120000", "2024-03-10", 2, "Sunday")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_nan_text_is_no_number(spark):
+    from tripmetrics.operators.clean import extract_trips, extract_weather
+    raw = spark.createDataFrame([("NaN", "nan", "NaN"), ("2.5", "x", "3")], "fare_amount string, speed_mph string, passenger_count string")
+    assert [tuple(r) for r in extract_trips(raw).select("fare_amount", "speed_mph", "passenger_count").collect()] == [(0.0, 0.0, 1), (2.5, 0.0, 3)]
+    assert extract_weather(spark.createDataFrame([("NaN",)], "temp_f string")).first().temp_f is None

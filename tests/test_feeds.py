@@ -31,3 +31,10 @@ def test_weather_feed(spark):
     assert r["condition"] == "Moderate Rain" and r["is_rain"] == 1 and r["is_snow"] == 0
     assert r["visibility_mi"] == 6.2                     # default 10 km
     assert r["temp_f"] == 51.3 and r["humidity_pct"] == 80
+
+
+def test_weather_feed_without_entry_and_slashes(spark):
+    from tripmetrics.sources.feeds import normalize_weather_feed
+    rows = [("a", "2024-01-01", "X", '{"main":{"temp":1.0},"weather":[]}'), ("b", "2024-01-01", "X", '{"weather":[{"id":731,"description":"sand/dust whirls"}]}')]
+    got = normalize_weather_feed(spark.createDataFrame(rows, "id string, ingested_at string, city string, raw_json string")).collect()
+    assert [(r.weather_id, r.condition) for r in got] == [("b", "Sand/Dust Whirls")]

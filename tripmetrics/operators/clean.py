@@ -31,16 +31,22 @@ KEEP_COLUMNS = [
 ]
 
 
+def _number(c: str):
+    """A field as a double; text that is no number, or NaN, becomes NULL."""
+    x = F.col(c).try_cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def extract_trips(raw: DataFrame, default_city: str = S.DEFAULT_CITY) -> DataFrame:
     """Coerce numeric fields (bad -> 0; passenger count bad -> 1) and add a
     city when the records carry none."""
     out = raw
     for c in NUMERIC_TRIP_COLUMNS:
         if c in raw.columns:
-            out = out.withColumn(c, F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)))
+            out = out.withColumn(c, F.coalesce(_number(c), F.lit(0.0)))
     if "passenger_count" in raw.columns:
         out = out.withColumn("passenger_count", F.coalesce(
-            F.col("passenger_count").try_cast("double").try_cast("int"), F.lit(1)))
+            _number("passenger_count").try_cast("int"), F.lit(1)))
     if "city" not in raw.columns:
         out = out.withColumn("city", F.lit(default_city))
     return out
@@ -51,7 +57,7 @@ def extract_weather(raw: DataFrame) -> DataFrame:
     out = raw
     for c in NUMERIC_WEATHER_COLUMNS:
         if c in raw.columns:
-            out = out.withColumn(c, F.col(c).try_cast("double"))
+            out = out.withColumn(c, _number(c))
     return out
 
 

@@ -6,8 +6,8 @@
 
 Layout under ``out_dir`` (shared storage): ``raw_trips``, ``raw_weather``
 (partitioned by city), ``dq_log``, ``stg_taxi_trips``, ``stg_weather``,
-``agg_*`` (one folder per version ``v=<load>``; readers take the newest
-complete one).  The cleaned batch is written once and every later step
+``agg_*`` (one folder per version ``v=<n>`` and the ids of the loads in it,
+``loads-<n>``; readers take the newest complete one).  The cleaned batch is written once and every later step
 reads it back, so no plan recomputes the cleaning and lineage stays short;
 a lost executor only re-runs the step it was in.
 """
@@ -48,24 +48,31 @@ def latest(spark: SparkSession, base: str) -> str | None:
     return f"{base}/v={max(vs)}" if vs else None
 
 
+def _replace_load(df: DataFrame, load_id: int, path: str, *parts: str) -> None:
+    """Write a load under its own partition, in place of an earlier try of it."""
+    (df.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("load_id", *parts).parquet(path))
+
+
 def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir: str, dims: Dims,
             params: Params, load_id: int) -> dict:
-    """Run one load.  ``load_id`` orders loads; re-running a load id whose
-    mart version exists is a no-op for the marts (replay guard)."""
+    """Run one load.  A load already among those applied to a mart changes
+    nothing there; its raw rows and quality log replace those of the earlier
+    try.  Loads may come late or out of order: each is merged once, in the
+    order of arrival."""
     out = out_dir.rstrip("/")
     if "batch_id" not in trips.columns:  # records from a feed: the load is the batch
         trips = trips.withColumn("batch_id", F.lit(load_id).cast("int"))
     # raw layer: append-only JSON text, partitioned by city
-    FD.land_trips(trips).write.mode("append").partitionBy("city").parquet(f"{out}/raw_trips")
-    FD.land_weather(weather).write.mode("append").partitionBy("city").parquet(f"{out}/raw_weather")
+    _replace_load(FD.land_trips(trips), load_id, f"{out}/raw_trips", "city")
+    _replace_load(FD.land_weather(weather), load_id, f"{out}/raw_weather", "city")
 
     # clean + quality: one pass; the batch is written once and read back
     enriched = Q.with_first_fail(CL.enrich_trips(trips, dims), params)
     batch_path = f"{out}/_batches/load={load_id}"
     enriched.write.mode("overwrite").parquet(batch_path)
     enriched = spark.read.parquet(batch_path)
-    Q.dq_log(Q.dq_counts(enriched)).withColumn("load_id", F.lit(load_id)) \
-        .write.mode("append").parquet(f"{out}/dq_log")
+    _replace_load(Q.dq_log(Q.dq_counts(enriched)), load_id, f"{out}/dq_log")
     clean = Q.survivors(enriched, params).select(*CL.KEEP_COLUMNS, "batch_id")
 
     # staging: insert-or-ignore against what is already staged
@@ -85,10 +92,15 @@ def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir:
         keys, rules = MART_RULES[name]
         base = f"{out}/{name}"
         prev = latest(spark, base)
-        if prev is not None and int(prev.rsplit("=", 1)[1]) >= load_id:
+        version = int(prev.rsplit("=", 1)[1]) if prev else 0
+        applied = spark.read.parquet(f"{base}/loads-{version}") if prev else None
+        if applied is not None and not applied.where(F.col("load_id") == load_id).isEmpty():
             continue  # replayed load
         merged = df.select(*keys, *rules) if prev is None else \
             MG.merge_upsert(spark.read.parquet(prev), df, keys, rules)
-        merged.write.mode("overwrite").parquet(f"{base}/v={load_id}")
+        # the loads of a version are written first; its mart folder commits both
+        this = spark.range(1).select(F.lit(load_id).cast("long").alias("load_id"))
+        (this if applied is None else applied.union(this)).write.mode("overwrite").parquet(f"{base}/loads-{version + 1}")
+        merged.write.mode("overwrite").parquet(f"{base}/v={version + 1}")
     cube.unpersist()
     return {"load_id": load_id, "out_dir": out}

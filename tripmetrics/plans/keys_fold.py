@@ -195,32 +195,22 @@ def _order_cols():
 
 
 def union_sources_df(ws):
-    p = ws.params
+    """Bag union of the feed's records (decoded) and the second source's."""
     feed_rows = ws.raw_trips.filter(F.col("batch_id") == 0)
     feed = FD.normalize_trip_feed(FD.trip_feed_payload(feed_rows)).select(
         "trip_id", "city", F.col("pickup_datetime").try_cast("timestamp_ntz").alias("pickup_datetime"),
         F.col("dropoff_datetime").try_cast("timestamp_ntz").alias("dropoff_datetime"),
         *UNION_COLS[4:])
-    feed = SV.top_n_per(feed, ["city"], _order_cols(), p.feed_cap)
-    room = feed.groupBy("city").agg((F.lit(p.rows_per_run) - F.count(F.lit(1))).alias("_room"))
     second = ws.raw_trips.filter(F.col("batch_id") != 0).select(*UNION_COLS)
-    second = second.join(room, "city", "left").withColumn("_room", F.coalesce("_room", F.lit(p.rows_per_run)))
-    second = SV.latest_n_per(second, "city", "pickup_datetime", _order_cols(), "_room").drop("_room")
     return (feed.withColumn("source", F.lit("feed"))
                 .unionByName(second.withColumn("source", F.lit("synthetic")), allowMissingColumns=True))
 
 
 def union_sql(p):
-    order = ", ".join(o + (" NULLS LAST" if o.endswith("DESC") else " NULLS FIRST") for o in UNION_ORDER)
-    cols = ", ".join(UNION_COLS)
+    cols = ", ".join(TS(c) + " AS " + c if "datetime" in c else c for c in UNION_COLS)
     return with_base(p, f"""
-, feed AS (SELECT * EXCLUDE (rn) FROM (SELECT {cols}, row_number() OVER (PARTITION BY city ORDER BY {order}) AS rn
-    FROM raw_trips WHERE batch_id = 0) WHERE rn <= {p.feed_cap}),
-room AS (SELECT city, {p.rows_per_run} - count(*) AS room FROM feed GROUP BY city),
-second AS (SELECT s.* EXCLUDE (rn) FROM (SELECT {cols}, row_number() OVER (PARTITION BY city ORDER BY {order}) AS rn
-    FROM raw_trips WHERE batch_id <> 0) s LEFT JOIN room r ON r.city = s.city WHERE s.rn <= coalesce(r.room, {p.rows_per_run}))
-SELECT 'feed' AS source, {', '.join(TS(c) + ' AS ' + c if 'datetime' in c else c for c in UNION_COLS)} FROM feed
-UNION ALL SELECT 'synthetic', {', '.join(TS(c) + ' AS ' + c if 'datetime' in c else c for c in UNION_COLS)} FROM second""")
+SELECT 'feed' AS source, {cols} FROM raw_trips WHERE batch_id = 0
+UNION ALL SELECT 'synthetic', {cols} FROM raw_trips WHERE batch_id <> 0""")
 
 
 @register("union_sources", union_sql)

@@ -137,8 +137,6 @@ class Params:
     run_history_n: int = 20
     dq_recent_n: int = 100
     top_neighborhoods_n: int = 12
-    feed_cap: int = 500                       # rows taken from the live feed per run
-    rows_per_run: int = 50_000                # rows per run after top-up from the second source
     hours_covered_min: int = 20
     default_city: str = DEFAULT_CITY
 

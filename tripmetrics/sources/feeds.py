@@ -108,16 +108,24 @@ def weather_feed_payload(weather: DataFrame) -> DataFrame:
                           "city", F.to_json(s).alias("raw_json"))
 
 
+def _title(text):
+    """Title case: a letter is upper-case after anything but a letter."""
+    parts = F.regexp_extract_all(F.lower(text), F.lit(r"\p{L}+|[^\p{L}]+"), F.lit(0))
+    return F.array_join(F.transform(parts, F.initcap), "")
+
+
 def normalize_weather_feed(landed: DataFrame) -> DataFrame:
+    """Decoded readings; one without a weather entry is dropped."""
     x = landed.select("id", "ingested_at", "city", F.from_json("raw_json", FEED_WEATHER_SCHEMA).alias("w"))
-    w0 = F.col("w.weather").getItem(0)
+    w0 = F.get(F.col("w.weather"), F.lit(0))
     code = w0.getField("id")
     vis_m = F.coalesce(F.col("w.visibility"), F.lit(float(S.DEFAULT_VISIBILITY_M)))
+    x = x.where(F.size("w.weather") > 0)
     return x.select(
         F.col("id").alias("weather_id"), F.col("ingested_at").alias("recorded_at"), "city",
         F.col("w.main.temp").alias("temp_f"), F.col("w.main.feels_like").alias("feels_like_f"),
         F.col("w.main.humidity").alias("humidity_pct"), F.col("w.wind.speed").alias("wind_speed_mph"),
-        F.initcap(w0.getField("description")).alias("condition"), code.alias("condition_code"),
+        _title(w0.getField("description")).alias("condition"), code.alias("condition_code"),
         C.rnd(vis_m / S.METRES_PER_MILE, 1).alias("visibility_mi"),
         ((code >= S.RAIN_CODES[0]) & (code < S.RAIN_CODES[1])).cast("int").alias("is_rain"),
         ((code >= S.SNOW_CODES[0]) & (code < S.SNOW_CODES[1])).cast("int").alias("is_snow"))

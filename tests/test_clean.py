@@ -96,3 +96,12 @@ def test_nan_text_is_no_number(spark):
     raw = spark.createDataFrame([("NaN", "nan", "NaN"), ("2.5", "x", "3")], "fare_amount string, speed_mph string, passenger_count string")
     assert [tuple(r) for r in extract_trips(raw).select("fare_amount", "speed_mph", "passenger_count").collect()] == [(0.0, 0.0, 1), (2.5, 0.0, 3)]
     assert extract_weather(spark.createDataFrame([("NaN",)], "temp_f string")).first().temp_f is None
+
+
+def test_surrogate_ids_depend_on_content_alone(spark):
+    rows = spark.range(500).select(F.concat(F.lit("c"), F.col("id") % 7).alias("city"), F.col("id").cast("double").alias("fare_amount"),
+                                   F.when(F.col("id") % 3 == 0, F.lit("")).alias("payment_type"), F.lit(1).alias("batch_id"))
+    rows = rows.unionByName(rows.filter("fare_amount < 100"))
+    ids = CL.with_trip_id(rows.repartition(3)).select("trip_id")
+    again = CL.with_trip_id(rows.withColumn("batch_id", F.lit(2)).repartition(11, "fare_amount")).select("trip_id")
+    assert ids.distinct().count() == 600 and ids.exceptAll(again).count() == 0

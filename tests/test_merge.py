@@ -61,3 +61,30 @@ def test_insert_or_ignore(spark):
     target = spark.createDataFrame([("c",)], "id string")
     got = {r["id"]: r["v"] for r in MG.insert_or_ignore(batch, "id", ["v"], ["batch_id", "v"], target).collect()}
     assert got == {"a": "y", "b": "z"}   # first in batch order; NOT NULL breaker skipped; existing key ignored
+
+
+def test_weekly_after_six_loads_equals_a_rollup_behind_each(spark):
+    """Six loads, one without days in the window: totals are the last
+    roll-up's, the other columns those of the city's first roll-up."""
+    from tripmetrics.operators import marts as M
+    from tripmetrics.settings import Params
+
+    p = Params()
+    day, old = p.as_of_date, "2024-01-05"
+    days = [(0, "A", old, 50, 9.0), (1, "A", day, 3, 1.5), (2, "A", day, 4, 2.0), (2, "B", day, 7, 1.0),
+            (4, "A", M.week_start(p), 9, 3.0), (5, "B", day, 2, 4.0), (5, "A", old, 70, 1.0)]
+    hours = [(b, c, d, 8 + b, n) for b, c, d, n, _ in days]
+    daily = spark.createDataFrame(days, "batch_id int, city string, date string, total_trips bigint, total_revenue double")
+    hourly = spark.createDataFrame(hours, "batch_id int, city string, date string, hour int, trip_count bigint")
+    got = {r["city"]: r for r in M.weekly_after_loads(daily, hourly, p).collect()}
+    state = None
+    for run in range(6):
+        d = daily.filter(F.col("batch_id") <= run).groupBy("city", "date").agg(
+            F.sum("total_trips").alias("total_trips"), F.sum("total_revenue").alias("total_revenue"))
+        h = hourly.filter(F.col("batch_id") <= run).groupBy("city", "date", "hour").agg(F.sum("trip_count").alias("trip_count"))
+        week = M.weekly_trends(d, h, p)
+        state = week if state is None else MG.merge_upsert(state, week, MG.WEEKLY_KEYS, MG.WEEKLY_RULES)
+        state = spark.createDataFrame(state.collect(), state.schema)
+    want = {r["city"]: r for r in state.collect()}
+    assert set(got) == {"A", "B"} and got["A"]["total_trips"] == 16 and got["A"]["avg_daily_trips"] == 3
+    assert {c: r.asDict() for c, r in got.items()} == {c: r.asDict() for c, r in want.items()}

@@ -28,10 +28,11 @@ def test_latest_n_per_equals_ranked_selection(spark):
     assert got.filter(F.col("city") == "A").count() == 700
 
 
-def test_top_n_per_refuses_large_n(spark):
-    df = spark.createDataFrame([("a", 1)], "k string, v int")
-    try:
-        SV.top_n_per(df, ["k"], [F.col("v")], 5000)
-    except ValueError:
-        return
-    raise AssertionError("expected a ValueError")
+def test_recent_trips_takes_any_limit(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 5 == 0, "b").otherwise("a").alias("city"), F.col("id").cast("string").alias("trip_id"),
+                                  F.timestamp_add("MINUTE", F.col("id") % 1700, F.lit("2024-03-01").cast("timestamp_ntz")).alias("pickup_datetime"))
+    got = {(r.city, r.trip_id) for r in SV.recent_trips(df, 1001).collect()}
+    rows = sorted(df.collect(), key=lambda r: (-r.pickup_datetime.timestamp(), r.trip_id))
+    assert got == {(r.city, r.trip_id) for c in "ab" for r in [x for x in rows if x.city == c][:1001]}
+    top = SV.top_n_per(df, ["city"], [F.col("trip_id").cast("int")], 2000).groupBy("city").count().collect()
+    assert {r["city"]: r["count"] for r in top} == {"a": 2000, "b": 1000}

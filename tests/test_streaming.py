@@ -44,3 +44,29 @@ def test_stream_fold_resumes_after_restart(spark):
     again = L.stream_fold(spark, landing, schema, ws.dims, ws.params, state_dir=state)
     batch = fold_hourly_df(ws)
     assert again.exceptAll(batch).count() == 0 and batch.exceptAll(again).count() == 0
+
+
+def test_stream_dedupe_keeps_old_trips_and_first_arrivals(spark):
+    """Loads 200 days apart, a trip id repeated by a later load and by the
+    same one: every id once, the first arrival's row, after a restart too."""
+    from datetime import timedelta
+    from pyspark.sql import functions as F
+    from tripmetrics.session import scratch_path
+
+    ws = workspace(spark, SF_SMALL, DEFAULT)
+    landing, state = scratch_path(spark, "t-landing"), scratch_path(spark, "t-state")
+    schema = ws.raw_trips.schema
+    raw = ws.raw_trips.filter("batch_id = 0 and dropoff_datetime is not null")
+    L.land_batches(raw.unionByName(raw), landing)
+    first = L.stream_dedupe(spark, landing, schema, ws.dims, ws.params, state_dir=state)
+    want = ws.staged.filter("batch_id = 0")
+    assert first.exceptAll(want).count() == 0 and want.exceptAll(first).count() == 0
+    for c in ("pickup_datetime", "dropoff_datetime"):
+        raw = raw.withColumn(c, F.col(c) - timedelta(days=200))
+    late = raw.withColumn("batch_id", F.lit(1)).withColumn(
+        "trip_id", F.when(F.col("passenger_count") == 1, F.col("trip_id")).otherwise(F.concat("trip_id", F.lit("-late"))))
+    L.land_batches(late, landing)
+    again = L.stream_dedupe(spark, landing, schema, ws.dims, ws.params, state_dir=state)
+    assert again.count() == again.select("trip_id").distinct().count()
+    assert first.exceptAll(again).count() == 0
+    assert again.filter("trip_id like '%-late'").count() == want.filter("passenger_count <> 1").count()

@@ -129,15 +129,21 @@ def trip_flags(df: DataFrame, dims: Dims) -> DataFrame:
 def with_trip_id(df: DataFrame) -> DataFrame:
     """Give records without a trip id a surrogate one.
 
-    The id hashes the record's content plus its position in the input
-    split, so it is unique; apply it right after the scan, where the
-    position is fixed by the file split and a retried task gets the same id.
+    The id hashes the record's content and, for records of a load that are
+    equal in every field, which of them it is; not the load or the place in
+    the input.  So a replay or another file layout gives the same ids.  Equal
+    records are counted (map-side first) and laid out again, so many copies
+    of one never meet in a sort.  On a stream equal records share one id.
     """
     if "trip_id" in df.columns:
         return df
-    content = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns],
-                          F.monotonically_increasing_id().cast("string"))
-    return df.withColumn("trip_id", F.sha2(content, 256))
+    content = F.to_json(F.struct(*sorted(c for c in df.columns if c != "batch_id")))
+    if df.isStreaming:
+        return df.withColumn("trip_id", F.sha2(content, 256))
+    laid = (df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_copies"))
+              .select(*df.columns, F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_nth")))
+    nth = F.when(F.col("_nth") > 1, F.concat(F.lit("#"), F.col("_nth"))).otherwise("")
+    return laid.withColumn("trip_id", F.sha2(F.concat(content, nth), 256)).drop("_nth")
 
 
 def decode_and_fill(df: DataFrame) -> DataFrame:

@@ -166,6 +166,24 @@ def weekly_trends(daily: DataFrame, hourly: DataFrame, params: Params, extra_key
         "peak_day", F.col("peak_hour").cast("int").alias("peak_hour"))
 
 
+def weekly_after_loads(daily: DataFrame, hourly: DataFrame, params: Params, load: str = "batch_id") -> DataFrame:
+    """The weekly mart after a roll-up behind every load, from the loads' own
+    daily and hourly marts (any number of loads, none repeated).
+
+    A city's row first appears with its first load that has days in the
+    window; what the merge keeps from then (week end, daily mean, peaks) is
+    that load's roll-up, and what it replaces (totals) is the last roll-up,
+    over all loads."""
+    kept = ["week_end", "avg_daily_trips", "peak_day", "peak_hour"]
+    first = (weekly_trends(daily, hourly, params, [load]).groupBy("city", "week_start")
+             .agg(F.min_by(F.struct(*kept), F.col(load)).alias("f")))
+    last = daily.filter(F.col("date") >= week_start(params)).groupBy("city").agg(
+        F.sum("total_trips").cast("bigint").alias("total_trips"),
+        C.money_sum("total_revenue").cast("double").alias("total_revenue"))
+    return first.join(last, "city").select(
+        "city", "week_start", "f.week_end", "total_trips", "total_revenue", *[f"f.{c}" for c in kept[1:]])
+
+
 def weather_keys(weather: DataFrame) -> DataFrame:
     return weather.withColumn("date", C.date_text("recorded_at")).withColumn("hour", C.hour_of("recorded_at"))
 

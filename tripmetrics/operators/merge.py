@@ -57,35 +57,29 @@ WEEKLY_RULES = {
 
 
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row of each key under ``order`` (skew-safe aggregate)."""
-    cols = df.columns
-    return (df.groupBy(key)
-              .agg(F.min_by(F.struct(*cols), F.struct(*[F.col(c) for c in order])).alias("_r"))
-              .select("_r.*"))
-
-
-LOAD_IDS_BROADCAST_MAX = 5_000_000
+    """The first row of each key under ``order`` (skew-safe aggregate).  The
+    row itself, with the order columns in front, is what is compared, so one
+    copy of it is shuffled."""
+    row = [*order, *[c for c in df.columns if c not in order]]
+    return (df.groupBy(key).agg(F.min(F.struct(*row)).alias("_r"))
+              .select(*[F.col(f"_r.{c}").alias(c) for c in df.columns]))
 
 
 def insert_or_ignore(batch: DataFrame, key: str, not_null: list[str], order: list[str],
                      target: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` a keyed insert-or-ignore would add to ``target``.
 
-    Against a stored table the load's keys (bounded by the load size, checked)
-    are broadcast and semi-joined to the table's key column, so the table is
-    only scanned, never shuffled; the load is then anti-joined with the few
-    keys that already exist.  A load over the bound takes a shuffle join.
+    The load's keys are semi-joined to the key column of a stored table, and
+    the load is then anti-joined with the keys that already exist; Spark
+    chooses broadcast or shuffle for both joins by the sizes in bytes.
     """
     ok = batch
     for c in not_null:
         ok = ok.filter(F.col(c).isNotNull())
     first = first_per_key(ok, key, order)
     if target is not None:
-        # the load's row count bounds its distinct keys; counting the rows
-        # avoids computing the first-wins aggregate twice
-        small = ok.limit(LOAD_IDS_BROADCAST_MAX + 1).count() <= LOAD_IDS_BROADCAST_MAX
-        ids = F.broadcast(first.select(key)) if small else first.select(key)
-        existing = target.select(key).join(ids, key, "left_semi")
+        # keys straight from the load: the first-wins aggregate runs once
+        existing = target.select(key).join(ok.select(key), key, "left_semi")
         first = first.join(existing, key, "left_anti")
     return first
 

@@ -23,10 +23,10 @@ WINDOW_LIMIT_MAX = 1000
 
 
 def top_n_per(df: DataFrame, part: list[str], order: list, n: int) -> DataFrame:
-    """First n rows per group: partial top-n in every map task, then the
-    final top-n after the shuffle, so a group never reaches a task whole."""
-    if n > WINDOW_LIMIT_MAX:
-        raise ValueError(f"top-{n} per group is above the map-side limit; use latest_n_per")
+    """First n rows per group.  Up to ``WINDOW_LIMIT_MAX`` every map task
+    takes a partial top-n, so a group never reaches a task whole; above it
+    the answer is the same without that step, which suits mart-sized tables
+    (``latest_n_per`` is for large ones)."""
     w = Window.partitionBy(*part).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
@@ -147,7 +147,8 @@ def data_counts(tables: dict[str, DataFrame], dq_log: DataFrame) -> DataFrame:
 
 
 def available_cities(staged: DataFrame) -> DataFrame:
-    return staged.groupBy("city").agg(F.count(F.lit(1)).alias("trip_count"))
+    """Cities with trips, the one with most trips first."""
+    return staged.groupBy("city").agg(F.count(F.lit(1)).alias("trip_count")).orderBy(F.col("trip_count").desc(), "city")
 
 
 def city_catalog(dim_city: DataFrame, staged: DataFrame) -> DataFrame:
@@ -164,11 +165,13 @@ def hours_covered(hourly: DataFrame) -> DataFrame:
 
 
 def recent_hourly(hourly: DataFrame, params: Params, days: int) -> DataFrame:
-    return hourly.filter(F.col("date") >= days_back(params, days))
+    """Hourly rows of the last days, by date and hour."""
+    return hourly.filter(F.col("date") >= days_back(params, days)).orderBy("date", "hour", "city")
 
 
 def recent_daily(daily: DataFrame, params: Params, days: int) -> DataFrame:
-    return daily.filter(F.col("date") >= days_back(params, days))
+    """Daily rows of the last days, the newest first."""
+    return daily.filter(F.col("date") >= days_back(params, days)).orderBy(F.col("date").desc(), "city")
 
 
 def recent_weather_impact(wi: DataFrame, n: int) -> DataFrame:
@@ -176,11 +179,17 @@ def recent_weather_impact(wi: DataFrame, n: int) -> DataFrame:
 
 
 def recent_trips(staged: DataFrame, n: int) -> DataFrame:
-    return top_n_per(staged, ["city"], [F.col("pickup_datetime").desc(), F.col("trip_id")], n)
+    """The n latest trips per city, for any n."""
+    order = [F.col("pickup_datetime").desc(), F.col("trip_id")]
+    if n > WINDOW_LIMIT_MAX:
+        return latest_n_per(staged, "city", "pickup_datetime", order, n)
+    return top_n_per(staged, ["city"], order, n)
 
 
-def run_history(runs: DataFrame, n: int) -> DataFrame:
-    return top_n_per(runs, ["city"], [F.col("started_at").desc(), F.col("run_id")], n)
+def run_history(runs: DataFrame, n: int, per_city: bool = True) -> DataFrame:
+    """The n latest runs per city, or of all cities together."""
+    order = [F.col("started_at").desc(), F.col("run_id")]
+    return top_n_per(runs, ["city"], order, n) if per_city else runs.orderBy(*order).limit(n)
 
 
 def dq_recent(dq_log: DataFrame, n: int) -> DataFrame:

@@ -169,8 +169,14 @@ def fill_neighborhood(ws):
     return ws.enriched.select("trip_id", "city", "pickup_neighborhood", "dropoff_neighborhood")
 
 
-@register("surrogate_id", lambda p: with_base(p, """
-SELECT city, count(*) AS n_rows, count(*) AS n_ids FROM raw_trips GROUP BY city"""))
+RECORD = ", ".join(c for c in A.TRIP_COLUMNS if c not in ("trip_id", "batch_id"))
+
+
+@register("surrogate_id", lambda p: with_base(p, f"""
+, content AS (SELECT {RECORD}, row_number() OVER (
+  PARTITION BY {RECORD}, batch_id) AS nth FROM raw_trips)
+SELECT city, n_rows, n_ids FROM (SELECT city, count(*) AS n_rows FROM content GROUP BY city)
+JOIN (SELECT city, count(*) AS n_ids FROM (SELECT DISTINCT * FROM content) GROUP BY city) USING (city)"""))
 def surrogate_id(ws):
     ided = CL.with_trip_id(ws.raw_trips.drop("trip_id"))
     return ided.groupBy("city").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("trip_id").alias("n_ids"))

@@ -14,7 +14,6 @@ from ..operators import marts as M
 from ..operators import merge as MG
 from ..operators import serve as SV
 from ..sources import feeds as FD
-from ..sources.adapters import N_BATCHES
 from .catalog import register
 from .oracle import R, TS, week_start, with_base
 
@@ -129,22 +128,10 @@ def fold_daily(ws):
 
 # -- weekly roll-up after every load, merged (M5) and the backfill (T6) -------
 
-def _prefix(df, n):
-    """Each load's rows repeated for every later run (run r holds loads <= r)."""
-    return df.withColumn("run", F.explode(F.sequence(F.col("batch_id"), F.lit(n - 1))))
-
-
-def weekly_runs(ws):
-    n = ws.n_batches
-    d = MG.fold(_prefix(_bd(ws), n), ["run", "city", "date"], {"total_trips": "+", "total_revenue": "+"})
-    h = MG.fold(_prefix(_bh(ws), n), ["run", "city", "date", "hour"], {"trip_count": "+"})
-    return M.weekly_trends(d, h, ws.params, ["run"])
-
-
 def weekly_runs_sql(p):
     ws = week_start(p)
     return f"""
-, runs_r AS (SELECT CAST(range AS INT) AS run FROM range({N_BATCHES})),
+, runs_r AS (SELECT DISTINCT batch_id AS run FROM raw_trips),
 daily_r AS (SELECT r.run, d.city, d.date, CAST(sum(d.total_trips) AS BIGINT) AS total_trips,
     CAST(sum(CAST(d.total_revenue AS DECIMAL(24,6))) AS DOUBLE) AS total_revenue
   FROM daily_b d JOIN runs_r r ON r.run >= d.batch_id GROUP BY r.run, d.city, d.date),
@@ -165,10 +152,10 @@ weekly_r AS (
 
 @register("fold_weekly", lambda p: batch_sql(p, weekly_runs_sql(p) + fold_sql("weekly_r", MG.WEEKLY_KEYS, MG.WEEKLY_RULES, "run")))
 def fold_weekly(ws):
-    return MG.fold(weekly_runs(ws), MG.WEEKLY_KEYS, MG.WEEKLY_RULES, order="run")
+    return M.weekly_after_loads(_bd(ws), _bh(ws), ws.params)
 
 
-@register("backfill_fold", lambda p: batch_sql(p, weekly_runs_sql(p) + f"SELECT * EXCLUDE (run) FROM weekly_r WHERE run = {N_BATCHES - 1}"))
+@register("backfill_fold", lambda p: batch_sql(p, weekly_runs_sql(p) + "SELECT * EXCLUDE (run) FROM weekly_r WHERE run = (SELECT max(run) FROM runs_r)"))
 def backfill_fold(ws):
     """Backfill: every chunk folded into the marts in one job, then the
     trailing-week roll-up over the folded marts."""

@@ -211,9 +211,6 @@ def weather_scatter(ws):
     return SV.weather_scatter(SV.recent_weather_impact(_wi(ws), ws.params.recent_weather_n))
 
 
-STAGED_COLS = None
-
-
 def _staged_cols():
     from ..operators.clean import KEEP_COLUMNS
     return KEEP_COLUMNS + ["batch_id"]
@@ -251,6 +248,7 @@ def top_neighborhoods(ws):
   UNION ALL SELECT city, 'raw_weather', count(*) FROM weather GROUP BY city
   UNION ALL SELECT city, 'stg_trips_loaded', count(*) FROM clean GROUP BY city
   UNION ALL SELECT city, 'stg_trips_inserted', count(*) FROM staged GROUP BY city
+  UNION ALL SELECT city, 'stg_weather_loaded', count(*) FROM staged_weather GROUP BY city
   UNION ALL SELECT city, 'agg_hourly_rows', count(*) FROM hourly GROUP BY city
   UNION ALL SELECT city, 'agg_nbhd_rows', count(*) FROM nbhd GROUP BY city
   UNION ALL SELECT city, 'agg_daily_rows', count(*) FROM daily GROUP BY city),
@@ -259,13 +257,15 @@ w AS (SELECT city,
   CAST(coalesce(sum(n) FILTER (WHERE m = 'raw_weather'), 0) AS BIGINT) AS raw_weather,
   CAST(coalesce(sum(n) FILTER (WHERE m = 'stg_trips_loaded'), 0) AS BIGINT) AS stg_trips_loaded,
   CAST(coalesce(sum(n) FILTER (WHERE m = 'stg_trips_inserted'), 0) AS BIGINT) AS stg_trips_inserted,
+  CAST(coalesce(sum(n) FILTER (WHERE m = 'stg_weather_loaded'), 0) AS BIGINT) AS stg_weather_loaded,
   CAST(coalesce(sum(n) FILTER (WHERE m = 'agg_hourly_rows'), 0) AS BIGINT) AS agg_hourly_rows,
   CAST(coalesce(sum(n) FILTER (WHERE m = 'agg_nbhd_rows'), 0) AS BIGINT) AS agg_nbhd_rows,
   CAST(coalesce(sum(n) FILTER (WHERE m = 'agg_daily_rows'), 0) AS BIGINT) AS agg_daily_rows
   FROM c GROUP BY city)
 SELECT *, raw_trips - stg_trips_loaded AS rows_rejected FROM w"""))
 def run_stats(ws):
-    return RU.run_stats(ws.raw_trips, ws.weather, ws.clean, ws.staged, ws.hourly, ws.neighborhood, ws.daily)
+    return RU.run_stats(ws.raw_trips, ws.weather, ws.clean, ws.staged, ws.hourly, ws.neighborhood, ws.daily,
+                        ws.staged_weather)
 
 
 @register("batch_stats", lambda p: with_base(p, """
@@ -281,7 +281,7 @@ def batch_stats(ws):
 st AS (SELECT city, count(*) AS total_trips, CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_revenue,
          coalesce({R6('avg(fare_amount)')}, 0.0E0) AS avg_fare FROM staged GROUP BY city),
 rl AS (SELECT city, max(finished_at) FILTER (WHERE status = 'success') AS last_run,
-         least(count(*), 10) AS history_rows FROM runs GROUP BY city)
+         count(*) AS history_rows FROM runs GROUP BY city)
 SELECT dc.*, st.total_trips, st.total_revenue, st.avg_fare, bh.busiest_hour, {TS('rl.last_run')} AS last_run,
   CAST(rl.history_rows AS BIGINT) AS history_rows
 FROM dc LEFT JOIN st ON st.city = dc.city LEFT JOIN bh ON bh.city = dc.city LEFT JOIN rl ON rl.city = dc.city"""))
@@ -289,7 +289,7 @@ def status_summary(ws):
     runs = RU.run_log(ws.raw_trips, ws.clean, ws.params)
     k = SV.kpis(ws.staged, runs, ws.hourly).select("city", "total_trips", "total_revenue", "avg_fare",
                                                    "busiest_hour", "last_run")
-    hist = SV.run_history(runs, 10).groupBy("city").agg(F.count(F.lit(1)).alias("history_rows"))
+    hist = runs.groupBy("city").agg(F.count(F.lit(1)).alias("history_rows"))
     return _data_counts(ws).join(k, "city", "left").join(hist, "city", "left")
 
 

@@ -27,7 +27,7 @@ def stream_clean(ws):
 @register("stream_dedupe", lambda p: with_base(p, "SELECT DISTINCT trip_id, city FROM clean WHERE dropoff_datetime IS NOT NULL"))
 def stream_dedupe(ws):
     path, schema = _landing(ws)
-    return L.stream_dedupe(ws.spark, path, schema, ws.dims, ws.params)
+    return L.stream_dedupe(ws.spark, path, schema, ws.dims, ws.params).select("trip_id", "city")
 
 
 @register("stream_hourly", lambda p: with_base(p, "SELECT * FROM hourly"))

@@ -98,10 +98,6 @@ class Workspace:
     def batch_cube(self) -> DataFrame:
         return M.trip_cube(self.clean, ["batch_id"])
 
-    @cached_property
-    def n_batches(self) -> int:
-        return A.N_BATCHES
-
     # -- staging -----------------------------------------------------------
     @cached_property
     def staged(self) -> DataFrame:

@@ -5,10 +5,10 @@ a set of new files in a landing folder and a streaming query picks them up
 (``trigger(availableNow=True)`` drains what has landed, then stops):
 
 * ``stream_clean``  - the batch cleaning plan applied to the stream; file sink.
-* ``stream_dedupe`` - insert-or-ignore across runs by ``trip_id`` with
-  ``dropDuplicatesWithinWatermark`` (state bounded by the watermark).
-* ``stream_hourly`` - hourly tumbling windows, complete mode, rewritten
-  through ``foreachBatch`` on every trigger.
+* ``stream_dedupe`` - insert-or-ignore across runs by ``trip_id`` against
+  the staged rows of earlier epochs, for trips of any age.
+* ``stream_hourly`` - hourly windows from the partial sums each micro-batch
+  adds through ``foreachBatch``; no state beside them.
 * ``stream_fold``   - runs merged into the mart by the column rules: each
   micro-batch writes its partial sums per load in ``foreachBatch``
   (idempotent per epoch), the mart folds the per-load roll-ups in load
@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import hour_of
 from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
@@ -68,75 +67,62 @@ def stream_clean(spark: SparkSession, landing: str, schema, dims: Dims, params:
 
 
 def stream_dedupe(spark: SparkSession, landing: str, schema, dims: Dims, params: Params,
-                  watermark: str = "100 days") -> DataFrame:
-    out, ck = scratch_path(spark, "stream-dedupe-out"), scratch_path(spark, "stream-dedupe-ck")
-    s = (clean_stream(_read_stream(spark, landing, schema), dims, params)
-         .filter(F.col("dropoff_datetime").isNotNull())
-         # watermarks need a zoned timestamp; the shift of a zone is far
-         # inside the watermark delay, so the zone does not matter here
-         .select("trip_id", "city", F.col("pickup_datetime").cast("timestamp").alias("event_time"))
-         .withWatermark("event_time", watermark)
-         .dropDuplicatesWithinWatermark(["trip_id"]))
-    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ck)
-         .outputMode("append").trigger(availableNow=True).start())
+                  state_dir: str | None = None) -> DataFrame:
+    """Staging rows of all loads, each trip id once, whatever its age.
+
+    A micro-batch is inserted-or-ignored against the rows of earlier epochs
+    and written under ``staged/epoch=<id>``, which a replay overwrites; so no
+    watermark is needed and no state is kept beside the table itself."""
+    base = state_dir or scratch_path(spark, "stream-dedupe")
+    out = f"{base}/staged"
+
+    def insert(batch: DataFrame, epoch: int):
+        target = None
+        if epoch:
+            target = batch.sparkSession.read.parquet(out).where(F.col("epoch") < epoch)
+        MG.stage_trips(batch, target).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+
+    q = (clean_stream(_read_stream(spark, landing, schema), dims, params)
+         .writeStream.option("checkpointLocation", f"{base}/_checkpoint")
+         .foreachBatch(insert).trigger(availableNow=True).start())
     _drain(q)
-    return spark.read.parquet(out).select("trip_id", "city")
-
-
-def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params: Params) -> DataFrame:
-    """Hourly tumbling-window sums in complete mode; the mart columns are
-    then derived from the sums exactly as the batch mart does."""
-    out, ck = scratch_path(spark, "stream-hourly-out"), scratch_path(spark, "stream-hourly-ck")
-    c = clean_stream(_read_stream(spark, landing, schema), dims, params)
-    sums = (c.groupBy(F.window("pickup_datetime", "1 hour").alias("w"), "city",
-                      F.col("pickup_weekday").alias("day_of_week"))
-             .agg(F.count("trip_id").alias("n"),
-                  F.sum("passenger_count").cast("bigint").alias("pax"),
-                  F.sum("fare_amount").alias("fare_s"), F.sum("trip_distance_miles").alias("dist_s"),
-                  F.sum("trip_duration_min").alias("dur_s"), F.sum("speed_mph").alias("speed_s"),
-                  F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("rev"),
-                  F.sum("tip_amount").alias("tip_s"),
-                  F.sum("is_surge_hour").cast("bigint").alias("surge"),
-                  F.sum("is_airport_trip").cast("bigint").alias("airport")))
-
-    def write(batch: DataFrame, epoch: int):
-        batch.write.mode("overwrite").parquet(out)
-
-    q = (sums.writeStream.outputMode("complete").option("checkpointLocation", ck)
-         .foreachBatch(write).trigger(availableNow=True).start())
+    return spark.read.parquet(out).drop("epoch")
+
+
+def _partial_cubes(spark: SparkSession, landing: str, schema, dims: Dims, params: Params, base: str) -> DataFrame:
+    """Drain the landing folder: each micro-batch adds its partial sums, keyed
+    by load id and the cube keys, under ``partials/epoch=<id>`` (overwritten
+    on replay, so a re-delivered epoch counts once).  Streaming state is the
+    list of files read; late rows of any age are added to their hour."""
+    def add(batch: DataFrame, epoch: int):
+        M.trip_cube(batch, ["batch_id"]).write.mode("overwrite").parquet(f"{base}/partials/epoch={epoch}")
+
+    q = (clean_stream(_read_stream(spark, landing, schema), dims, params)
+         .writeStream.option("checkpointLocation", f"{base}/_checkpoint")
+         .foreachBatch(add).trigger(availableNow=True).start())
     _drain(q)
-    s = spark.read.parquet(out)
-    cube_like = s.select(F.col("city"), F.col("w.start").cast("date").alias("day"),
-                         hour_of("w.start").alias("hour"), "day_of_week",
-                         F.lit("all").alias("neighborhood"), *M.SUMS)
-    return M.hourly_pulse(cube_like)
+    return spark.read.parquet(f"{base}/partials").drop("epoch")
+
+
+def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params: Params,
+                  state_dir: str | None = None) -> DataFrame:
+    """Hourly windows over all loads: the batch mart of the epochs' partial sums."""
+    base = state_dir or scratch_path(spark, "stream-hourly")
+    return M.hourly_pulse(_partial_cubes(spark, landing, schema, dims, params, base))
 
 
 def stream_fold(spark: SparkSession, landing: str, schema, dims: Dims, params: Params,
                 keys=MG.HOURLY_KEYS, rules=MG.HOURLY_RULES, state_dir: str | None = None) -> DataFrame:
-    """Runs merged into the hourly mart by the column rules.
-
-    Each micro-batch adds its partial sums, keyed by load id and the cube
-    keys, under ``partials/epoch=<id>`` (overwritten on replay, so a
-    re-delivered epoch counts once).  The mart is the rule fold over the
-    per-load roll-ups of all partials: a load split over several
+    """Runs merged into the hourly mart by the column rules: the rule fold
+    over the per-load roll-ups of all partials, so a load split over several
     micro-batches, or several loads in one, give the same mart.  Partials
     are pre-aggregated, so the fold reads far fewer rows than the stream.
     Pass the same ``state_dir`` again to resume: the checkpoint under it
     makes the restarted query read only files it has not seen.
     """
     base = state_dir or scratch_path(spark, "stream-fold")
-    ck = f"{base}/_checkpoint"
-    c = clean_stream(_read_stream(spark, landing, schema), dims, params)
-
-    def add_partials(batch: DataFrame, epoch: int):
-        M.trip_cube(batch, ["batch_id"]).write.mode("overwrite").parquet(f"{base}/partials/epoch={epoch}")
-
-    q = c.writeStream.option("checkpointLocation", ck).foreachBatch(add_partials).trigger(availableNow=True).start()
-    _drain(q)
-    partials = spark.read.parquet(f"{base}/partials").drop("epoch")
-    per_load = M.hourly_pulse(partials, ["batch_id"])
-    return MG.fold(per_load, keys, rules)
+    partials = _partial_cubes(spark, landing, schema, dims, params, base)
+    return MG.fold(M.hourly_pulse(partials, ["batch_id"]), keys, rules)
 
 
 def landing_for(spark: SparkSession, trips: DataFrame) -> str:

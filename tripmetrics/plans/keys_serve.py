@@ -84,7 +84,7 @@ def _nb_totals(ws):
 
 @register("neighborhood_totals", lambda p: with_base(p, NB_TOTALS + "SELECT * FROM nbt"))
 def neighborhood_totals(ws):
-    return _nb_totals(ws)
+    return _nb_totals(ws).orderBy("city", F.col("total_trips").desc(), "neighborhood")
 
 
 @register("top_hours", lambda p: with_base(p, HOUR_PROFILE.replace("{n}", str(p.top_hours_n)) + "SELECT * FROM top"))

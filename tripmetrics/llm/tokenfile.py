@@ -30,6 +30,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -45,6 +46,9 @@ REFRESH = 4                    # order 0 is rebuilt when a fourth more steps are
 BITS, BASE_BITS = 24, 22       # total of the mixture; total of order 0
 HASH_BITS = 18
 MEMO_WORDS = 1_000_000
+RUN_CHARS = 1 << 21            # characters tokenised together
+JOINED = 64                    # unseen matches in one text for the library
+SPACE_BYTE = "\u0120"          # how a byte-level vocabulary writes a space
 MAGIC, END_MAGIC = b"TMIDS1", b"TMIDSEND"
 #: A guess's confidence (0 to 15) after a miss (halved), then after a hit (one more).
 AFTER = np.array([s >> 1 for s in range(16)] + [min(s + 1, 15) for s in range(16)])
@@ -89,15 +93,24 @@ class Model:
         width += (self.p1 == x) * self.q1 + (self.p2 == x) * self.q2
         return low, width
 
-    def find(self, at: np.ndarray) -> np.ndarray:
-        """The ids whose intervals hold the positions ``at``."""
-        l1, w1 = self.interval(self.p1)
-        l2, w2 = self.interval(self.p2)
-        rest = at - (at >= l1 + w1) * self.q1 - (at >= l2 + w2) * self.q2
-        x = np.searchsorted(self.cum, (((rest + 1) << BASE_BITS) - 1) // self.q0, side="right") - 1
-        np.copyto(x, self.p1, where=(at >= l1) & (at < l1 + w1))
-        np.copyto(x, self.p2, where=(at >= l2) & (at < l2 + w2))
-        return x
+    def find(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids whose intervals hold the positions ``at``, and the intervals."""
+        (l1, w1), (l2, w2) = self.interval(self.p1), self.interval(self.p2)
+        hit2 = (at >= l2) & (at < l2 + w2)
+        miss = np.flatnonzero(~(hit2 | (at >= l1) & (at < l1 + w1)))
+        x, low, width = np.where(hit2, self.p2, self.p1), np.where(hit2, l2, l1), np.where(hit2, w2, w1)
+        # neither guess: order 0 decides; positions in order search faster
+        a, q0, q1, q2 = (v[miss] for v in (at, self.q0, self.q1, self.q2))
+        over = (a >= l1[miss]) * q1 + (a >= l2[miss]) * q2
+        rest = (((a - over + 1) << BASE_BITS) - 1) // q0
+        order = np.argsort(rest)
+        y = np.empty(len(miss), np.int64)
+        y[order] = np.searchsorted(self.cum, rest[order], side="right") - 1
+        x[miss] = y
+        start = (self.cum[y] * q0) >> BASE_BITS
+        width[miss] = ((self.cum[y + 1] * q0) >> BASE_BITS) - start
+        low[miss] = start + over
+        return x, low, width
 
     def learn(self, x: np.ndarray) -> None:
         ok1, ok2 = self.p1 == x, self.p2 == x
@@ -168,8 +181,7 @@ def decode_block(payload: bytes, n: int, lanes: int, vocabulary: int) -> np.ndar
     for k in range(steps):
         model.predict()
         unit = span >> np.uint64(BITS)
-        x = model.find(np.minimum(code // unit, last).astype(np.int64))
-        start, width = model.interval(x)
+        x, start, width = model.find(np.minimum(code // unit, last).astype(np.int64))
         code -= unit * start.astype(np.uint64)
         span = unit * width.astype(np.uint64)
         more = np.flatnonzero(span < np.uint64(1 << 32))
@@ -270,27 +282,90 @@ def read_file(f, size: int, vocabulary: int) -> Iterator[tuple[int | None, int,
 class Tokenizer:
     """The tokenizers library behind a bounded memo of split matches: its
     byte-level vocabulary cuts text by ``pattern`` before any merge, so the
-    ids of a text are those of its matches in order."""
+    ids of a text are those of its matches in order.
+
+    ``memo`` gives a match's row; its ids are ``pool[start[row]:][:size[row]]``.
+    Unseen matches of a space and letters go to the library many to a text:
+    the space cuts them apart again, and no other token starts with it.
+    """
 
     def __init__(self, path: str, pattern: str):
         from tokenizers import Tokenizer as Library
         self.library = Library.from_file(path)
         self.library.encode_special_tokens = True
         self.vocabulary = self.library.get_vocab_size()
-        self.splitter, self.memo = Splitter(pattern), {}
+        self.splitter = Splitter(pattern)
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
+        self.opens = np.zeros(self.vocabulary, bool)
+        self.opens[[i for t, i in self.library.get_vocab().items() if t[0] == SPACE_BYTE]] = True
+        self._clear()
+
+    def _clear(self) -> None:
+        self.memo, self.rows, self.used = {}, 0, 0
+        self.pool, self.start, self.size = np.empty(1 << 16, self.kind), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+
+    def _keep(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
+        self.memo.update(zip(words, range(self.rows, self.rows + len(words)), strict=True))
+        self.pool = _room(self.pool, self.used + len(ids))
+        self.start, self.size = (_room(a, self.rows + len(words)) for a in (self.start, self.size))
+        self.pool[self.used:self.used + len(ids)] = ids
+        self.start[self.rows:self.rows + len(words)] = self.used + np.cumsum(size) - size
+        self.size[self.rows:self.rows + len(words)] = size
+        self.rows += len(words)
+        self.used += len(ids)
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[str]) -> None:
+        plain = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        if plain:
+            ids = self._library(["".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)])
+            ids = np.fromiter(chain.from_iterable(ids), self.kind)
+            at = np.flatnonzero(self.opens[ids])
+            if len(at) == len(plain):
+                self._keep(plain, ids, np.diff(at, append=len(ids)))
+        other = [w for w in words if w not in self.memo]
+        if other:
+            ids = self._library(other)
+            self._keep(other, np.fromiter(chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64))
+
+    def __call__(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        """The ids of each text; texts are worked on in runs of bounded size."""
+        some, chars = [], 0
+        for t in texts:
+            some.append(t)
+            chars += len(t or "")
+            if chars >= RUN_CHARS:
+                yield from self._encode(some)
+                some, chars = [], 0
+        yield from self._encode(some)
+
+    def _encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+        if self.rows > MEMO_WORDS:
+            self._clear()
         cuts = [self.splitter.tree(t) if t else [] for t in texts]
-        if len(self.memo) > MEMO_WORDS:
-            self.memo.clear()
-        new = list(set().union(*cuts).difference(self.memo))
-        for i in range(0, len(new), 20_000):
-            some = new[i:i + 20_000]
-            for word, e in zip(some, self.library.encode_batch(some, add_special_tokens=False), strict=True):
-                self.memo[word] = np.array(e.ids, self.kind).tobytes()
-        get = self.memo.__getitem__
-        return [np.frombuffer(b"".join(map(get, c)), self.kind) for c in cuts]
+        flat = list(chain.from_iterable(cuts))
+        rows = np.fromiter(map(self.memo.get, flat, repeat(-1)), np.int64, len(flat))
+        new = np.flatnonzero(rows < 0).tolist()
+        if new:
+            self._learn(list(dict.fromkeys(flat[i] for i in new)))
+            rows[new] = [self.memo[flat[i]] for i in new]
+        size = self.size[rows]
+        end = np.cumsum(size)
+        ids = self.pool[np.repeat(self.start[rows] - end + size, size) + np.arange(size.sum())]
+        ends = np.concatenate([[0], end])[np.cumsum([len(c) for c in cuts])].tolist()
+        for a, b in zip([0, *ends], ends, strict=False):
+            yield ids[a:b]
+
+
+def _room(a: np.ndarray, n: int) -> np.ndarray:
+    """``a``, or a longer copy of it that holds ``n`` values."""
+    if n <= len(a):
+        return a
+    out = np.empty(max(n, 2 * len(a)), a.dtype)
+    out[:len(a)] = a
+    return out
 
 
 _TOKENIZERS: dict = {}

@@ -45,6 +45,7 @@ LEAST_STEPS = 64
 REFRESH = 4                    # order 0 is rebuilt when a fourth more steps are known
 BITS, BASE_BITS = 24, 22       # total of the mixture; total of order 0
 HASH_BITS = 18
+COARSE = 6                     # order 0 is searched from a table of every 64th position
 MEMO_WORDS = 1_000_000
 RUN_CHARS = 1 << 21            # characters tokenised together
 JOINED = 64                    # unseen matches in one text for the library
@@ -77,6 +78,7 @@ class Model:
             room = _BASE - self.v
             np.cumsum(1 + self.counts * room // max(1, self.seen), out=self.cum[1:])
             self.cum[-1] = _BASE
+            self.table = None
         self.key2 = ((self.prev2 * 0x9E3779B1 ^ self.prev * 0x85EBCA6B) >> 7) & ((1 << HASH_BITS) - 1)
         self.p1, self.p2 = self.guess1[self.prev], self.guess2[self.key2]
         self.s1, self.s2 = self.sure1[self.prev], self.sure2[self.key2]
@@ -86,38 +88,47 @@ class Model:
         self.q1 = (self.hit1 * share // self.tot)[self.row]
         self.q0 = _TOTAL - self.q1 - self.q2
 
+    def order0(self, x: np.ndarray, q0: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        low = (self.cum[x] * q0) >> BASE_BITS
+        return low, ((self.cum[x + 1] * q0) >> BASE_BITS) - low
+
     def interval(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        low = (self.cum[x] * self.q0) >> BASE_BITS
-        width = ((self.cum[x + 1] * self.q0) >> BASE_BITS) - low
+        low, width = self.order0(x, self.q0)
         low += (self.p1 < x) * self.q1 + (self.p2 < x) * self.q2
         width += (self.p1 == x) * self.q1 + (self.p2 == x) * self.q2
         return low, width
 
     def find(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The ids whose intervals hold the positions ``at``, and the intervals."""
-        (l1, w1), (l2, w2) = self.interval(self.p1), self.interval(self.p2)
+        if self.table is None:
+            self.table = np.repeat(np.arange(self.v), np.diff((self.cum + (1 << COARSE) - 1) >> COARSE))
+        (l1, w1), (l2, w2) = self.order0(self.p1, self.q0), self.order0(self.p2, self.q0)
+        l1 += (self.p2 < self.p1) * self.q2
+        l2 += (self.p1 < self.p2) * self.q1
+        same = self.p1 == self.p2
+        w1 += self.q1 + same * self.q2
+        w2 += self.q2 + same * self.q1
         hit2 = (at >= l2) & (at < l2 + w2)
         miss = np.flatnonzero(~(hit2 | (at >= l1) & (at < l1 + w1)))
         x, low, width = np.where(hit2, self.p2, self.p1), np.where(hit2, l2, l1), np.where(hit2, w2, w1)
-        # neither guess: order 0 decides; positions in order search faster
+        # neither guess: order 0 decides, mostly by the coarse table alone
         a, q0, q1, q2 = (v[miss] for v in (at, self.q0, self.q1, self.q2))
         over = (a >= l1[miss]) * q1 + (a >= l2[miss]) * q2
         rest = (((a - over + 1) << BASE_BITS) - 1) // q0
-        order = np.argsort(rest)
-        y = np.empty(len(miss), np.int64)
-        y[order] = np.searchsorted(self.cum, rest[order], side="right") - 1
-        x[miss] = y
-        start = (self.cum[y] * q0) >> BASE_BITS
-        width[miss] = ((self.cum[y + 1] * q0) >> BASE_BITS) - start
-        low[miss] = start + over
+        y = self.table[rest >> COARSE]
+        deep = np.flatnonzero(self.cum[y + 1] <= rest)
+        y[deep] = np.searchsorted(self.cum, rest[deep], side="right") - 1
+        start, width[miss] = self.order0(y, q0)
+        x[miss], low[miss] = y, start + over
         return x, low, width
 
     def learn(self, x: np.ndarray) -> None:
         ok1, ok2 = self.p1 == x, self.p2 == x
         n = len(x)
-        self.tot += np.bincount(self.row, minlength=256)
-        self.hit2 += np.bincount(self.row[ok2], minlength=256)
-        self.hit1 += np.bincount(self.row[ok1 & ~ok2], minlength=256)
+        hits = np.bincount(self.row + np.where(ok2, 256, ok1 * 512), minlength=768).reshape(3, 256)
+        self.tot += hits.sum(axis=0)
+        self.hit2 += hits[1]
+        self.hit1 += hits[2]
         for ok, guess, sure, key, s in ((ok1, self.guess1, self.sure1, self.prev, self.s1),
                                         (ok2, self.guess2, self.sure2, self.key2, self.s2)):
             sure[key] = AFTER[s + 16 * ok]

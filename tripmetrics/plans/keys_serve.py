@@ -203,12 +203,12 @@ def recent_weather_impact(ws):
     return SV.recent_weather_impact(_wi(ws), ws.params.recent_weather_n)
 
 
-@register("weather_scatter", lambda p: with_base(p, WI_SQL + RECENT_WI.replace("{n}", str(p.recent_weather_n)) + """
+@register("weather_scatter", lambda p: with_base(p, WI_SQL + """
 SELECT city, date, hour, temp_f, trip_count,
   CASE WHEN is_rain = 1 THEN 'rain' WHEN is_snow = 1 THEN 'snow' ELSE 'dry' END AS weather_class
-FROM rwi WHERE coalesce(temp_f <> 0, false) AND coalesce(trip_count <> 0, false)"""), JANUARY)
+FROM wi WHERE coalesce(temp_f <> 0, false) AND coalesce(trip_count <> 0, false)"""), JANUARY)
 def weather_scatter(ws):
-    return SV.weather_scatter(SV.recent_weather_impact(_wi(ws), ws.params.recent_weather_n))
+    return SV.weather_scatter(_wi(ws))
 
 
 def _staged_cols():

@@ -162,6 +162,25 @@ def test_decontam_finds_verbatim_items(spark, docs):
     assert want and want <= got
 
 
+def found_items(spark, pairs):
+    """(item, text around a copy) pairs: the rows by number of the pair."""
+    body = "Some words before this. {} And some words after that, which do not matter at all."
+    docs = spark.createDataFrame([(i, body.format(t)) for i, (_, t) in enumerate(pairs)], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(pairs)], "item_id long, text string")
+    return {r.doc_id: r for r in decontam.contaminated(docs, bench).collect() if r.doc_id == r.item_id}
+
+
+def test_decontam_finds_items_dense_in_values(spark):
+    dense = ["Evaluate 12 * 7 + 9 - 4 * 3 + 8", "What is 12 + 34 + 56 + 78?", "List 12, 15, 18, 21, 24 and find the mean of them",
+             "They met Anna, Berta, Clara, Doris, Emma, Frida, Gerda, Hanna, Irene"]
+    pairs = [(t, t) for t in dense] + [(dense[2], "List 11, 14, 19, 25, 29 and find the mean of them"), (dense[1], "What is 13 + 35 + 57 + 79?"),
+                                       (dense[3], "They met Udo, Vera, Wim, Xenia, Yan, Zeno, Tom, Sven, Rolf")]
+    got = found_items(spark, pairs)
+    assert all(got[i].contaminated and not got[i].changed for i in range(4))
+    assert got[4].contaminated and got[4].changed
+    assert not any(i in got and got[i].contaminated for i in (5, 6))  # nothing but values: only verbatim
+
+
 def test_decontam_odd_rows(odd, spark):
     assert decontam.contaminated(odd, spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
 

@@ -4,9 +4,9 @@ Tokens are runs of letters or digits and currency signs; numbers, units after
 a number and names (capitalised words within a sentence) become typed
 placeholders, every other word its lower-case form.  Windows of ``WINDOW``
 template tokens of all documents meet the benchmark's in a hash join; a
-window needs as many plain words as placeholders at least, so that lists of
-names do not meet.  Items shorter than a window use one window of their own
-length.
+window with more placeholders than plain words meets by its values alone
+(verbatim), so that lists of names do not meet but arithmetic does.  Items
+shorter than a window use one window of their own length.
 
 Slot consistency: the matched windows of a document and an item are taken by
 their alignment (document place minus item place).  The values behind the
@@ -15,7 +15,8 @@ same one in the document and no two values to one.  A match with another
 value somewhere is a re-parameterised copy.
 
 An item is found in a document if some consistent alignment matches
-``LEAST_WINDOWS`` of its windows, or, of a shorter item, all but one.
+``LEAST_WINDOWS`` of its windows, or, of a shorter item, all but one; of the
+windows that can meet with other values, as many or all but one are enough.
 
 Benchmark windows are broadcast only if their checked number is at most
 ``BROADCAST_WINDOWS``; otherwise both sides are shuffled by window.
@@ -53,6 +54,10 @@ SPLIT = f"[^\\p{{L}}\\p{{M}}{MARK}0-9%$€£¥]+"
 #: Of a marked token: its template form, and the value behind a placeholder.
 TYPE = f"if(startswith(t, '{MARK}'), left(t, 2), t)"
 VALUE = f"if(startswith(t, '{MARK}'), substr(t, 3), '')"
+#: The token without marks.
+PLAIN = f"if(startswith(t, '{MARK}'), substr(t, 3), t)"
+#: Forms of a token that a window's keys are made of.
+FORMS = (TYPE, PLAIN)
 
 
 def template(df: DataFrame, text: str) -> DataFrame:
@@ -68,21 +73,35 @@ def template(df: DataFrame, text: str) -> DataFrame:
     return df.select(*names, F.expr("if(_tok[0] = '' or _tok[size(_tok) - 1] = '', array_remove(_tok, ''), _tok)").alias("tok"))
 
 
+def light(tok: str, n: str) -> str:
+    """Whether ``n`` tokens hold as many plain words as placeholders at least."""
+    return f"2 * size(filter({tok}, t -> startswith(t, '{MARK}'))) <= {n}"
+
+
 def windows(df: DataFrame, n: int) -> DataFrame:
-    """Adds (pos, key) of every window of ``n`` tokens to ``df`` (with tok)."""
-    h = F.expr(f"if(exists(tok, t -> startswith(t, '{MARK}')), transform(tok, t -> xxhash64({TYPE})), transform(tok, t -> xxhash64(t)))")
-    names, last, width, df = list(df.columns), "_h1", 1, df.withColumn("_h1", h)
-    while width < n:  # by doubling: a window's key is the hash of its two halves' keys
-        by = min(width, n - width)
-        df = df.withColumn(f"_h{width + by}", F.expr(f"transform({last}, (x, i) -> xxhash64(x, get({last}, i + {by})))"))
-        last, width = f"_h{width + by}", width + by
+    """Adds (pos, key, form) of every window of ``n`` tokens to ``df`` (with
+    tok): a key of each form; equal ones of a window once, of the first form."""
+    names, marked, forms = list(df.columns), f"exists(tok, t -> startswith(t, '{MARK}'))", []
+    for f, form in enumerate(FORMS):
+        h = f"if(_marked, transform(tok, t -> xxhash64({form})), {'cast(array() as array<bigint>)' if f else 'transform(tok, t -> xxhash64(t))'})"
+        if not f:
+            df = df.withColumn("_marked", F.expr(marked))
+        df, last, width = df.withColumn(f"_h1_{f}", F.expr(h)), f"_h1_{f}", 1
+        while width < n:  # by doubling: a window's key is the hash of its two halves' keys
+            by = min(width, n - width)
+            df = df.withColumn(f"_h{width + by}_{f}", F.expr(f"transform({last}, (x, i) -> xxhash64(x, get({last}, i + {by})))"))
+            last, width = f"_h{width + by}_{f}", width + by
+        forms.append(last)
+    own = [forms[0]] + [f"transform({h}, (x, i) -> if({' or '.join(f'x = {g}[i]' for g in forms[:f])}, null, x))" for f, h in enumerate(forms) if f]
     # the outer form: from the inner one Spark infers a filter on the array's
     # size and computes the array a second time for it
-    return df.select(*names, F.size("tok").alias("n"), F.posexplode_outer(last).alias("pos", "key")).where(f"pos <= n - {n}").drop("n")
+    df = df.select(*names, F.size("tok").alias("n"), F.posexplode_outer(F.expr(f"concat({', '.join(own)})")).alias("at", "key"))
+    df = df.where(f"key is not null and at % n <= n - {n}")
+    return df.select(*names, F.expr("at % n").alias("pos"), "key", F.expr("int(at / n)").alias("form"))
 
 
 def matches(docs: DataFrame, bench: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str, window: int = WINDOW) -> DataFrame:
-    """(doc_id, item_id, pos, place, slots, item_slots) of every matched window."""
+    """(doc_id, item_id, pos, place, light, slots, item_slots) of every matched window."""
     items = bench.select(col(item_id).alias("item_id"), col(item_text).alias("t")).where("item_id is not null and t is not null").distinct()
     items = template(items, "t").where("size(tok) > 0")
     lengths = [r[0] for r in items.select(F.least(F.size("tok"), F.lit(window)).alias("n")).distinct().orderBy("n").collect()]
@@ -90,10 +109,11 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str, doc_text: str, item_
     docs, out = template(docs, "t"), None
     for n in lengths:
         own = windows(items.where(f"size(tok) >= {window}" if n == window else f"size(tok) = {n}"), n)
-        own = own.select("item_id", F.col("pos").alias("place"), "key", F.expr(f"transform(slice(tok, pos + 1, {n}), t -> {VALUE})").alias("item_slots"))
-        own = own.where(f"2 * size(filter(item_slots, v -> v <> '')) <= {n}")
+        own = own.withColumn("tok", F.expr(f"slice(tok, pos + 1, {n})")).withColumn("light", F.expr(light("tok", n)))
+        own = own.where(f"light or form = {len(FORMS) - 1} or not exists(tok, t -> startswith(t, '{MARK}'))")
+        own = own.select("item_id", F.col("pos").alias("place"), "key", "light", F.expr(f"transform(tok, t -> {VALUE})").alias("item_slots"))
         every = windows(docs, n)
-        slots = f"transform(slice(tok, pos + 1, {n}), t -> {VALUE})"
+        slots = f"transform(slice(tok, pos + 1, {n}), t -> {PLAIN})"
         if own.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
             own = F.broadcast(own)
         else:
@@ -101,10 +121,10 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str, doc_text: str, item_
         found = every.join(own, "key")
         if "slots" not in found.columns:
             found = found.withColumn("slots", F.expr(slots))
-        found = found.select("doc_id", "item_id", "pos", "place", "slots", "item_slots")
+        found = found.select("doc_id", "item_id", "pos", "place", "light", "slots", "item_slots")
         out = found if out is None else out.unionByName(found)
     if out is None:
-        out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, pos int, place int, slots array<string>, item_slots array<string>")
+        out = docs.sparkSession.createDataFrame([], "doc_id long, item_id long, pos int, place int, light boolean, slots array<string>, item_slots array<string>")
     return out
 
 
@@ -116,19 +136,22 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_
     found = materialize(matches(docs, bench, doc_id, doc_text, item_id, item_text, window).distinct(), "decontam-matches")
     key = ["doc_id", "item_id", "shift"]
     found = found.withColumn("shift", F.col("pos") - F.col("place"))
-    base = found.groupBy(*key).agg(F.count_distinct("place").alias("n_windows"), F.min("pos").alias("pos"))
-    slot = (found.where("array_join(slots, '') <> '' or array_join(item_slots, '') <> ''").select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
-            .select(*key, F.col("s.item_slots").alias("i"), F.col("s.slots").alias("d")).where("i <> '' or d <> ''").distinct())
+    base = found.groupBy(*key).agg(F.count_distinct("place").alias("n_windows"), F.count_distinct(F.when(F.col("light"), F.col("place"))).alias("n_light"),
+                                   F.min("pos").alias("pos"))
+    slot = (found.where("array_join(item_slots, '') <> ''").select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
+            .select(*key, F.col("s.item_slots").alias("i"), F.col("s.slots").alias("d")).where("i <> ''").distinct())
     slots = slot.groupBy(*key).agg(F.count(F.lit(1)).alias("n_slots"), F.count_distinct("i").alias("ni"), F.count_distinct("d").alias("nd"),
                                    F.max(F.col("i") != F.col("d")).alias("changed"))
     size = template(bench.select(col(item_id).alias("item_id"), col(item_text).alias("t")).where("item_id is not null and t is not null"), "t")
-    size = size.groupBy("item_id").agg(F.max(F.greatest(F.lit(1), F.size("tok") - (window - 1))).alias("item_windows"))
+    size = size.where("size(tok) > 0").withColumn("_n", F.greatest(F.lit(1), F.size("tok") - (window - 1)))
+    some = light(f"slice(tok, p, {window})", f"least({window}, size(tok))")
+    size = size.groupBy("item_id").agg(F.max("_n").alias("item_windows"), F.max(F.expr(f"size(filter(sequence(1, _n), p -> {some}))")).alias("item_light"))
     out = base.join(slots, key, "left").join(size, "item_id")
-    out = out.select("doc_id", "item_id", "shift", "pos", "n_windows", "item_windows", F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
+    out = out.select("doc_id", "item_id", "shift", "pos", "n_windows", "item_windows", "n_light", "item_light", F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
                      F.coalesce((F.col("n_slots") == F.col("ni")) & (F.col("ni") == F.col("nd")), F.lit(True)).alias("consistent"),
                      F.coalesce("changed", F.lit(False)).alias("changed"))
-    need = F.least(F.lit(least), F.greatest(F.lit(1), F.col("item_windows") - 1))
-    out = out.withColumn("contaminated", F.col("consistent") & (F.col("n_windows") >= need))
+    enough = [F.col(n) >= F.least(F.lit(least), F.greatest(F.lit(1), F.col(of) - 1)) for n, of in (("n_windows", "item_windows"), ("n_light", "item_light"))]
+    out = out.withColumn("contaminated", F.col("consistent") & (enough[0] | enough[1]))
     best = F.struct(F.col("contaminated"), F.col("n_windows"), -F.col("shift"), "pos", "item_windows", "n_slots", "consistent", "changed")
     out = out.groupBy("doc_id", "item_id").agg(F.max(best).alias("b"))
     return out.select("doc_id", "item_id", "b.pos", "b.n_windows", "b.item_windows", "b.n_slots", "b.consistent", "b.changed", "b.contaminated")

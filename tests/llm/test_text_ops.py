@@ -181,6 +181,13 @@ def test_decontam_finds_items_dense_in_values(spark):
     assert not any(i in got and got[i].contaminated for i in (5, 6))  # nothing but values: only verbatim
 
 
+def test_decontam_lets_two_values_become_one(spark):
+    item = "A shop sells pens for 3 dollars each and books for 5 dollars each, so how much does one of each cost in all"
+    got = found_items(spark, [(item, item.replace("3", "4").replace("5", "4")), (item.replace("5", "3"), item)])
+    assert got[0].contaminated and got[0].changed
+    assert not got[1].contaminated  # one value became two
+
+
 def test_decontam_odd_rows(odd, spark):
     assert decontam.contaminated(odd, spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
 

@@ -10,8 +10,8 @@ shorter than a window use one window of their own length.
 
 Slot consistency: the matched windows of a document and an item are taken by
 their alignment (document place minus item place).  The values behind the
-placeholders must map one to one: the same value of the item always to the
-same one in the document and no two values to one.  A match with another
+placeholders must be consistent: the same value of the item always maps to
+the same one in the document (two may map to one).  A match with another
 value somewhere is a re-parameterised copy.
 
 An item is found in a document if some consistent alignment matches
@@ -140,7 +140,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_
                                    F.min("pos").alias("pos"))
     slot = (found.where("array_join(item_slots, '') <> ''").select(*key, F.explode(F.arrays_zip("item_slots", "slots")).alias("s"))
             .select(*key, F.col("s.item_slots").alias("i"), F.col("s.slots").alias("d")).where("i <> ''").distinct())
-    slots = slot.groupBy(*key).agg(F.count(F.lit(1)).alias("n_slots"), F.count_distinct("i").alias("ni"), F.count_distinct("d").alias("nd"),
+    slots = slot.groupBy(*key).agg(F.count(F.lit(1)).alias("n_slots"), F.count_distinct("i").alias("ni"),
                                    F.max(F.col("i") != F.col("d")).alias("changed"))
     size = template(bench.select(col(item_id).alias("item_id"), col(item_text).alias("t")).where("item_id is not null and t is not null"), "t")
     size = size.where("size(tok) > 0").withColumn("_n", F.greatest(F.lit(1), F.size("tok") - (window - 1)))
@@ -148,7 +148,7 @@ def contaminated(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", doc_
     size = size.groupBy("item_id").agg(F.max("_n").alias("item_windows"), F.max(F.expr(f"size(filter(sequence(1, _n), p -> {some}))")).alias("item_light"))
     out = base.join(slots, key, "left").join(size, "item_id")
     out = out.select("doc_id", "item_id", "shift", "pos", "n_windows", "item_windows", "n_light", "item_light", F.coalesce("n_slots", F.lit(0)).alias("n_slots"),
-                     F.coalesce((F.col("n_slots") == F.col("ni")) & (F.col("ni") == F.col("nd")), F.lit(True)).alias("consistent"),
+                     F.coalesce(F.col("n_slots") == F.col("ni"), F.lit(True)).alias("consistent"),
                      F.coalesce("changed", F.lit(False)).alias("changed"))
     enough = [F.col(n) >= F.least(F.lit(least), F.greatest(F.lit(1), F.col(of) - 1)) for n, of in (("n_windows", "item_windows"), ("n_light", "item_light"))]
     out = out.withColumn("contaminated", F.col("consistent") & (enough[0] | enough[1]))

@@ -188,6 +188,16 @@ def test_decontam_lets_two_values_become_one(spark):
     assert not got[1].contaminated  # one value became two
 
 
+def test_decontam_finds_names_in_any_case(spark):
+    item = "Then Natalia sold clips to 48 of her friends in April, and then Natalia sold half as many clips in May"
+    short, price = "What is the capital of France?", "The new car costs about 1,200 euros more than the old one did last year"
+    got = found_items(spark, [(item, item.lower()), (item, item.upper()), (item, item.lower().replace("48", "52")), (short, f"Question: {short}"),
+                              (short, f"Quiz night\n{short}"), (price, price.replace("1,200", "900")), (price, price.replace("1,200", "1200")),
+                              (price, price.replace("1,200", "2.5"))])
+    assert all(got[i].contaminated for i in range(8))
+    assert [got[i].changed for i in range(8)] == [False, False, True, False, False, True, False, True]
+
+
 def test_decontam_odd_rows(odd, spark):
     assert decontam.contaminated(odd, spark.createDataFrame(ITEMS, "item_id long, text string")).count() == 0
 

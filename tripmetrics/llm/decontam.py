@@ -1,11 +1,14 @@
 """Benchmark decontamination by template canonicalisation; DataFrame functions only.
 
-Tokens are runs of letters or digits and currency signs; numbers, units after
+Tokens are runs of letters, numbers with their separators (commas between
+thousands are left out) and currency signs; numbers, units after
 a number and names (capitalised words within a sentence) become typed
 placeholders, every other word its lower-case form.  Windows of ``WINDOW``
-template tokens of all documents meet the benchmark's in a hash join; a
-window with more placeholders than plain words meets by its values alone
-(verbatim), so that lists of names do not meet but arithmetic does.  Items
+template tokens of all documents meet the benchmark's in a hash join, in three
+forms: with all placeholders, with names as plain words (whether a word looks
+like a name depends on case and on what stands before it), and plain.  A form
+with more placeholders than plain words is left out, so that lists of
+names do not meet by their template but arithmetic does verbatim.  Items
 shorter than a window use one window of their own length.
 
 Slot consistency: the matched windows of a document and an item are taken by
@@ -39,16 +42,20 @@ LEAST_WINDOWS = 4
 BROADCAST_WINDOWS = 200_000
 #: Stands before a kind (n, d, u) and the value it replaces; never in a token else.
 MARK = "\x01"
+#: Stands for a point or comma within a number.
+POINT = "\x02"
 #: A capitalised word that neither starts the text nor follows the end of a sentence.
 NAME = r"\p{Lu}(?<=[^.!?\s]\s{1,3}\p{Lu})\p{Ll}+(?!\p{L})"
-NUMBER = r"[0-9]+"
+NUMBER = f"[0-9]+(?:{POINT}[0-9]+)*"
+THOUSANDS = r",(?<=[0-9],)(?=[0-9]{3}(?![0-9]))"
+WITHIN = r"[.,](?<=[0-9][.,])(?=[0-9])"
 UNITS = ("mm", "cm", "m", "km", "in", "ft", "mi", "mg", "g", "kg", "lb", "oz", "ml", "l", "s", "sec", "min", "h", "hr", "hrs",
          "second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years",
          "meter", "meters", "metre", "metres", "kilometer", "kilometers", "mile", "miles", "inch", "inches", "foot", "feet",
          "gram", "grams", "kilogram", "kilograms", "pound", "pounds", "liter", "liters", "litre", "litres", "percent",
          "dollar", "dollars", "euro", "euros", "cent", "cents", "degree", "degrees", "mph", "kmh", "hz", "w", "kw", "v")
-UNIT = f"({MARK}d[0-9]+) *(%|(?:" + "|".join(UNITS) + r")(?![\p{L}]))"
-SPLIT = f"[^\\p{{L}}\\p{{M}}{MARK}0-9%$€£¥]+"
+UNIT = f"({MARK}d[0-9{POINT}]+) *(%|(?:" + "|".join(UNITS) + r")(?![\p{L}]))"
+SPLIT = f"[^\\p{{L}}\\p{{M}}{MARK}{POINT}0-9%$€£¥]+"
 
 
 #: Of a marked token: its template form, and the value behind a placeholder.
@@ -56,48 +63,50 @@ TYPE = f"if(startswith(t, '{MARK}'), left(t, 2), t)"
 VALUE = f"if(startswith(t, '{MARK}'), substr(t, 3), '')"
 #: The token without marks.
 PLAIN = f"if(startswith(t, '{MARK}'), substr(t, 3), t)"
-#: Forms of a token that a window's keys are made of.
-FORMS = (TYPE, PLAIN)
+#: Forms of a token that a window's keys are made of, and which tokens are placeholders in them.
+FORMS = ((TYPE, f"startswith(t, '{MARK}')"),
+         (f"if(startswith(t, '{MARK}n'), substr(t, 3), {TYPE})", f"startswith(t, '{MARK}') and not startswith(t, '{MARK}n')"), (PLAIN, "false"))
 
 
 def template(df: DataFrame, text: str) -> DataFrame:
-    """Replaces ``text`` by ``tok``: plain words, and values with the mark of
-    their kind.  Marks are set in the whole text, so a token costs no
+    """Replaces ``text`` by ``tok``, plain words and values with the mark of
+    their kind, and by whether any are names (``_names``) or others (``_values``).  Marks are set in the whole text, so a token costs no
     expression of its own."""
     names = [c for c in df.columns if c != text]
-    df = df.withColumn("_m", F.when(F.instr(col(text), MARK) > 0, F.translate(col(text), MARK, " ")).otherwise(col(text)))
+    df = df.withColumn("_m", F.when((F.instr(col(text), MARK) > 0) | (F.instr(col(text), POINT) > 0), F.translate(col(text), MARK + POINT, "  ")).otherwise(col(text)))
+    df = df.withColumn("_m", F.regexp_replace(F.regexp_replace("_m", THOUSANDS, ""), WITHIN, POINT))
     df = df.withColumn("_m", F.regexp_replace("_m", NAME, MARK + "n$0"))
     df = df.withColumn("_m", F.regexp_replace("_m", NUMBER, f" {MARK}d$0 "))
     df = df.withColumn("_m", F.regexp_replace(F.lower("_m"), UNIT, f"$1 {MARK}u$2 "))
     df = df.withColumn("_tok", F.split("_m", SPLIT))
-    return df.select(*names, F.expr("if(_tok[0] = '' or _tok[size(_tok) - 1] = '', array_remove(_tok, ''), _tok)").alias("tok"))
+    return df.select(*names, F.expr("if(_tok[0] = '' or _tok[size(_tok) - 1] = '', array_remove(_tok, ''), _tok)").alias("tok"),
+                     (F.instr("_m", MARK + "n") > 0).alias("_names"), (F.instr("_m", MARK + "d") > 0).alias("_values"))
 
 
-def light(tok: str, n: str) -> str:
+def light(tok: str, n: str, form: int = 0) -> str:
     """Whether ``n`` tokens hold as many plain words as placeholders at least."""
-    return f"2 * size(filter({tok}, t -> startswith(t, '{MARK}'))) <= {n}"
+    return f"2 * size(filter({tok}, t -> {FORMS[form][1]})) <= {n}"
 
 
 def windows(df: DataFrame, n: int) -> DataFrame:
     """Adds (pos, key, form) of every window of ``n`` tokens to ``df`` (with
-    tok): a key of each form; equal ones of a window once, of the first form."""
-    names, marked, forms = list(df.columns), f"exists(tok, t -> startswith(t, '{MARK}'))", []
-    for f, form in enumerate(FORMS):
-        h = f"if(_marked, transform(tok, t -> xxhash64({form})), {'cast(array() as array<bigint>)' if f else 'transform(tok, t -> xxhash64(t))'})"
-        if not f:
-            df = df.withColumn("_marked", F.expr(marked))
+    tok): a key of each form that the marks tell from the ones before it."""
+    names, forms = [c for c in df.columns if c not in ("_names", "_values")], []
+    for f, (form, _) in enumerate(FORMS):
+        whole = "transform(tok, t -> xxhash64(t))"
+        h = (f"if(_names or _values, transform(tok, t -> xxhash64({form})), {whole})" if f == 0 else
+             f"if({('_names', '_values')[f - 1]}, transform(tok, t -> xxhash64({form})), cast(array() as array<bigint>))")
         df, last, width = df.withColumn(f"_h1_{f}", F.expr(h)), f"_h1_{f}", 1
         while width < n:  # by doubling: a window's key is the hash of its two halves' keys
             by = min(width, n - width)
             df = df.withColumn(f"_h{width + by}_{f}", F.expr(f"transform({last}, (x, i) -> xxhash64(x, get({last}, i + {by})))"))
             last, width = f"_h{width + by}_{f}", width + by
         forms.append(last)
-    own = [forms[0]] + [f"transform({h}, (x, i) -> if({' or '.join(f'x = {g}[i]' for g in forms[:f])}, null, x))" for f, h in enumerate(forms) if f]
     # the outer form: from the inner one Spark infers a filter on the array's
     # size and computes the array a second time for it
-    df = df.select(*names, F.size("tok").alias("n"), F.posexplode_outer(F.expr(f"concat({', '.join(own)})")).alias("at", "key"))
-    df = df.where(f"key is not null and at % n <= n - {n}")
-    return df.select(*names, F.expr("at % n").alias("pos"), "key", F.expr("int(at / n)").alias("form"))
+    df = df.select(*names, "_names", F.size("tok").alias("n"), F.posexplode_outer(F.concat(*forms)).alias("at", "key"))
+    df = df.where(f"at % n <= n - {n}")
+    return df.select(*names, F.expr("at % n").alias("pos"), "key", F.expr("int(at / n) + if(at >= n and not _names, 1, 0)").alias("form"))
 
 
 def matches(docs: DataFrame, bench: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str, window: int = WINDOW) -> DataFrame:
@@ -110,8 +119,8 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str, doc_text: str, item_
     for n in lengths:
         own = windows(items.where(f"size(tok) >= {window}" if n == window else f"size(tok) = {n}"), n)
         own = own.withColumn("tok", F.expr(f"slice(tok, pos + 1, {n})")).withColumn("light", F.expr(light("tok", n)))
-        own = own.where(f"light or form = {len(FORMS) - 1} or not exists(tok, t -> startswith(t, '{MARK}'))")
-        own = own.select("item_id", F.col("pos").alias("place"), "key", "light", F.expr(f"transform(tok, t -> {VALUE})").alias("item_slots"))
+        own = own.where(" or ".join(f"(form = {f} and {light('tok', n, f)})" for f in range(len(FORMS))))
+        own = own.select("item_id", F.col("pos").alias("place"), "key", "light", F.expr(f"transform(tok, t -> {VALUE})").alias("item_slots")).distinct()
         every = windows(docs, n)
         slots = f"transform(slice(tok, pos + 1, {n}), t -> {PLAIN})"
         if own.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:

@@ -110,6 +110,27 @@ def test_embeddings_recall_at_the_threshold(spark):
     assert hits >= 0.95 * 1500
 
 
+def test_embeddings_scaled_copies_and_a_second_dimension(spark):
+    rng, rows, pairs = np.random.default_rng(6), [], []
+    for dim, n, mean in ((64, 1000, 1.0), (32, 600, 0.0)):
+        a = rng.standard_normal((n, dim)) + mean
+        near = a + 0.1 * rng.standard_normal((n, dim)) * np.linalg.norm(a, axis=1, keepdims=True) / dim ** 0.5
+        near *= rng.uniform(0.3, 3, (n, 1))
+        at = len(rows)
+        rows += [(at + i, v.tolist()) for i, v in enumerate(np.concatenate([a, near]))]
+        pairs.append([(at + i, at + n + i) for i in range(n)])
+    got = {r.vec_id: r for r in itq.link(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
+    for p in pairs:
+        assert sum(got[i].n_links >= 1 and got[i].component_id == got[j].component_id for i, j in p) >= 0.98 * len(p)
+
+
+def test_embeddings_plan_keeps_its_miss_bound():
+    for rows in (10**4, 10**6, 10**8, 10**9):
+        for bits in (32, 64):
+            width, rotations = itq.plan(rows, bits)
+            assert (1 - (1 - np.arccos(0.95) / np.pi) ** width) ** (rotations * (bits // width)) <= 0.01
+
+
 def test_embeddings_odd_rows(spark):
     v = [1.0] + [0.0] * 7
     rows = [(1, v), (2, v), (2, v), (3, None), (4, [0.0] * 8), (5, [None] + v[1:]), (6, [float("nan")] + v[1:]), (None, v), (7, [1.0, 2.0]), (8, []),

@@ -1,17 +1,19 @@
 """Embedding near-duplicates: iterative quantisation, multi-index Hamming
 tables, exact rerank.
 
-Fit (on about ``FIT_ROWS`` rows chosen by a hash of the id, the documented
-bound): principal axes, then for each of several random starts the rotation
+Vectors are scaled to length one, and each dimension is a table of its own.
+Fit (on about ``FIT_ROWS`` rows of a dimension chosen by a hash of the id, the documented
+bound): mean and principal axes, then for each of several random starts the rotation
 that brings the sample closest to the corners of the cube, by alternating
 sign codes and an orthogonal Procrustes step.  Every row gets one balanced
 binary code of up to 64 bits per rotation.
 
 Index: each code is cut into substrings of about log2(rows) bits; a substring
-with its place is a table's bucket.  A pair of cosine 0.95 differs in a bit
-with probability of at most about arccos(0.95)/pi; the number of tables is the
-least with which such a pair misses all of them with probability of 0.01 or
-less.  All rows are indexed.
+with its place is a table's bucket.  A pair of cosine 0.95 at the sample's mean
+distance from its centre has a cosine c around the centre and differs in a bit
+with probability of about arccos(c)/pi; the number of tables, which has no
+upper limit, is the least with which such a pair misses all of them with
+probability of 0.01 or less.  All rows are indexed.
 
 Rerank: members of a bucket are compared (in blocks, see ``blocks``) with their
 original vectors in double precision.  A pair counts in the first table it
@@ -20,8 +22,8 @@ id of its local cluster, so what leaves it is linear in the bucket however
 many pairs link.
 
 Edge cases: vectors that are null, zero, or hold null or non-finite components
-link with nothing, nor do rows with a null id; vectors of other lengths than
-the most frequent one link with nothing; equal vectors are one class with a
+link with nothing, nor do rows with a null id; vectors link with those of their
+own dimension; equal vectors are one class with a
 size and count as links of each other; a repeated row is a further copy; an
 empty table gives an empty one; further columns are ignored.
 """
@@ -40,11 +42,11 @@ from .common import col, components, materialize, prepare
 from .langid import sample_below
 
 THRESHOLD = 0.95
-FIT_ROWS, ITERATIONS, MISS, MAX_ROTATIONS = 6_000, 25, 0.01, 32
+FIT_ROWS, ITERATIONS, MISS = 6_000, 25, 0.01
 
 
 class Codes:
-    """Mean, axes and rotations; ``codes(x)`` gives (rows, rotations) uint64."""
+    """Mean, axes and rotations of unit vectors; ``codes(x)`` gives (rows, rotations) uint64."""
 
     def __init__(self, x: np.ndarray, rotations: int):
         rng = np.random.default_rng(7)
@@ -68,12 +70,14 @@ class Codes:
         return np.stack([np.where(v @ r >= 0, weight, np.uint64(0)).sum(axis=1, dtype=np.uint64) for r in self.turns], axis=1)
 
 
-def plan(rows: int, bits: int, threshold: float = THRESHOLD, miss: float = MISS) -> tuple[int, int]:
-    """(substring bits, rotations) for a table of this size."""
+def plan(rows: int, bits: int, threshold: float = THRESHOLD, miss: float = MISS, spread: float = 1.0) -> tuple[int, int]:
+    """(substring bits, rotations) for a table of this size; ``spread`` is the
+    mean square distance of unit vectors from their mean."""
     width = max(1, min(bits, max(8, round(math.log2(max(2, rows))) - 1)))
+    threshold = max(0.0, 1 - (1 - threshold) / max(spread, 1e-9))
     same = (1 - math.acos(threshold) / math.pi) ** width
     tables = math.ceil(math.log(miss) / math.log(1 - same))
-    return width, min(MAX_ROTATIONS, max(1, math.ceil(tables / (bits // width))))
+    return width, max(1, math.ceil(tables / (bits // width)))
 
 
 def _unit(v: np.ndarray) -> np.ndarray:
@@ -116,7 +120,7 @@ def compare_buckets(classes: DataFrame, coder: Codes, width: int, dim: int, thre
     def encode(batches):
         for b in batches:
             if b.num_rows:
-                c = shared.value.codes(fixed_binary(b.column(2), "<f4", dim).astype(np.float64))
+                c = shared.value.codes(_unit(fixed_binary(b.column(2), "<f4", dim).astype(np.float64)))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r.tobytes() for r in c], pa.binary())], names=["id", "n", "vec", "codes"])
 
     coded = materialize(classes.select("id", "n", "vec").mapInArrow(encode, "id long, n long, vec binary, codes binary"), "itq-codes")
@@ -164,17 +168,20 @@ def link(df: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", thres
     prepare(df.sparkSession)
     rows = read_vectors(df, vec_id, vector)
     usable = rows.where("key is not null")
-    top = usable.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "dim").first()
-    if top is None:
-        return rows.select(F.col("id").alias("vec_id"), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    dim = top.dim
-    classes = materialize(usable.where(F.col("dim") == dim).groupBy("key")
-                          .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.any_value("vec").alias("vec")), "itq-classes")
-    width, rotations = plan(top.n, min(64, dim), threshold)
-    sample = sample_below(classes.select("id", "vec"), F.col("id"), FIT_ROWS).toArrow()
-    order = np.argsort(sample.column(0).to_numpy())
-    coder = Codes(fixed_binary(sample.column(1), "<f4", dim).astype(np.float64)[order], rotations)
-    found = materialize(compare_buckets(classes, coder, width, dim, threshold), "itq-links")
+    classes = materialize(usable.groupBy("key").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.any_value("vec").alias("vec"),
+                                                    F.any_value("dim").alias("dim")), "itq-classes")
+    found = None
+    for dim, n in classes.groupBy("dim").agg(F.sum("n"), F.count(F.lit(1)).alias("m")).where("m > 1").orderBy("dim").drop("m").collect():
+        own = classes.where(F.col("dim") == dim)
+        sample = sample_below(own.select("id", "vec"), F.col("id"), FIT_ROWS).toArrow()
+        order = np.argsort(sample.column(0).to_numpy())
+        unit = _unit(fixed_binary(sample.column(1), "<f4", dim).astype(np.float64)[order])
+        spread = float(((unit - unit.mean(axis=0)) ** 2).sum(axis=1).mean()) if len(unit) else 1.0
+        width, rotations = plan(n, min(64, dim), threshold, spread=spread)
+        part = materialize(compare_buckets(own, Codes(unit, rotations), width, dim, threshold), "itq-links")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = df.sparkSession.createDataFrame([], "id long, n_links long, root long")
     roots = components(found.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")).distinct(), "itq-components")
     linked = found.groupBy("id").agg(F.sum("n_links").alias("m"))
     of = (classes.select("key", "id", "n").join(linked, "id", "left").join(roots, "id", "left")

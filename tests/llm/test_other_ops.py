@@ -76,6 +76,17 @@ def test_url_rules(spark):
     assert urlfilter.judge(pages.limit(0)).count() == 0
 
 
+def test_url_words_and_weights_of_all_tokens(spark):
+    words = "qu" + "abcdefghij" * 3
+    pages = [(0, "http://zorpblim.org/casino", "zorp blim"), (1, f"http://{words}zorp.org/", words), (2, "http://casino.org/rareone", ""),
+             (3, "http://other.org/rareone", ""), (4, "http://other.org/", "")]
+    pages += [(10 + i, f"http://site{'abcdefghij'[i % 10]}.org/page", "zorpb lim and") for i in range(40)]
+    got = {r.page_id: r for r in urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(pages) and got[0].tokens == ["h:zorpb", "h:lim", "h:org", "p:casino"]
+    assert got[1].tokens[:2] == ["h:" + words, "h:zorp"]  # words seen once, and of over 24 letters
+    assert got[3].score > got[4].score  # "rareone" occurs with a blocked host
+
+
 def test_url_segmentation_and_verdicts(spark):
     s = urlfilter.Segmenter({"cheap": 50, "pills": 50, "now": 30, "che": 1, "a": 5})
     assert s.words("cheappillsnow") == ["cheap", "pills", "now"] and "".join(s.words("zzqcheap" * 50)) == "zzqcheap" * 50

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontam, gam, itq, jaccard, langid, linededup, tokenfile, urlfilter, warc
+from . import bpe, decontam, gam, itq, jaccard, langid, linededup, packing, tokenfile, trie, urlfilter, warc, whitening
 from .oracle import ORACLE_SQL  # noqa: F401
 
 
@@ -86,5 +86,20 @@ def op10_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), public("word_bpe_49k.json")[0])
+    return pieces.select("doc_id", "start", "length", F.crc32("token_ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "loss_tokens")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_zfast_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rebuilt = trie.rebuild(table(spark, sf_dir, "conversations"))
+    return trie.prefix_trie(rebuilt)
+
+
 QUERIES = {f.__name__: f for f in (op1_warc_index, op2_url_words, op3_template_decontam, op4_jaccard_join, op5_language_bayes,
-                                   op6_line_chunks, op7_itq_near_dup, op8_quality_gam, op9_token_files, op10_tree_bpe)}
+                                   op6_line_chunks, op7_itq_near_dup, op8_quality_gam, op9_token_files, op10_tree_bpe,
+                                   op11_vector_packing, op12_whitening, op13_zfast_trie)}

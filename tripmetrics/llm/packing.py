@@ -30,7 +30,7 @@ an empty one; further columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain, repeat
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -38,12 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, prepare
+from .tokenfile import Tokenizer
 
 CELL_EXAMPLES, CELL_IDS = 1024, 1 << 21
-MEMO_WORDS = 500_000
-RUN_CHARS = 1 << 21            # characters tokenised together
 JOINED = 64                    # unseen words in one text for the library
-WORD_END = "</w>"
+WORD_END, MARKS = "</w>", (".", ",", ";", ":", "!", "?")
 PIECES = "doc_id long, start long, length long, token_ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long"
 
 
@@ -116,57 +115,56 @@ def pack(n: np.ndarray, loss: np.ndarray, limits: Limits, cut: bool = True) -> I
         sequence += 1
 
 
-class WordTokenizer:
-    """The tokenizers library behind a bounded memo of words: its vocabulary
-    drops white space, so a text's ids are those of its words in order.  Unseen
-    words of letters go to the library many to a text, and the tokens that end
-    a word cut them apart again."""
+class WordTokenizer(Tokenizer):
+    """The tokenizers library behind the bounded memo: its vocabulary drops
+    white space, so a text's ids are those of its words in order.  Unseen words
+    of letters go to the library many to a text, and the tokens that end a word
+    cut them apart again; of a word and one mark behind it, the library cuts
+    off the mark itself."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-        self.library = Tokenizer.from_file(path)
+        from tokenizers import Tokenizer as Library
+        self.library = Library.from_file(path)
         self.library.encode_special_tokens = True
-        vocabulary = self.library.get_vocab()
-        self.ends = np.zeros(self.library.get_vocab_size(), bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
-        self.memo: dict[str, np.ndarray] = {"": np.empty(0, np.uint32)}
+        self.vocabulary = self.library.get_vocab_size()
+        self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
+        self.ends = np.zeros(self.vocabulary, bool)
+        self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(WORD_END)]] = True
+        self.splitter = self
+        self._clear()
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def tree(self, text: str) -> list[str]:
+        return text.replace("\n", " ").split(" ")
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w.isalpha()]
-        if plain:
-            ids = self._library([" ".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)])
-            ids = np.fromiter(chain.from_iterable(ids), np.uint32)
-            at = np.flatnonzero(self.ends[ids]) + 1
-            if len(at) == len(plain):
-                self.memo.update(zip(plain, np.split(ids, at[:-1]), strict=True))
-        other = [w for w in words if w not in self.memo]
-        for w, ids in zip(other, self._library(other), strict=True):
-            self.memo[w] = np.array(ids, np.uint32)
-
-    def __call__(self, texts: list[str | None], end_id: int) -> Iterator[np.ndarray]:
-        """The ids of each text and the end id; texts are worked on in runs of bounded size."""
-        some, chars = [], 0
-        for t in chain(texts, [None]):
-            if chars >= RUN_CHARS:
-                yield from self._encode(some, end_id)
-                some, chars = [], 0
-            some.append(t)
-            chars += len(t or "")
-        yield from self._encode(some[:-1], end_id)
-
-    def _encode(self, texts: list[str | None], end_id: int) -> Iterator[np.ndarray]:
-        if len(self.memo) > MEMO_WORDS:
-            self.memo = {"": self.memo[""]}
-        cuts = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        new = {w for c in cuts for w in c if w not in self.memo}
-        if new:
-            self._learn(sorted(new))
-        end = np.array([end_id], np.uint32)
-        for c in cuts:
-            yield np.concatenate([*map(self.memo.__getitem__, c), end])
+        marked = [w for w in words if w[-1:] in MARKS and w[:-1].isalpha()]
+        plain = list(dict.fromkeys(w for w in chain((w for w in words if w.isalpha()), (w[:-1] for w in marked)) if w not in self.memo))
+        self._joined(plain)
+        marked = [w for w in marked if w[:-1] in self.memo]
+        self._alone([m for m in MARKS if m not in self.memo] if marked else [])
+        rows = np.array([self.memo[part] for w in marked for part in (w[:-1], w[-1])], np.int64)
+        size = self.size[rows]
+        end = np.cumsum(size)
+        self._keep(marked, self.pool[np.repeat(self.start[rows] - end + size, size) + np.arange(size.sum())], size.reshape(-1, 2).sum(axis=1))
+        self._alone([w for w in words if w not in self.memo])
+
+    def _alone(self, words: list[str]) -> None:
+        ids = self._library(words)
+        self._keep(words, np.fromiter(chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64, len(ids)))
+
+    def _joined(self, words: list[str]) -> None:
+        """Learns the words of each joined text in which every word has its one end."""
+        runs = [words[i:i + JOINED] for i in range(0, len(words), JOINED)]
+        ids = self._library([" ".join(r) for r in runs])
+        right, kept = [], []
+        for r, x in zip(runs, ids, strict=True):
+            x = np.array(x, self.kind)
+            at = np.flatnonzero(self.ends[x]) + 1
+            if len(at) == len(r):
+                right += r
+                kept.append((x, np.diff(at, prepend=0)))
+        if right:
+            self._keep(right, *map(np.concatenate, zip(*kept, strict=True)))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -226,10 +224,11 @@ def pack_documents(df: DataFrame, tokenizer_path: str, limits: Limits = Limits()
     length, token_ids (little-endian unsigned 32-bit integers), doc_tokens,
     loss_tokens, sequence_id, offset."""
     prepare(df.sparkSession)
+    end = np.uint32(end_id)
 
     def examples(batch):
-        for d, ids in zip(batch.column(0).to_pylist(), _tokenizer(tokenizer_path)(batch.column(1).to_pylist(), end_id), strict=True):
-            yield d, ids, len(ids) - 1
+        for d, ids in zip(batch.column(0).to_pylist(), _tokenizer(tokenizer_path)(batch.column(1).to_pylist()), strict=True):
+            yield d, np.append(ids, end), len(ids)
 
     return _packed(df.select(col(doc_id).cast("long").alias("d"), col(text).alias("t")), examples, limits, cut)
 

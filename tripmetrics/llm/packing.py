@@ -34,13 +34,15 @@ from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import col, prepare
-from .tokenfile import Tokenizer
+from .tokenfile import MEMO_WORDS, Tokenizer
 
 CELL_EXAMPLES, CELL_IDS = 1024, 1 << 21
+RUN_BYTES = 1 << 23            # of text tokenised together
 JOINED = 64                    # unseen words in one text for the library
 WORD_END, MARKS = "</w>", (".", ",", ";", ":", "!", "?")
 PIECES = "doc_id long, start long, length long, token_ids binary, doc_tokens long, loss_tokens long, sequence_id long, offset long"
@@ -130,11 +132,31 @@ class WordTokenizer(Tokenizer):
         self.kind = np.dtype("<u2" if self.vocabulary <= 1 << 16 else "<u4")
         self.ends = np.zeros(self.vocabulary, bool)
         self.ends[[i for t, i in self.library.get_vocab().items() if t.endswith(WORD_END)]] = True
-        self.splitter = self
         self._clear()
 
-    def tree(self, text: str) -> list[str]:
-        return text.replace("\n", " ").split(" ")
+    def __call__(self, texts) -> Iterator[np.ndarray]:
+        """The ids of each text of an Arrow array, worked on in runs of bounded
+        size; a run's words are told apart in Arrow, so that each distinct one
+        is looked up once."""
+        size = np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64)
+        run = (np.cumsum(size) - size) // RUN_BYTES
+        for a, b in zip(*(np.flatnonzero(x) for x in (np.diff(run, prepend=-1), np.diff(run, append=-1))), strict=True):
+            yield from self._run(texts.slice(a, b - a + 1))
+
+    def _run(self, texts) -> Iterator[np.ndarray]:
+        if self.rows > MEMO_WORDS:
+            self._clear()
+        cuts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        coded = cuts.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        self._learn([w for w in words if w not in self.memo])
+        rows = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
+        size = self.size[rows]
+        end = np.cumsum(size)
+        ids = self.pool[np.repeat(self.start[rows] - end + size, size) + np.arange(size.sum())]
+        ends = np.concatenate([[0], end])[np.cumsum(np.asarray(cuts.value_lengths()))].tolist()
+        for a, b in zip([0, *ends], ends, strict=False):
+            yield ids[a:b]
 
     def _learn(self, words: list[str]) -> None:
         marked = [w for w in words if w[-1:] in MARKS and w[:-1].isalpha()]
@@ -227,7 +249,7 @@ def pack_documents(df: DataFrame, tokenizer_path: str, limits: Limits = Limits()
     end = np.uint32(end_id)
 
     def examples(batch):
-        for d, ids in zip(batch.column(0).to_pylist(), _tokenizer(tokenizer_path)(batch.column(1).to_pylist()), strict=True):
+        for d, ids in zip(batch.column(0).to_pylist(), _tokenizer(tokenizer_path)(batch.column(1)), strict=True):
             yield d, np.append(ids, end), len(ids)
 
     return _packed(df.select(col(doc_id).cast("long").alias("d"), col(text).alias("t")), examples, limits, cut)

@@ -200,14 +200,23 @@ def weather_join(hourly: DataFrame, weather: DataFrame, params: Params) -> DataF
     return p.join(w, ["city", "date", "hour"], "left")
 
 
+def latest_readings(weather: DataFrame) -> DataFrame:
+    """(city, date, hour, reading): the reading with the greatest recorded_at,
+    then id, so that loads merge by taking the greater one."""
+    reading = F.struct("recorded_at", "weather_id", *WEATHER_FIELDS)
+    return weather_keys(weather).groupBy("city", "date", "hour").agg(F.max(reading).alias("reading"))
+
+
+def impact(hourly: DataFrame, readings: DataFrame) -> DataFrame:
+    """Hourly pulse with the hour's latest reading, if there is one: 1:1."""
+    return hourly.select("city", "date", "hour", "trip_count", "avg_fare").join(
+        readings.select("city", "date", "hour", *WEATHER_FIELDS), ["city", "date", "hour"], "left")
+
+
 def weather_impact(hourly: DataFrame, weather: DataFrame, params: Params) -> DataFrame:
     """Weather-impact mart: like ``weather_join`` but one row per (city, date,
     hour) - the latest reading wins (greatest recorded_at, then id).  The
     readings are reduced per hour before the join, so the join is 1:1."""
     ws = week_start(params)
-    p = hourly.filter(F.col("date") >= ws).select("city", "date", "hour", "trip_count", "avg_fare")
-    latest = (weather_keys(weather).filter(F.col("date") >= ws)
-              .groupBy("city", "date", "hour")
-              .agg(F.max_by(F.struct(*WEATHER_FIELDS), F.struct("recorded_at", "weather_id")).alias("w")))
-    return p.join(latest, ["city", "date", "hour"], "left").select(
-        "city", "date", "hour", "trip_count", "avg_fare", *[F.col(f"w.{c}").alias(c) for c in WEATHER_FIELDS])
+    latest = latest_readings(weather).filter(F.col("date") >= ws).select("city", "date", "hour", "reading.*")
+    return impact(hourly.filter(F.col("date") >= ws), latest)

@@ -69,9 +69,9 @@ def insert_or_ignore(batch: DataFrame, key: str, not_null: list[str], order: lis
                      target: DataFrame | None = None) -> DataFrame:
     """Rows of ``batch`` a keyed insert-or-ignore would add to ``target``.
 
-    The load's keys are semi-joined to the key column of a stored table, and
-    the load is then anti-joined with the keys that already exist; Spark
-    chooses broadcast or shuffle for both joins by the sizes in bytes.
+    The key column of a stored table streams past a hash table of the load's
+    keys (a table bucketed by the key is neither shuffled nor sorted for it),
+    and the load is then anti-joined with the keys that already exist.
     """
     ok = batch
     for c in not_null:
@@ -79,7 +79,7 @@ def insert_or_ignore(batch: DataFrame, key: str, not_null: list[str], order: lis
     first = first_per_key(ok, key, order)
     if target is not None:
         # keys straight from the load: the first-wins aggregate runs once
-        existing = target.select(key).join(ok.select(key), key, "left_semi")
+        existing = target.select(key).join(ok.select(key).hint("shuffle_hash"), key, "left_semi")
         first = first.join(existing, key, "left_anti")
     return first
 
@@ -133,7 +133,42 @@ def fold(batches: DataFrame, keys: list[str], rules: dict, order: str = "batch_i
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str], rules: dict) -> DataFrame:
-    """One step of the merge: stored mart + one new load -> new mart."""
+    """One step of the merge: stored mart + one new load -> new mart.  Each
+    side holds a key once; a key on both sides is combined by the rules in the
+    columns' own types (sums of doubles through decimals), so any number of
+    steps is what the loads in their order give."""
     both = (target.select(*keys, *rules, F.lit(0).alias("_load"))
             .unionByName(source.select(*keys, *rules, F.lit(1).alias("_load"))))
-    return fold(both, keys, rules, order="_load", round_half=False)
+    side = lambda c, i: F.max(F.when(F.col("_load") == i, F.col(c)))
+    x = both.groupBy(*keys).agg(F.min("_load").alias("_a"), F.max("_load").alias("_b"),
+                                *[side(c, i).alias(f"_{i}{c}") for c in rules for i in (0, 1)])
+    out = []
+    for c, rule in rules.items():
+        old, new, kind = F.col(f"_0{c}"), F.col(f"_1{c}"), target.schema[c].dataType
+        add = old.cast(ADD_VALUE) + new.cast(ADD_VALUE) if isinstance(kind, (DoubleType, FloatType)) else old + new
+        step = {"+": add, "half": (old + new) / 2, "old": old, "new": new,
+                "max": F.when(old.isNotNull() & new.isNotNull(), F.greatest(old, new))}[rule]
+        out.append(F.when(F.col("_b") == 0, old).when(F.col("_a") == 1, new).otherwise(step).cast(kind).alias(c))
+    return x.select(*keys, *out)
+
+
+TOTALS = {"raw_trips": "long", "raw_weather": "long", "clean_trips": "long", "stg_trips": "long", "weather_rows": "long",
+          "revenue": "decimal(38,2)", "fare_sum": "decimal(38,6)", "fare_n": "long", "speed_sum": "decimal(38,6)", "speed_n": "long",
+          "neg_fares": "long", "null_hoods": "long", "dq_checks": "long"}
+
+
+def city_totals(raw: DataFrame, raw_weather: DataFrame, dq_counts: DataFrame, dq_log: DataFrame, inserted: DataFrame, readings: DataFrame) -> DataFrame:
+    """What one load adds to each city's running totals (``TOTALS``), from the
+    layers it wrote; sums, so the totals of all loads are kept by adding."""
+    n = F.count(F.lit(1))
+    fare, speed = F.col("fare_amount"), F.when(F.col("speed_mph") > 0, F.col("speed_mph"))
+    parts = [raw.groupBy("city").agg(n.alias("raw_trips")), raw_weather.groupBy("city").agg(n.alias("raw_weather")),
+             dq_counts.select("city", F.col("n_out").alias("clean_trips")), dq_log.groupBy("city").agg(n.alias("dq_checks")),
+             inserted.groupBy("city").agg(n.alias("stg_trips"), C.money_sum("total_amount").alias("revenue"), F.sum(fare).alias("fare_sum"),
+                                          F.count(fare).alias("fare_n"), F.sum(speed).alias("speed_sum"), F.count(speed).alias("speed_n"),
+                                          F.count_if(fare < 0).alias("neg_fares"), F.count_if(F.col("pickup_neighborhood").isNull()).alias("null_hoods")),
+             readings.groupBy("city").agg(n.alias("weather_rows"))]
+    rows = parts[0].select(F.col("city").cast("string").alias("city"), *[F.col(c).cast(t) if c in parts[0].columns else F.lit(0).cast(t).alias(c) for c, t in TOTALS.items()])
+    for p in parts[1:]:
+        rows = rows.unionByName(p.select(F.col("city").cast("string").alias("city"), *[F.col(c).cast(t) if c in p.columns else F.lit(0).cast(t).alias(c) for c, t in TOTALS.items()]))
+    return rows.groupBy("city").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast(t).alias(c) for c, t in TOTALS.items()])

@@ -135,10 +135,15 @@ def warehouse_report(staged: DataFrame, hourly: DataFrame, params: Params) -> Da
         F.count(F.lit(1)).alias("stg_trips"),
         F.count_if(F.col("fare_amount") < 0).alias("neg_fares"),
         F.count_if(F.col("pickup_neighborhood").isNull()).alias("null_hoods"))
+    return warehouse_checks(st, hourly, params)
+
+
+def warehouse_checks(totals: DataFrame, hourly: DataFrame, params: Params) -> DataFrame:
+    """The same checks from each city's running totals and the hourly mart."""
     hp = hourly.groupBy("city").agg(
         F.countDistinct("hour").alias("hours_covered"),
         F.count_if((F.col("pulse_score") < 0) | (F.col("pulse_score") > 100)).alias("bad_pulse"))
-    x = st.join(hp, "city", "full_outer").select(
+    x = totals.select("city", "stg_trips", "neg_fares", "null_hoods").join(hp, "city", "full_outer").select(
         "city", *[F.coalesce(F.col(c), F.lit(0)).alias(c)
                   for c in ("stg_trips", "neg_fares", "null_hoods", "hours_covered", "bad_pulse")])
 

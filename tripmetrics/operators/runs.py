@@ -5,61 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..settings import Params
-
 RUN_COLUMNS = ["run_id", "dag_id", "task_id", "city", "status", "started_at", "finished_at",
-               "rows_extracted", "rows_loaded", "rows_rejected", "error_message"]
-
-# FIXED VALUES of the run-log fixture (FIXTURES.md): one run per city and
-# batch; ASIA's batch 3 failed.
-FIXTURE_DAG = "incremental"
-FIXTURE_TASK = "transform_load"
-FIXTURE_FAILED = ("ASIA", 3)
-FIXTURE_RUN_MINUTES = 10
-
-
-def per_batch_counts(raw: DataFrame, clean: DataFrame) -> DataFrame:
-    r = raw.groupBy("city", "batch_id").agg(F.count(F.lit(1)).alias("rows_extracted"))
-    c = clean.groupBy("city", "batch_id").agg(F.count(F.lit(1)).alias("rows_loaded"))
-    return r.join(c, ["city", "batch_id"], "left").fillna(0, ["rows_loaded"])
-
-
-def run_log(raw: DataFrame, clean: DataFrame, params: Params) -> DataFrame:
-    """Final state of each run of the fixture's run log."""
-    x = per_batch_counts(raw, clean)
-    failed = (F.col("city") == FIXTURE_FAILED[0]) & (F.col("batch_id") == FIXTURE_FAILED[1])
-    start = F.lit(params.as_of_ts).cast("timestamp_ntz") + F.make_dt_interval(
-        F.lit(0), F.col("batch_id"), F.lit(0), F.lit(0).cast("decimal(18,6)"))
-    zero = F.lit(0).cast("bigint")
-    return x.select(
-        F.concat(F.col("city"), F.lit("-"), F.col("batch_id").cast("string")).alias("run_id"),
-        F.lit(FIXTURE_DAG).alias("dag_id"), F.lit(FIXTURE_TASK).alias("task_id"), "city",
-        F.when(failed, "failed").otherwise("success").alias("status"),
-        start.alias("started_at"),
-        (start + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(FIXTURE_RUN_MINUTES), F.lit(0).cast("decimal(18,6)"))).alias("finished_at"),
-        F.when(failed, zero).otherwise(F.col("rows_extracted")).alias("rows_extracted"),
-        F.when(failed, zero).otherwise(F.col("rows_loaded")).alias("rows_loaded"),
-        F.when(failed, zero).otherwise(F.col("rows_extracted") - F.col("rows_loaded")).alias("rows_rejected"),
-        F.when(failed, F.lit("transform failed")).alias("error_message"),
-    )
-
-
-def run_events(runs: DataFrame) -> DataFrame:
-    """Append-only event form of the run log: a 'running' row at start and
-    the final row at the end of every run."""
-    start = runs.select(
-        "run_id", "dag_id", "task_id", "city", F.lit("running").alias("status"), "started_at",
-        F.lit(None).cast("timestamp_ntz").alias("finished_at"),
-        *[F.lit(0).cast("bigint").alias(c) for c in ("rows_extracted", "rows_loaded", "rows_rejected")],
-        F.lit(None).cast("string").alias("error_message"), F.lit(1).alias("event_seq"))
-    end = runs.select(*RUN_COLUMNS, F.lit(2).alias("event_seq"))
-    return start.unionByName(end)
+               "rows_extracted", "rows_loaded", "rows_rejected", "rows_inserted", "error_message"]
 
 
 def run_latest(events: DataFrame) -> DataFrame:
-    """Latest state per run id (insert-or-replace at start, update at end)."""
-    return (events.groupBy("run_id")
-                  .agg(F.max_by(F.struct(*[c for c in RUN_COLUMNS if c != "run_id"]), F.col("event_seq")).alias("r"))
+    """Latest state per run id (insert-or-replace at start, update at end);
+    a run id that starts again takes the place of its earlier run."""
+    rest = [c for c in RUN_COLUMNS if c != "run_id"]
+    return (events.groupBy("run_id").agg(F.max_by(F.struct(*rest), F.struct("started_at", "event_seq")).alias("r"))
                   .select("run_id", "r.*"))
 
 

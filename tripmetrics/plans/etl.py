@@ -1,20 +1,26 @@
-"""The batch ETL job: one load of trips and weather through every layer.
+"""The batch ETL job: loads, daily roll-up and backfill over stored tables.
 
-    raw landing -> clean + quality log -> staging (insert-or-ignore)
-                -> hourly / neighbourhood / daily marts (merged into the
-                   stored marts by their column rules)
+    run_etl       raw landing -> clean + check log -> staging (insert-or-ignore)
+                  -> hourly / neighbourhood / daily marts, readings by hour and
+                  running totals, merged into the days the load touches
+    run_daily     weekly trends, weather impact and the warehouse report, from
+                  the stored marts of the trailing window
+    run_backfill  many loads, those applied already left out, then run_daily
 
 Layout under ``out_dir`` (shared storage): ``raw_trips``, ``raw_weather``
-(partitioned by city), ``dq_log``, ``stg_taxi_trips``, ``stg_weather``,
-``agg_*`` (one folder per version ``v=<n>`` and the ids of the loads in it,
-``loads-<n>``; readers take the newest complete one).  The cleaned batch is written once and every later step
-reads it back, so no plan recomputes the cleaning and lineage stays short;
-a lost executor only re-runs the step it was in.
+(JSON text by load and city), ``dq_log``, ``pipeline_runs``, and the tables of
+``warehouse.Warehouse``.  The cleaned batch is written once and later steps
+read it back, so a lost executor only re-runs the step it was in; one commit
+record makes all tables of a load current together.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import clean as CL
@@ -24,83 +30,169 @@ from ..operators import quality as Q
 from ..settings import Params
 from ..sources import feeds as FD
 from ..sources.dims import Dims
+from .runlog import RunLog, now, stamped
+from .warehouse import Warehouse
 
+HOURLY, NEIGHBORHOOD, DAILY = "agg_hourly_pulse", "agg_neighborhood_stats", "agg_daily_summary"
+WEEKLY, IMPACT, READINGS, TOTALS = "agg_weekly_trends", "agg_weather_impact", "weather_by_hour", "city_totals"
+COMPUTED = {"computed_at": "new"}
 MART_RULES = {
-    "agg_hourly_pulse": (MG.HOURLY_KEYS, MG.HOURLY_RULES),
-    "agg_neighborhood_stats": (MG.NEIGHBORHOOD_KEYS, MG.NEIGHBORHOOD_RULES),
-    "agg_daily_summary": (MG.DAILY_KEYS, MG.DAILY_RULES),
+    HOURLY: (MG.HOURLY_KEYS, MG.HOURLY_RULES | COMPUTED),
+    NEIGHBORHOOD: (MG.NEIGHBORHOOD_KEYS, MG.NEIGHBORHOOD_RULES | COMPUTED),
+    DAILY: (MG.DAILY_KEYS, MG.DAILY_RULES | COMPUTED),
 }
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def latest(spark: SparkSession, base: str) -> str | None:
-    """Newest complete version folder ``base/v=<n>``."""
-    jp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(base)
-    fs = jp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(jp):
-        return None
-    vs = [int(s.getPath().getName()[2:]) for s in fs.listStatus(jp)
-          if s.getPath().getName().startswith("v=") and fs.exists(s.getPath().suffix("/_SUCCESS"))]
-    return f"{base}/v={max(vs)}" if vs else None
-
-
-def _replace_load(df: DataFrame, load_id: int, path: str, *parts: str) -> None:
-    """Write a load under its own partition, in place of an earlier try of it."""
-    (df.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("load_id", *parts).parquet(path))
-
-
-def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir: str, dims: Dims,
-            params: Params, load_id: int) -> dict:
-    """Run one load.  A load already among those applied to a mart changes
-    nothing there; its raw rows and quality log replace those of the earlier
-    try.  Loads may come late or out of order: each is merged once, in the
-    order of arrival."""
-    out = out_dir.rstrip("/")
+STAGED_TRIPS, STAGED_WEATHER = "stg_taxi_trips", "stg_weather"
+TASK = "transform_load"
+
+
+def _landed(df: DataFrame, load_id: int, path: str, *parts: str) -> DataFrame:
+    """Writes a load under its own partition, in place of an earlier try of it; returns it as read back."""
+    out = df.withColumn("ingested_at", F.lit(now()).cast("timestamp_ntz")).withColumn("load_id", F.lit(load_id))
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id", *parts).parquet(path)
+    return df.sparkSession.read.option("basePath", path).parquet(f"{path}/load_id={load_id}")
+
+
+def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], int]]:
+    """The frame, and its row count once the job that writes it is done."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), lambda: seen.get["n"]
+
+
+def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir: str, dims: Dims, params: Params, load_id: int,
+            run_id: str | None = None, dag_id: str = "city_pulse", buckets: int | None = None) -> dict:
+    """Run one load and log the run.  A load already applied changes nothing
+    but the run log; loads may come late or out of order: each is merged once,
+    in the order of arrival.  A load that fails leaves a failed run and no
+    change that readers see, and can be run again."""
+    wh, log = Warehouse(spark, out_dir, buckets), RunLog(spark, out_dir)
+    run_id, started = run_id or f"{dag_id}-{load_id}", now()
+    if wh.applied(load_id):
+        return {"load_id": load_id, "run_id": run_id, "out_dir": wh.base, "applied": False}
+    log.start(run_id, dag_id, TASK, started)
+    counts: dict = {None: (0, 0, 0)}
+    try:
+        stats = _load(spark, wh, trips, weather, dims, params, load_id, run_id, counts)
+    except Exception as e:
+        log.finish(run_id, dag_id, TASK, started, "failed", {c: (0, 0, 0) for c in counts}, str(e)[:2000])
+        raise
+    log.finish(run_id, dag_id, TASK, started, "success", counts)
+    wh.drop(f"_batches/load={load_id}")
+    return {"load_id": load_id, "run_id": run_id, "out_dir": wh.base, "applied": True, **stats}
+
+
+def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFrame, dims: Dims, params: Params, load_id: int, run_id: str,
+          counts: dict) -> dict:
+    out, seq, batch = wh.base, wh.next_seq(), f"{wh.base}/_batches/load={load_id}"
     if "batch_id" not in trips.columns:  # records from a feed: the load is the batch
         trips = trips.withColumn("batch_id", F.lit(load_id).cast("int"))
-    # raw layer: append-only JSON text, partitioned by city
-    _replace_load(FD.land_trips(trips), load_id, f"{out}/raw_trips", "city")
-    _replace_load(FD.land_weather(weather), load_id, f"{out}/raw_weather", "city")
+    # raw layer: JSON text by load and city; counts a city come from its files' footers
+    seen_trips, extracted = _counted(FD.land_trips(trips), f"trips-{run_id}")
+    raw = _landed(seen_trips, load_id, f"{out}/raw_trips", "city")
+    raw_weather = _landed(FD.land_weather(weather), load_id, f"{out}/raw_weather", "city")
+    cities = [r["city"] for r in raw.select(F.col("city").cast("string").alias("city")).where("city is not null").distinct().collect()]
+    counts.update(dict.fromkeys([None, *cities], (0, 0, 0)))
 
     # clean + quality: one pass; the batch is written once and read back
-    enriched = Q.with_first_fail(CL.enrich_trips(trips, dims), params)
-    batch_path = f"{out}/_batches/load={load_id}"
-    enriched.write.mode("overwrite").parquet(batch_path)
-    enriched = spark.read.parquet(batch_path)
-    _replace_load(Q.dq_log(Q.dq_counts(enriched)), load_id, f"{out}/dq_log")
+    Q.with_first_fail(CL.enrich_trips(trips, dims), params).write.mode("overwrite").parquet(f"{batch}/enriched")
+    enriched = spark.read.parquet(f"{batch}/enriched")
+    Q.dq_counts(enriched).coalesce(1).write.mode("overwrite").parquet(f"{batch}/dq")
+    dq = spark.read.parquet(f"{batch}/dq")
+    checks = stamped(Q.dq_log(dq), run_id, now())
+    (checks.withColumn("load_id", F.lit(load_id)).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("load_id").parquet(f"{out}/dq_log"))
     clean = Q.survivors(enriched, params).select(*CL.KEEP_COLUMNS, "batch_id")
 
-    # staging: insert-or-ignore against what is already staged
-    stg = f"{out}/stg_taxi_trips"
-    target = spark.read.parquet(stg) if _exists(spark, stg) else None
-    MG.stage_trips(clean, target).write.mode("append").parquet(stg)
-    wst = f"{out}/stg_weather"
-    wtarget = spark.read.parquet(wst) if _exists(spark, wst) else None
-    MG.stage_weather(CL.extract_weather(weather), wtarget).write.mode("append").parquet(wst)
-
-    # marts: the small cube is computed once and cached for the three marts
-    cube = M.trip_cube(clean).persist()
-    new = {"agg_hourly_pulse": M.hourly_pulse(cube),
-           "agg_neighborhood_stats": M.neighborhood_stats(cube),
-           "agg_daily_summary": M.daily_summary(cube)}
-    for name, df in new.items():
-        keys, rules = MART_RULES[name]
-        base = f"{out}/{name}"
-        prev = latest(spark, base)
-        version = int(prev.rsplit("=", 1)[1]) if prev else 0
-        applied = spark.read.parquet(f"{base}/loads-{version}") if prev else None
-        if applied is not None and not applied.where(F.col("load_id") == load_id).isEmpty():
-            continue  # replayed load
-        merged = df.select(*keys, *rules) if prev is None else \
-            MG.merge_upsert(spark.read.parquet(prev), df, keys, rules)
-        # the loads of a version are written first; its mart folder commits both
-        this = spark.range(1).select(F.lit(load_id).cast("long").alias("load_id"))
-        (this if applied is None else applied.union(this)).write.mode("overwrite").parquet(f"{base}/loads-{version + 1}")
-        merged.write.mode("overwrite").parquet(f"{base}/v={version + 1}")
-    cube.unpersist()
-    return {"load_id": load_id, "out_dir": out}
+    # staging: insert-or-ignore against what other loads staged
+    loaded_at = F.lit(now()).cast("timestamp_ntz")
+    fresh = MG.stage_trips(clean, wh.staged(STAGED_TRIPS, _staged_schema(clean), "trip_id", without=load_id))
+    staged = wh.stage(STAGED_TRIPS, fresh.withColumn("loaded_at", loaded_at), "trip_id", load_id)
+    w = CL.extract_weather(weather)
+    readings = wh.stage(STAGED_WEATHER, MG.stage_weather(w, wh.staged(STAGED_WEATHER, _staged_schema(w), "weather_id", without=load_id))
+                        .withColumn("loaded_at", loaded_at), "weather_id", load_id)
+
+    # marts: the small cube is written once; only the load's days are merged
+    M.trip_cube(clean).write.mode("overwrite").parquet(f"{batch}/cube")
+    cube = spark.read.parquet(f"{batch}/cube")
+    days = [r["d"] for r in cube.select(F.col("day").cast("string").alias("d")).distinct().collect()]
+    at = F.lit(now()).cast("timestamp_ntz").alias("computed_at")
+    by_hour = M.latest_readings(readings)
+    touched = [r["date"] for r in by_hour.select("date").distinct().collect()]
+    merges = {name: (df.select("*", at), *MART_RULES[name], days, seq) for name, df in
+              ((HOURLY, M.hourly_pulse(cube)), (NEIGHBORHOOD, M.neighborhood_stats(cube)), (DAILY, M.daily_summary(cube)))}
+    merges[READINGS] = (by_hour, ["city", "date", "hour"], {"reading": "max"}, touched, seq)
+    with ThreadPoolExecutor(len(merges)) as pool:   # independent jobs, each of a few small tasks
+        running = {name: pool.submit(inheritable_thread_target(spark)(wh.merge), name, *args) for name, args in merges.items()}
+        changed = {name: job.result() for name, job in running.items()}
+    # one row a city (a bounded dimension): what the load adds to the totals, and what the run log says
+    delta = MG.city_totals(raw, raw_weather, dq, checks, staged, readings)
+    rows = delta.collect()
+    totals = spark.createDataFrame(rows, delta.schema).withColumn("part", F.lit("all"))
+    changed[TOTALS] = wh.merge(TOTALS, totals, ["city", "part"], dict.fromkeys(MG.TOTALS, "+"), ["all"], seq, "part")
+    counts.update({r["city"]: (r["raw_trips"], r["clean_trips"], r["stg_trips"]) for r in rows if r["city"] in cities})
+    counts[None] = extracted(), sum(r["clean_trips"] for r in rows), sum(r["stg_trips"] for r in rows)
+    wh.commit(load_id, seq, changed)
+    return {"raw_trips": counts[None][0], "stg_trips_loaded": counts[None][1], "stg_trips_inserted": counts[None][2], "days": len(days)}
+
+
+def _staged_schema(rows: DataFrame):
+    return rows.limit(0).withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")).schema
+
+
+def staged_trips(wh: Warehouse, like: DataFrame) -> DataFrame | None:
+    """Staged trips of all applied loads, with ``load_id`` and ``loaded_at``."""
+    return wh.staged(STAGED_TRIPS, _staged_schema(like), "trip_id")
+
+
+def staged_weather(wh: Warehouse, like: DataFrame) -> DataFrame | None:
+    return wh.staged(STAGED_WEATHER, _staged_schema(like), "weather_id")
+
+
+def readings(wh: Warehouse, since: str | None = None) -> DataFrame | None:
+    """The latest reading of each city and hour."""
+    r = wh.read(READINGS, since)
+    return None if r is None else r.select("city", "date", "hour", "reading.*")
+
+
+def run_daily(spark: SparkSession, out_dir: str, params: Params, dag_id: str = "city_pulse_daily") -> dict:
+    """The daily roll-up: weekly trends (merged by their rules), weather impact
+    of the trailing window (replaced) and the warehouse report, from the stored
+    marts; only the window's days are opened.  Run again it gives the same
+    rows.  Nothing is done, and False returned, before the first load."""
+    wh, log, task = Warehouse(spark, out_dir), RunLog(spark, out_dir), "daily_rollup"
+    run_id, started = f"{dag_id}-{params.as_of_date}", now()
+    since = M.week_start(params)
+    hourly, daily, totals = wh.read(HOURLY, since), wh.read(DAILY, since), wh.read(TOTALS)
+    if totals is None:
+        return {"run_id": run_id, "applied": False}
+    log.start(run_id, dag_id, task, started)
+    try:
+        seq, at = wh.next_seq(), F.lit(now()).cast("timestamp_ntz").alias("computed_at")
+        weekly = M.weekly_trends(daily, hourly, params).select("*", at)
+        changed = {WEEKLY: wh.merge(WEEKLY, weekly, MG.WEEKLY_KEYS, MG.WEEKLY_RULES | COMPUTED, [since], seq, "week_start"),
+                   IMPACT: wh.write(IMPACT, M.impact(hourly, readings(wh, since)).select("*", at), seq)}
+        report = stamped(Q.warehouse_checks(totals, wh.read(HOURLY), params), run_id, now())
+        (report.withColumn("check_seq", F.lit(None).cast("int")).withColumn("load_id", F.lit(run_id)).coalesce(1).write.mode("overwrite")
+               .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(f"{wh.base}/dq_log"))
+        wh.commit(run_id, seq, changed)
+    except Exception as e:
+        log.finish(run_id, dag_id, task, started, "failed", {None: (0, 0, 0)}, str(e)[:2000])
+        raise
+    log.finish(run_id, dag_id, task, started, "success", {None: (0, 0, 0)})
+    return {"run_id": run_id, "applied": True}
+
+
+def check_log(spark: SparkSession, out_dir: str) -> DataFrame:
+    """All rows of the check log, of loads and reports, with run and time."""
+    cols = "city string, check_seq int, check_name string, table_name string, status string, expected string, actual string, run_id string, logged_at timestamp_ntz, load_id string"
+    return spark.read.schema(cols).parquet(f"{out_dir.rstrip('/')}/dq_log")
+
+
+def run_backfill(spark: SparkSession, loads: Iterable[tuple[int, DataFrame, DataFrame]], out_dir: str, dims: Dims, params: Params,
+                 dag_id: str = "city_pulse_backfill", buckets: int | None = None) -> dict:
+    """Run (load id, trips, weather) in their order, then the daily roll-up.
+    Loads applied by an earlier try are left out, so a backfill that died is
+    run again from its first missing load."""
+    done = [run_etl(spark, t, w, out_dir, dims, params, i, dag_id=dag_id, buckets=buckets) for i, t, w in loads]
+    run_daily(spark, out_dir, params)
+    ran = [s for s in done if s["applied"]]
+    return {"total_loaded": sum(s["stg_trips_loaded"] for s in ran), "chunks": len(done), "ran": len(ran)}

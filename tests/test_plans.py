@@ -2,8 +2,13 @@
 
 import re
 
+import pytest
+
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tripmetrics.operators import serve as SV
+from tripmetrics.plans.catalog import DEFAULT, workspace
+from tripmetrics.plans.workspace import fingerprint
 
 
 def plan_of(spark, key):
@@ -29,8 +34,37 @@ def test_marts_aggregate_map_side_and_scan_once(spark):
 
 
 def test_window_bound_reaches_the_scan(spark):
-    p = plan_of(spark, "weekly_trends")
+    ws = workspace(spark, SF_SMALL, DEFAULT)
+    p = ws.hourly_since("2024-03-24")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(pickup_datetime", p)
+    p = E.queries()["weather_join"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(recorded_at", p)
+
+
+SERVED = ["weekday_pattern", "neighborhood_totals", "top_hours", "kpi_busiest_hour", "kpis", "data_counts", "available_cities", "city_catalog",
+          "hours_covered", "recent_hourly", "recent_daily", "recent_weather_impact", "weather_scatter", "weekly_trends", "weather_impact", "run_stats",
+          "status_summary", "dq_warehouse_report", "hourly_average", "weekday_vs_weekend", "pulse_by_hour", "fare_by_hour", "heatmap_pivot",
+          "top_neighborhoods", "top_hours_share", "run_history", "dq_recent"]
+
+
+@pytest.mark.parametrize("key", SERVED)
+def test_read_queries_open_no_raw_or_staged_file(spark, key):
+    df = E.queries()[key](spark, SF_SMALL)
+    assert not [f for f in df.inputFiles() if re.search(r"/raw-|/raw_trips/|/stg_|/_batches/", f)]
+
+
+def test_windows_open_their_days_alone(spark):
+    since = SV.days_back(DEFAULT, DEFAULT.recent_daily_days)
+    for key in ("recent_daily", "recent_hourly"):
+        days = {re.search(r"/day=([\d-]+)/", f).group(1) for f in E.queries()[key](spark, SF_SMALL).inputFiles()}
+        assert days and min(days) >= since and len(days) <= DEFAULT.recent_daily_days + 1
+
+
+def test_landed_layer_follows_its_files(spark, tmp_path):
+    (tmp_path / "a.parquet").write_bytes(b"1")
+    one = fingerprint(spark, str(tmp_path))
+    (tmp_path / "a.parquet").write_bytes(b"22")
+    assert fingerprint(spark, str(tmp_path)) != one == one
 
 
 def test_staging_first_wins_is_partial_aggregate(spark):

@@ -12,7 +12,7 @@ def test_stream_fold_independent_of_pacing(spark, monkeypatch):
     schema = ws.raw_trips.schema
     orig = L._read_stream
     results = []
-    for n in (1, 1000):
+    for n in (2, 1000):
         monkeypatch.setattr(L, "_read_stream", lambda s, p, sc, files_per_trigger=16, _n=n: orig(s, p, sc, _n))
         results.append(L.stream_fold(spark, path, schema, ws.dims, ws.params))
     a, b = results
@@ -46,6 +46,32 @@ def test_stream_fold_resumes_after_restart(spark):
     assert again.exceptAll(batch).count() == 0 and batch.exceptAll(again).count() == 0
 
 
+def test_a_second_drain_touches_its_days_alone(spark):
+    """Two late records of one day: the second drain writes that day of the
+    sums and the mart, no other; an epoch that comes again changes nothing."""
+    from pyspark.sql import functions as F
+    from tripmetrics.plans.warehouse import Warehouse
+    from tripmetrics.session import scratch_path
+
+    ws = workspace(spark, SF_SMALL, DEFAULT)
+    landing, state = scratch_path(spark, "t-landing"), scratch_path(spark, "t-state")
+    schema = ws.raw_trips.schema
+    few = ws.raw_trips.filter("date(pickup_datetime) between '2024-02-01' and '2024-02-05'")
+    L.land_batches(few.filter("batch_id <= 1"), landing)
+    first = L.stream_hourly(spark, landing, schema, ws.dims, ws.params, state_dir=state)
+    n, before = first.agg(F.sum("trip_count")).first()[0], Warehouse(spark, state).head()
+    late = few.filter("batch_id = 2 and date(pickup_datetime) = '2024-02-03'")
+    L.land_batches(late, landing)
+    again = L.stream_hourly(spark, landing, schema, ws.dims, ws.params, state_dir=state)
+    after = Warehouse(spark, state).head()
+    for t in (L.CUBE, L.MART):
+        assert [d for d in after["tables"][t] if after["tables"][t][d] != before["tables"][t].get(d)] == ["2024-02-03"]
+    assert again.agg(F.sum("trip_count")).first()[0] == n + L.clean_stream(late, ws.dims, ws.params).count()
+    assert len(after["loads"]) == len(before["loads"]) + 1
+    L.stream_hourly(spark, landing, schema, ws.dims, ws.params, state_dir=state)
+    assert Warehouse(spark, state).head() == after
+
+
 def test_stream_dedupe_keeps_old_trips_and_first_arrivals(spark):
     """Loads 200 days apart, a trip id repeated by a later load and by the
     same one: every id once, the first arrival's row, after a restart too."""

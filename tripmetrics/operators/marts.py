@@ -175,13 +175,10 @@ def weekly_after_loads(daily: DataFrame, hourly: DataFrame, params: Params, load
     that load's roll-up, and what it replaces (totals) is the last roll-up,
     over all loads."""
     kept = ["week_end", "avg_daily_trips", "peak_day", "peak_hour"]
-    first = (weekly_trends(daily, hourly, params, [load]).groupBy("city", "week_start")
-             .agg(F.min_by(F.struct(*kept), F.col(load)).alias("f")))
-    last = daily.filter(F.col("date") >= week_start(params)).groupBy("city").agg(
-        F.sum("total_trips").cast("bigint").alias("total_trips"),
+    each = weekly_trends(daily, hourly, params, [load]).groupBy("city", "week_start").agg(
+        F.min_by(F.struct(*kept), F.col(load)).alias("f"), F.sum("total_trips").cast("bigint").alias("total_trips"),
         C.money_sum("total_revenue").cast("double").alias("total_revenue"))
-    return first.join(last, "city").select(
-        "city", "week_start", "f.week_end", "total_trips", "total_revenue", *[f"f.{c}" for c in kept[1:]])
+    return each.select("city", "week_start", "f.week_end", "total_trips", "total_revenue", *[f"f.{c}" for c in kept[1:]])
 
 
 def weather_keys(weather: DataFrame) -> DataFrame:
@@ -196,6 +193,7 @@ def weather_join(hourly: DataFrame, weather: DataFrame, params: Params) -> DataF
     the same city, date and hour (fans out on several readings)."""
     ws = week_start(params)
     p = hourly.filter(F.col("date") >= ws).select("city", "date", "hour", "trip_count", "avg_fare")
+    weather = weather.filter(F.col("recorded_at") >= F.lit(f"{ws} 00:00:00").cast("timestamp_ntz"))   # reaches the scan
     w = weather_keys(weather).select("city", "date", "hour", "weather_id", *WEATHER_FIELDS)
     return p.join(w, ["city", "date", "hour"], "left")
 

@@ -135,7 +135,7 @@ def warehouse_report(staged: DataFrame, hourly: DataFrame, params: Params) -> Da
         F.count(F.lit(1)).alias("stg_trips"),
         F.count_if(F.col("fare_amount") < 0).alias("neg_fares"),
         F.count_if(F.col("pickup_neighborhood").isNull()).alias("null_hoods"))
-    return warehouse_checks(st, hourly, params)
+    return warehouse_checks(st, hourly, params).drop("check_seq")
 
 
 def warehouse_checks(totals: DataFrame, hourly: DataFrame, params: Params) -> DataFrame:
@@ -147,8 +147,10 @@ def warehouse_checks(totals: DataFrame, hourly: DataFrame, params: Params) -> Da
         "city", *[F.coalesce(F.col(c), F.lit(0)).alias(c)
                   for c in ("stg_trips", "neg_fares", "null_hoods", "hours_covered", "bad_pulse")])
 
+    seq = iter(range(1, 6))
+
     def e(name, table, status, expected, actual):
-        return F.struct(F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
+        return F.struct(F.lit(next(seq)).alias("check_seq"), F.lit(name).alias("check_name"), F.lit(table).alias("table_name"),
                         status.alias("status"), F.lit(expected).alias("expected"),
                         F.col(actual).cast("string").alias("actual"))
 

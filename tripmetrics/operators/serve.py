@@ -108,52 +108,63 @@ def busiest_hour(hourly: DataFrame) -> DataFrame:
         F.max("avg_trips").alias("max_avg_trips"))
 
 
-def kpis(staged: DataFrame, runs: DataFrame, hourly: DataFrame) -> DataFrame:
-    """Headline numbers per city: one conditional aggregate per table."""
-    st = staged.groupBy("city").agg(
-        F.count(F.lit(1)).alias("total_trips"),
-        F.coalesce(C.money_sum("total_amount"), F.lit(0)).cast("double").alias("total_revenue"),
-        F.coalesce(C.rnd(F.avg("fare_amount"), 6), F.lit(0.0)).alias("avg_fare"),
-        F.coalesce(C.rnd(F.avg(F.when(F.col("speed_mph") > 0, F.col("speed_mph"))), 6), F.lit(0.0)).alias("avg_speed"))
+def kpis(totals: DataFrame, runs: DataFrame, hourly: DataFrame) -> DataFrame:
+    """Headline numbers per city, from its running totals, the run log and the
+    hourly mart; no raw or staged row is read."""
+    mean = lambda s, n: F.coalesce(C.rnd(F.col(s).cast("double") / F.when(F.col(n) > 0, F.col(n)), 6), F.lit(0.0))
+    st = totals.where("stg_trips > 0").select(
+        "city", F.col("stg_trips").alias("total_trips"), F.col("revenue").cast("double").alias("total_revenue"),
+        mean("fare_sum", "fare_n").alias("avg_fare"), mean("speed_sum", "speed_n").alias("avg_speed"))
     ok = F.col("status") == "success"
-    rn = runs.groupBy("city").agg(
+    rn = runs.where("city is not null").groupBy("city").agg(
         F.count_if(ok).alias("pipeline_runs"),
-        F.max(F.when(ok, F.col("finished_at"))).alias("last_run"))
+        F.max(F.when(ok, F.col("finished_at"))).alias("last_run"),
+        F.max_by(F.when(ok, F.col("run_id")), F.when(ok, F.col("finished_at"))).alias("last_run_id"))
     bh = busiest_hour(hourly).select("city", "busiest_hour")
     return (st.join(rn, "city", "left").join(bh, "city", "left")
               .select("city", "total_trips", "total_revenue", "avg_fare", "avg_speed",
-                      F.coalesce("pipeline_runs", F.lit(0)).alias("pipeline_runs"), "last_run", "busiest_hour"))
+                      F.coalesce("pipeline_runs", F.lit(0)).alias("pipeline_runs"), "last_run", "last_run_id", "busiest_hour"))
 
 
 DATA_COUNT_METRICS = ["raw_trips", "stg_trips", "agg_hourly", "agg_daily", "agg_nbhd",
                       "weather_rows", "pipeline_runs"]
 
 
-def data_counts(tables: dict[str, DataFrame], dq_log: DataFrame) -> DataFrame:
-    """Row counts per city of each layer; the check-log count is global, as
-    in the original.  One union of per-city counts, pivoted on a fixed list."""
-    parts = [df.groupBy("city").count().withColumn("metric", F.lit(m)) for m, df in tables.items()]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    wide = u.groupBy("city").pivot("metric", DATA_COUNT_METRICS).agg(F.sum("count"))
-    wide = wide.select("city", *[F.coalesce(F.col(m), F.lit(0)).cast("bigint").alias(m) for m in DATA_COUNT_METRICS])
-    dq_total = dq_log.groupBy().agg(F.count(F.lit(1)).alias("dq_checks"))
+def _counts(totals: DataFrame, kept: dict[str, str], tables: dict[str, DataFrame]) -> DataFrame:
+    """Per city: running totals (column -> name) and the rows of small tables."""
+    rows = totals.select("city", *[F.col(c).alias(n) for c, n in kept.items()], *[F.lit(0).cast("long").alias(n) for n in tables])
+    for name, df in tables.items():
+        own = df.groupBy("city").agg(F.count(F.lit(1)).alias(name))
+        rows = rows.unionByName(own.select("city", *[F.col(c) if c == name else F.lit(0).cast("long").alias(c) for c in rows.columns[1:]]))
+    return rows.groupBy("city").agg(*[F.sum(c).alias(c) for c in rows.columns[1:]])
+
+
+def data_counts(totals: DataFrame, tables: dict[str, DataFrame], dq_log: DataFrame) -> DataFrame:
+    """Row counts per city of each layer: of raw and staged layers as they were
+    counted when they came, of marts and the run log now; the check-log count
+    is global, as in the original."""
+    wide = _counts(totals, {c: c for c in ("raw_trips", "stg_trips", "weather_rows")}, tables).select("city", *DATA_COUNT_METRICS)
+    n = dq_log.groupBy().agg(F.count(F.lit(1)).alias("dq_checks"))
     # one-row global total: a broadcast join on a constant key (size 1 by construction)
-    return (wide.withColumn("_k", F.lit(1))
-                .join(F.broadcast(dq_total.withColumn("_k", F.lit(1))), "_k", "left")
-                .drop("_k")
-                .withColumn("dq_checks", F.coalesce(F.col("dq_checks"), F.lit(0)).cast("bigint")))
+    return wide.withColumn("_k", F.lit(1)).join(F.broadcast(n.withColumn("_k", F.lit(1))), "_k", "left").drop("_k")
+
+
+def run_stats(totals: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Per city: what the loads read, kept and wrote (attempted and actually
+    inserted staging rows both given), and the rejected count."""
+    kept = {"raw_trips": "raw_trips", "raw_weather": "raw_weather", "clean_trips": "stg_trips_loaded", "stg_trips": "stg_trips_inserted",
+            "weather_rows": "stg_weather_loaded"}
+    return _counts(totals, kept, tables).withColumn("rows_rejected", F.col("raw_trips") - F.col("stg_trips_loaded"))
 
 
-def available_cities(staged: DataFrame) -> DataFrame:
+def available_cities(totals: DataFrame) -> DataFrame:
     """Cities with trips, the one with most trips first."""
-    return staged.groupBy("city").agg(F.count(F.lit(1)).alias("trip_count")).orderBy(F.col("trip_count").desc(), "city")
+    return totals.where("stg_trips > 0").select("city", F.col("stg_trips").alias("trip_count")).orderBy(F.col("trip_count").desc(), "city")
 
 
-def city_catalog(dim_city: DataFrame, staged: DataFrame) -> DataFrame:
+def city_catalog(dim_city: DataFrame, totals: DataFrame) -> DataFrame:
     """Every configured city, with has_data and its trip count (0 if none)."""
-    avail = available_cities(staged)
+    avail = available_cities(totals)
     return dim_city.select("city", "display_name", "country", "currency").join(avail, "city", "left").select(
         "city", "display_name", "country", "currency",
         F.col("trip_count").isNotNull().alias("has_data"),
@@ -192,9 +203,11 @@ def run_history(runs: DataFrame, n: int, per_city: bool = True) -> DataFrame:
     return top_n_per(runs, ["city"], order, n) if per_city else runs.orderBy(*order).limit(n)
 
 
-def dq_recent(dq_log: DataFrame, n: int) -> DataFrame:
-    """Latest n check rows overall (the log order is city, then check order)."""
-    return dq_log.orderBy(F.col("city").desc(), F.col("check_seq").desc()).limit(n)
+def dq_recent(dq_log: DataFrame, n: int, run_id: str | None = None) -> DataFrame:
+    """All check rows of a run, or the latest n of all runs: the newest first,
+    those of one moment from the last city and check back."""
+    order = [F.col("logged_at").desc(), F.col("city").desc(), F.col("check_seq").desc()]
+    return dq_log.orderBy(*order).limit(n) if run_id is None else dq_log.where(F.col("run_id") == run_id).orderBy(*order)
 
 
 def top_neighborhoods(totals: DataFrame, n: int) -> DataFrame:

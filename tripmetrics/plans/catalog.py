@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import tune
 from ..settings import Params
-from .workspace import Workspace, present
+from .workspace import Workspace, fingerprint, present
 
 
 @dataclass
@@ -42,10 +42,10 @@ _WORKSPACES: dict = {}
 
 
 def workspace(spark: SparkSession, sf_dir: str, params: Params) -> Workspace:
-    """One Workspace per (session, input folder, parameters): its attributes
-    are lazy, immutable plans, so keys share them instead of re-reading file
-    footers and rebuilding the same plan for every query."""
-    k = (id(spark), sf_dir, params)
+    """One Workspace per (session, input folder and its files, parameters): its
+    attributes are plans and stored tables that keys share instead of re-reading
+    file footers and rebuilding the same plan for every query."""
+    k = (id(spark), sf_dir, params, fingerprint(spark, sf_dir))
     ws = _WORKSPACES.get(k)
     if ws is None or ws.spark is not spark:
         ws = _WORKSPACES[k] = Workspace(spark, sf_dir, params)

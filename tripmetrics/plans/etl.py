@@ -171,7 +171,7 @@ def run_daily(spark: SparkSession, out_dir: str, params: Params, dag_id: str = "
         changed = {WEEKLY: wh.merge(WEEKLY, weekly, MG.WEEKLY_KEYS, MG.WEEKLY_RULES | COMPUTED, [since], seq, "week_start"),
                    IMPACT: wh.write(IMPACT, M.impact(hourly, readings(wh, since)).select("*", at), seq)}
         report = stamped(Q.warehouse_checks(totals, wh.read(HOURLY), params), run_id, now())
-        (report.withColumn("check_seq", F.lit(None).cast("int")).withColumn("load_id", F.lit(run_id)).coalesce(1).write.mode("overwrite")
+        (report.withColumn("load_id", F.lit(run_id)).coalesce(1).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(f"{wh.base}/dq_log"))
         wh.commit(run_id, seq, changed)
     except Exception as e:

@@ -10,12 +10,19 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
-from ..operators import serve as SV
 from ..sources import feeds as FD
+from . import etl as ETL
 from .catalog import register
-from .oracle import R, TS, week_start, with_base
+from .oracle import R, TS, cols_sql, week_start, with_base
+
+# The rows of the loads that ``Workspace.loads`` runs: each batch, and a tenth of the one before again.
+AGAIN = "batch_id < 3 AND CAST(split_part(trip_id, '-', 1) AS BIGINT) % 10 = 0"
+LOAD_ROWS = "".join(f"""
+, {t}_l AS (SELECT *, batch_id AS load FROM {t} UNION ALL SELECT * REPLACE (batch_id + 1 AS batch_id), batch_id + 1 FROM {t} WHERE {AGAIN})"""
+                    for t in ("raw_trips", "clean", "ff")).replace("raw_trips_l", "raw_l") + "\n"
 
 # -- per-batch marts (SQL) ------------------------------------------------------
 
@@ -155,30 +162,64 @@ def fold_weekly(ws):
     return M.weekly_after_loads(_bd(ws), _bh(ws), ws.params)
 
 
-@register("backfill_fold", lambda p: batch_sql(p, weekly_runs_sql(p) + "SELECT * EXCLUDE (run) FROM weekly_r WHERE run = (SELECT max(run) FROM runs_r)"))
+# -- the job's stored tables after four loads (M2-M4, D5, T6) -----------------
+
+def step_sql(src: str, keys: list[str], rules: dict) -> str:
+    """The loads of each key merged one after the other, in their order."""
+    out = []
+    for c, r in rules.items():
+        values = f"list({c} ORDER BY batch_id)"
+        step = {"+": "a + b", "half": "(a + b) / 2", "max": "CASE WHEN b > a THEN b ELSE a END"}.get(r)
+        if r in ("old", "new"):
+            x = f"{'arg_min' if r == 'old' else 'arg_max'}({c}, batch_id)"
+            out.append(f"{R(x, 6) if c in FLOATS else x} AS {c}")
+        else:
+            x = f"list_reduce({values}, lambda a, b: {step})"
+            out.append(f"{R(x, 6) if c in FLOATS else f'CAST({x} AS BIGINT)'} AS {c}")
+    return f"SELECT {', '.join(keys)}, {', '.join(out)} FROM {src} GROUP BY {', '.join(keys)}"
+
+
+def loads_sql(p, tail):
+    return with_base(p, LOAD_ROWS + BATCH_CTES.replace("FROM clean", "FROM clean_l") + tail)
+
+
+def _stored(ws, name, rules):
+    m = ws.mart(name, loads=True)
+    return m.select(*[C.rnd(c, 6).alias(c) if c in FLOATS else F.col(c) for c in m.columns])
+
+
+@register("etl_marts", lambda p: loads_sql(p, step_sql("hourly_b", MG.HOURLY_KEYS, MG.HOURLY_RULES)))
+def etl_marts(ws):
+    return _stored(ws, ETL.HOURLY, MG.HOURLY_RULES)
+
+
+@register("etl_neighborhood", lambda p: loads_sql(p, step_sql("nbhd_b", MG.NEIGHBORHOOD_KEYS, MG.NEIGHBORHOOD_RULES)))
+def etl_neighborhood(ws):
+    return _stored(ws, ETL.NEIGHBORHOOD, MG.NEIGHBORHOOD_RULES)
+
+
+@register("etl_daily", lambda p: loads_sql(p, step_sql("daily_b", MG.DAILY_KEYS, MG.DAILY_RULES)))
+def etl_daily(ws):
+    return _stored(ws, ETL.DAILY, MG.DAILY_RULES)
+
+
+@register("etl_staging", lambda p: with_base(p, f"SELECT {cols_sql(CL.KEEP_COLUMNS)}, batch_id, CAST(batch_id AS VARCHAR) AS load_id FROM staged"))
+def etl_staging(ws):
+    """Trips as staged by four loads that each send a tenth of the one before again: the first arrival stays."""
+    return ETL.staged_trips(ws.loads, ws.clean).drop("loaded_at")
+
+
+@register("backfill_fold", lambda p: loads_sql(p, weekly_runs_sql(p) + "SELECT * EXCLUDE (run) FROM weekly_r WHERE run = (SELECT max(run) FROM runs_r)"))
 def backfill_fold(ws):
-    """Backfill: every chunk folded into the marts in one job, then the
-    trailing-week roll-up over the folded marts."""
-    d = MG.fold(_bd(ws), MG.DAILY_KEYS, MG.DAILY_RULES)
-    h = MG.fold(_bh(ws), MG.HOURLY_KEYS, MG.HOURLY_RULES)
-    return M.weekly_trends(d, h, ws.params)
+    """Backfill: the chunks run one by one into the stored marts, then the
+    trailing-week roll-up over them."""
+    return ws.mart(ETL.WEEKLY, loads=True)
 
 
 # -- two trip sources (S1) ----------------------------------------------------------
 
 UNION_COLS = ["trip_id", "city", "pickup_datetime", "dropoff_datetime", "passenger_count", "trip_distance_miles",
               "fare_amount", "tip_amount", "total_amount", "payment_type"]
-UNION_ORDER = ["pickup_datetime DESC", "trip_id", "fare_amount", "total_amount", "trip_distance_miles",
-               "tip_amount", "passenger_count", "dropoff_datetime", "payment_type"]
-
-
-def _order_cols():
-    out = []
-    for o in UNION_ORDER:
-        name, *desc = o.split()
-        c = F.col(name)
-        out.append(c.desc_nulls_last() if desc else c.asc_nulls_first())
-    return out
 
 
 def union_sources_df(ws):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ..operators import marts as M
+from . import etl as ETL
 from .catalog import DEFAULT, JANUARY, register
 from .oracle import R, week_start, with_base
 
@@ -42,8 +43,7 @@ FROM {daily} d GROUP BY d.city""")
 
 @register("weekly_trends", weekly_sql(), DEFAULT)
 def weekly_trends(ws):
-    since = M.week_start(ws.params)
-    return M.weekly_trends(ws.daily_since(since), ws.hourly_since(since), ws.params)
+    return ws.mart(ETL.WEEKLY)
 
 
 WI_SQL = """
@@ -57,7 +57,7 @@ wi AS (SELECT h.city, h.date, h.hour, h.trip_count, h.avg_fare, w.temp_f, w.cond
 
 @register("weather_impact", lambda p: with_base(p, WI_SQL + "SELECT * FROM wi"), JANUARY)
 def weather_impact(ws):
-    return M.weather_impact(ws.hourly_since(M.week_start(ws.params)), ws.staged_weather, ws.params)
+    return ws.mart(ETL.IMPACT)
 
 
 @register("weather_join", lambda p: with_base(p, f"""
@@ -65,5 +65,5 @@ SELECT h.city, h.date, h.hour, h.trip_count, h.avg_fare, w.weather_id, w.temp_f,
 FROM week_hourly h LEFT JOIN (SELECT *, strftime(recorded_at, '%Y-%m-%d') AS date, CAST(hour(recorded_at) AS INT) AS hour FROM staged_weather) w
   ON w.city = h.city AND w.date = h.date AND w.hour = h.hour"""), JANUARY)
 def weather_join(ws):
-    return M.weather_join(ws.hourly_since(M.week_start(ws.params)), ws.staged_weather, ws.params)
+    return M.weather_join(ws.mart(ETL.HOURLY, M.week_start(ws.params)), ws.stored_weather, ws.params)
 

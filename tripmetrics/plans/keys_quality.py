@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from .. import settings as S
 from ..operators import quality as Q
 from ..operators import serve as SV
+from . import etl as ETL
 from .catalog import DEFAULT, register
+from .keys_fold import LOAD_ROWS
 from .oracle import R, with_base
 
 DQ_CTES = f"""
@@ -103,13 +105,7 @@ def dq_rejects(ws):
     return Q.dq_rejects(ws.enriched)
 
 
-@register("dq_recent", lambda p: dq_sql(p, f"""
-SELECT * FROM dq_log ORDER BY city DESC, check_seq DESC LIMIT {p.dq_recent_n}"""))
-def dq_recent(ws):
-    return SV.dq_recent(_log(ws), ws.params.dq_recent_n)
-
-
-@register("dq_warehouse_report", lambda p: with_base(p, f"""
+REPORT_CTES = """
 , st AS (SELECT city, count(*) AS stg_trips, count(*) FILTER (WHERE fare_amount < 0) AS neg_fares,
            count(*) FILTER (WHERE pickup_neighborhood IS NULL) AS null_hoods FROM staged GROUP BY city),
 hp AS (SELECT city, count(DISTINCT hour) AS hours_covered,
@@ -117,13 +113,38 @@ hp AS (SELECT city, count(DISTINCT hour) AS hours_covered,
 x AS (SELECT coalesce(st.city, hp.city) AS city, coalesce(stg_trips, 0) AS stg_trips, coalesce(neg_fares, 0) AS neg_fares,
          coalesce(null_hoods, 0) AS null_hoods, coalesce(hours_covered, 0) AS hours_covered, coalesce(bad_pulse, 0) AS bad_pulse
       FROM st FULL OUTER JOIN hp ON st.city = hp.city)
-SELECT city, 'stg_trips_not_empty' AS check_name, 'stg_taxi_trips' AS table_name,
-  CASE WHEN stg_trips > 0 THEN 'PASS' ELSE 'FAIL' END AS status, '>0' AS expected, CAST(stg_trips AS VARCHAR) AS actual FROM x
-UNION ALL SELECT city, 'hourly_coverage', 'agg_hourly_pulse', CASE WHEN hours_covered >= {p.hours_covered_min} THEN 'PASS' ELSE 'WARN' END,
-  '>={p.hours_covered_min} hours', CAST(hours_covered AS VARCHAR) FROM x
-UNION ALL SELECT city, 'no_negative_fares', 'stg_taxi_trips', CASE WHEN neg_fares = 0 THEN 'PASS' ELSE 'FAIL' END, '0', CAST(neg_fares AS VARCHAR) FROM x
-UNION ALL SELECT city, 'no_null_neighborhoods', 'stg_taxi_trips', CASE WHEN null_hoods = 0 THEN 'PASS' ELSE 'WARN' END, '0', CAST(null_hoods AS VARCHAR) FROM x
-UNION ALL SELECT city, 'pulse_score_range', 'agg_hourly_pulse', CASE WHEN bad_pulse = 0 THEN 'PASS' ELSE 'FAIL' END, '0-100', CAST(bad_pulse AS VARCHAR) FROM x
-"""))
+"""
+
+
+def report_sql(p, lead=""):
+    """The report's rows; ``lead`` gives columns before them, with {i} the check's place."""
+    rows = [("stg_trips_not_empty", "stg_taxi_trips", "stg_trips > 0", "FAIL", ">0", "stg_trips"),
+            ("hourly_coverage", "agg_hourly_pulse", f"hours_covered >= {p.hours_covered_min}", "WARN", f">={p.hours_covered_min} hours", "hours_covered"),
+            ("no_negative_fares", "stg_taxi_trips", "neg_fares = 0", "FAIL", "0", "neg_fares"),
+            ("no_null_neighborhoods", "stg_taxi_trips", "null_hoods = 0", "WARN", "0", "null_hoods"),
+            ("pulse_score_range", "agg_hourly_pulse", "bad_pulse = 0", "FAIL", "0-100", "bad_pulse")]
+    return " UNION ALL ".join(f"SELECT {lead.replace('{i}', str(i))}city, '{n}' AS check_name, '{t}' AS table_name, CASE WHEN {ok} THEN 'PASS' ELSE '{bad}' END AS status, "
+                              f"'{e}' AS expected, CAST({a} AS VARCHAR) AS actual FROM x" for i, (n, t, ok, bad, e, a) in enumerate(rows, 1))
+
+
+# the check log of the loads, one by one
+LOAD_DQ = DQ_CTES.replace("SELECT city, ", "SELECT load, city, ").replace("FROM ff GROUP BY city", "FROM ff_l GROUP BY load, city")
+
+
+def recent_sql(p):
+    return with_base(p, LOAD_ROWS + REPORT_CTES + LOAD_DQ + f"""
+, log AS (
+  SELECT 'city_pulse_backfill-' || CAST(load AS VARCHAR) AS run_id, load AS moment, check_seq, city, check_name, table_name, status, expected, actual FROM dq_log
+  UNION ALL {report_sql(p, f"'city_pulse_daily-{p.as_of_date}' AS run_id, 99 AS moment, {{i}} AS check_seq, ")})
+SELECT * EXCLUDE (moment) FROM (SELECT * FROM log ORDER BY moment DESC, city DESC, check_seq DESC LIMIT {p.dq_recent_n})""")
+
+
+@register("dq_recent", recent_sql)
+def dq_recent(ws):
+    log = ETL.check_log(ws.spark, ws.loads.base)
+    return SV.dq_recent(log, ws.params.dq_recent_n).select("run_id", "city", "check_seq", "check_name", "table_name", "status", "expected", "actual")
+
+
+@register("dq_warehouse_report", lambda p: with_base(p, REPORT_CTES + report_sql(p)))
 def dq_warehouse_report(ws):
-    return Q.warehouse_report(ws.staged, ws.hourly, ws.params)
+    return Q.warehouse_checks(ws.stored.read(ETL.TOTALS), ws.mart(ETL.HOURLY), ws.params).drop("check_seq")

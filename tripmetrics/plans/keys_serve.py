@@ -5,40 +5,44 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
-from ..operators import marts as M
-from ..operators import quality as Q
 from ..operators import reshape as RS
 from ..operators import runs as RU
 from ..operators import serve as SV
-from ..operators.runs import RUN_COLUMNS
+from . import etl as ETL
 from .catalog import JANUARY, register
+from .keys_fold import LOAD_ROWS
 from .keys_marts import WI_SQL
 from .keys_quality import DQ_CTES
-from .oracle import R, TS, cols_sql, with_base
+from .oracle import R, cols_sql, with_base
+from .runlog import RunLog
 
 R6 = lambda x: R(x, 6)
 
+# The log of the job's runs, as it must be; its times are the clock's and not compared.
+# One load of everything: a run a city.
 RUNS_CTE = """
+, runs AS (SELECT 'city_pulse-0:' || city AS run_id, city, count(*) AS rows_extracted FROM raw_trips GROUP BY city)
+"""
+# Load by load: a run a city and load, and one for each load and for the daily roll-up.
+LOADS_CTE = LOAD_ROWS + """
 , runs0 AS (
-  SELECT r.city, r.batch_id, r.rows_extracted, coalesce(c.rows_loaded, 0) AS rows_loaded,
-    (r.city = 'ASIA' AND r.batch_id = 3) AS failed,
-    TIMESTAMP '{asof}' + to_hours(r.batch_id) AS started_at
-  FROM (SELECT city, batch_id, count(*) AS rows_extracted FROM raw_trips GROUP BY ALL) r
-  LEFT JOIN (SELECT city, batch_id, count(*) AS rows_loaded FROM clean GROUP BY ALL) c USING (city, batch_id)),
+  SELECT r.batch_id, r.city, r.n AS rows_extracted, coalesce(c.n, 0) AS rows_loaded, coalesce(s.n, 0) AS rows_inserted
+  FROM (SELECT batch_id, city, count(*) AS n FROM raw_l GROUP BY ALL) r
+  LEFT JOIN (SELECT batch_id, city, count(*) AS n FROM clean_l GROUP BY ALL) c ON c.batch_id = r.batch_id AND c.city = r.city
+  LEFT JOIN (SELECT batch_id, city, count(*) AS n FROM staged GROUP BY ALL) s ON s.batch_id = r.batch_id AND s.city = r.city),
+runs1 AS (SELECT *, 'city_pulse_backfill-' || CAST(batch_id AS VARCHAR) AS load_run FROM runs0),
 runs AS (
-  SELECT city || '-' || CAST(batch_id AS VARCHAR) AS run_id, 'incremental' AS dag_id, 'transform_load' AS task_id, city,
-    CASE WHEN failed THEN 'failed' ELSE 'success' END AS status, started_at,
-    started_at + INTERVAL 10 MINUTE AS finished_at,
-    CASE WHEN failed THEN 0 ELSE rows_extracted END AS rows_extracted,
-    CASE WHEN failed THEN 0 ELSE rows_loaded END AS rows_loaded,
-    CASE WHEN failed THEN 0 ELSE rows_extracted - rows_loaded END AS rows_rejected,
-    CASE WHEN failed THEN 'transform failed' END AS error_message
-  FROM runs0)
+  SELECT load_run || ':' || city AS run_id, 'city_pulse_backfill' AS dag_id, 'transform_load' AS task_id, city, 'success' AS status,
+    rows_extracted, rows_loaded, rows_extracted - rows_loaded AS rows_rejected, rows_inserted, batch_id FROM runs1
+  UNION ALL SELECT load_run, 'city_pulse_backfill', 'transform_load', NULL, 'success', CAST(sum(rows_extracted) AS BIGINT), CAST(sum(rows_loaded) AS BIGINT),
+    CAST(sum(rows_extracted - rows_loaded) AS BIGINT), CAST(sum(rows_inserted) AS BIGINT), batch_id FROM runs1 GROUP BY load_run, batch_id
+  UNION ALL SELECT 'city_pulse_daily-{asof}', 'city_pulse_daily', 'daily_rollup', NULL, 'success', 0, 0, 0, 0, NULL)
 """
+RUN_OUT = ["run_id", "dag_id", "task_id", "city", "status", "rows_extracted", "rows_loaded", "rows_rejected", "rows_inserted"]
 
 
-def runs_sql(p, tail):
-    return with_base(p, RUNS_CTE.replace("{asof}", p.as_of_ts) + tail)
+def loads_sql(p, tail):
+    return with_base(p, LOADS_CTE.replace("{asof}", p.as_of_date) + tail)
 
 
 PATTERN = """
@@ -63,7 +67,7 @@ NB_TOTALS = f"""
 
 
 def pattern(ws):
-    return SV.weekday_pattern(ws.hourly)
+    return SV.weekday_pattern(ws.mart(ETL.HOURLY))
 
 
 # -- read queries -----------------------------------------------------------
@@ -77,7 +81,7 @@ def weekday_pattern(ws):
 
 
 def _nb_totals(ws):
-    t = SV.neighborhood_totals(ws.neighborhood)
+    t = SV.neighborhood_totals(ws.mart(ETL.NEIGHBORHOOD))
     return t.select("city", "neighborhood", "total_trips", C.rnd("avg_fare", 6).alias("avg_fare"),
                     "total_revenue", C.rnd("avg_distance", 6).alias("avg_distance"))
 
@@ -89,36 +93,45 @@ def neighborhood_totals(ws):
 
 @register("top_hours", lambda p: with_base(p, HOUR_PROFILE.replace("{n}", str(p.top_hours_n)) + "SELECT * FROM top"))
 def top_hours(ws):
-    return SV.top_hours(ws.hourly, ws.params.top_hours_n)
+    return SV.top_hours(ws.mart(ETL.HOURLY), ws.params.top_hours_n)
 
 
 @register("kpi_busiest_hour", lambda p: with_base(p, HOUR_PROFILE.replace("{n}", "24") + """
 SELECT city, hour AS busiest_hour, avg_trips AS max_avg_trips FROM (
   SELECT *, row_number() OVER (PARTITION BY city ORDER BY avg_trips DESC, hour) AS rn FROM hp) WHERE rn = 1"""))
 def kpi_busiest_hour(ws):
-    return SV.busiest_hour(ws.hourly)
+    return SV.busiest_hour(ws.mart(ETL.HOURLY))
 
 
-@register("kpis", lambda p: runs_sql(p, HOUR_PROFILE.replace("{n}", "24") + f"""
+@register("kpis", lambda p: with_base(p, RUNS_CTE + HOUR_PROFILE.replace("{n}", "24") + f"""
 , bh AS (SELECT city, hour AS busiest_hour FROM (
   SELECT *, row_number() OVER (PARTITION BY city ORDER BY avg_trips DESC, hour) AS rn FROM hp) WHERE rn = 1),
 st AS (SELECT city, count(*) AS total_trips, CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_revenue,
          coalesce({R6('avg(fare_amount)')}, 0.0E0) AS avg_fare,
          coalesce({R6('avg(speed_mph) FILTER (WHERE speed_mph > 0)')}, 0.0E0) AS avg_speed FROM staged GROUP BY city),
-rn AS (SELECT city, count(*) FILTER (WHERE status = 'success') AS pipeline_runs,
-         max(finished_at) FILTER (WHERE status = 'success') AS last_run FROM runs GROUP BY city)
-SELECT st.city, total_trips, total_revenue, avg_fare, avg_speed, coalesce(pipeline_runs, 0) AS pipeline_runs,
-  {TS('last_run')} AS last_run, busiest_hour
+rn AS (SELECT city, count(*) AS pipeline_runs, max(run_id) AS last_run_id FROM runs GROUP BY city)
+SELECT st.city, total_trips, total_revenue, avg_fare, avg_speed, coalesce(pipeline_runs, 0) AS pipeline_runs, last_run_id, busiest_hour
 FROM st LEFT JOIN rn ON rn.city = st.city LEFT JOIN bh ON bh.city = st.city"""))
 def kpis(ws):
-    return SV.kpis(ws.staged, RU.run_log(ws.raw_trips, ws.clean, ws.params), ws.hourly)
+    return _kpis(ws).drop("last_run")
+
+
+def _runs(ws, loads=False):
+    wh = ws.loads if loads else ws.stored
+    return RunLog(ws.spark, wh.base).latest()
+
+
+def _kpis(ws):
+    return SV.kpis(ws.stored.read(ETL.TOTALS), _runs(ws), ws.mart(ETL.HOURLY))
+
+
+def _marts(ws):
+    return {"agg_hourly": ws.mart(ETL.HOURLY), "agg_daily": ws.mart(ETL.DAILY), "agg_nbhd": ws.mart(ETL.NEIGHBORHOOD)}
 
 
 def _data_counts(ws):
-    tables = {"raw_trips": ws.raw_trips, "stg_trips": ws.staged, "agg_hourly": ws.hourly,
-              "agg_daily": ws.daily, "agg_nbhd": ws.neighborhood, "weather_rows": ws.staged_weather,
-              "pipeline_runs": RU.run_log(ws.raw_trips, ws.clean, ws.params)}
-    return SV.data_counts(tables, Q.dq_log(ws.dq_counts))
+    tables = _marts(ws) | {"pipeline_runs": _runs(ws).where("city is not null")}
+    return SV.data_counts(ws.stored.read(ETL.TOTALS), tables, ETL.check_log(ws.spark, ws.stored.base))
 
 
 DATA_COUNTS_SQL = """
@@ -138,13 +151,13 @@ dc AS (SELECT city,
   CAST(coalesce(sum(n) FILTER (WHERE metric = 'agg_nbhd'), 0) AS BIGINT) AS agg_nbhd,
   CAST(coalesce(sum(n) FILTER (WHERE metric = 'weather_rows'), 0) AS BIGINT) AS weather_rows,
   CAST(coalesce(sum(n) FILTER (WHERE metric = 'pipeline_runs'), 0) AS BIGINT) AS pipeline_runs,
-  (SELECT CAST(count(*) AS BIGINT) FROM dq_log) AS dq_checks
+  (SELECT CAST(count(*) AS BIGINT) FROM dq_log) + 5 * (SELECT count(*) FROM (SELECT city FROM raw_trips UNION SELECT city FROM weather)) AS dq_checks
   FROM dc_u GROUP BY city)
 """
 
 
 def data_counts_sql(p, tail):
-    return with_base(p, DQ_CTES + RUNS_CTE.replace("{asof}", p.as_of_ts) + DATA_COUNTS_SQL + tail)
+    return with_base(p, DQ_CTES + RUNS_CTE + DATA_COUNTS_SQL + tail)
 
 
 @register("data_counts", lambda p: data_counts_sql(p, "SELECT * FROM dc"))
@@ -154,7 +167,7 @@ def data_counts(ws):
 
 @register("available_cities", lambda p: with_base(p, "SELECT city, count(*) AS trip_count FROM staged GROUP BY city"))
 def available_cities(ws):
-    return SV.available_cities(ws.staged)
+    return SV.available_cities(ws.stored.read(ETL.TOTALS))
 
 
 @register("city_catalog", lambda p: with_base(p, """
@@ -162,12 +175,12 @@ def available_cities(ws):
 SELECT d.city, d.display_name, d.country, d.currency, av.trip_count IS NOT NULL AS has_data,
   CAST(coalesce(av.trip_count, 0) AS BIGINT) AS trip_count FROM dim_city d LEFT JOIN av ON av.city = d.city"""))
 def city_catalog(ws):
-    return SV.city_catalog(ws.dims.city, ws.staged)
+    return SV.city_catalog(ws.dims.city, ws.stored.read(ETL.TOTALS))
 
 
 @register("hours_covered", lambda p: with_base(p, "SELECT city, count(DISTINCT hour) AS hours_covered FROM hourly GROUP BY city"))
 def hours_covered(ws):
-    return SV.hours_covered(ws.hourly)
+    return SV.hours_covered(ws.mart(ETL.HOURLY))
 
 
 def _days_back(p, days):
@@ -178,13 +191,13 @@ def _days_back(p, days):
 @register("recent_hourly", lambda p: with_base(p, f"SELECT * FROM hourly WHERE date >= '{_days_back(p, p.recent_hourly_days)}'"))
 def recent_hourly(ws):
     p = ws.params
-    return SV.recent_hourly(ws.hourly_since(SV.days_back(p, p.recent_hourly_days)), p, p.recent_hourly_days)
+    return SV.recent_hourly(ws.mart(ETL.HOURLY, SV.days_back(p, p.recent_hourly_days)), p, p.recent_hourly_days)
 
 
 @register("recent_daily", lambda p: with_base(p, f"SELECT * FROM daily WHERE date >= '{_days_back(p, p.recent_daily_days)}'"))
 def recent_daily(ws):
     p = ws.params
-    return SV.recent_daily(ws.daily_since(SV.days_back(p, p.recent_daily_days)), p, p.recent_daily_days)
+    return SV.recent_daily(ws.mart(ETL.DAILY, SV.days_back(p, p.recent_daily_days)), p, p.recent_daily_days)
 
 
 RECENT_WI = """
@@ -194,7 +207,7 @@ RECENT_WI = """
 
 
 def _wi(ws):
-    return M.weather_impact(ws.hourly_since(M.week_start(ws.params)), ws.staged_weather, ws.params)
+    return ws.mart(ETL.IMPACT)
 
 
 @register("recent_weather_impact", lambda p: with_base(p, WI_SQL + RECENT_WI.replace("{n}", str(p.recent_weather_n))
@@ -220,19 +233,19 @@ def _staged_cols():
 SELECT {cols_sql(_staged_cols())} FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY pickup_datetime DESC, trip_id) AS rn
   FROM staged) WHERE rn <= {p.recent_trips_n}"""))
 def recent_trips(ws):
-    return SV.recent_trips(ws.staged, ws.params.recent_trips_n)
+    return SV.recent_trips(ws.stored_trips, ws.params.recent_trips_n)
 
 
-@register("run_history", lambda p: runs_sql(p, f"""
-SELECT {cols_sql(RUN_COLUMNS, ts=('started_at', 'finished_at'))} FROM (
-  SELECT *, row_number() OVER (PARTITION BY city ORDER BY started_at DESC, run_id) AS rn FROM runs) WHERE rn <= {p.run_history_n}"""))
+@register("run_history", lambda p: loads_sql(p, f"""
+SELECT {', '.join(RUN_OUT)} FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY batch_id DESC) AS rn FROM runs WHERE city IS NOT NULL)
+WHERE rn <= {p.run_history_n}"""))
 def run_history(ws):
-    return SV.run_history(RU.run_log(ws.raw_trips, ws.clean, ws.params), ws.params.run_history_n)
+    return SV.run_history(_runs(ws, loads=True).where("city is not null"), ws.params.run_history_n).select(*RUN_OUT)
 
 
-@register("run_latest", lambda p: runs_sql(p, f"SELECT {cols_sql(RUN_COLUMNS, ts=('started_at', 'finished_at'))} FROM runs"))
+@register("run_latest", lambda p: loads_sql(p, f"SELECT {', '.join(RUN_OUT)}, TRUE AS finished FROM runs"))
 def run_latest(ws):
-    return RU.run_latest(RU.run_events(RU.run_log(ws.raw_trips, ws.clean, ws.params)))
+    return _runs(ws, loads=True).select(*RUN_OUT, (F.col("finished_at") >= F.col("started_at")).alias("finished"))
 
 
 @register("top_neighborhoods", lambda p: with_base(p, NB_TOTALS + f"""
@@ -264,15 +277,13 @@ w AS (SELECT city,
   FROM c GROUP BY city)
 SELECT *, raw_trips - stg_trips_loaded AS rows_rejected FROM w"""))
 def run_stats(ws):
-    return RU.run_stats(ws.raw_trips, ws.weather, ws.clean, ws.staged, ws.hourly, ws.neighborhood, ws.daily,
-                        ws.staged_weather)
+    return SV.run_stats(ws.stored.read(ETL.TOTALS), {f"{k}_rows": v for k, v in _marts(ws).items()})
 
 
-@register("batch_stats", lambda p: with_base(p, """
-SELECT city, CAST(sum(cnt) AS BIGINT) AS total_loaded, count(*) AS chunks
-FROM (SELECT city, batch_id, count(*) AS cnt FROM clean GROUP BY ALL) GROUP BY city"""))
+@register("batch_stats", lambda p: loads_sql(p, """
+SELECT city, CAST(sum(rows_loaded) AS BIGINT) AS total_loaded, count(*) AS chunks FROM runs WHERE city IS NOT NULL GROUP BY city"""))
 def batch_stats(ws):
-    return RU.batch_stats(ws.clean)
+    return RU.batch_stats(_runs(ws, loads=True))
 
 
 @register("status_summary", lambda p: data_counts_sql(p, HOUR_PROFILE.replace("{n}", "24") + f"""
@@ -280,16 +291,12 @@ def batch_stats(ws):
   SELECT *, row_number() OVER (PARTITION BY city ORDER BY avg_trips DESC, hour) AS rn FROM hp) WHERE rn = 1),
 st AS (SELECT city, count(*) AS total_trips, CAST(coalesce(sum(CAST(total_amount AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_revenue,
          coalesce({R6('avg(fare_amount)')}, 0.0E0) AS avg_fare FROM staged GROUP BY city),
-rl AS (SELECT city, max(finished_at) FILTER (WHERE status = 'success') AS last_run,
-         count(*) AS history_rows FROM runs GROUP BY city)
-SELECT dc.*, st.total_trips, st.total_revenue, st.avg_fare, bh.busiest_hour, {TS('rl.last_run')} AS last_run,
-  CAST(rl.history_rows AS BIGINT) AS history_rows
+rl AS (SELECT city, max(run_id) AS last_run_id, count(*) AS history_rows FROM runs GROUP BY city)
+SELECT dc.*, st.total_trips, st.total_revenue, st.avg_fare, bh.busiest_hour, rl.last_run_id, CAST(rl.history_rows AS BIGINT) AS history_rows
 FROM dc LEFT JOIN st ON st.city = dc.city LEFT JOIN bh ON bh.city = dc.city LEFT JOIN rl ON rl.city = dc.city"""))
 def status_summary(ws):
-    runs = RU.run_log(ws.raw_trips, ws.clean, ws.params)
-    k = SV.kpis(ws.staged, runs, ws.hourly).select("city", "total_trips", "total_revenue", "avg_fare",
-                                                   "busiest_hour", "last_run")
-    hist = runs.groupBy("city").agg(F.count(F.lit(1)).alias("history_rows"))
+    k = _kpis(ws).select("city", "total_trips", "total_revenue", "avg_fare", "busiest_hour", "last_run_id")
+    hist = SV.run_history(_runs(ws).where("city is not null"), ws.params.run_history_n).groupBy("city").agg(F.count(F.lit(1)).alias("history_rows"))
     return _data_counts(ws).join(k, "city", "left").join(hist, "city", "left")
 
 
@@ -342,4 +349,4 @@ SELECT city, hour, avg_pulse, CAST(row_number() OVER (PARTITION BY city ORDER BY
   {R('avg_pulse / CASE WHEN max(avg_pulse) OVER (PARTITION BY city) IS NULL OR max(avg_pulse) OVER (PARTITION BY city) = 0 THEN 1.0E0 ELSE max(avg_pulse) OVER (PARTITION BY city) END * 100', 1)} AS share_pct
 FROM top"""))
 def top_hours_share(ws):
-    return RS.top_hours_share(SV.top_hours(ws.hourly, ws.params.top_hours_n))
+    return RS.top_hours_share(SV.top_hours(ws.mart(ETL.HOURLY), ws.params.top_hours_n))

@@ -1,8 +1,10 @@
-"""Lazy plan assembly over one set of input tables.
+"""Plan assembly over one set of input tables.
 
-``Workspace`` wires sources -> cleaning -> quality -> marts as DataFrame
-plans.  Nothing here runs a job: every attribute is a lazy plan, built
-once per workspace, and each query key picks the plans it needs.
+``Workspace`` wires sources -> cleaning -> quality -> marts as lazy DataFrame
+plans, built once per workspace; each query key picks the plans it needs.
+Two things run jobs when first asked for: the raw layer is landed, and the
+stored tables that read queries use are made by the ETL job, once for all
+records as one load (``stored``) and once load by load (``loads``).
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ from ..session import scratch_path
 from ..settings import Params
 from ..sources import adapters as A
 from ..sources.dims import Dims, fixture_dims
+from . import etl as ETL
+from .warehouse import Warehouse
 
 
 class Workspace:
@@ -98,6 +102,38 @@ class Workspace:
     def batch_cube(self) -> DataFrame:
         return M.trip_cube(self.clean, ["batch_id"])
 
+    # -- stored tables -----------------------------------------------------
+    @cached_property
+    def stored(self) -> Warehouse:
+        """The warehouse after all records as one load and a daily roll-up."""
+        out = scratch_path(self.spark, "warehouse")
+        ETL.run_etl(self.spark, self.raw_trips, self.raw_weather, out, self.dims, self.params, 0)
+        ETL.run_daily(self.spark, out, self.params)
+        return Warehouse(self.spark, out)
+
+    @cached_property
+    def loads(self) -> Warehouse:
+        """The warehouse after a backfill of the fixture's loads one by one;
+        each load also sends again a tenth of the one before."""
+        out = scratch_path(self.spark, "warehouse-loads")
+        order = F.split("trip_id", "-")[0].cast("long")
+        again = lambda b: (F.col("batch_id") == b - 1) & (order % 10 == 0)
+        chunks = [(b, self.raw_trips.where((F.col("batch_id") == b) | again(b)), self.raw_weather) for b in range(A.N_BATCHES)]
+        ETL.run_backfill(self.spark, chunks, out, self.dims, self.params)
+        return Warehouse(self.spark, out)
+
+    def mart(self, name: str, since: str | None = None, loads: bool = False) -> DataFrame:
+        """A stored mart; with ``since`` only its days from there on are opened."""
+        return (self.loads if loads else self.stored).read(name, since).drop("computed_at")
+
+    @property
+    def stored_trips(self) -> DataFrame:
+        return ETL.staged_trips(self.stored, self.clean).drop("load_id", "loaded_at")
+
+    @property
+    def stored_weather(self) -> DataFrame:
+        return ETL.staged_weather(self.stored, self.weather).drop("load_id", "loaded_at")
+
     # -- staging -----------------------------------------------------------
     @cached_property
     def staged(self) -> DataFrame:
@@ -111,13 +147,28 @@ class Workspace:
 _LANDED: dict = {}
 
 
+def fingerprint(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input tables' files, so that what was
+    made from other files is never taken for theirs."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out, todo = [], list(fs.listStatus(path))
+    while todo:
+        f = todo.pop()
+        if f.isDirectory():
+            todo += fs.listStatus(f.getPath())
+        else:
+            out.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(out))
+
+
 def land(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """The raw layer: records mapped from the input tables are written once
-    per session to the shared scratch folder and read back, as the original
-    lands raw records before transforming them.  Every plan then starts from
-    a plain Parquet scan (parallel, prunable) instead of re-running the
-    mapping joins, and lineage is cut there."""
-    k = (id(spark), sf_dir, name)
+    per session and state of the input files to the shared scratch folder and
+    read back, as the original lands raw records before transforming them.
+    Every plan then starts from a plain Parquet scan (parallel, prunable)
+    instead of re-running the mapping joins, and lineage is cut there."""
+    k = (id(spark), sf_dir, name, fingerprint(spark, sf_dir))
     hit = _LANDED.get(k)
     if hit is not None and hit[0] is spark:
         return spark.read.parquet(hit[1])

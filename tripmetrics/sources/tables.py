@@ -12,23 +12,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, cols: list[str] | No
     return df.select(*cols) if cols else df
 
 
-_SIZE_CHECKS: dict[int, int] = {}
-
-
 def bounded_broadcast(df: DataFrame, max_rows: int, otherwise: str | None = None) -> DataFrame:
     """Broadcast ``df`` only after checking it holds at most ``max_rows`` rows.
 
     Used for dimension tables whose size is bounded by their definition
     (regions, nations, cities).  Above the bound the frame is returned
     unhinted (or with the join hint ``otherwise``, e.g. "merge") and the
-    planner / AQE choose a shuffle join from runtime sizes.  The check (a ``limit(max_rows + 1)`` count) is remembered per plan for
-    the session, so a dimension is measured once, not once per query.
+    planner / AQE choose a shuffle join from runtime sizes.  The check is a
+    ``limit(max_rows + 1)`` count, made each time: a table that has grown is
+    seen to have grown.
     """
-    key = df.semanticHash()
-    n = _SIZE_CHECKS.get(key)
-    if n is None:
-        n = _SIZE_CHECKS[key] = df.limit(max_rows + 1).count()
-    if n <= max_rows:
+    if df.limit(max_rows + 1).count() <= max_rows:
         return F.broadcast(df)
     return df.hint(otherwise) if otherwise else df
 

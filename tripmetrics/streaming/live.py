@@ -7,19 +7,25 @@ a set of new files in a landing folder and a streaming query picks them up
 * ``stream_clean``  - the batch cleaning plan applied to the stream; file sink.
 * ``stream_dedupe`` - insert-or-ignore across runs by ``trip_id`` against
   the staged rows of earlier epochs, for trips of any age.
-* ``stream_hourly`` - hourly windows from the partial sums each micro-batch
-  adds through ``foreachBatch``; no state beside them.
-* ``stream_fold``   - runs merged into the mart by the column rules: each
-  micro-batch writes its partial sums per load in ``foreachBatch``
-  (idempotent per epoch), the mart folds the per-load roll-ups in load
-  order.  No watermark: late rows of any age are added to their hour, as in
-  the original.
+* ``stream_hourly`` - the hourly mart kept up with the stream.
+* ``stream_fold``   - the hourly mart after the loads in the stream, merged by
+  the column rules in load order.
+
+The two marts are stored tables cut by day (``plans.warehouse``), with the sums
+they are made of (per load, hour and neighbourhood) beside them.  A micro-batch
+adds its partial sums to the days it touches, makes those days' mart rows anew
+and commits both in one record named after the epoch, so a replayed epoch
+counts once, a restarted query reads only files it has not seen, and no other
+day is read or written.  There is no watermark: late rows of any age are added
+to their hour, as in the original, and the state is the stored table itself.
 
 All paths are under the shared checkpoint folder.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +33,7 @@ from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
 from ..operators import quality as Q
+from ..plans.warehouse import Warehouse
 from ..session import scratch_path
 from ..settings import Params
 from ..sources.dims import Dims
@@ -89,40 +96,48 @@ def stream_dedupe(spark: SparkSession, landing: str, schema, dims: Dims, params:
     return spark.read.parquet(out).drop("epoch")
 
 
-def _partial_cubes(spark: SparkSession, landing: str, schema, dims: Dims, params: Params, base: str) -> DataFrame:
-    """Drain the landing folder: each micro-batch adds its partial sums, keyed
-    by load id and the cube keys, under ``partials/epoch=<id>`` (overwritten
-    on replay, so a re-delivered epoch counts once).  Streaming state is the
-    list of files read; late rows of any age are added to their hour."""
+CUBE, MART = "stream_cube", "stream_mart"
+CUBE_KEYS = ["batch_id", "city", "date", "hour", "day_of_week", "neighborhood"]
+
+
+def _keep(spark: SparkSession, landing: str, schema, dims: Dims, params: Params, base: str, mart: Callable[[DataFrame], DataFrame]) -> Warehouse:
+    """Drain the landing folder into the stored sums and the mart of them."""
+    wh = Warehouse(spark, base)
+
     def add(batch: DataFrame, epoch: int):
-        M.trip_cube(batch, ["batch_id"]).write.mode("overwrite").parquet(f"{base}/partials/epoch={epoch}")
+        load = f"epoch-{epoch}"
+        if wh.applied(load):
+            return
+        seq, path = wh.next_seq(), f"{base}/_epoch"
+        M.trip_cube(batch, ["batch_id"]).withColumn("date", F.col("day").cast("string")).drop("day").write.mode("overwrite").parquet(path)
+        part = spark.read.parquet(path)
+        days = [r["date"] for r in part.select("date").distinct().collect()]
+        changed = {CUBE: wh.merge(CUBE, part, CUBE_KEYS, dict.fromkeys(M.SUMS, "+"), days, seq)}
+        sums = spark.read.schema(changed[CUBE][1]).parquet(*[f"{base}/{CUBE}/day={d}/v={seq}" for d in days]) if days else part
+        changed[MART] = wh.write(MART, mart(sums.withColumn("day", F.col("date").cast("date"))), seq)
+        wh.commit(load, seq, changed)
 
     q = (clean_stream(_read_stream(spark, landing, schema), dims, params)
          .writeStream.option("checkpointLocation", f"{base}/_checkpoint")
          .foreachBatch(add).trigger(availableNow=True).start())
     _drain(q)
-    return spark.read.parquet(f"{base}/partials").drop("epoch")
+    return wh
 
 
 def stream_hourly(spark: SparkSession, landing: str, schema, dims: Dims, params: Params,
                   state_dir: str | None = None) -> DataFrame:
-    """Hourly windows over all loads: the batch mart of the epochs' partial sums."""
+    """The hourly mart over all records of the stream."""
     base = state_dir or scratch_path(spark, "stream-hourly")
-    return M.hourly_pulse(_partial_cubes(spark, landing, schema, dims, params, base))
+    return _keep(spark, landing, schema, dims, params, base, M.hourly_pulse).read(MART)
 
 
 def stream_fold(spark: SparkSession, landing: str, schema, dims: Dims, params: Params,
                 keys=MG.HOURLY_KEYS, rules=MG.HOURLY_RULES, state_dir: str | None = None) -> DataFrame:
-    """Runs merged into the hourly mart by the column rules: the rule fold
-    over the per-load roll-ups of all partials, so a load split over several
-    micro-batches, or several loads in one, give the same mart.  Partials
-    are pre-aggregated, so the fold reads far fewer rows than the stream.
-    Pass the same ``state_dir`` again to resume: the checkpoint under it
-    makes the restarted query read only files it has not seen.
-    """
+    """The loads in the stream merged into the hourly mart by the column
+    rules, in load order, whether a load came in several micro-batches or
+    several loads in one.  Pass the same ``state_dir`` again to resume."""
     base = state_dir or scratch_path(spark, "stream-fold")
-    partials = _partial_cubes(spark, landing, schema, dims, params, base)
-    return MG.fold(M.hourly_pulse(partials, ["batch_id"]), keys, rules)
+    return _keep(spark, landing, schema, dims, params, base, lambda sums: MG.fold(M.hourly_pulse(sums, ["batch_id"]), keys, rules)).read(MART)
 
 
 def landing_for(spark: SparkSession, trips: DataFrame) -> str:

@@ -54,10 +54,19 @@ def test_warc_odd_rows(spark):
     assert records(spark, pages.limit(0)).count() == 0
 
 
+def test_one_page_id_with_several_urls(spark):
+    """Urls that differ in scheme or host case alone give a row each, not a row per pair."""
+    big = "y" * 200
+    rows = [(1, "http://a.com/x", big), (1, "https://a.com/x", big), (1, "http://A.com/x", "other"), (2, "https://a.com/x", big)]
+    got = records(spark, spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.url) for r in got) == sorted(r[:2] for r in rows)
+    assert [r.record_type for r in got if r.page_id == 2] == ["revisit"]
+
+
 def test_index_blocks(spark, monkeypatch):
     monkeypatch.setattr(warc, "BLOCK_ROWS", 3)
     fs, path = warc.open_fs(warc.folders(spark)[1])
-    caps = spark.createDataFrame([(f"com,h{i % 7})/", i, "f", i, 1) for i in range(100)], "key string, page_id long, file string, at long, size long")
+    caps = spark.createDataFrame([(warc.url_key(f"http://h{i % 7}.com/"), i, "f", i, 1) for i in range(100)], "key string, page_id long, file string, at long, size long")
     want = spark.createDataFrame([(f"http://h{i % 7}.com/", i) for i in range(100)] + [("http://none.com/", 3)], "url string, page_id long")
     folder = warc.folders(spark)[1]
     got = warc.lookup(want, warc.write_index(caps, folder), folder).collect()

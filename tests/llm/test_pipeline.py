@@ -38,6 +38,20 @@ def test_stages_keep_columns_and_odd_rows(spark, odd):
         assert stage(spark, odd.limit(0), SF).count() == 0
 
 
+def test_texts_decide_not_ids(spark):
+    """Two texts under one id both stay; rows without an id are judged by their text."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").where("length(text) > 60").first().text
+    one, two = ("alpha beta gamma delta epsilon zeta eta theta iota kappa", "entirely other words that share nothing with the first line here")
+    rows = [(1, one), (1, two), (1, one), (None, one), (2, two), (None, "words without an id of their own stay too"), (None, f"Before it. {item} After it."), (3, f"Also here: {item}")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t), "x") for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, row_key string")
+    once = corpus_pipeline.near_duplicates(spark, docs, SF)
+    got = sorted(((r.doc_id, r.text) for r in once.collect()), key=str)
+    assert once.columns == docs.columns
+    assert [x for x in got if item not in x[1]] == [(1, one), (1, two), (None, rows[5][1])]
+    clean = {(r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, SF).collect()}
+    assert clean == {(i, t) for i, t in rows if item not in t}
+
+
 def test_pipeline(spark, docs):
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, SF).collect()}
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}

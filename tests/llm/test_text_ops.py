@@ -38,6 +38,11 @@ def brute_links(rows):
     return {d: (find(d), links[d]) for d, _ in sets}
 
 
+def test_language_of_marks_alone():
+    m = langid.Model(["a", "b"], np.zeros((langid.BUCKETS, 2)), np.zeros(2))
+    assert [m.predict(t)[0] for t in ("² ½ ¼", "١٢ ⅷ _", "12 !", "½ x", "漢")] == ["und"] * 3 + ["a"] * 2
+
+
 def test_jaccard_equals_brute_force(spark, docs):
     got = {r.doc_id: (r.class_id, r.n_links) for r in QUERIES["op4_jaccard_join"](spark, SF).collect()}
     want = brute_links([(r.doc_id, r.text) for r in docs.collect()])

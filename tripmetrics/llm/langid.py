@@ -27,10 +27,14 @@ GRAMS = (1, 2, 3)
 MAX_FIT_ROWS = 20_000
 MAX_LANGUAGES = 500
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter; digits of any kind, superscripts and fractions are none."""
+    return any(map(str.isalpha, text))
+
+
 def grams(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, counts) of the lower-cased text's character n-grams; every
     run of other characters than letters counts as one space."""
@@ -61,7 +65,7 @@ class Model:
         self.languages, self.logp, self.prior = languages, logp, prior
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         at, n = grams(text)
         s = self.prior + n @ self.logp[at]
@@ -80,7 +84,7 @@ def fit(rows: DataFrame, text: str, lang: str, key: str) -> Model:
         sums, docs = {}, {}
         for b in batches:
             for t, lang_ in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                if _LETTER.search(t):
+                if has_letter(t):
                     at, n = grams(t)
                     sums.setdefault(lang_, np.zeros(BUCKETS, np.int64))[at] += n
                     docs[lang_] = docs.get(lang_, 0) + 1

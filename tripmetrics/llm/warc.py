@@ -41,17 +41,20 @@ LEAST_REVISIT = 100
 BLOCK_ROWS = 512
 FILE_BYTES = 1 << 30
 END = b"CAPIDX1\n"
+KEY_END = "\x00"
 #: One date for all records, so that equal inputs give equal archives.
 DATE = "2024-01-01T00:00:00Z"
 _URL = re.compile(r"^[^:/?#]*://([^/?#]*)(.*)$", re.S)
 
 
 def url_key(url: str | None) -> str:
-    """Reversed host, then the rest: ``com,example,www)/path?query``."""
+    """Reversed host, then the rest: ``com,example,www)/path?query``; behind
+    it the url itself, so that urls which differ in scheme or in the host's
+    case alone are told apart."""
     m = _URL.match(url or "")
     if not m:
         return url or ""
-    return ",".join(reversed(m[1].lower().split("."))) + ")" + m[2]
+    return ",".join(reversed(m[1].lower().split("."))) + ")" + m[2] + KEY_END + url
 
 
 def record(page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers: int | None) -> bytes:

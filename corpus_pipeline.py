@@ -34,18 +34,24 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each linked group stays (one row
-    of it); rows with a null id stay."""
-    keep = jaccard.join(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    known = docs.where(F.col("doc_id").isNotNull())
-    first = known.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Of each linked group of texts the document with the smallest id stays
+    (a null id last), once.  Rows are told apart by id and text, so different
+    texts under one id, or under none, are documents of their own."""
+    key, group, best = (fresh(docs.columns, c) for c in ("row_key", "row_class", "row_best"))
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    of = jaccard.join(keyed.select(key, "text"), key, "text").select(F.col("doc_id").alias(key), F.col("class_id").alias(group)).distinct()
+    order = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key))
+    keep = keyed.select(key, "doc_id").join(of, key).groupBy(group).agg(F.min(order).alias(best)).select(F.col(f"{best}.{key}").alias(key))
+    return keyed.join(keep, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    found = decontam.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("contaminated").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """Documents that hold a benchmark item go; judged by their text, so rows
+    without an id, or with one that other texts have too, are judged as well."""
+    key = fresh(docs.columns, "row_key")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    found = decontam.contaminated(keyed.select(key, "text"), table(spark, sf_dir, "benchmark"), key, "text")
+    return keyed.join(found.where("contaminated").select(F.col("doc_id").alias(key)).distinct(), key, "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,12 +144,13 @@ class WordTokenizer(Tokenizer):
             yield from self._run(texts.slice(a, b - a + 1))
 
     def _run(self, texts) -> Iterator[np.ndarray]:
-        if self.rows > MEMO_WORDS:
+        if len(self.memo) > MEMO_WORDS:
             self._clear()
         cuts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = cuts.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
         self._learn([w for w in words if w not in self.memo])
+        self.memo.new = []
         rows = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
         size = self.size[rows]
         end = np.cumsum(size)

@@ -30,7 +30,7 @@ from __future__ import annotations
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from .bpe import Splitter
 from .common import attempt_name, col, materialize, open_fs, partitions, prepare, shared_dir
 
-BLOCK_IDS = 1 << 20
-MAX_LANES = 4096
+BLOCK_IDS = 1 << 22
+MAX_LANES = 16384
 LEAST_STEPS = 64
 REFRESH = 4                    # order 0 is rebuilt when a fourth more steps are known
 BITS, BASE_BITS = 24, 22       # total of the mixture; total of order 0
@@ -290,6 +290,20 @@ def read_file(f, size: int, vocabulary: int) -> Iterator[tuple[int | None, int,
         start += n
 
 
+class Memo(dict):
+    """Rows of words; a word that is looked up for the first time gets the
+    next row and is noted in ``new``."""
+
+    def __init__(self):
+        super().__init__()
+        self.new = []
+
+    def __missing__(self, word: str) -> int:
+        row = self[word] = len(self)
+        self.new.append(word)
+        return row
+
+
 class Tokenizer:
     """The tokenizers library behind a bounded memo of split matches: its
     byte-level vocabulary cuts text by ``pattern`` before any merge, so the
@@ -312,17 +326,16 @@ class Tokenizer:
         self._clear()
 
     def _clear(self) -> None:
-        self.memo, self.rows, self.used = {}, 0, 0
+        self.memo, self.used = Memo(), 0
         self.pool, self.start, self.size = np.empty(1 << 16, self.kind), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
 
     def _keep(self, words: list[str], ids: np.ndarray, size: np.ndarray) -> None:
-        self.memo.update(zip(words, range(self.rows, self.rows + len(words)), strict=True))
+        rows = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))
         self.pool = _room(self.pool, self.used + len(ids))
-        self.start, self.size = (_room(a, self.rows + len(words)) for a in (self.start, self.size))
+        self.start, self.size = (_room(a, len(self.memo)) for a in (self.start, self.size))
         self.pool[self.used:self.used + len(ids)] = ids
-        self.start[self.rows:self.rows + len(words)] = self.used + np.cumsum(size) - size
-        self.size[self.rows:self.rows + len(words)] = size
-        self.rows += len(words)
+        self.start[rows] = self.used + np.cumsum(size) - size
+        self.size[rows] = size
         self.used += len(ids)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
@@ -330,13 +343,14 @@ class Tokenizer:
 
     def _learn(self, words: list[str]) -> None:
         plain = [w for w in words if w[0] == " " and w[1:].isalpha()]
+        other = words
         if plain:
             ids = self._library(["".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)])
             ids = np.fromiter(chain.from_iterable(ids), self.kind)
             at = np.flatnonzero(self.opens[ids])
             if len(at) == len(plain):
                 self._keep(plain, ids, np.diff(at, append=len(ids)))
-        other = [w for w in words if w not in self.memo]
+                other = [w for w in words if w[0] != " " or not w[1:].isalpha()]
         if other:
             ids = self._library(other)
             self._keep(other, np.fromiter(chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64))
@@ -353,19 +367,18 @@ class Tokenizer:
         yield from self._encode(some)
 
     def _encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
-        if self.rows > MEMO_WORDS:
+        if len(self.memo) > MEMO_WORDS:
             self._clear()
         cuts = [self.splitter.tree(t) if t else [] for t in texts]
-        flat = list(chain.from_iterable(cuts))
-        rows = np.fromiter(map(self.memo.get, flat, repeat(-1)), np.int64, len(flat))
-        new = np.flatnonzero(rows < 0).tolist()
-        if new:
-            self._learn(list(dict.fromkeys(flat[i] for i in new)))
-            rows[new] = [self.memo[flat[i]] for i in new]
+        count = np.fromiter(map(len, cuts), np.int64, len(cuts))
+        rows = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(cuts)), np.int64, int(count.sum()))
+        if self.memo.new:
+            self._learn(self.memo.new)
+            self.memo.new = []
         size = self.size[rows]
         end = np.cumsum(size)
         ids = self.pool[np.repeat(self.start[rows] - end + size, size) + np.arange(size.sum())]
-        ends = np.concatenate([[0], end])[np.cumsum([len(c) for c in cuts])].tolist()
+        ends = np.concatenate([[0], end])[np.cumsum(count)].tolist()
         for a, b in zip([0, *ends], ends, strict=False):
             yield ids[a:b]
 

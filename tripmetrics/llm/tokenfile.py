@@ -33,6 +33,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ BITS, BASE_BITS = 24, 22       # total of the mixture; total of order 0
 HASH_BITS = 18
 COARSE = 6                     # order 0 is searched from a table of every 64th position
 MEMO_WORDS = 1_000_000
-RUN_CHARS = 1 << 21            # characters tokenised together
+RUN_CHARS = 1 << 23            # characters tokenised together
 JOINED = 64                    # unseen matches in one text for the library
 SPACE_BYTE = "\u0120"          # how a byte-level vocabulary writes a space
 MAGIC, END_MAGIC = b"TMIDS1", b"TMIDSEND"
@@ -371,7 +372,9 @@ class Tokenizer:
             self._clear()
         cuts = [self.splitter.tree(t) if t else [] for t in texts]
         count = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        rows = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(cuts)), np.int64, int(count.sum()))
+        coded = pa.array(chain.from_iterable(cuts), pa.string(), size=int(count.sum())).dictionary_encode()
+        words = coded.dictionary.to_pylist()    # each distinct word is looked up once
+        rows = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))[coded.indices]
         if self.memo.new:
             self._learn(self.memo.new)
             self.memo.new = []

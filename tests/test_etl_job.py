@@ -226,3 +226,20 @@ def test_totals_equal_the_layers(spark, ws, out):
         assert (t[r.city].stg_trips, t[r.city].revenue) == (r.n, r.r)
     raw = ws.raw_trips.where("batch_id = 0").unionByName(ws.raw_trips.where("batch_id <= 1")).groupBy("city").count().collect()
     assert {r.city: r["count"] for r in raw} == {c: x.raw_trips for c, x in t.items() if x.raw_trips}
+
+
+def test_bad_text_is_quarantined_and_the_rest_replayed(spark, ws, out):
+    """Malformed text, a field of another type and missing text land in the
+    quarantine with their load and file; every other record comes back as it was."""
+    run(spark, ws, out, 0)
+    bad = ['{"trip_id": "x", "fare_amount": ', '{"trip_id": "y", "passenger_count": "many"}', None]
+    rows = spark.createDataFrame([("AFRICA", "feed", t) for t in bad], "city string, source string, raw_json string")
+    etl._landed(rows.unionByName(etl.FD.land_trips(ws.raw_trips.where("batch_id = 1"))), 1, f"{out}/raw_trips", "city")
+    got = etl.replay(spark, out, 1)
+    want = ws.raw_trips.where("batch_id = 1").select(*got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    kept = spark.read.parquet(f"{out}/quarantine").collect()
+    assert sorted((r.raw_json or "", r.reason) for r in kept) == sorted((t or "", "no text" if t is None else "not a record") for t in bad)
+    assert all(r.load_id == 1 and "load_id=1" in r.file and r.ingested_at for r in kept)
+    assert etl.replay(spark, out, 0).count() == ws.raw_trips.where("batch_id = 0").count()
+    assert spark.read.parquet(f"{out}/quarantine").where("load_id = 0").count() == 0

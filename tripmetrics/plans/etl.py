@@ -153,6 +153,15 @@ def readings(wh: Warehouse, since: str | None = None) -> DataFrame | None:
     return None if r is None else r.select("city", "date", "hour", "reading.*")
 
 
+def replay(spark: SparkSession, out_dir: str, load_id: int) -> DataFrame:
+    """The trips of a landed load, decoded from its JSON; rows that are no
+    records are kept whole in ``quarantine``, in place of an earlier replay's."""
+    out = out_dir.rstrip("/")
+    landed = FD.landed_files(spark, f"{out}/raw_trips").where(F.col("load_id") == load_id)
+    (FD.quarantined(landed).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(f"{out}/quarantine"))
+    return FD.replay_trips(landed)
+
+
 def run_daily(spark: SparkSession, out_dir: str, params: Params, dag_id: str = "city_pulse_daily") -> dict:
     """The daily roll-up: weekly trends (merged by their rules), weather impact
     of the trailing window (replaced) and the warehouse report, from the stored

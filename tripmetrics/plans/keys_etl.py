@@ -125,20 +125,41 @@ def normalize_weather_json(ws):
     return FD.normalize_weather_feed(FD.weather_feed_payload(ws.raw_weather))
 
 
+def _landed(ws, name):
+    return FD.landed_files(ws.spark, f"{ws.stored.base}/{name}")
+
+
 @register("raw_land", lambda p: with_base(p, """
-SELECT city, 'trips' AS layer, 'synthetic' AS source, count(*) AS n_rows FROM raw_trips GROUP BY city
-UNION ALL SELECT city, 'weather', 'weather', count(*) FROM weather GROUP BY city"""))
+SELECT city, 'trips' AS layer, 'synthetic' AS source, count(*) AS n_rows, count(*) AS n_records, TRUE AS traced,
+  CAST(sum(CAST(total_amount AS DECIMAL(18,2))) AS DOUBLE) AS amount FROM raw_trips GROUP BY city
+UNION ALL SELECT city, 'weather', 'weather', count(*), count(*), TRUE, CAST(sum(CAST(temp_f AS DECIMAL(18,2))) AS DOUBLE) FROM weather GROUP BY city"""))
 def raw_land(ws):
-    t = FD.land_trips(ws.raw_trips).groupBy("city", "source").agg(F.count(F.lit(1)).alias("n_rows")) \
-        .select("city", F.lit("trips").alias("layer"), "source", "n_rows")
-    w = FD.land_weather(ws.raw_weather).groupBy("city").agg(F.count(F.lit(1)).alias("n_rows")) \
-        .select("city", F.lit("weather").alias("layer"), F.lit("weather").alias("source"), "n_rows")
-    return t.unionByName(w)
+    """What the job landed, read back from its JSON: rows, rows that are
+    records, and a sum over a field of them."""
+    n = F.count(F.lit(1)).alias("n_rows")
+    traced = F.bool_and(F.col("ingested_at").isNotNull() & F.col("file").contains("load_id=")).alias("traced")
+    t = _landed(ws, "raw_trips")
+    good = FD.replay_trips(t).groupBy("city").agg(F.count(F.lit(1)).alias("n_records"), C.money_sum("total_amount").cast("double").alias("amount"))
+    t = t.groupBy("city", "source").agg(n, traced).join(good, "city").select("city", F.lit("trips").alias("layer"), "source", "n_rows", "n_records", "traced", "amount")
+    temp = F.get_json_object("raw_json", "$.temp_f").cast("decimal(18,2)")
+    w = _landed(ws, "raw_weather").groupBy("city").agg(n, F.count(temp).alias("n_records"), traced, F.sum(temp).cast("double").alias("amount"))
+    return t.unionByName(w.select("city", F.lit("weather").alias("layer"), F.lit("weather").alias("source"), "n_rows", "n_records", "traced", "amount"))
 
 
 @register("raw_replay", lambda p: with_base(p, f"SELECT {cols_sql(A.TRIP_COLUMNS)} FROM raw_trips"))
 def raw_replay(ws):
-    return FD.replay_trips(FD.land_trips(ws.raw_trips)).select(*A.TRIP_COLUMNS)
+    return FD.replay_trips(_landed(ws, "raw_trips")).select(*A.TRIP_COLUMNS)
+
+
+# -- dimensions ---------------------------------------------------------------
+
+@register("dim_tables", lambda p: with_base(p, f"""
+SELECT d.city, d.display_name, d.country, d.currency, d.base_fare, d.per_mile_rate, d.per_min_rate, d.speed_day_lo, d.speed_rush_hi, d.speed_night_hi,
+  a.airport FROM dim_city d LEFT JOIN (SELECT city, neighborhood AS airport FROM airports) a ON a.city = d.city"""))
+def dim_tables(ws):
+    """Cities with their tariffs, speed bands and airports."""
+    cols = ["city", "display_name", "country", "currency", "base_fare", "per_mile_rate", "per_min_rate", "speed_day_lo", "speed_rush_hi", "speed_night_hi"]
+    return ws.dims.city.select(*cols).join(ws.dims.airport.withColumnRenamed("neighborhood", "airport"), "city", "left")
 
 
 # -- per-step enrichment (before the quality checks) --------------------------

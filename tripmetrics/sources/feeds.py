@@ -143,6 +143,28 @@ def land_weather(weather: DataFrame, run_city: str | None = None) -> DataFrame:
     return weather.select(city.alias("city"), F.to_json(F.struct(*weather.columns)).alias("raw_json"))
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _decoded(landed: DataFrame) -> DataFrame:
+    schema = T.StructType([*TRIP_RECORD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
+    return landed.withColumn("r", F.from_json("raw_json", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+
+
 def replay_trips(landed: DataFrame) -> DataFrame:
-    """Landed trip JSON back to typed rows (malformed text -> NULL fields)."""
-    return landed.select(F.from_json("raw_json", TRIP_RECORD_SCHEMA).alias("r")).select("r.*")
+    """Landed trip JSON back to typed rows; text that is no record of the
+    schema is left out (``quarantined`` has it)."""
+    return _decoded(landed).where(f"r.{CORRUPT} is null and r is not null").select("r.*").drop(CORRUPT)
+
+
+def quarantined(landed: DataFrame) -> DataFrame:
+    """Landed rows whose text is not a record (malformed, a field of another
+    type, or no text), whole: with their city, source, load and file."""
+    bad = _decoded(landed).where(f"r is null or r.{CORRUPT} is not null")
+    return bad.select(*[c for c in landed.columns], F.when(F.col("raw_json").isNull(), "no text").otherwise("not a record").alias("reason"))
+
+
+def landed_files(spark, path: str) -> DataFrame:
+    """Rows of a landing folder with the file that each one lies in."""
+    rows = spark.read.option("basePath", path).parquet(path)
+    return rows.select("*", F.col("_metadata.file_path").alias("file"))

@@ -85,44 +85,33 @@ def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFra
     out, seq, batch = wh.base, wh.next_seq(), f"{wh.base}/_batches/load={load_id}"
     if "batch_id" not in trips.columns:  # records from a feed: the load is the batch
         trips = trips.withColumn("batch_id", F.lit(load_id).cast("int"))
-    # raw layer: JSON text by load and city; counts a city come from its files' footers
-    seen_trips, extracted = _counted(FD.land_trips(trips), f"trips-{run_id}")
-    raw = _landed(seen_trips, load_id, f"{out}/raw_trips", "city")
-    raw_weather = _landed(FD.land_weather(weather), load_id, f"{out}/raw_weather", "city")
-    cities = [r["city"] for r in raw.select(F.col("city").cast("string").alias("city")).where("city is not null").distinct().collect()]
-    counts.update(dict.fromkeys([None, *cities], (0, 0, 0)))
-
-    # clean + quality: one pass; the batch is written once and read back
-    Q.with_first_fail(CL.enrich_trips(trips, dims), params).write.mode("overwrite").parquet(f"{batch}/enriched")
-    enriched = spark.read.parquet(f"{batch}/enriched")
-    Q.dq_counts(enriched).coalesce(1).write.mode("overwrite").parquet(f"{batch}/dq")
-    dq = spark.read.parquet(f"{batch}/dq")
-    checks = stamped(Q.dq_log(dq), run_id, now())
-    (checks.withColumn("load_id", F.lit(load_id)).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("load_id").parquet(f"{out}/dq_log"))
-    clean = Q.survivors(enriched, params).select(*CL.KEEP_COLUMNS, "batch_id")
-
-    # staging: insert-or-ignore against what other loads staged
-    loaded_at = F.lit(now()).cast("timestamp_ntz")
-    fresh = MG.stage_trips(clean, wh.staged(STAGED_TRIPS, _staged_schema(clean), "trip_id", without=load_id))
-    staged = wh.stage(STAGED_TRIPS, fresh.withColumn("loaded_at", loaded_at), "trip_id", load_id)
-    w = CL.extract_weather(weather)
-    readings = wh.stage(STAGED_WEATHER, MG.stage_weather(w, wh.staged(STAGED_WEATHER, _staged_schema(w), "weather_id", without=load_id))
-                        .withColumn("loaded_at", loaded_at), "weather_id", load_id)
-
-    # marts: the small cube is written once; only the load's days are merged
-    M.trip_cube(clean).write.mode("overwrite").parquet(f"{batch}/cube")
-    cube = spark.read.parquet(f"{batch}/cube")
-    days = [r["d"] for r in cube.select(F.col("day").cast("string").alias("d")).distinct().collect()]
-    at = F.lit(now()).cast("timestamp_ntz").alias("computed_at")
-    by_hour = M.latest_readings(readings)
-    touched = [r["date"] for r in by_hour.select("date").distinct().collect()]
-    merges = {name: (df.select("*", at), *MART_RULES[name], days, seq) for name, df in
-              ((HOURLY, M.hourly_pulse(cube)), (NEIGHBORHOOD, M.neighborhood_stats(cube)), (DAILY, M.daily_summary(cube)))}
-    merges[READINGS] = (by_hour, ["city", "date", "hour"], {"reading": "max"}, touched, seq)
-    with ThreadPoolExecutor(len(merges)) as pool:   # independent jobs, each of a few small tasks
-        running = {name: pool.submit(inheritable_thread_target(spark)(wh.merge), name, *args) for name, args in merges.items()}
-        changed = {name: job.result() for name, job in running.items()}
+    with ThreadPoolExecutor(8) as pool:     # independent jobs, many of them of a few small tasks
+        go = lambda f, *args: pool.submit(inheritable_thread_target(spark)(f), *args)
+        weather_done = go(_load_weather, wh, weather, load_id, seq)
+        # raw layer: JSON text by load and city
+        seen_trips, extracted = _counted(FD.land_trips(trips), f"trips-{run_id}")
+        landed = go(_landed, seen_trips, load_id, f"{out}/raw_trips", "city")
+        # clean + quality: one pass; the batch is written once and read back
+        Q.with_first_fail(CL.enrich_trips(trips, dims), params).write.mode("overwrite").parquet(f"{batch}/enriched")
+        enriched = spark.read.parquet(f"{batch}/enriched")
+        clean = Q.survivors(enriched, params).select(*CL.KEEP_COLUMNS, "batch_id")
+        checked = go(_check, enriched, f"{batch}/dq", f"{out}/dq_log", load_id, run_id)
+        # staging: insert-or-ignore against what other loads staged
+        fresh = MG.stage_trips(clean, wh.staged(STAGED_TRIPS, _staged_schema(clean), "trip_id", without=load_id))
+        staging = go(wh.stage, STAGED_TRIPS, fresh.withColumn("loaded_at", F.lit(now()).cast("timestamp_ntz")), "trip_id", load_id)
+        # marts: the small cube is written once; only the load's days are merged
+        M.trip_cube(clean).write.mode("overwrite").parquet(f"{batch}/cube")
+        cube = spark.read.parquet(f"{batch}/cube")
+        days = [r["d"] for r in cube.select(F.col("day").cast("string").alias("d")).distinct().collect()]
+        at = F.lit(now()).cast("timestamp_ntz").alias("computed_at")
+        merging = {name: go(wh.merge, name, df.select("*", at), *MART_RULES[name], days, seq) for name, df in
+                   ((HOURLY, M.hourly_pulse(cube)), (NEIGHBORHOOD, M.neighborhood_stats(cube)), (DAILY, M.daily_summary(cube)))}
+        raw = landed.result()
+        cities = [r["city"] for r in raw.select(F.col("city").cast("string").alias("city")).where("city is not null").distinct().collect()]
+        counts.update(dict.fromkeys([None, *cities], (0, 0, 0)))
+        raw_weather, readings, by_hour = weather_done.result()
+        (dq, checks), staged = checked.result(), staging.result()
+        changed = {name: job.result() for name, job in merging.items()} | {READINGS: by_hour}
     # one row a city (a bounded dimension): what the load adds to the totals, and what the run log says
     delta = MG.city_totals(raw, raw_weather, dq, checks, staged, readings)
     rows = delta.collect()
@@ -134,6 +123,28 @@ def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFra
     return {"raw_trips": counts[None][0], "stg_trips_loaded": counts[None][1], "stg_trips_inserted": counts[None][2], "days": len(days)}
 
 
+def _load_weather(wh: Warehouse, weather: DataFrame, load_id: int, seq: int) -> tuple:
+    """Lands and stages a load's readings and merges the latest of each hour;
+    returns the landed rows, the staged ones and what the merge changed."""
+    raw = _landed(FD.land_weather(weather), load_id, f"{wh.base}/raw_weather", "city")
+    w = CL.extract_weather(weather)
+    fresh = MG.stage_weather(w, wh.staged(STAGED_WEATHER, _staged_schema(w), "weather_id", without=load_id))
+    staged = wh.stage(STAGED_WEATHER, fresh.withColumn("loaded_at", F.lit(now()).cast("timestamp_ntz")), "weather_id", load_id)
+    by_hour = M.latest_readings(staged)
+    days = [r["date"] for r in by_hour.select("date").distinct().collect()]
+    return raw, staged, wh.merge(READINGS, by_hour, ["city", "date", "hour"], {"reading": "max"}, days, seq)
+
+
+def _check(enriched: DataFrame, counts_path: str, log_path: str, load_id: int, run_id: str) -> tuple[DataFrame, DataFrame]:
+    """The check counts of a load (one pass) and its rows of the check log, both as written."""
+    Q.dq_counts(enriched).coalesce(1).write.mode("overwrite").parquet(counts_path)
+    dq = enriched.sparkSession.read.parquet(counts_path)
+    checks = stamped(Q.dq_log(dq), run_id, now())
+    (checks.withColumn("load_id", F.lit(load_id)).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("load_id").parquet(log_path))
+    return dq, checks
+
+
 def _staged_schema(rows: DataFrame):
     return rows.limit(0).withColumn("loaded_at", F.lit(None).cast("timestamp_ntz")).schema
 

@@ -105,3 +105,14 @@ def test_surrogate_ids_depend_on_content_alone(spark):
     ids = CL.with_trip_id(rows.repartition(3)).select("trip_id")
     again = CL.with_trip_id(rows.withColumn("batch_id", F.lit(2)).repartition(11, "fare_amount")).select("trip_id")
     assert ids.distinct().count() == 600 and ids.exceptAll(again).count() == 0
+
+
+def test_surrogate_ids_are_of_the_record_as_it_came(spark, dims):
+    """What enrichment derives (surge hours, clips, defaults) is no part of an id."""
+    from tripmetrics.operators import clean as CL
+    rows = [("New York", "2024-03-01 08:00:00", "2024-03-01 08:10:00", "a", "b", "1", "2.5", "10", "0", "11", "1", "0", "900")]
+    raw = spark.createDataFrame(rows, "city string, pickup_datetime string, dropoff_datetime string, pickup_neighborhood string, dropoff_neighborhood string, "
+                                      "passenger_count string, trip_distance_miles string, fare_amount string, tip_amount string, total_amount string, "
+                                      "payment_type string, trip_duration_min string, speed_mph string")
+    want = CL.with_trip_id(raw).first().trip_id
+    assert CL.enrich_trips(raw, dims).first().trip_id == want

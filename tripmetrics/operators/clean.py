@@ -153,13 +153,13 @@ def decode_and_fill(df: DataFrame) -> DataFrame:
 
 
 def enrich_trips(raw: DataFrame, dims: Dims) -> DataFrame:
-    """extract -> parse -> calendar -> duration -> speed -> flags -> id ->
-    payment / neighbourhood fill.  Input to the quality checks."""
-    df = extract_trips(raw, dims.default_city)
+    """id -> extract -> parse -> calendar -> duration -> speed -> flags ->
+    payment / neighbourhood fill.  Input to the quality checks.  A surrogate
+    id is of the record as it came, so no rule of the later steps changes it."""
+    df = extract_trips(with_trip_id(raw), dims.default_city)
     df = parse_times(df)
     df = calendar_parts(df)
     df = derive_duration(df)
     df = derive_speed(df)
     df = trip_flags(df, dims)
-    df = with_trip_id(df)
     return decode_and_fill(df)

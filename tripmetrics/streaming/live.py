@@ -77,25 +77,27 @@ def stream_dedupe(spark: SparkSession, landing: str, schema, dims: Dims, params:
                   state_dir: str | None = None) -> DataFrame:
     """Staging rows of all loads, each trip id once, whatever its age.
 
-    A micro-batch is inserted-or-ignored against the rows of earlier epochs
-    and written under ``staged/epoch=<id>``, which a replay overwrites; so no
-    watermark is needed and no state is kept beside the table itself."""
+    A micro-batch is inserted-or-ignored against the rows that earlier epochs
+    staged in a table bucketed by trip id, whose keys are neither shuffled nor
+    sorted for it; a replayed epoch that was committed changes nothing, another
+    takes its own place.  No watermark is needed and no state is kept beside
+    the table itself."""
     base = state_dir or scratch_path(spark, "stream-dedupe")
-    out = f"{base}/staged"
+    rows = clean_stream(_read_stream(spark, landing, schema), dims, params)
 
     def insert(batch: DataFrame, epoch: int):
-        target = None
-        if epoch:
-            target = batch.sparkSession.read.parquet(out).where(F.col("epoch") < epoch)
-        MG.stage_trips(batch, target).write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
+        wh, load = Warehouse(batch.sparkSession, base), f"epoch-{epoch}"
+        if not wh.applied(load):
+            wh.stage(STAGED, MG.stage_trips(batch, wh.staged(STAGED, rows.schema, "trip_id", without=load)), "trip_id", load)
+            wh.commit(load, wh.next_seq(), {})
 
-    q = (clean_stream(_read_stream(spark, landing, schema), dims, params)
-         .writeStream.option("checkpointLocation", f"{base}/_checkpoint")
-         .foreachBatch(insert).trigger(availableNow=True).start())
+    q = rows.writeStream.option("checkpointLocation", f"{base}/_checkpoint").foreachBatch(insert).trigger(availableNow=True).start()
     _drain(q)
-    return spark.read.parquet(out).drop("epoch")
+    staged = Warehouse(spark, base).staged(STAGED, rows.schema, "trip_id")
+    return spark.createDataFrame([], rows.schema) if staged is None else staged.drop("load_id")
 
 
+STAGED = "staged"
 CUBE, MART = "stream_cube", "stream_mart"
 CUBE_KEYS = ["batch_id", "city", "date", "hour", "day_of_week", "neighborhood"]
 

@@ -10,7 +10,9 @@ from ..functions import columns as C
 from ..operators import audits as AU
 from ..operators import clean as CL
 from ..sources import adapters as A
+from ..session import scratch_path
 from ..sources import feeds as FD
+from ..sources import months as MO
 from .catalog import register
 from .oracle import R, TS, _values, cols_sql, q, with_base
 from .workspace import land
@@ -151,6 +153,17 @@ def raw_replay(ws):
     return FD.replay_trips(_landed(ws, "raw_trips")).select(*A.TRIP_COLUMNS)
 
 
+@register("scan_months", lambda p: with_base(p, "SELECT " + cols_sql(A.TRIP_COLUMNS).replace(
+    "tip_amount", "CASE WHEN month(pickup_datetime) <> 2 THEN tip_amount END AS tip_amount") + " FROM raw_trips WHERE pickup_datetime >= TIMESTAMP '2024-02-01'"))
+def scan_months(ws):
+    """Monthly trip files from February on; February's lack the tips, March's hold counts as text."""
+    path = scratch_path(ws.spark, "months")
+    t = ws.raw_trips
+    for m, month in ((1, t), (2, t.drop("tip_amount")), (3, t.withColumn("passenger_count", F.col("passenger_count").cast("string")))):
+        MO.write_months(month.where(F.month("pickup_datetime") == m), path)
+    return MO.read_months(ws.spark, path, first="2024-02").select(*A.TRIP_COLUMNS)
+
+
 # -- dimensions ---------------------------------------------------------------
 
 @register("dim_tables", lambda p: with_base(p, f"""

@@ -125,7 +125,7 @@ def test_crash_between_marts_then_again(spark, ws, out, monkeypatch):
     monkeypatch.setattr(Warehouse, "write", real)
     assert etl.HOURLY in calls and {m: mart_rows(spark, out, m) for m in MARTS} == shown
     log = {r.run_id: r for r in RunLog(spark, out).latest().collect()}
-    assert log["city_pulse-1"].status == "failed" and "lost for good" in log["city_pulse-1"].error_message
+    assert log["trips-1"].status == "failed" and "lost for good" in log["trips-1"].error_message
     assert staged(spark, out, ws).where("load_id = 1").count() == 0
     run(spark, ws, out, 1)
     clean = tempfile.mkdtemp(prefix="tm-etl-")
@@ -135,7 +135,7 @@ def test_crash_between_marts_then_again(spark, ws, out, monkeypatch):
         assert mart_rows(spark, out, m) == mart_rows(spark, clean, m)
     assert staged(spark, out, ws).count() == staged(spark, clean, ws).count()
     log = {r.run_id: r for r in RunLog(spark, out).latest().collect()}
-    assert log["city_pulse-1"].status == "success" and log["city_pulse-1"].error_message is None
+    assert log["trips-1"].status == "success" and log["trips-1"].error_message is None
 
 
 def test_half_written_commit_is_passed_over(spark, ws, out):
@@ -157,11 +157,11 @@ def test_run_log_counts_and_failure(spark, ws, out):
     log = RunLog(spark, out)
     rows = {r.run_id: r for r in log.latest().collect()}
     raw, clean = ws.raw_trips.where("batch_id = 0"), ws.clean.where("batch_id = 0")
-    whole = rows["city_pulse-0"]
+    whole = rows["trips-0"]
     assert (whole.status, whole.rows_extracted, whole.rows_loaded) == ("success", raw.count(), clean.count())
-    assert whole.finished_at >= whole.started_at and rows["city_pulse-1"].status == "failed" and rows["city_pulse-1"].error_message
+    assert whole.finished_at >= whole.started_at and rows["trips-1"].status == "failed" and rows["trips-1"].error_message
     per = {r.city: r["count"] for r in raw.groupBy("city").count().collect()}
-    assert {r.city: r.rows_extracted for r in rows.values() if r.run_id.startswith("city_pulse-0:")} == per
+    assert {r.city: r.rows_extracted for r in rows.values() if r.run_id.startswith("trips-0:")} == per
     assert all(r.rows_rejected == r.rows_extracted - r.rows_loaded and r.rows_inserted <= r.rows_loaded for r in rows.values())
     assert log.events().where("status = 'running'").count() == 2
 
@@ -211,7 +211,7 @@ def test_backfill_resumes_and_rolls_up(spark, ws, out, monkeypatch):
     again = Warehouse(spark, out)
     assert sorted(map(tuple, again.read(etl.WEEKLY).drop("computed_at").collect())) == sorted(map(tuple, week.collect()))
     assert again.head()["seq"] == head["seq"] + 1
-    report = etl.check_log(spark, out).where("run_id like 'city_pulse_daily%'")
+    report = etl.check_log(spark, out).where("run_id like 'trips_daily%'")
     assert report.groupBy("city").count().where("count <> 5").count() == 0 and report.count() > 0
     assert run_daily(spark, tempfile.mkdtemp(prefix="tm-etl-"), ws.params)["applied"] is False
 

@@ -59,7 +59,7 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], int]]:
 
 
 def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir: str, dims: Dims, params: Params, load_id: int,
-            run_id: str | None = None, dag_id: str = "city_pulse", buckets: int | None = None) -> dict:
+            run_id: str | None = None, dag_id: str = "trips", buckets: int | None = None) -> dict:
     """Run one load and log the run.  A load already applied changes nothing
     but the run log; loads may come late or out of order: each is merged once,
     in the order of arrival.  A load that fails leaves a failed run and no
@@ -173,7 +173,7 @@ def replay(spark: SparkSession, out_dir: str, load_id: int) -> DataFrame:
     return FD.replay_trips(landed)
 
 
-def run_daily(spark: SparkSession, out_dir: str, params: Params, dag_id: str = "city_pulse_daily") -> dict:
+def run_daily(spark: SparkSession, out_dir: str, params: Params, dag_id: str = "trips_daily") -> dict:
     """The daily roll-up: weekly trends (merged by their rules), weather impact
     of the trailing window (replaced) and the warehouse report, from the stored
     marts; only the window's days are opened.  Run again it gives the same
@@ -208,7 +208,7 @@ def check_log(spark: SparkSession, out_dir: str) -> DataFrame:
 
 
 def run_backfill(spark: SparkSession, loads: Iterable[tuple[int, DataFrame, DataFrame]], out_dir: str, dims: Dims, params: Params,
-                 dag_id: str = "city_pulse_backfill", buckets: int | None = None) -> dict:
+                 dag_id: str = "trips_backfill", buckets: int | None = None) -> dict:
     """Run (load id, trips, weather) in their order, then the daily roll-up.
     Loads applied by an earlier try are left out, so a backfill that died is
     run again from its first missing load."""

@@ -134,8 +134,8 @@ LOAD_DQ = DQ_CTES.replace("SELECT city, ", "SELECT load, city, ").replace("FROM
 def recent_sql(p):
     return with_base(p, LOAD_ROWS + REPORT_CTES + LOAD_DQ + f"""
 , log AS (
-  SELECT 'city_pulse_backfill-' || CAST(load AS VARCHAR) AS run_id, load AS moment, check_seq, city, check_name, table_name, status, expected, actual FROM dq_log
-  UNION ALL {report_sql(p, f"'city_pulse_daily-{p.as_of_date}' AS run_id, 99 AS moment, {{i}} AS check_seq, ")})
+  SELECT 'trips_backfill-' || CAST(load AS VARCHAR) AS run_id, load AS moment, check_seq, city, check_name, table_name, status, expected, actual FROM dq_log
+  UNION ALL {report_sql(p, f"'trips_daily-{p.as_of_date}' AS run_id, 99 AS moment, {{i}} AS check_seq, ")})
 SELECT * EXCLUDE (moment) FROM (SELECT * FROM log ORDER BY moment DESC, city DESC, check_seq DESC LIMIT {p.dq_recent_n})""")
 
 

@@ -21,7 +21,7 @@ R6 = lambda x: R(x, 6)
 # The log of the job's runs, as it must be; its times are the clock's and not compared.
 # One load of everything: a run a city.
 RUNS_CTE = """
-, runs AS (SELECT 'city_pulse-0:' || city AS run_id, city, count(*) AS rows_extracted FROM raw_trips GROUP BY city)
+, runs AS (SELECT 'trips-0:' || city AS run_id, city, count(*) AS rows_extracted FROM raw_trips GROUP BY city)
 """
 # Load by load: a run a city and load, and one for each load and for the daily roll-up.
 LOADS_CTE = LOAD_ROWS + """
@@ -30,13 +30,13 @@ LOADS_CTE = LOAD_ROWS + """
   FROM (SELECT batch_id, city, count(*) AS n FROM raw_l GROUP BY ALL) r
   LEFT JOIN (SELECT batch_id, city, count(*) AS n FROM clean_l GROUP BY ALL) c ON c.batch_id = r.batch_id AND c.city = r.city
   LEFT JOIN (SELECT batch_id, city, count(*) AS n FROM staged GROUP BY ALL) s ON s.batch_id = r.batch_id AND s.city = r.city),
-runs1 AS (SELECT *, 'city_pulse_backfill-' || CAST(batch_id AS VARCHAR) AS load_run FROM runs0),
+runs1 AS (SELECT *, 'trips_backfill-' || CAST(batch_id AS VARCHAR) AS load_run FROM runs0),
 runs AS (
-  SELECT load_run || ':' || city AS run_id, 'city_pulse_backfill' AS dag_id, 'transform_load' AS task_id, city, 'success' AS status,
+  SELECT load_run || ':' || city AS run_id, 'trips_backfill' AS dag_id, 'transform_load' AS task_id, city, 'success' AS status,
     rows_extracted, rows_loaded, rows_extracted - rows_loaded AS rows_rejected, rows_inserted, batch_id FROM runs1
-  UNION ALL SELECT load_run, 'city_pulse_backfill', 'transform_load', NULL, 'success', CAST(sum(rows_extracted) AS BIGINT), CAST(sum(rows_loaded) AS BIGINT),
+  UNION ALL SELECT load_run, 'trips_backfill', 'transform_load', NULL, 'success', CAST(sum(rows_extracted) AS BIGINT), CAST(sum(rows_loaded) AS BIGINT),
     CAST(sum(rows_extracted - rows_loaded) AS BIGINT), CAST(sum(rows_inserted) AS BIGINT), batch_id FROM runs1 GROUP BY load_run, batch_id
-  UNION ALL SELECT 'city_pulse_daily-{asof}', 'city_pulse_daily', 'daily_rollup', NULL, 'success', 0, 0, 0, 0, NULL)
+  UNION ALL SELECT 'trips_daily-{asof}', 'trips_daily', 'daily_rollup', NULL, 'success', 0, 0, 0, 0, NULL)
 """
 RUN_OUT = ["run_id", "dag_id", "task_id", "city", "status", "rows_extracted", "rows_loaded", "rows_rejected", "rows_inserted"]
 

@@ -1,5 +1,6 @@
 """Language, quality, line dedup, Jaccard join, decontamination: brute force and odd rows."""
 import itertools
+import random
 import re
 import zlib
 from collections import defaultdict
@@ -100,22 +101,82 @@ def line_chunks(text):
     return [(lines[a:b]) for a, b in itertools.pairwise(cuts)]
 
 
+def shared_words(a, b, last):
+    x, y = (re.findall(r"\S+\s*" if last else r"\s*\S+", t) for t in (a, b))
+    if last:
+        x, y = x[::-1], y[::-1]
+    return sum(len(p) for p, _ in itertools.takewhile(lambda z: z[0] == z[1], zip(x, y)))
+
+
+def brute_dedup(rows):
+    """What is left of each (doc_id, text), in the rows' order of occurrences."""
+    every = [(d, t, ["".join(c) for c in line_chunks(t)], [len(c) for c in line_chunks(t)]) for d, t in rows]
+    seeds = defaultdict(list)
+    for n, (_, _, chunks, lines) in enumerate(every):
+        for p, c in enumerate(chunks):
+            if lines[p] >= 2 and len(c) >= linededup.SEED_CHARS:
+                seeds[c].append((n, p))
+    seeds = {c: at for c, at in seeds.items() if len(at) > 1}
+    is_seed = {x for at in seeds.values() for x in at}
+    after = lambda n, p: None if (n, p + 1) in is_seed else "".join(every[n][2][p + 1:p + 1 + linededup.REACH])
+    before = lambda n, p: None if (n, p - 1) in is_seed else "".join(every[n][2][max(0, p - linededup.REACH):p])
+    gone = [bytearray(len(t)) for _, t in rows]
+    for c, at in seeds.items():
+        for n, p in at[1:]:
+            start = sum(map(len, every[n][2][:p]))
+            end, reach, total = start + len(c), [0, 0], len(c)
+            for side, text in enumerate((after, before)):
+                mine, other = text(n, p), next((x for x in at if text(*x) is not None), (n, p))
+                if mine is not None and other < (n, p):
+                    reach[side] = shared_words(mine, text(*other), side == 1)
+                total += reach[side] + (len(every[n][2][p + (1, -1)[side]]) if mine is None else 0)
+            if total >= linededup.LEAST_CHARS:
+                a, b = start - reach[1], end + reach[0]
+                gone[n][a:b] = b"\1" * (b - a)
+    return {d: "".join(x for x, g in zip(t, gone[n]) if not g) for n, (d, t) in enumerate(rows)}
+
+
 def test_line_dedup_equals_brute_force(spark, docs):
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    first, want = {}, {}
-    for d, t in rows:
-        keep = []
-        for i, c in enumerate(line_chunks(t)):
-            body = "".join(c)
-            big = len(c) >= 2 and len(body) >= linededup.LEAST_CHARS
-            if not big or first.setdefault(body, (d, i)) == (d, i):
-                keep.append(body)
-        want[d] = "".join(keep)
-    assert signed(0) == 0
-    got = {r.doc_id: r.text for r in QUERIES["op6_line_chunks"](spark, SF).collect()}
-    assert got == want
-    assert any(want[d] != t for d, t in rows)
+    want = brute_dedup(rows)
+    got = {r.doc_id: r for r in QUERIES["op6_line_chunks"](spark, SF).collect()}
+    assert {d: r.text for d, r in got.items()} == want
+    assert any(want[d] != t for d, t in rows) and all(got[d].chars_removed == len(t) - len(want[d]) for d, t in rows)
+
+
+def test_line_dedup_removes_passages(spark, docs):
+    """Passages of 52 to 100 words, with and without punctuation, go from the second document."""
+    rng = random.Random(5)
+    vocabulary = sorted({w for r in docs.collect() for w in r.text.split() if len(w) < 20})
+    rows, planted = [], []
+    for n in range(120):
+        passage = " ".join(rng.sample(vocabulary, (52, 60, 100)[n % 3]))
+        if n % 2:
+            passage = re.sub("[.,;:!?]", "", passage)
+        for d in (2 * n, 2 * n + 1):  # words of their own around it
+            w = [f"{x}{d}" for x in rng.sample(vocabulary, 150)]
+            k = rng.randrange(len(w))
+            rows.append((d, " ".join([*w[:k], passage, *w[k:]])))
+        planted.append(passage)
+    got = {r.doc_id: r.text for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    text = dict(rows)
+    assert all(got[2 * n] == text[2 * n] for n in range(120))
+    whole = [got[2 * n + 1].split() == text[2 * n + 1].replace(p, "").split() for n, p in enumerate(planted)]
+    assert sum(whole) >= 0.9 * len(whole)
+
+
+def test_line_dedup_binds_arrays_once(spark, docs):
+    """A filter on the cleaned text copies no regular expression."""
+    out = linededup.dedup(docs.select("doc_id", "text"))
+    count = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count(linededup.LINE[:20])
+    assert count(out.where("length(text) < 50")) <= count(out) <= 4
+
+
+def test_line_dedup_long_lines(spark):
+    """No deep recursion, no lost character: words without an end, texts without words of any length."""
+    rows = [(1, "a" * 300_000), (2, "ab " * 200_000), (3, "." * 100_000), (4, " " * 100_000), (5, "x" * 50_000 + "!" + "y" * 50_000)]
+    got = linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.text for r in got} == dict(rows)
 
 
 def test_line_chunks_resist_shifts(spark):

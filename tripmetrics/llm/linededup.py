@@ -1,18 +1,26 @@
 """Line deduplication by content-defined chunks of lines; DataFrame functions only.
 
-A text is cut into lines: at line breaks and after the punctuation that ends
-a clause, each with the separators after it, so the lines together are the
-text.  The rolling hash at a line covers the hashes of that line and the one
-before it; a chunk ends where the rolling hash is smaller than its left
-neighbour and not larger than its right one.  That depends on four lines
-only, so inserted or removed lines move the chunks next to them alone, and no
-inner chunk has fewer than two lines.
-
-A chunk of at least two lines and ``LEAST_CHARS`` characters that occurs again
-anywhere is removed, all but its first occurrence by (doc_id, place).  Hashes
-are counted after partial aggregation, and the occurrences of repeated ones
-are grouped by their bytes, so equal hashes of different bytes
-never remove anything; a hot chunk is split by the skew join.
+A text is cut into lines: at line breaks, after the punctuation that ends a
+clause and after every word of ``LONG_WORD`` characters or more, each with the
+separators after it, so the lines together are the text and text without
+punctuation has lines too.  The rolling hash at a line covers the hashes of
+that line and the one before it; a chunk ends where the rolling hash is
+smaller than its left neighbour and not larger than its right one.  That
+depends on four lines only, so inserted or removed lines move the chunks next
+to them alone, and no inner chunk has fewer than two lines.
+
+Seeds are chunks of at least two lines and ``SEED_CHARS`` characters that
+occur again anywhere.  Their hashes are counted after partial aggregation, and
+the occurrences of repeated ones are grouped by their bytes, so equal hashes of
+different bytes never remove anything; a hot chunk is split by the skew join.
+All occurrences but the first by (doc_id, place) are removed, and with them
+the neighbouring words, up to ``REACH`` chunks away, that equal those beside
+an earlier occurrence byte for byte.  A seed stays if it has fewer than
+``LEAST_CHARS`` characters together with those words and the seeds beside it.
+
+Neighbours are carried only where a run of seeds ends, and the earliest
+occurrence that ends a run there is the one compared with.  What is removed
+always equals an earlier place that bears it, so no passage is lost whole.
 
 Edge cases: null and empty texts and rows with a null doc_id come back as
 they are and lend no occurrence; rows that repeat a doc_id and text are
@@ -29,66 +37,98 @@ from pyspark.sql import functions as F
 from .common import col, fresh, materialize
 
 LEAST_CHARS = 50
+SEED_CHARS = 30
+REACH = 4
+LONG_WORD = 7
 #: A line with what ends it.
-LINE = r"[^.,;:!?\n]*[.,;:!?\n]+ *|[^.,;:!?\n]+"
+LINE = r"[^.,;:!?\n]*?(?:[^ .,;:!?\n]{%d,}+[.,;:!?\n]* *|[.,;:!?\n]+ *)|[^.,;:!?\n]+" % LONG_WORD
 
 
-def with_chunks(df: DataFrame, text: str, out: str) -> DataFrame:
-    """Adds ``out``: array of (chunk, lines), together the text."""
-    names = list(df.columns)
-    a, h, r, b = (fresh([*names, out], x) for x in ("lines_", "hashes_", "rolling_", "bounds_"))
-    df = df.withColumn(a, F.regexp_extract_all(col(text), F.lit(LINE), F.lit(0)))
-    df = df.withColumn(h, F.expr(f"transform({a}, x -> xxhash64(x))"))
-    df = df.withColumn(r, F.expr(f"transform({h}, (x, i) -> xxhash64(if(i = 0, 0L, {h}[i - 1]), x))"))
-    df = df.withColumn(b, F.expr(
-        f"concat(array(0), filter(sequence(1, greatest(size({a}), 1)), i -> i = size({a}) or "
-        f"(i > 1 and {r}[i - 1] < {r}[i - 2] and {r}[i - 1] <= {r}[i])))"))
-    df = df.withColumn(out, F.expr(
-        f"if(size({a}) > 0, transform(slice({b}, 2, size({b})), (e, i) -> struct("
-        f"array_join(slice({a}, {b}[i] + 1, e - {b}[i]), '') as chunk, e - {b}[i] as lines)), "
-        "cast(array() as array<struct<chunk:string,lines:int>>))"))
-    return df.select(*[col(c) for c in names], out)
+def chunks_of(text: str) -> str:
+    """SQL of the array of (chunk, lines) that make up the text of SQL ``text``.
+    Each step is bound once, as the variable of a lambda over an array of one."""
+    line = LINE.replace("\\", "\\\\")
+    return (f"transform(array(regexp_extract_all({text}, '{line}', 0)), a -> "
+            "transform(array(transform(a, x -> xxhash64(x))), h -> "
+            "transform(array(transform(h, (x, i) -> xxhash64(if(i = 0, 0L, h[i - 1]), x))), r -> "
+            "transform(array(concat(array(0), filter(sequence(1, greatest(size(a), 1)), i -> i = size(a) or "
+            "(i > 1 and r[i - 1] < r[i - 2] and r[i - 1] <= r[i])))), b -> "
+            "transform(slice(b, 2, size(b)), (e, i) -> struct("
+            "array_join(slice(a, b[i] + 1, e - b[i]), '') as chunk, e - b[i] as lines))"
+            ")[0])[0])[0])[0]")
+
+
+def bound(df: DataFrame, expr: str, out: str) -> DataFrame:
+    """``df`` with ``out``, the value of ``expr``: a generated column, which the
+    optimiser neither copies nor computes a second time for a filter."""
+    return df.select("*", F.explode_outer(F.array(F.expr(expr))).alias(out))
+
+
+def agreeing(a: str, b: str, last: bool) -> str:
+    """SQL: how many characters of the text ``a`` are whole words that it shares
+    with ``b`` from the start on (from the end back if ``last``); 0 if either is null."""
+    word, turn = (r"\\S+\\s*", "reverse") if last else (r"\\s*\\S+", "")
+    words = [f"{turn}(regexp_extract_all({t}, '{word}', 0))" for t in (a, b)]
+    return (f"if({a} is null or {b} is null, 0, transform(array({words[0]}), w -> aggregate(slice(w, 1, coalesce(nullif(array_position("
+            f"zip_with(w, {words[1]}, (p, q) -> coalesce(p = q, false)), false), 0) - 1, size(w))), 0, (n, x) -> n + length(x)))[0])")
 
 
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tuple[str, str] | None = ("n_removed", "chars_removed"),
           least_chars: int = LEAST_CHARS) -> DataFrame:
-    """``df`` with repeated chunks cut from the text; ``counts`` names two more
-    columns, the removed chunks and characters.
+    """``df`` with repeated passages cut from the text; ``counts`` names two more
+    columns, the chunks cut (whole or in part) and the removed characters.
 
     Only hashes of all chunks are written and shuffled.  Texts are shuffled
     once, by document, to meet the places of chunks with repeated hashes; the
-    bytes of those chunks alone are then grouped.
+    bytes of those chunks alone, and of what stands beside their runs, are
+    then grouped.
     """
     names = list(df.columns)
     taken = [*names, *(counts or ())]
-    i, k, maybe, gone, chunks, cut, kept = (fresh(taken, x) for x in ("id_", "tkey_", "maybe_", "gone_", "chunks_", "cut_", "kept_"))
+    i, k, maybe, gone, chunks, kept, t = (fresh(taken, x) for x in ("id_", "tkey_", "maybe_", "gone_", "chunks_", "kept_", "text_"))
     whole = col(doc_id).isNotNull() & col(text).isNotNull() & (col(text) != "")
     # one and the same projection for both joins with texts, so that where no
     # other columns are carried Spark reuses one shuffle of the texts
     rest = [c for c in names if c not in (doc_id, text)]
-    rows = df.where(whole).select(col(doc_id).alias(i), F.xxhash64(col(text)).alias(k), col(text), *[col(c) for c in rest])
-    # the outer explode: from the inner one Spark infers a filter on the
-    # array's size and computes the array a second time for it
-    found = with_chunks(rows.select(i, k, col(text)), text, chunks).select(i, k, F.posexplode_outer(chunks).alias("pos", "c"))
-    found = found.where(f"c.lines >= 2 and length(c.chunk) >= {least_chars}").select(i, k, "pos", F.xxhash64("c.chunk").alias("h"))
+    rows = df.where(whole).select(col(doc_id).alias(i), F.xxhash64(col(text)).alias(k), col(text).alias(t), *[col(c) for c in rest])
+    found = rows.select(i, k, F.posexplode_outer(F.expr(chunks_of(t))).alias("pos", "c"))
+    found = found.where(f"c.lines >= 2 and length(c.chunk) >= {SEED_CHARS}").select(i, k, "pos", F.xxhash64("c.chunk").alias("h"))
     found = materialize(found, "line-chunks")
     place = F.xxhash64(i, k, "pos")
     again = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h")
     places = found.join(again, "h").groupBy(i, k).agg(F.collect_set("pos").alias(maybe))
-    met = with_chunks(rows.select(i, k, col(text)).join(places, [i, k]), text, chunks)
-    met = met.select(i, k, F.explode_outer(F.expr(f"transform({maybe}, p -> struct(p as pos, {chunks}[p].chunk as chunk))")).alias("c"))
-    met = met.select(i, k, "c.pos", "c.chunk", F.xxhash64("c.chunk").alias("h"))
+    met = bound(rows.select(i, k, t).join(places, [i, k]), chunks_of(t), chunks)
+    beside = (f"if(array_contains({maybe}, p + 1), null, slice({chunks}.chunk, p + 2, {REACH})) as after",
+              f"if(array_contains({maybe}, p - 1), null, slice({chunks}.chunk, greatest(p - {REACH}, 0) + 1, least(p, {REACH}))) as before",
+              " + ".join(f"if(array_contains({maybe}, {p}), length({chunks}[{p}].chunk), 0)" for p in ("p + 1", "p - 1")) + " as seeds")
+    met = met.select(i, k, F.explode_outer(F.expr(f"transform({maybe}, p -> struct(p as pos, {chunks}[p].chunk as chunk, {', '.join(beside)}))")).alias("c"))
+    met = met.select(i, k, "c.*").withColumn("h", F.xxhash64("chunk"))
     one = F.struct(i, k, "pos")
-    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first"))
-    drop = met.join(first, ["h", "chunk"]).where(one != F.col("first")).groupBy(i, k).agg(F.collect_set("pos").alias(gone))
-    out = rows.join(drop, [i, k], "left").select(*[col(i).alias(c) if c == doc_id else col(c) for c in names], gone)
-    out = out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn(gone, F.lit(None).cast("array<int>")))
-    plain = F.col(gone).isNull()
-    out = with_chunks(out.withColumn(cut, F.when(~plain, col(text))), cut, chunks)
-    out = out.withColumn(kept, F.when(plain, col(text)).otherwise(
-        F.expr(f"array_join(transform(filter({chunks}, (c, x) -> not array_contains({gone}, x)), c -> c.chunk), '')")))
+    ends = [F.min(F.when(F.col(c).isNotNull(), F.struct(one.alias("one"), F.array_join(c, "").alias("t")))).alias(f"first_{c}") for c in ("after", "before")]
+    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first"), *ends)
+    cut = met.join(first, ["h", "chunk"]).where(one != F.col("first"))
+    for c in ("after", "before"):
+        earlier = f"if(first_{c}.one < struct(`{i}`, `{k}`, pos), first_{c}.t, null)"
+        cut = cut.withColumn(f"n_{c}", F.expr(agreeing(f"array_join({c}, '')", earlier, c == "before")))
+    chars = "aggregate(slice({0}, {1}, {2}), 0, (n, x) -> n + length(x))"
+    cut = cut.where(f"length(chunk) + seeds + n_after + n_before >= {least_chars}").select(i, k, F.explode(F.expr(
+        "concat(array(struct(pos as pos, length(chunk) as head, 0 as tail)), "
+        f"coalesce(transform(after, (x, j) -> struct(pos + 1 + j as pos, greatest(0, least(length(x), n_after - {chars.format('after', 1, 'j')})) as head, 0 as tail)), array()), "
+        "coalesce(transform(before, (x, j) -> struct(pos - size(before) + j as pos, 0 as head, "
+        f"greatest(0, least(length(x), n_before - {chars.format('before', 'j + 2', 'size(before)')})) as tail)), array()))")).alias("c"))
+    drop = cut.where("c.head > 0 or c.tail > 0").groupBy(i, k, "c.pos").agg(F.max("c.head").alias("head"), F.max("c.tail").alias("tail"))
+    drop = drop.groupBy(i, k).agg(F.sort_array(F.collect_list(F.struct("pos", "head", "tail"))).alias(gone))
+    out = rows.join(drop, [i, k], "left").select(*[col({doc_id: i, text: t}.get(c, c)).alias(c) for c in names], gone)
+    out = out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn(gone, F.lit(None).cast(drop.schema[gone].dataType)))
+    # cuts by chunk number, zeros between, so a chunk finds its own by its number
+    by_chunk = (f"flatten(transform(`{gone}`, (e, j) -> concat(array_repeat(named_struct('pos', 0, 'head', 0, 'tail', 0), "
+                f"e.pos - if(j = 0, -1, `{gone}`[j - 1].pos) - 1), array(e))))")
+    quoted = "`" + text.replace("`", "``") + "`"
+    left = (f"transform(array({by_chunk}), g -> array_join(transform({chunks_of(quoted)}, (c, x) -> if(x < size(g), "
+            "substr(c.chunk, g[x].head + 1, greatest(length(c.chunk) - g[x].head - g[x].tail, 0)), c.chunk)), ''))[0]")
+    out = bound(out, f"if(`{gone}` is null, {quoted}, {left})", kept)
     cols = [(F.col(kept) if c == text else col(c)).alias(c) for c in names]
     if counts:
-        cols += [F.when(plain, 0).otherwise(F.size(gone)).alias(counts[0]),
+        cols += [F.when(F.col(gone).isNull(), 0).otherwise(F.size(gone)).alias(counts[0]),
                  F.coalesce(F.length(col(text)) - F.length(F.col(kept)), F.lit(0)).alias(counts[1])]
     return out.select(*cols)

@@ -11,17 +11,19 @@ to them alone, and no inner chunk has fewer than two lines.
 
 Seeds are chunks of at least two lines and ``SEED_CHARS`` characters that
 occur again anywhere.  Their hashes are counted after partial aggregation, and
-the occurrences of repeated ones are grouped by their bytes, so equal hashes of
-different bytes never remove anything; a hot chunk is split by the skew join.
-All occurrences but the first by (doc_id, place) are removed, and with them
-the neighbouring words, up to ``REACH`` chunks away, that equal those beside
-an earlier occurrence byte for byte.  A seed stays if it has fewer than
-``LEAST_CHARS`` characters together with those words and the seeds beside it.
+the occurrences of repeated ones are grouped by their bytes; a hash that
+different bytes share removes nothing.  All occurrences but the first by
+(doc_id, place) are removed, and with them the neighbouring words, up to
+``REACH`` bytes away, that equal those beside an earlier occurrence byte for
+byte.  A seed stays if it has fewer than ``LEAST_CHARS`` bytes together with
+those words and the seeds beside it.
 
 Neighbours are carried only where a run of seeds ends, and the earliest
 occurrence that ends a run there is the one compared with.  What is removed
 always equals an earlier place that bears it, so no passage is lost whole.
 
+Texts are cut into lines once; from then on chunks are byte offsets.
+
 Edge cases: null and empty texts and rows with a null doc_id come back as
 they are and lend no occurrence; rows that repeat a doc_id and text are
 cleaned alike (their chunks count once); other rows with the same doc_id are
@@ -38,24 +40,26 @@ from .common import col, fresh, materialize
 
 LEAST_CHARS = 50
 SEED_CHARS = 30
-REACH = 4
+REACH = 400
 LONG_WORD = 7
-#: A line with what ends it.
-LINE = r"[^.,;:!?\n]*?(?:[^ .,;:!?\n]{%d,}+[.,;:!?\n]* *|[.,;:!?\n]+ *)|[^.,;:!?\n]+" % LONG_WORD
+#: A line: words shorter than that, then what ends the line.
+LINE = r"(?=[\s\S])(?:[^ .,;:!?\n]{0,%d}+ ++)*+[^ .,;:!?\n]*+[.,;:!?\n]*+ *+" % (LONG_WORD - 1)
 
 
 def chunks_of(text: str) -> str:
-    """SQL of the array of (chunk, lines) that make up the text of SQL ``text``.
-    Each step is bound once, as the variable of a lambda over an array of one."""
+    """SQL of the array of (h, start, size, lines) of the chunks of SQL ``text``:
+    hash, byte offset, bytes, lines.  Each step is bound once, as the variable
+    of a lambda over an array of one."""
     line = LINE.replace("\\", "\\\\")
     return (f"transform(array(regexp_extract_all({text}, '{line}', 0)), a -> "
             "transform(array(transform(a, x -> xxhash64(x))), h -> "
             "transform(array(transform(h, (x, i) -> xxhash64(if(i = 0, 0L, h[i - 1]), x))), r -> "
             "transform(array(concat(array(0), filter(sequence(1, greatest(size(a), 1)), i -> i = size(a) or "
             "(i > 1 and r[i - 1] < r[i - 2] and r[i - 1] <= r[i])))), b -> "
-            "transform(slice(b, 2, size(b)), (e, i) -> struct("
-            "array_join(slice(a, b[i] + 1, e - b[i]), '') as chunk, e - b[i] as lines))"
-            ")[0])[0])[0])[0]")
+            "transform(array(transform(slice(b, 2, size(b)), (e, i) -> array_join(slice(a, b[i] + 1, e - b[i]), ''))), c -> "
+            "transform(array(aggregate(c, array(0), (o, x) -> array_append(o, element_at(o, -1) + octet_length(x)))), o -> "
+            "transform(c, (x, i) -> struct(xxhash64(x) as h, o[i] as start, octet_length(x) as size, b[i + 1] - b[i] as lines, length(x) as chars))"
+            ")[0])[0])[0])[0])[0])[0]")
 
 
 def bound(df: DataFrame, expr: str, out: str) -> DataFrame:
@@ -65,67 +69,65 @@ def bound(df: DataFrame, expr: str, out: str) -> DataFrame:
 
 
 def agreeing(a: str, b: str, last: bool) -> str:
-    """SQL: how many characters of the text ``a`` are whole words that it shares
+    """SQL: how many bytes of the text ``a`` are whole words that it shares
     with ``b`` from the start on (from the end back if ``last``); 0 if either is null."""
     word, turn = (r"\\S+\\s*", "reverse") if last else (r"\\s*\\S+", "")
     words = [f"{turn}(regexp_extract_all({t}, '{word}', 0))" for t in (a, b)]
     return (f"if({a} is null or {b} is null, 0, transform(array({words[0]}), w -> aggregate(slice(w, 1, coalesce(nullif(array_position("
-            f"zip_with(w, {words[1]}, (p, q) -> coalesce(p = q, false)), false), 0) - 1, size(w))), 0, (n, x) -> n + length(x)))[0])")
+            f"zip_with(w, {words[1]}, (p, q) -> coalesce(p = q, false)), false), 0) - 1, size(w))), 0, (n, x) -> n + octet_length(x)))[0])")
 
 
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tuple[str, str] | None = ("n_removed", "chars_removed"),
           least_chars: int = LEAST_CHARS) -> DataFrame:
     """``df`` with repeated passages cut from the text; ``counts`` names two more
-    columns, the chunks cut (whole or in part) and the removed characters.
+    columns, the removed seeds and characters.
 
-    Only hashes of all chunks are written and shuffled.  Texts are shuffled
-    once, by document, to meet the places of chunks with repeated hashes; the
-    bytes of those chunks alone, and of what stands beside their runs, are
-    then grouped.
+    Only hashes and offsets of all chunks are written and shuffled.  Texts are
+    shuffled once, by document, to meet the offsets of chunks with repeated
+    hashes; the bytes of those chunks alone, and of what stands beside their
+    runs, are written and grouped.
     """
     names = list(df.columns)
     taken = [*names, *(counts or ())]
-    i, k, maybe, gone, chunks, kept, t = (fresh(taken, x) for x in ("id_", "tkey_", "maybe_", "gone_", "chunks_", "kept_", "text_"))
+    i, k, maybe, gone, raw, kept, t = (fresh(taken, x) for x in ("id_", "tkey_", "maybe_", "gone_", "raw_", "kept_", "text_"))
     whole = col(doc_id).isNotNull() & col(text).isNotNull() & (col(text) != "")
     # one and the same projection for both joins with texts, so that where no
     # other columns are carried Spark reuses one shuffle of the texts
     rest = [c for c in names if c not in (doc_id, text)]
     rows = df.where(whole).select(col(doc_id).alias(i), F.xxhash64(col(text)).alias(k), col(text).alias(t), *[col(c) for c in rest])
-    found = rows.select(i, k, F.posexplode_outer(F.expr(chunks_of(t))).alias("pos", "c"))
-    found = found.where(f"c.lines >= 2 and length(c.chunk) >= {SEED_CHARS}").select(i, k, "pos", F.xxhash64("c.chunk").alias("h"))
-    found = materialize(found, "line-chunks")
-    place = F.xxhash64(i, k, "pos")
-    again = found.groupBy("h").agg(F.min(place).alias("lo"), F.max(place).alias("hi")).where("lo <> hi").select("h")
-    places = found.join(again, "h").groupBy(i, k).agg(F.collect_set("pos").alias(maybe))
-    met = bound(rows.select(i, k, t).join(places, [i, k]), chunks_of(t), chunks)
-    beside = (f"if(array_contains({maybe}, p + 1), null, slice({chunks}.chunk, p + 2, {REACH})) as after",
-              f"if(array_contains({maybe}, p - 1), null, slice({chunks}.chunk, greatest(p - {REACH}, 0) + 1, least(p, {REACH}))) as before",
-              " + ".join(f"if(array_contains({maybe}, {p}), length({chunks}[{p}].chunk), 0)" for p in ("p + 1", "p - 1")) + " as seeds")
-    met = met.select(i, k, F.explode_outer(F.expr(f"transform({maybe}, p -> struct(p as pos, {chunks}[p].chunk as chunk, {', '.join(beside)}))")).alias("c"))
-    met = met.select(i, k, "c.*").withColumn("h", F.xxhash64("chunk"))
-    one = F.struct(i, k, "pos")
-    ends = [F.min(F.when(F.col(c).isNotNull(), F.struct(one.alias("one"), F.array_join(c, "").alias("t")))).alias(f"first_{c}") for c in ("after", "before")]
-    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first"), *ends)
-    cut = met.join(first, ["h", "chunk"]).where(one != F.col("first"))
+    found = rows.select(i, k, F.explode_outer(F.expr(f"filter({chunks_of(t)}, c -> c.lines >= 2 and c.chars >= {SEED_CHARS})")).alias("c"))
+    found = materialize(found.where("c is not null").select(i, k, "c.start", "c.size", "c.h"), "line-chunks")
+    again = found.groupBy("h").count().where("count > 1").select("h")
+    places = found.join(again, "h").groupBy(i, k).agg(F.sort_array(F.collect_set(F.struct("start", "size", "h"))).alias(maybe))
+    met = bound(rows.select(i, k, t).join(places, [i, k]), f"cast({t} as binary)", raw)
+    # beside a seed: the seed there, or up to REACH bytes without a word cut through
+    cut_off = (f"if(m.start + m.size + {REACH} < octet_length({raw}), '\\\\S+$', '^$')", f"if(m.start > {REACH}, '^\\\\S+', '^$')")
+    after = f"regexp_replace(cast(substr({raw}, m.start + m.size + 1, {REACH}) as string), {cut_off[0]}, '')"
+    before = f"regexp_replace(cast(substr({raw}, greatest(m.start - {REACH}, 0) + 1, least(m.start, {REACH})) as string), {cut_off[1]}, '')"
+    nexts, prior = f"coalesce(get({maybe}, j + 1).start = m.start + m.size, false)", f"coalesce(get({maybe}, j - 1).start + get({maybe}, j - 1).size = m.start, false)"
+    met = met.select(i, k, F.explode(F.expr(
+        f"transform({maybe}, (m, j) -> struct(m.h as h, m.start as start, m.size as size, substr({raw}, m.start + 1, m.size) as chunk, "
+        f"if({nexts}, null, {after}) as after, if({prior}, null, {before}) as before, "
+        f"if({nexts}, get({maybe}, j + 1).size, 0) + if({prior}, get({maybe}, j - 1).size, 0) as seeds))")).alias("c"))
+    met = materialize(met.select(i, k, "c.*"), "line-seeds")
+    one = F.struct(i, k, "start")
+    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first")).groupBy("h").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("texts"))
+    met = met.drop("chunk")
+    cut = met.join(first.where("texts = 1").drop("texts"), "h").where(one != F.col("first"))
     for c in ("after", "before"):
-        earlier = f"if(first_{c}.one < struct(`{i}`, `{k}`, pos), first_{c}.t, null)"
-        cut = cut.withColumn(f"n_{c}", F.expr(agreeing(f"array_join({c}, '')", earlier, c == "before")))
-    chars = "aggregate(slice({0}, {1}, {2}), 0, (n, x) -> n + length(x))"
-    cut = cut.where(f"length(chunk) + seeds + n_after + n_before >= {least_chars}").select(i, k, F.explode(F.expr(
-        "concat(array(struct(pos as pos, length(chunk) as head, 0 as tail)), "
-        f"coalesce(transform(after, (x, j) -> struct(pos + 1 + j as pos, greatest(0, least(length(x), n_after - {chars.format('after', 1, 'j')})) as head, 0 as tail)), array()), "
-        "coalesce(transform(before, (x, j) -> struct(pos - size(before) + j as pos, 0 as head, "
-        f"greatest(0, least(length(x), n_before - {chars.format('before', 'j + 2', 'size(before)')})) as tail)), array()))")).alias("c"))
-    drop = cut.where("c.head > 0 or c.tail > 0").groupBy(i, k, "c.pos").agg(F.max("c.head").alias("head"), F.max("c.tail").alias("tail"))
-    drop = drop.groupBy(i, k).agg(F.sort_array(F.collect_list(F.struct("pos", "head", "tail"))).alias(gone))
+        ends = met.where(F.col(c).isNotNull()).groupBy("h").agg(F.min(F.struct(one.alias("one"), F.col(c).alias("t"))).alias(f"first_{c}"))
+        cut = cut.join(ends, "h", "left")
+        cut = cut.withColumn(f"n_{c}", F.expr(agreeing(c, f"if(first_{c}.one < struct(`{i}`, `{k}`, start), first_{c}.t, null)", c == "before")))
+    drop = (cut.where(f"size + seeds + n_after + n_before >= {least_chars}")
+            .groupBy(i, k).agg(F.sort_array(F.collect_set(F.expr("struct(start - n_before as a, start + size + n_after as b)"))).alias(gone)))
     out = rows.join(drop, [i, k], "left").select(*[col({doc_id: i, text: t}.get(c, c)).alias(c) for c in names], gone)
     out = out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn(gone, F.lit(None).cast(drop.schema[gone].dataType)))
-    # cuts by chunk number, zeros between, so a chunk finds its own by its number
-    by_chunk = (f"flatten(transform(`{gone}`, (e, j) -> concat(array_repeat(named_struct('pos', 0, 'head', 0, 'tail', 0), "
-                f"e.pos - if(j = 0, -1, `{gone}`[j - 1].pos) - 1), array(e))))")
     quoted = "`" + text.replace("`", "``") + "`"
-    left = (f"transform(array({by_chunk}), g -> array_join(transform({chunks_of(quoted)}, (c, x) -> if(x < size(g), "
-            "substr(c.chunk, g[x].head + 1, greatest(length(c.chunk) - g[x].head - g[x].tail, 0)), c.chunk)), ''))[0]")
+    # the stretches between what is cut: from the end of the cuts so far to the next cut
+    between = (f"aggregate(array_append(`{gone}`, struct(octet_length({quoted}) as a, 0 as b)), struct(0 as done, cast(array() as array<struct<a:int,b:int>>) as s), "
+               "(o, g) -> struct(greatest(o.done, g.b) as done, if(g.a > o.done, array_append(o.s, struct(o.done as a, g.a as b)), o.s) as s), o -> o.s)")
+    left = (f"transform(array(cast({quoted} as binary)), r -> array_join(transform({between}, "
+            "s -> cast(substr(r, s.a + 1, s.b - s.a) as string)), ''))[0]")
     out = bound(out, f"if(`{gone}` is null, {quoted}, {left})", kept)
     cols = [(F.col(kept) if c == text else col(c)).alias(c) for c in names]
     if counts:

@@ -39,11 +39,11 @@ from pyspark.sql import functions as F
 from .common import col, fresh, materialize
 
 LEAST_CHARS = 50
-SEED_CHARS = 30
+SEED_CHARS = 36
 REACH = 400
 LONG_WORD = 7
 #: A line: words shorter than that, then what ends the line.
-LINE = r"(?=[\s\S])(?:[^ .,;:!?\n]{0,%d}+ ++)*+[^ .,;:!?\n]*+[.,;:!?\n]*+ *+" % (LONG_WORD - 1)
+LINE = r"(?:[^ .,;:!?\n]{0,%d}+ ++)++[^ .,;:!?\n]*+[.,;:!?\n]*+ *+|[^ .,;:!?\n]++[.,;:!?\n]*+ *+|[.,;:!?\n]++ *+" % (LONG_WORD - 1)
 
 
 def chunks_of(text: str) -> str:
@@ -85,7 +85,7 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     Only hashes and offsets of all chunks are written and shuffled.  Texts are
     shuffled once, by document, to meet the offsets of chunks with repeated
     hashes; the bytes of those chunks alone, and of what stands beside their
-    runs, are written and grouped.
+    runs, are then grouped.
     """
     names = list(df.columns)
     taken = [*names, *(counts or ())]
@@ -94,12 +94,12 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     # one and the same projection for both joins with texts, so that where no
     # other columns are carried Spark reuses one shuffle of the texts
     rest = [c for c in names if c not in (doc_id, text)]
-    rows = df.where(whole).select(col(doc_id).alias(i), F.xxhash64(col(text)).alias(k), col(text).alias(t), *[col(c) for c in rest])
-    found = rows.select(i, k, F.explode_outer(F.expr(f"filter({chunks_of(t)}, c -> c.lines >= 2 and c.chars >= {SEED_CHARS})")).alias("c"))
-    found = materialize(found.where("c is not null").select(i, k, "c.start", "c.size", "c.h"), "line-chunks")
+    rows = df.where(whole).select(col(doc_id).alias(i), F.xxhash64(col(doc_id), col(text)).alias(k), col(text).alias(t), *[col(c) for c in rest])
+    found = rows.select(k, F.explode_outer(F.expr(f"filter({chunks_of(t)}, c -> c.lines >= 2 and c.chars >= {SEED_CHARS})")).alias("c"))
+    found = materialize(found.where("c is not null").select(k, "c.start", "c.size", "c.h"), "line-chunks")
     again = found.groupBy("h").count().where("count > 1").select("h")
-    places = found.join(again, "h").groupBy(i, k).agg(F.sort_array(F.collect_set(F.struct("start", "size", "h"))).alias(maybe))
-    met = bound(rows.select(i, k, t).join(places, [i, k]), f"cast({t} as binary)", raw)
+    places = found.join(again, "h").groupBy(k).agg(F.sort_array(F.collect_set(F.struct("start", "size", "h"))).alias(maybe))
+    met = bound(rows.select(i, k, t).join(places, k), f"cast({t} as binary)", raw)
     # beside a seed: the seed there, or up to REACH bytes without a word cut through
     cut_off = (f"if(m.start + m.size + {REACH} < octet_length({raw}), '\\\\S+$', '^$')", f"if(m.start > {REACH}, '^\\\\S+', '^$')")
     after = f"regexp_replace(cast(substr({raw}, m.start + m.size + 1, {REACH}) as string), {cut_off[0]}, '')"
@@ -109,22 +109,22 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
         f"transform({maybe}, (m, j) -> struct(m.h as h, m.start as start, m.size as size, substr({raw}, m.start + 1, m.size) as chunk, "
         f"if({nexts}, null, {after}) as after, if({prior}, null, {before}) as before, "
         f"if({nexts}, get({maybe}, j + 1).size, 0) + if({prior}, get({maybe}, j - 1).size, 0) as seeds))")).alias("c"))
-    met = materialize(met.select(i, k, "c.*"), "line-seeds")
+    met = met.select(i, k, "c.*")
     one = F.struct(i, k, "start")
-    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first")).groupBy("h").agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("texts"))
-    met = met.drop("chunk")
-    cut = met.join(first.where("texts = 1").drop("texts"), "h").where(one != F.col("first"))
+    ends = [F.min(F.when(F.col(c).isNotNull(), F.struct(one.alias("one"), F.col(c).alias("t")))).alias(f"first_{c}") for c in ("after", "before")]
+    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first"), *ends)
+    first = first.groupBy("h").agg(F.min(F.struct("first", "first_after", "first_before")).alias("f"), F.count(F.lit(1)).alias("texts"))
+    cut = met.drop("chunk").join(first.where("texts = 1").select("h", "f.*"), "h").where(one != F.col("first"))
     for c in ("after", "before"):
-        ends = met.where(F.col(c).isNotNull()).groupBy("h").agg(F.min(F.struct(one.alias("one"), F.col(c).alias("t"))).alias(f"first_{c}"))
-        cut = cut.join(ends, "h", "left")
         cut = cut.withColumn(f"n_{c}", F.expr(agreeing(c, f"if(first_{c}.one < struct(`{i}`, `{k}`, start), first_{c}.t, null)", c == "before")))
     drop = (cut.where(f"size + seeds + n_after + n_before >= {least_chars}")
-            .groupBy(i, k).agg(F.sort_array(F.collect_set(F.expr("struct(start - n_before as a, start + size + n_after as b)"))).alias(gone)))
-    out = rows.join(drop, [i, k], "left").select(*[col({doc_id: i, text: t}.get(c, c)).alias(c) for c in names], gone)
+            .groupBy(k).agg(F.sort_array(F.collect_set(F.struct(i, F.expr("start - n_before as a"), F.expr("start + size + n_after as b")))).alias(gone)))
+    own = F.expr(f"filter(`{gone}`, g -> g.`{i}` = `{i}`)").alias(gone)
+    out = rows.join(drop, k, "left").select(*[col({doc_id: i, text: t}.get(c, c)).alias(c) for c in names], own)
     out = out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn(gone, F.lit(None).cast(drop.schema[gone].dataType)))
     quoted = "`" + text.replace("`", "``") + "`"
     # the stretches between what is cut: from the end of the cuts so far to the next cut
-    between = (f"aggregate(array_append(`{gone}`, struct(octet_length({quoted}) as a, 0 as b)), struct(0 as done, cast(array() as array<struct<a:int,b:int>>) as s), "
+    between = (f"aggregate(array_append(transform(`{gone}`, g -> struct(g.a as a, g.b as b)), struct(octet_length({quoted}) as a, 0 as b)), struct(0 as done, cast(array() as array<struct<a:int,b:int>>) as s), "
                "(o, g) -> struct(greatest(o.done, g.b) as done, if(g.a > o.done, array_append(o.s, struct(o.done as a, g.a as b)), o.s) as s), o -> o.s)")
     left = (f"transform(array(cast({quoted} as binary)), r -> array_join(transform({between}, "
             "s -> cast(substr(r, s.a + 1, s.b - s.a) as string)), ''))[0]")

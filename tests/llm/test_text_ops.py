@@ -122,12 +122,14 @@ def brute_dedup(rows):
     starts, ends = ({(n, p + (len(c) if end else 0)): len(c) for c, at in seeds.items() for n, p in at} for end in (False, True))
 
     def after(n, end):
-        text = raw[n][end:end + reach].decode(errors="replace")
-        return re.sub(r"\S+$", "", text) if end + reach < len(raw[n]) else text
+        size = min([p for m, p in starts if m == n and p >= end], default=len(raw[n])) - end
+        text = raw[n][end:end + min(size, reach)].decode(errors="replace")
+        return re.sub(r"\S+$", "", text) if size > reach else text
 
     def before(n, start):
-        text = raw[n][max(0, start - reach):start].decode(errors="replace")
-        return re.sub(r"^\S+", "", text) if start > reach else text
+        size = start - max([p for m, p in ends if m == n and p <= start], default=0)
+        text = raw[n][start - min(size, reach):start].decode(errors="replace")
+        return re.sub(r"^\S+", "", text) if size > reach else text
 
     gone = [bytearray(len(r)) for r in raw]
     for c, at in seeds.items():

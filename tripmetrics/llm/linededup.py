@@ -18,7 +18,7 @@ different bytes share removes nothing.  All occurrences but the first by
 byte.  A seed stays if it has fewer than ``LEAST_CHARS`` bytes together with
 those words and the seeds beside it.
 
-Neighbours are carried only where a run of seeds ends, and the earliest
+Neighbours are carried only where a run of seeds ends, up to the next run, and the earliest
 occurrence that ends a run there is the one compared with.  What is removed
 always equals an earlier place that bears it, so no passage is lost whole.
 
@@ -100,10 +100,12 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     again = found.groupBy("h").count().where("count > 1").select("h")
     places = found.join(again, "h").groupBy(k).agg(F.sort_array(F.collect_set(F.struct("start", "size", "h"))).alias(maybe))
     met = bound(rows.select(i, k, t).join(places, k), f"cast({t} as binary)", raw)
-    # beside a seed: the seed there, or up to REACH bytes without a word cut through
-    cut_off = (f"if(m.start + m.size + {REACH} < octet_length({raw}), '\\\\S+$', '^$')", f"if(m.start > {REACH}, '^\\\\S+', '^$')")
-    after = f"regexp_replace(cast(substr({raw}, m.start + m.size + 1, {REACH}) as string), {cut_off[0]}, '')"
-    before = f"regexp_replace(cast(substr({raw}, greatest(m.start - {REACH}, 0) + 1, least(m.start, {REACH})) as string), {cut_off[1]}, '')"
+    # beside a seed: the seed there, or what lies before the next seed, up to REACH bytes without a word cut through
+    ahead = f"coalesce(get({maybe}, j + 1).start, octet_length({raw})) - m.start - m.size"
+    behind = f"m.start - coalesce(get({maybe}, j - 1).start + get({maybe}, j - 1).size, 0)"
+    after = f"regexp_replace(cast(substr({raw}, m.start + m.size + 1, least({REACH}, {ahead})) as string), if({ahead} > {REACH}, '\\\\S+$', '^$'), '')"
+    before = (f"regexp_replace(cast(substr({raw}, m.start - least({REACH}, {behind}) + 1, least({REACH}, {behind})) as string), "
+              f"if({behind} > {REACH}, '^\\\\S+', '^$'), '')")
     nexts, prior = f"coalesce(get({maybe}, j + 1).start = m.start + m.size, false)", f"coalesce(get({maybe}, j - 1).start + get({maybe}, j - 1).size = m.start, false)"
     met = met.select(i, k, F.explode(F.expr(
         f"transform({maybe}, (m, j) -> struct(m.h as h, m.start as start, m.size as size, substr({raw}, m.start + 1, m.size) as chunk, "

@@ -116,3 +116,12 @@ def test_surrogate_ids_are_of_the_record_as_it_came(spark, dims):
                                       "payment_type string, trip_duration_min string, speed_mph string")
     want = CL.with_trip_id(raw).first().trip_id
     assert CL.enrich_trips(raw, dims).first().trip_id == want
+
+
+def test_ts_text_digits_and_cost(spark):
+    """Six digits of the fraction, whatever the cast leaves out; no pattern is parsed for each row."""
+    rows = [datetime(2024, 1, 2, 3, 4, 5), datetime(2024, 1, 2, 3, 4, 5, 1), datetime(2024, 12, 31, 23, 59, 59, 999999),
+            datetime(33, 1, 2, 0, 0, 0, 500000), datetime(9999, 12, 31, 10, 0, 0, 120)]
+    df = spark.createDataFrame([(d,) for d in rows] + [(None,)], "ts timestamp_ntz").select(C.ts_text("ts").alias("t"))
+    assert [r.t for r in df.collect()] == [f"{d.year:04d}-{d:%m-%d %H:%M:%S.%f}" for d in rows] + [None]
+    assert "format_string" not in df._jdf.queryExecution().optimizedPlan().toString()

@@ -42,13 +42,14 @@ def money_sum(c) -> Column:
 
 
 def ts_text(c) -> Column:
-    """'yyyy-MM-dd HH:mm:ss.ffffff' of a zone-less timestamp, built from its
-    fields: ``date_format`` would pass through the session zone and move a
-    wall-clock time that falls in a daylight-saving gap."""
-    c = col(c)
-    sec = F.extract(F.lit("SECOND"), c).cast("double")
-    txt = F.format_string("%s %02d:%02d:%09.6f", c.cast("date").cast("string"), F.hour(c), F.minute(c), sec)
-    return F.when(c.isNotNull(), txt)
+    """'yyyy-MM-dd HH:mm:ss.ffffff' of a zone-less timestamp: its cast to text,
+    which leaves trailing zeros of the fraction out, filled up with them.
+    ``date_format`` would pass through the session zone and move a wall-clock
+    time that falls in a daylight-saving gap; ``format_string`` parses its
+    pattern for every row."""
+    txt = col(c).cast("string")
+    dot = F.instr(txt, ".")
+    return F.when(dot == 0, F.concat(txt, F.lit(".000000"))).otherwise(F.rpad(txt, dot + 6, "0"))
 
 
 def date_text(c) -> Column:

@@ -96,3 +96,12 @@ def test_stream_dedupe_keeps_old_trips_and_first_arrivals(spark):
     assert again.count() == again.select("trip_id").distinct().count()
     assert first.exceptAll(again).count() == 0
     assert again.filter("trip_id like '%-late'").count() == want.filter("passenger_count <> 1").count()
+
+
+def test_small_files_are_taken_together(spark, tmp_path):
+    """Micro-batches are paced by bytes: 20 small files are one, and the days are written once."""
+    ws = workspace(spark, SF_SMALL, DEFAULT)
+    rows, path, state = ws.raw_trips.limit(200).repartition(20), str(tmp_path / "in"), str(tmp_path / "state")
+    rows.write.parquet(path)
+    L.stream_hourly(spark, path, ws.raw_trips.schema, ws.dims, ws.params, state_dir=state)
+    assert len(list((tmp_path / "state" / "_commits").glob("*.json"))) == 1

@@ -45,11 +45,16 @@ def land_batches(df: DataFrame, path: str, batch_col: str = "batch_id") -> None:
     df.write.mode("append").partitionBy(batch_col).parquet(path)
 
 
-def _read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int = 16) -> DataFrame:
-    """Stream the landing folder; ``files_per_trigger`` only paces the
-    micro-batches, results do not depend on it."""
-    return (spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger)
-                 .option("latestFirst", "false").parquet(path))
+BYTES_PER_TRIGGER = 512 * 2**20
+
+
+def _read_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
+    """Stream the landing folder, a micro-batch at most ``BYTES_PER_TRIGGER``
+    of files, or ``files_per_trigger`` files if that is given: every
+    micro-batch makes the days it touches anew, so small files are taken
+    together.  This only paces the micro-batches."""
+    pace = ("maxBytesPerTrigger", BYTES_PER_TRIGGER) if files_per_trigger is None else ("maxFilesPerTrigger", files_per_trigger)
+    return spark.readStream.schema(schema).option(*pace).option("latestFirst", "false").parquet(path)
 
 
 def clean_stream(stream: DataFrame, dims: Dims, params: Params) -> DataFrame:

@@ -6,9 +6,12 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tripmetrics.operators import merge as MG
 from tripmetrics.operators import serve as SV
 from tripmetrics.plans.catalog import DEFAULT, workspace
+from tripmetrics.plans.warehouse import Warehouse
 from tripmetrics.plans.workspace import fingerprint
+from tripmetrics.session import INITIAL, INPUT_PER_PARTITION, shuffle_width, tune
 
 
 def plan_of(spark, key):
@@ -70,3 +73,48 @@ def test_landed_layer_follows_its_files(spark, tmp_path):
 def test_staging_first_wins_is_partial_aggregate(spark):
     p = plan_of(spark, "stage_trips")
     assert "partial_min(struct" in p and "Window" not in p
+
+
+def test_shuffles_widen_with_the_input(spark):
+    """More input bytes, more partitions at the start of a shuffle; the caller's own settings stay."""
+    tune(spark, 0)
+    assert shuffle_width(spark) == 4 and spark.conf.get(INITIAL, None) is None
+    tune(spark, 60 * INPUT_PER_PARTITION)
+    assert shuffle_width(spark) == 60
+    tune(spark, 600 * INPUT_PER_PARTITION)
+    assert shuffle_width(spark) == 600
+    spark.conf.set(INITIAL, "7")
+    tune(spark, 60 * INPUT_PER_PARTITION)
+    assert shuffle_width(spark) == 7
+    spark.conf.unset(INITIAL)
+    tune(spark, 60 * INPUT_PER_PARTITION)
+    tune(spark, 0)
+    assert shuffle_width(spark) == 4 and spark.conf.get("spark.sql.files.maxPartitionBytes") == "32MB"
+
+
+def test_writes_by_city_are_not_sorted(spark, tmp_path):
+    """A task keeps a file open a city, and does not sort its rows (JSON text) by city first."""
+    tune(spark)
+    spark.range(40).selectExpr("id % 3 AS city", "id").createOrReplaceTempView("by_city")
+    spark.sql(f"CREATE TABLE kept_by_city (id long, city long) USING parquet PARTITIONED BY (city) LOCATION '{tmp_path}/rows'")
+    try:
+        insert = "INSERT INTO kept_by_city SELECT id, city FROM by_city"
+        assert "Sort" not in spark.sql(f"EXPLAIN {insert}").first()[0]
+        spark.sql(insert)
+        assert sorted(r.id for r in spark.table("kept_by_city").collect()) == list(range(40))
+    finally:
+        spark.sql("DROP TABLE kept_by_city")
+
+
+def test_staged_rows_are_dealt_once(spark, tmp_path, monkeypatch):
+    """Rows dealt by their key for the first-wins pick go to the bucketed table as they are, a file a bucket at most;
+    in a session of another width they are dealt again."""
+    rows = spark.createDataFrame([(str(i % 50), "c", i) for i in range(200)], "trip_id string, city string, n int")
+    first, frame, dealt = MG.first_per_key(rows, "trip_id", ["n"]), type(rows), []
+    orig = frame.repartition
+    monkeypatch.setattr(frame, "repartition", lambda self, *a: (dealt.append(a), orig(self, *a))[1])
+    for buckets, again in ((shuffle_width(spark), 0), (3, 1)):
+        wh = Warehouse(spark, str(tmp_path / f"w{buckets}"), buckets)
+        got = wh.stage("stg", first, "trip_id", 1)
+        assert sorted((int(r.trip_id), r.n) for r in got.collect()) == [(i, i) for i in range(50)]
+        assert len(got.inputFiles()) <= buckets and len(dealt) == again

@@ -48,7 +48,8 @@ TASK = "transform_load"
 def _landed(df: DataFrame, load_id: int, path: str, *parts: str) -> DataFrame:
     """Writes a load under its own partition, in place of an earlier try of it; returns it as read back."""
     out = df.withColumn("ingested_at", F.lit(now()).cast("timestamp_ntz")).withColumn("load_id", F.lit(load_id))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id", *parts).parquet(path)
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+        .partitionBy("load_id", *parts).parquet(path))
     return df.sparkSession.read.option("basePath", path).parquet(f"{path}/load_id={load_id}")
 
 
@@ -92,7 +93,7 @@ def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFra
         seen_trips, extracted = _counted(FD.land_trips(trips), f"trips-{run_id}")
         landed = go(_landed, seen_trips, load_id, f"{out}/raw_trips", "city")
         # clean + quality: one pass; the batch is written once and read back
-        Q.with_first_fail(CL.enrich_trips(trips, dims), params).write.mode("overwrite").parquet(f"{batch}/enriched")
+        Q.with_first_fail(CL.enrich_trips(trips, dims), params).write.mode("overwrite").option("compression", "zstd").parquet(f"{batch}/enriched")
         enriched = spark.read.parquet(f"{batch}/enriched")
         clean = Q.survivors(enriched, params).select(*CL.KEEP_COLUMNS, "batch_id")
         checked = go(_check, enriched, f"{batch}/dq", f"{out}/dq_log", load_id, run_id)

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge as MG
+from ..session import shuffle_width
 
 COMMITS = "_commits"
 
@@ -35,7 +36,7 @@ class Warehouse:
         self.spark, self.base = spark, base.rstrip("/")
         self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        self._buckets = buckets or shuffle_width(spark)
         self._frames: dict = {}
 
     # -- files -----------------------------------------------------------------
@@ -145,7 +146,7 @@ class Warehouse:
             there = self.exists(table)
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
             n = self.head()["buckets"]
-            self.spark.sql(f"CREATE TABLE {name} ({cols}, load_id STRING) USING parquet PARTITIONED BY (load_id) "
+            self.spark.sql(f"CREATE TABLE {name} ({cols}, load_id STRING) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (load_id) "
                            f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {n} BUCKETS LOCATION '{self.base}/{table}'")
             if there:
                 self.spark.catalog.recoverPartitions(name)
@@ -159,10 +160,14 @@ class Warehouse:
         return self.spark.table(self._staging(table, schema, key)).where(F.col("load_id").isin(loads))
 
     def stage(self, table: str, rows: DataFrame, key: str, load) -> DataFrame:
-        """Writes a load's partition, in place of an earlier try; returns it as read back."""
+        """Writes a load's partition, in place of an earlier try; returns it as read back.
+        The rows are those of ``merge.insert_or_ignore``, dealt by the hash of
+        their key already: they are dealt again only if the session's shuffles
+        are of another width than the table's buckets."""
         name = self._staging(table, rows.schema, key)
         view = f"stage_{uuid.uuid4().hex}"
-        rows.repartition(self.head()["buckets"], key).createOrReplaceTempView(view)
+        n = self.head()["buckets"]
+        (rows if n == shuffle_width(self.spark) else rows.repartition(n, key)).createOrReplaceTempView(view)
         cols = ", ".join(f"`{c}`" for c in rows.columns)
         if self.exists(f"{table}/load_id={load}"):      # of a try that died; no reader sees it
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (load_id = '{load}')")

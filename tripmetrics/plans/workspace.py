@@ -174,7 +174,7 @@ def land(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         return spark.read.parquet(hit[1])
     df = build(spark, sf_dir)
     path = scratch_path(spark, f"raw-{name}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     _LANDED[k] = (spark, path)
     return spark.read.parquet(path).select(*df.columns)
 

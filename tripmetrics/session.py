@@ -23,13 +23,43 @@ BASE_CONF = {
 
 # Runtime SQL settings a library may apply to a caller's session: only when
 # the caller left Spark's default in place.
-RUNTIME_DEFAULTS = {"spark.sql.codegen.hugeMethodLimit": ("65535", "8000")}
+RUNTIME_DEFAULTS = {
+    "spark.sql.codegen.hugeMethodLimit": ("65535", "8000"),
+    # A split of 128 MB of Parquet is gigabytes of rows: what a task sorts or
+    # aggregates of its split would spill.
+    "spark.sql.files.maxPartitionBytes": ("128MB", "32MB"),
+    # A task that writes a few partitions (cities, loads) keeps a file open for
+    # each, instead of sorting its rows by partition first.
+    "spark.sql.maxConcurrentOutputFileWriters": ("0", "16"),
+}
+SHUFFLE, INITIAL = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+INPUT_PER_PARTITION = 8 * 2**20     # compressed bytes of the input tables
+_INITIAL_SET: dict[int, str] = {}
 
 
-def tune(spark: SparkSession) -> None:
+def tune(spark: SparkSession, input_bytes: int = 0) -> None:
+    """Apply the settings above; with the input's size, also let shuffles start
+    with a number of partitions that grows with it (AQE merges small ones), so
+    that a task's sort or hash table does not grow with the input."""
     for k, (spark_default, ours) in RUNTIME_DEFAULTS.items():
         if spark.conf.get(k, spark_default) == spark_default:
             spark.conf.set(k, ours)
+    if spark.conf.get(INITIAL, None) != _INITIAL_SET.get(id(spark)):
+        return                                                      # the caller's own
+    n = -(-input_bytes // INPUT_PER_PARTITION)
+    if n > int(spark.conf.get(SHUFFLE, "200")):
+        spark.conf.set(INITIAL, str(n))
+        _INITIAL_SET[id(spark)] = str(n)
+    else:
+        spark.conf.unset(INITIAL)
+        _INITIAL_SET.pop(id(spark), None)
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """How many partitions a shuffle of this session starts with."""
+    n = spark.conf.get(SHUFFLE, "200")
+    merged = all(spark.conf.get(k, "true") == "true" for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.coalescePartitions.enabled"))
+    return int(spark.conf.get(INITIAL, n) if merged else n)
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,

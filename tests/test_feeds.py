@@ -38,3 +38,22 @@ def test_weather_feed_without_entry_and_slashes(spark):
     rows = [("a", "2024-01-01", "X", '{"main":{"temp":1.0},"weather":[]}'), ("b", "2024-01-01", "X", '{"weather":[{"id":731,"description":"sand/dust whirls"}]}')]
     got = normalize_weather_feed(spark.createDataFrame(rows, "id string, ingested_at string, city string, raw_json string")).collect()
     assert [(r.weather_id, r.condition) for r in got] == [("b", "Sand/Dust Whirls")]
+
+
+def _parses(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+
+
+def test_a_record_is_parsed_once(spark):
+    feed = spark.createDataFrame([("t", "c", "{}", "f", 1)], "trip_id string, city string, raw_json string, file string, load_id int")
+    weather = spark.createDataFrame([("w", "2024-01-01", "c", "{}")], "id string, ingested_at string, city string, raw_json string")
+    for df in (FD.normalize_trip_feed(feed), FD.replay_trips(feed), FD.quarantined(feed), FD.normalize_weather_feed(weather)):
+        assert _parses(df) == 1
+
+
+def test_no_text_and_no_json(spark):
+    rows = [("t0", "c", None), ("t1", "c", "no json"), ("t2", "c", '{"trip_id": "t2", "passenger_count": 2}')]
+    landed = spark.createDataFrame(rows, "trip_id string, city string, raw_json string")
+    assert [r.trip_id for r in FD.replay_trips(landed.drop("trip_id")).collect()] == ["t2"]
+    assert sorted((r.trip_id, r.reason) for r in FD.quarantined(landed).collect()) == [("t0", "no text"), ("t1", "not a record")]
+    assert {r.trip_id: r.passenger_count for r in FD.normalize_trip_feed(landed).collect()}["t2"] == 2

@@ -62,6 +62,12 @@ def trip_feed_payload(text_trips: DataFrame) -> DataFrame:
     return text_trips.select("trip_id", "city", F.lit("feed").alias("source"), F.to_json(s).alias("raw_json"))
 
 
+def _with_parsed(df: DataFrame, json, out: str) -> DataFrame:
+    """``df`` with ``out``, the parsed ``json``: as a generated column, so that
+    filters on its fields do not repeat the parse for each of them."""
+    return df.select("*", F.explode_outer(F.array(json)).alias(out))
+
+
 def _num(field: str, default: float, typ: str):
     """Python ``float(x or default)``: missing / empty -> default; a value
     that does not parse -> NULL (the caller skips the row)."""
@@ -72,7 +78,7 @@ def _num(field: str, default: float, typ: str):
 def normalize_trip_feed(landed: DataFrame) -> DataFrame:
     """Feed payload -> trip records; a row whose number does not parse is
     dropped, duration and speed are 0 (derived later)."""
-    x = landed.select("trip_id", "city", F.from_json("raw_json", FEED_TRIP_SCHEMA).alias("f"))
+    x = _with_parsed(landed, F.from_json("raw_json", FEED_TRIP_SCHEMA), "f")
     nums = {"passenger_count": _num("passenger_count", 1, "int"),
             "trip_distance_miles": _num("trip_distance", 0.0, "double"),
             "fare_amount": _num("fare_amount", 0.0, "double"),
@@ -116,7 +122,7 @@ def _title(text):
 
 def normalize_weather_feed(landed: DataFrame) -> DataFrame:
     """Decoded readings; one without a weather entry is dropped."""
-    x = landed.select("id", "ingested_at", "city", F.from_json("raw_json", FEED_WEATHER_SCHEMA).alias("w"))
+    x = _with_parsed(landed, F.from_json("raw_json", FEED_WEATHER_SCHEMA), "w")
     w0 = F.get(F.col("w.weather"), F.lit(0))
     code = w0.getField("id")
     vis_m = F.coalesce(F.col("w.visibility"), F.lit(float(S.DEFAULT_VISIBILITY_M)))
@@ -148,7 +154,7 @@ CORRUPT = "_corrupt_record"
 
 def _decoded(landed: DataFrame) -> DataFrame:
     schema = T.StructType([*TRIP_RECORD_SCHEMA.fields, T.StructField(CORRUPT, T.StringType())])
-    return landed.withColumn("r", F.from_json("raw_json", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    return _with_parsed(landed, F.from_json("raw_json", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}), "r")
 
 
 def replay_trips(landed: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ JOINED = 64                    # unseen matches in one text for the library
 SPACE_BYTE = "\u0120"          # how a byte-level vocabulary writes a space
 MAGIC, END_MAGIC = b"TMIDS1", b"TMIDSEND"
 #: A guess's confidence (0 to 15) after a miss (halved), then after a hit (one more).
-AFTER = np.array([s >> 1 for s in range(16)] + [min(s + 1, 15) for s in range(16)])
+AFTER = np.array([s >> 1 for s in range(16)] + [min(s + 1, 15) for s in range(16)], np.int16)
 _TOTAL, _BASE = 1 << BITS, 1 << BASE_BITS
 
 
@@ -63,8 +63,9 @@ class Model:
         self.v = vocabulary
         self.counts = np.zeros(vocabulary, np.int64)
         self.seen = 0
-        self.guess1, self.sure1 = np.zeros(vocabulary, np.int64), np.zeros(vocabulary, np.int64)
-        self.guess2, self.sure2 = np.zeros(1 << HASH_BITS, np.int64), np.zeros(1 << HASH_BITS, np.int64)
+        # narrow where they are read at random places
+        self.guess1, self.sure1 = np.zeros(vocabulary, np.int32), np.zeros(vocabulary, np.int16)
+        self.guess2, self.sure2 = np.zeros(1 << HASH_BITS, np.int32), np.zeros(1 << HASH_BITS, np.int16)
         self.tot = np.full(256, 4, np.int64)
         self.hit1, self.hit2 = np.ones(256, np.int64), np.ones(256, np.int64)
         self.prev, self.prev2 = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
@@ -82,7 +83,7 @@ class Model:
         self.key2 = ((self.prev2 * 0x9E3779B1 ^ self.prev * 0x85EBCA6B) >> 7) & ((1 << HASH_BITS) - 1)
         self.p1, self.p2 = self.guess1[self.prev], self.guess2[self.key2]
         self.s1, self.s2 = self.sure1[self.prev], self.sure2[self.key2]
-        self.row = self.s2 * 16 + self.s1
+        self.row = self.s2 * np.int16(16) + self.s1
         share = _TOTAL - _BASE
         self.q2 = (self.hit2 * share // self.tot)[self.row]
         self.q1 = (self.hit1 * share // self.tot)[self.row]
@@ -110,7 +111,7 @@ class Model:
         w2 += self.q2 + same * self.q1
         hit2 = (at >= l2) & (at < l2 + w2)
         miss = np.flatnonzero(~(hit2 | (at >= l1) & (at < l1 + w1)))
-        x, low, width = np.where(hit2, self.p2, self.p1), np.where(hit2, l2, l1), np.where(hit2, w2, w1)
+        x, low, width = np.where(hit2, self.p2, self.p1).astype(np.int64), np.where(hit2, l2, l1), np.where(hit2, w2, w1)
         # neither guess: order 0 decides, mostly by the coarse table alone
         a, q0, q1, q2 = (v[miss] for v in (at, self.q0, self.q1, self.q2))
         over = (a >= l1[miss]) * q1 + (a >= l2[miss]) * q2
@@ -131,7 +132,7 @@ class Model:
         self.hit1 += hits[2]
         for ok, guess, sure, key, s in ((ok1, self.guess1, self.sure1, self.prev, self.s1),
                                         (ok2, self.guess2, self.sure2, self.key2, self.s2)):
-            sure[key] = AFTER[s + 16 * ok]
+            sure[key] = AFTER[s + np.int16(16) * ok]
             new = np.flatnonzero(~ok & (s < 2))
             guess[key[new]] = x[new]
         np.add.at(self.counts, x, 1)

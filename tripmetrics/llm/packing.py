@@ -30,7 +30,7 @@ an empty one; further columns are ignored, whatever their names.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
+from itertools import chain, repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -149,9 +149,14 @@ class WordTokenizer(Tokenizer):
         cuts = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
         coded = cuts.flatten().dictionary_encode()
         words = coded.dictionary.to_pylist()
-        self._learn([w for w in words if w not in self.memo])
-        self.memo.new = []
-        rows = np.fromiter(map(self.memo.__getitem__, words), np.int64, len(words))[np.asarray(coded.indices)]
+        rows = np.fromiter(map(self.memo.get, words, repeat(-1)), np.int64, len(words))
+        unseen = np.flatnonzero(rows < 0).tolist()
+        if unseen:
+            new = [words[i] for i in unseen]
+            self._learn(new)
+            self.memo.new = []
+            rows[unseen] = [self.memo[w] for w in new]
+        rows = rows[np.asarray(coded.indices)]
         size = self.size[rows]
         end = np.cumsum(size)
         ids = self.pool[np.repeat(self.start[rows] - end + size, size) + np.arange(size.sum())]

@@ -323,3 +323,15 @@ def test_quality_odd_rows(odd, spark):
     got = odd.withColumn("s", gam.scorer(spark, model)("text")).collect()
     assert all(0 <= r.s <= 1 for r in got)
     assert gam.fit(odd, labels.limit(0), F.lit(True)).score(np.zeros((1, len(gam.FEATURES)))).tolist() == [0.5]
+
+
+def test_line_hashes_are_shuffled_once(spark):
+    """Chunks are cut once and their hashes dealt once, with place and size in one number; nothing is written before the texts meet them."""
+    rnd = random.Random(5)
+    text = "".join(f"w{rnd.randrange(900)} x{rnd.randrange(900)} y{rnd.randrange(900)}, " for _ in range(40))
+    df = spark.createDataFrame([(n, f"start {n}. {text} end {n}.") for n in range(6)], "doc_id long, text string")
+    out = linededup.dedup(df)
+    got = {r.doc_id: r for r in out.collect()}
+    assert got[0].n_removed == 0 and all(got[n].n_removed > 0 and len(got[n].text) < len(got[0].text) for n in range(1, 6))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "line-chunks" not in plan and "Window [count(1)" in plan and "shiftleft" in plan

@@ -10,7 +10,7 @@ depends on four lines only, so inserted or removed lines move the chunks next
 to them alone, and no inner chunk has fewer than two lines.
 
 Seeds are chunks of at least two lines and ``SEED_CHARS`` characters that
-occur again anywhere.  Their hashes are counted after partial aggregation, and
+occur again anywhere.  Their hashes are counted in a sorted run of thin rows, and
 the occurrences of repeated ones are grouped by their bytes; a hash that
 different bytes share removes nothing.  All occurrences but the first by
 (doc_id, place) are removed, and with them the neighbouring words, up to
@@ -33,10 +33,10 @@ an empty table gives an empty one; further columns are carried.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import col, fresh, materialize
+from .common import col, fresh
 
 LEAST_CHARS = 50
 SEED_CHARS = 36
@@ -82,9 +82,9 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     """``df`` with repeated passages cut from the text; ``counts`` names two more
     columns, the removed seeds and characters.
 
-    Only hashes and offsets of all chunks are written and shuffled.  Texts are
-    shuffled once, by document, to meet the offsets of chunks with repeated
-    hashes; the bytes of those chunks alone, and of what stands beside their
+    Only hashes and offsets of all chunks are shuffled, once, and counted where
+    equal hashes lie side by side.  Texts are shuffled once, by document, to meet
+    the offsets of chunks with repeated hashes; the bytes of those chunks alone, and of what stands beside their
     runs, are then grouped.
     """
     names = list(df.columns)
@@ -96,9 +96,9 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     rest = [c for c in names if c not in (doc_id, text)]
     rows = df.where(whole).select(col(doc_id).alias(i), F.xxhash64(col(doc_id), col(text)).alias(k), col(text).alias(t), *[col(c) for c in rest])
     found = rows.select(k, F.explode_outer(F.expr(f"filter({chunks_of(t)}, c -> c.lines >= 2 and c.chars >= {SEED_CHARS})")).alias("c"))
-    found = materialize(found.where("c is not null").select(k, "c.start", "c.size", "c.h"), "line-chunks")
-    again = found.groupBy("h").count().where("count > 1").select("h")
-    places = found.join(again, "h").groupBy(k).agg(F.sort_array(F.collect_set(F.struct("start", "size", "h"))).alias(maybe))
+    found = found.where("c is not null").select(k, F.expr("shiftleft(cast(c.start as long), 32) + c.size").alias("at"), "c.h")   # thin rows
+    again = F.count(F.lit(1)).over(Window.partitionBy("h"))
+    places = found.withColumn("n", again).where("n > 1").select(k, F.expr("int(shiftright(at, 32)) as start"), F.expr("int(at & 4294967295) as size"), "h").groupBy(k).agg(F.sort_array(F.collect_set(F.struct("start", "size", "h"))).alias(maybe))
     met = bound(rows.select(i, k, t).join(places, k), f"cast({t} as binary)", raw)
     # beside a seed: the seed there, or what lies before the next seed, up to REACH bytes without a word cut through
     ahead = f"coalesce(get({maybe}, j + 1).start, octet_length({raw})) - m.start - m.size"

@@ -88,3 +88,23 @@ def test_weekly_after_six_loads_equals_a_rollup_behind_each(spark):
     want = {r["city"]: r for r in state.collect()}
     assert set(got) == {"A", "B"} and got["A"]["total_trips"] == 16 and got["A"]["avg_daily_trips"] == 3
     assert {c: r.asDict() for c, r in got.items()} == {c: r.asDict() for c, r in want.items()}
+
+
+def test_first_per_key_moves_the_key_once(spark):
+    rows = spark.createDataFrame([("a", 2, "x"), ("a", 1, "y"), ("b", 3, "z"), (None, 1, "w")], "id string, n int, t string")
+    got = MG.first_per_key(rows, "id", ["n", "id", "t"])
+    assert sorted(tuple(r) for r in got.collect() if r.id) == [("a", 1, "y"), ("b", 3, "z")] and got.columns == rows.columns
+    assert [r.t for r in got.where("id is null").collect()] == ["w"]
+    (least,) = [line for line in got._jdf.queryExecution().analyzed().toString().split("\n") if "min(struct" in line]
+    assert "struct(n" in least and "id, id#" not in least
+
+
+def test_shuffles_are_read_in_small_parts(spark):
+    from tripmetrics.session import tune
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    other = spark.newSession()
+    tune(other)
+    assert other.conf.get(key) == "24MB"
+    other.conf.set(key, "48MB")                         # the caller's own is kept
+    tune(other)
+    assert other.conf.get(key) == "48MB"

@@ -59,10 +59,10 @@ WEEKLY_RULES = {
 def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """The first row of each key under ``order`` (skew-safe aggregate).  The
     row itself, with the order columns in front, is what is compared, so one
-    copy of it is shuffled."""
+    copy of it is shuffled; the key stands beside it, not in it."""
     row = [*order, *[c for c in df.columns if c not in order]]
-    return (df.groupBy(key).agg(F.min(F.struct(*row)).alias("_r"))
-              .select(*[F.col(f"_r.{c}").alias(c) for c in df.columns]))
+    return (df.groupBy(key).agg(F.min(F.struct(*[c for c in row if c != key])).alias("_r"))
+              .select(*[F.col(c) if c == key else F.col(f"_r.{c}").alias(c) for c in df.columns]))
 
 
 def insert_or_ignore(batch: DataFrame, key: str, not_null: list[str], order: list[str],

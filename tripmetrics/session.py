@@ -28,6 +28,9 @@ RUNTIME_DEFAULTS = {
     # A split of 128 MB of Parquet is gigabytes of rows: what a task sorts or
     # aggregates of its split would spill.
     "spark.sql.files.maxPartitionBytes": ("128MB", "32MB"),
+    # The same for what a task reads of a shuffle: rows sorted in memory take
+    # ten times their shuffled bytes.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("64MB", "24MB"),
     # A task that writes a few partitions (cities, loads) keeps a file open for
     # each, instead of sorting its rows by partition first.
     "spark.sql.maxConcurrentOutputFileWriters": ("0", "16"),

@@ -335,3 +335,35 @@ def test_line_hashes_are_shuffled_once(spark):
     assert got[0].n_removed == 0 and all(got[n].n_removed > 0 and len(got[n].text) < len(got[0].text) for n in range(1, 6))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "line-chunks" not in plan and "Window [count(1)" in plan and "shiftleft" in plan
+
+
+def test_line_dedup_offsets(spark):
+    """Byte offsets by runs are the running sums, whatever the number of strings."""
+    rows = [(["é" * (n % 3) + "x" * (j % 5) for j in range(n)],) for n in (0, 1, 2, 15, 16, 17, 32, 33, 100)]
+    for r in spark.createDataFrame(rows, "c array<string>").selectExpr("c", f"{linededup.offsets('c')} as o").collect():
+        assert r.o[:len(r.c)] == [sum(len(x.encode()) for x in r.c[:j]) for j in range(len(r.c))]
+
+
+def test_line_dedup_agreeing_words(spark):
+    """Words shared from one end, wherever the first difference is, are counted whole."""
+    def shared(a, b, last):
+        w, v = (re.findall(r"\S+\s*" if last else r"\s*\S+", t) for t in (a, b))
+        w, v = (w[::-1], v[::-1]) if last else (w, v)
+        n = next((j for j, x in enumerate(w) if j >= len(v) or v[j] != x), len(w))
+        return sum(len(x.encode()) for x in w[:n])
+
+    rnd, rows = random.Random(3), [("", ""), ("a", ""), ("  ", "  "), (" x", "x"), ("x ", "x"), ("same words", "same words")]
+    for _ in range(300):
+        words = [rnd.choice(("a", "né", "longer", "東京", "x\n", " ")) for _ in range(rnd.randrange(1, 60))]
+        a, at = " ".join(words), rnd.randrange(len(words))
+        rows += [(a, " ".join([*words[:at], "other", *words[at + 1:]])), (a, " ".join(words[at:])), (a, " ".join(words[:at])), (a, a)]
+    df = spark.createDataFrame(rows, "a string, b string")
+    got = df.selectExpr("a", "b", f"{linededup.agreeing('a', 'b', False)} as f", f"{linededup.agreeing('a', 'b', True)} as l").collect()
+    assert all((r.f, r.l) == (shared(r.a, r.b, False), shared(r.a, r.b, True)) for r in got)
+
+
+def test_line_dedup_compares_neighbours_once(spark, docs):
+    """The words beside a chunk are compared in one place of the plan, and first occurrences dealt by their hash alone."""
+    plan = linededup.dedup(docs.select("doc_id", "text"))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("zip_with(" in line for line in plan.split("\n")) == 1
+    assert not re.search(r"Aggregate \[h#\d+L?, chunk#", plan)

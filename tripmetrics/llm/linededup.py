@@ -42,8 +42,21 @@ LEAST_CHARS = 50
 SEED_CHARS = 36
 REACH = 400
 LONG_WORD = 7
-#: A line: words shorter than that, then what ends the line.
-LINE = r"(?:[^ .,;:!?\n]{0,%d}+ ++)++[^ .,;:!?\n]*+[.,;:!?\n]*+ *+|[^ .,;:!?\n]++[.,;:!?\n]*+ *+|[.,;:!?\n]++ *+" % (LONG_WORD - 1)
+RUN = 16
+#: Characters of two neighbours that are compared before all of them.
+GLANCES = (16, 64)
+#: A line: words shorter than that, then what ends the line.  What follows a run of characters
+#: may always be empty, so no run is ever given back.
+LINE = r"(?:[^ .,;:!?\n]{0,%d}+ +)++[^ .,;:!?\n]*[.,;:!?\n]* *|[^ .,;:!?\n]+[.,;:!?\n]* *|[.,;:!?\n]+ *" % (LONG_WORD - 1)
+
+
+def offsets(strings: str) -> str:
+    """SQL of the byte offset of each string of an array (and maybe one more).
+    An array only grows by being copied, so runs of ``RUN`` are summed first
+    and each run's offsets then begin from the run's own."""
+    return (f"transform(array(transform({strings}, x -> octet_length(x))), s -> transform(array(aggregate(sequence(0, (size(s) - 1) div {RUN}), array(0), "
+            f"(o, q) -> array_append(o, element_at(o, -1) + aggregate(slice(s, int(q) * {RUN} + 1, {RUN}), 0, (n, x) -> n + x)))), g -> flatten("
+            f"transform(g, (at, q) -> aggregate(slice(s, q * {RUN} + 1, {RUN - 1}), array(at), (o, x) -> array_append(o, element_at(o, -1) + x)))))[0])[0]")
 
 
 def chunks_of(text: str) -> str:
@@ -57,7 +70,7 @@ def chunks_of(text: str) -> str:
             "transform(array(concat(array(0), filter(sequence(1, greatest(size(a), 1)), i -> i = size(a) or "
             "(i > 1 and r[i - 1] < r[i - 2] and r[i - 1] <= r[i])))), b -> "
             "transform(array(transform(slice(b, 2, size(b)), (e, i) -> array_join(slice(a, b[i] + 1, e - b[i]), ''))), c -> "
-            "transform(array(aggregate(c, array(0), (o, x) -> array_append(o, element_at(o, -1) + octet_length(x)))), o -> "
+            f"transform(array({offsets('c')}), o -> "
             "transform(c, (x, i) -> struct(xxhash64(x) as h, o[i] as start, octet_length(x) as size, b[i + 1] - b[i] as lines, length(x) as chars))"
             ")[0])[0])[0])[0])[0])[0]")
 
@@ -70,11 +83,17 @@ def bound(df: DataFrame, expr: str, out: str) -> DataFrame:
 
 def agreeing(a: str, b: str, last: bool) -> str:
     """SQL: how many bytes of the text ``a`` are whole words that it shares
-    with ``b`` from the start on (from the end back if ``last``); 0 if either is null."""
-    word, turn = (r"\\S+\\s*", "reverse") if last else (r"\\s*\\S+", "")
-    words = [f"{turn}(regexp_extract_all({t}, '{word}', 0))" for t in (a, b)]
-    return (f"if({a} is null or {b} is null, 0, transform(array({words[0]}), w -> aggregate(slice(w, 1, coalesce(nullif(array_position("
-            f"zip_with(w, {words[1]}, (p, q) -> coalesce(p = q, false)), false), 0) - 1, size(w))), 0, (n, x) -> n + octet_length(x)))[0])")
+    with ``b`` from the start on (from the end back if ``last``); 0 if either is null.
+    Words are cut only as far as the first of ``GLANCES`` that shows a
+    difference: the word it falls in differs, those before it are whole."""
+    word, turn, side = (r"\\S+\\s*", "reverse", "right") if last else (r"\\s*\\S+", "", "left")
+    other = "other"
+    far = (f"case when {side}({a}, 1) <> {side}({other}, 1) then 0 " + "".join(f"when {side}({a}, {n}) <> {side}({other}, {n}) then {n} " for n in GLANCES)
+           + f"else greatest(length({a}), length({other})) end")
+    words = [f"{turn}(regexp_extract_all({side}({t}, far), '{word}', 0))" for t in (a, other)]
+    return (f"transform(array({b}), {other} -> if({a} is null or {other} is null, 0, transform(array({far}), far -> transform(array({words[0]}), w -> "
+            f"aggregate(slice(w, 1, coalesce(nullif(array_position(zip_with(w, {words[1]}, (p, q) -> coalesce(p = q, false)), false), 0) - 1, size(w))), "
+            "0, (n, x) -> n + octet_length(x)))[0])[0]))[0]")
 
 
 def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tuple[str, str] | None = ("n_removed", "chars_removed"),
@@ -103,9 +122,9 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     # beside a seed: the seed there, or what lies before the next seed, up to REACH bytes without a word cut through
     ahead = f"coalesce(get({maybe}, j + 1).start, octet_length({raw})) - m.start - m.size"
     behind = f"m.start - coalesce(get({maybe}, j - 1).start + get({maybe}, j - 1).size, 0)"
-    after = f"regexp_replace(cast(substr({raw}, m.start + m.size + 1, least({REACH}, {ahead})) as string), if({ahead} > {REACH}, '\\\\S+$', '^$'), '')"
-    before = (f"regexp_replace(cast(substr({raw}, m.start - least({REACH}, {behind}) + 1, least({REACH}, {behind})) as string), "
-              f"if({behind} > {REACH}, '^\\\\S+', '^$'), '')")
+    after, before = f"cast(substr({raw}, m.start + m.size + 1, least({REACH}, {ahead})) as string)", f"cast(substr({raw}, m.start - least({REACH}, {behind}) + 1, least({REACH}, {behind})) as string)"
+    after = f"if({ahead} > {REACH}, regexp_replace({after}, '(?<!\\\\S)\\\\S++$', ''), {after})"
+    before = f"if({behind} > {REACH}, regexp_replace({before}, '^\\\\S+', ''), {before})"
     nexts, prior = f"coalesce(get({maybe}, j + 1).start = m.start + m.size, false)", f"coalesce(get({maybe}, j - 1).start + get({maybe}, j - 1).size = m.start, false)"
     met = met.select(i, k, F.explode(F.expr(
         f"transform({maybe}, (m, j) -> struct(m.h as h, m.start as start, m.size as size, substr({raw}, m.start + 1, m.size) as chunk, "
@@ -114,13 +133,13 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", counts: tup
     met = met.select(i, k, "c.*")
     one = F.struct(i, k, "start")
     ends = [F.min(F.when(F.col(c).isNotNull(), F.struct(one.alias("one"), F.col(c).alias("t")))).alias(f"first_{c}") for c in ("after", "before")]
-    first = met.groupBy("h", "chunk").agg(F.min(one).alias("first"), *ends)
-    first = first.groupBy("h").agg(F.min(F.struct("first", "first_after", "first_before")).alias("f"), F.count(F.lit(1)).alias("texts"))
-    cut = met.drop("chunk").join(first.where("texts = 1").select("h", "f.*"), "h").where(one != F.col("first"))
-    for c in ("after", "before"):
-        cut = cut.withColumn(f"n_{c}", F.expr(agreeing(c, f"if(first_{c}.one < struct(`{i}`, `{k}`, start), first_{c}.t, null)", c == "before")))
-    drop = (cut.where(f"size + seeds + n_after + n_before >= {least_chars}")
-            .groupBy(k).agg(F.sort_array(F.collect_set(F.struct(i, F.expr("start - n_before as a"), F.expr("start + size + n_after as b")))).alias(gone)))
+    # one shuffle, by the hash: its occurrences bear the same bytes if the smallest and the largest do
+    first = met.groupBy("h").agg(F.min(one).alias("first"), *ends, F.min("chunk").alias("low"), F.max("chunk").alias("high"))
+    cut = met.drop("chunk").join(first.where("low = high").drop("low", "high"), "h").where(one != F.col("first"))
+    shared = ", ".join(agreeing(c, f"if(first_{c}.one < struct(`{i}`, `{k}`, start), first_{c}.t, null)", c == "before") + f" as {c}" for c in ("after", "before"))
+    cut = bound(cut, f"struct({shared})", "n")      # once, not again for the filter
+    drop = (cut.where(f"size + seeds + n.after + n.before >= {least_chars}")
+            .groupBy(k).agg(F.sort_array(F.collect_set(F.struct(i, F.expr("start - n.before as a"), F.expr("start + size + n.after as b")))).alias(gone)))
     own = F.expr(f"filter(`{gone}`, g -> g.`{i}` = `{i}`)").alias(gone)
     out = rows.join(drop, k, "left").select(*[col({doc_id: i, text: t}.get(c, c)).alias(c) for c in names], own)
     out = out.unionByName(df.where(~F.coalesce(whole, F.lit(False))).withColumn(gone, F.lit(None).cast(drop.schema[gone].dataType)))

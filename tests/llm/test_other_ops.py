@@ -1,6 +1,7 @@
 """WARC, url filter, embeddings, token files, BPE: brute force, round trips, odd rows."""
 import base64
 import hashlib
+import os
 import random
 import zlib
 
@@ -256,3 +257,14 @@ def test_broken_token_file_is_found():
     data[500] ^= 1
     with pytest.raises(ValueError, match="checksum"):
         list(tokenfile.read_file(io.BytesIO(data), len(data), 50257))
+
+
+def test_unseen_matches_take_rows_in_order():
+    """A match takes the next row where it is looked up first; the library runs no threads beside Spark's tasks."""
+    memo = tokenfile.Memo()
+    assert [memo[w] for w in ("a", "b", "a", "c")] == [0, 1, 0, 2] and memo.since(1) == ["b", "c"] and memo.since(3) == []
+    tok = tokenfile.Tokenizer(P.path("byte_bpe_50k.json"), P.PATTERN)
+    list(tok(["some words, and more words", None, ""]))
+    seen = len(tok.memo)
+    assert [x.tolist() for x in tok(["more words"])] == [tok.library.encode("more words", add_special_tokens=False).ids] and len(tok.memo) >= seen
+    assert "TOKENIZERS_PARALLELISM" in os.environ

@@ -154,7 +154,6 @@ class WordTokenizer(Tokenizer):
         if unseen:
             new = [words[i] for i in unseen]
             self._learn(new)
-            self.memo.new = []
             rows[unseen] = [self.memo[w] for w in new]
         rows = rows[np.asarray(coded.indices)]
         size = self.size[rows]

@@ -27,10 +27,13 @@ alone; a wrong checksum raises.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, compress, count, islice
+from operator import not_
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -291,18 +294,15 @@ def read_file(f, size: int, vocabulary: int) -> Iterator[tuple[int | None, int,
         start += n
 
 
-class Memo(dict):
-    """Rows of words; a word that is looked up for the first time gets the
-    next row and is noted in ``new``."""
+class Memo(defaultdict):
+    """Rows of words; a word that is looked up for the first time gets the next row."""
 
     def __init__(self):
-        super().__init__()
-        self.new = []
+        super().__init__(count().__next__)
 
-    def __missing__(self, word: str) -> int:
-        row = self[word] = len(self)
-        self.new.append(word)
-        return row
+    def since(self, row: int) -> list[str]:
+        """The words of the rows from ``row`` on."""
+        return list(islice(reversed(self), len(self) - row))[::-1]
 
 
 class Tokenizer:
@@ -340,18 +340,20 @@ class Tokenizer:
         self.used += len(ids)
 
     def _library(self, texts: list[str]) -> list[list[int]]:
+        # Spark runs a task on every core: threads of the library's own, in each worker, would only take turns with them
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        plain = [w for w in words if w[0] == " " and w[1:].isalpha()]
-        other = words
+        apart = [w[0] == " " and w[1:].isalpha() for w in words]
+        plain, other = list(compress(words, apart)), words
         if plain:
             ids = self._library(["".join(plain[i:i + JOINED]) for i in range(0, len(plain), JOINED)])
             ids = np.fromiter(chain.from_iterable(ids), self.kind)
             at = np.flatnonzero(self.opens[ids])
             if len(at) == len(plain):
                 self._keep(plain, ids, np.diff(at, append=len(ids)))
-                other = [w for w in words if w[0] != " " or not w[1:].isalpha()]
+                other = list(compress(words, map(not_, apart)))
         if other:
             ids = self._library(other)
             self._keep(other, np.fromiter(chain.from_iterable(ids), self.kind), np.fromiter(map(len, ids), np.int64))
@@ -371,15 +373,14 @@ class Tokenizer:
         if len(self.memo) > MEMO_WORDS:
             self._clear()
         cuts = [self.splitter.tree(t) if t else [] for t in texts]
-        count = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        rows = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(cuts)), np.int64, int(count.sum()))
-        if self.memo.new:
-            self._learn(self.memo.new)
-            self.memo.new = []
+        matches, known = np.fromiter(map(len, cuts), np.int64, len(cuts)), len(self.memo)
+        rows = np.fromiter(map(self.memo.__getitem__, chain.from_iterable(cuts)), np.int64, int(matches.sum()))
+        if len(self.memo) > known:
+            self._learn(self.memo.since(known))
         size = self.size[rows]
         end = np.cumsum(size)
         ids = self.pool[np.repeat(self.start[rows] - end + size, size) + np.arange(size.sum())]
-        ends = np.concatenate([[0], end])[np.cumsum(count)].tolist()
+        ends = np.concatenate([[0], end])[np.cumsum(matches)].tolist()
         for a, b in zip([0, *ends], ends, strict=False):
             yield ids[a:b]
 

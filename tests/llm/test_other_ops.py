@@ -268,3 +268,15 @@ def test_unseen_matches_take_rows_in_order():
     seen = len(tok.memo)
     assert [x.tolist() for x in tok(["more words"])] == [tok.library.encode("more words", add_special_tokens=False).ids] and len(tok.memo) >= seen
     assert "TOKENIZERS_PARALLELISM" in os.environ
+
+
+def test_leaf_memo_is_bounded_alone(monkeypatch):
+    """A worker remembers few leaves, whatever the number of matches it remembers; the ids do not change."""
+    monkeypatch.setattr(bpe, "MAX_LEAVES", 10)
+    codec = bpe.Codec(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN)
+    texts = [f"zq{n}xv kwpt{n} blorf{n}gnu" for n in range(100)]
+    got = [codec.encode(t) for t in texts]
+    assert len(codec.bpe._leaf) <= 10 and len(codec.words) > 10 and [codec.decode(e).decode() for e in got] == texts
+    monkeypatch.undo()
+    plain = bpe.Codec(codec.bpe.ranks, P.PATTERN)
+    assert got == [plain.encode(t) for t in texts]

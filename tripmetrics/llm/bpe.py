@@ -43,6 +43,7 @@ LEAF_CHARS = 4096
 LEAF_BYTES = 16
 LEAF_IDS = 1 << 14
 MAX_WORDS = 1_000_000        # bound of a worker's memo of encoded matches
+MAX_LEAVES = 1 << 16         # bound of its memo of leaves: most are whole matches, which are remembered already
 MAX_WORD_CHARS = 40          # longer matches are not remembered
 MAX_VOCABULARY = 1 << 20
 
@@ -204,7 +205,7 @@ class TreeBpe:
         if len(data) <= LEAF_BYTES:
             ids = self._leaf.get(data)
             if ids is None:
-                if len(self._leaf) > MAX_WORDS:
+                if len(self._leaf) >= MAX_LEAVES:
                     self._leaf.clear()
                 ids = self._leaf[data] = self.merge(data)
             return ids

@@ -280,3 +280,15 @@ def test_leaf_memo_is_bounded_alone(monkeypatch):
     monkeypatch.undo()
     plain = bpe.Codec(codec.bpe.ranks, P.PATTERN)
     assert got == [plain.encode(t) for t in texts]
+
+
+def test_match_memo_keeps_what_is_met_again(monkeypatch):
+    """The memo of matches stays within its bound, and a match met all along is encoded once."""
+    monkeypatch.setattr(bpe, "MAX_WORDS", 20)
+    codec = bpe.Codec(bpe.read_ranks(P.path("byte_bpe_multi_50k.tiktoken")), P.PATTERN)
+    met, match = [], codec.bpe.match
+    monkeypatch.setattr(codec.bpe, "match", lambda data: met.append(data) or match(data))
+    for n in range(100):
+        assert codec.decode(codec.encode(f" qzoften qz{n}")).decode() == f" qzoften qz{n}"
+        assert len(codec.words) + len(codec.words.old) <= 20
+    assert met.count(b" qzoften") == 1

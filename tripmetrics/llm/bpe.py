@@ -42,7 +42,7 @@ from .common import col, fresh, prepare
 LEAF_CHARS = 4096
 LEAF_BYTES = 16
 LEAF_IDS = 1 << 14
-MAX_WORDS = 1_000_000        # bound of a worker's memo of encoded matches
+MAX_WORDS = 400_000          # bound of a worker's memo of encoded matches
 MAX_LEAVES = 1 << 16         # bound of its memo of leaves: most are whole matches, which are remembered already
 MAX_WORD_CHARS = 40          # longer matches are not remembered
 MAX_VOCABULARY = 1 << 20
@@ -230,17 +230,21 @@ class TreeBpe:
 
 
 class Words(dict):
-    """Match -> its ids as little-endian 32-bit integers; bounded."""
+    """Match -> its ids as little-endian 32-bit integers; bounded: half of the
+    bound is filled, the half before it is kept for what is met again."""
 
     def __init__(self, bpe: TreeBpe):
         super().__init__()
-        self.bpe = bpe
+        self.bpe, self.old = bpe, {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.bpe.match(word.encode("utf-8", "surrogatepass"))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.old.get(word)
+        if packed is None:
+            ids = self.bpe.match(word.encode("utf-8", "surrogatepass"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= MAX_WORD_CHARS:
-            if len(self) >= MAX_WORDS:
+            if len(self) >= MAX_WORDS // 2:
+                self.old = dict(self)
                 self.clear()
             self[word] = packed
         return packed

@@ -6,12 +6,13 @@ import pytest
 
 import __spark_entry__ as E
 from tests.conftest import SF_SMALL
+from tripmetrics.operators import clean as CL
 from tripmetrics.operators import merge as MG
 from tripmetrics.operators import serve as SV
 from tripmetrics.plans.catalog import DEFAULT, workspace
 from tripmetrics.plans.warehouse import Warehouse
 from tripmetrics.plans.workspace import fingerprint
-from tripmetrics.session import INITIAL, INPUT_PER_PARTITION, shuffle_width, tune
+from tripmetrics.session import INITIAL, INPUT_PER_PARTITION, SPLITS, shuffle_width, tune
 
 
 def plan_of(spark, key):
@@ -118,3 +119,40 @@ def test_staged_rows_are_dealt_once(spark, tmp_path, monkeypatch):
         got = wh.stage("stg", first, "trip_id", 1)
         assert sorted((int(r.trip_id), r.n) for r in got.collect()) == [(i, i) for i in range(50)]
         assert len(got.inputFiles()) <= buckets and len(dealt) == again
+
+
+def test_staged_rows_are_not_sorted_for_the_write(spark, tmp_path):
+    """A task keeps a file open a bucket; only the first-wins pick sorts, not the write after it."""
+    tune(spark)
+    rows = spark.createDataFrame([(str(i), i) for i in range(40)], "trip_id string, n int")
+    name = Warehouse(spark, str(tmp_path / "w"), 3)._staging("stg", rows.schema, "trip_id")
+    rows.createOrReplaceTempView("unsorted")
+    try:
+        assert "Sort" not in spark.sql(f"EXPLAIN INSERT INTO {name} PARTITION (load_id = '1') SELECT trip_id, n FROM unsorted").first()[0]
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_staging_moves_no_column_of_the_pickup_time(spark, monkeypatch):
+    """What the pickup time decides is not shuffled and sorted with a trip, but made of it again; the rows stay the same."""
+    clean, moved, first = workspace(spark, SF_SMALL, DEFAULT).clean, [], MG.first_per_key
+    want = sorted(map(tuple, MG.stage_trips(clean).collect()))
+    monkeypatch.setattr(MG, "first_per_key", lambda df, *a: (moved.extend(df.columns), first(df, *a))[1])
+    got = MG.stage_trips(clean, derived=CL.of_pickup())
+    assert "pickup_datetime" in moved and len(set(moved) & set(CL.of_pickup())) == 0 and len(CL.of_pickup()) == 6
+    assert got.columns == clean.columns and sorted(map(tuple, got.collect())) == want != []
+
+
+def test_splits_grow_with_the_input(spark):
+    """More input bytes, more splits of a scan, whatever the shuffles' width; the caller's own number stays."""
+    tune(spark, 3 * INPUT_PER_PARTITION)
+    assert spark.conf.get(SPLITS) == "3"
+    tune(spark, 300 * INPUT_PER_PARTITION)
+    assert spark.conf.get(SPLITS) == "300"
+    tune(spark, 0)
+    assert spark.conf.get(SPLITS, None) is None
+    spark.conf.set(SPLITS, "5")
+    tune(spark, 300 * INPUT_PER_PARTITION)
+    assert spark.conf.get(SPLITS) == "5"
+    spark.conf.unset(SPLITS)
+    tune(spark, 0)

@@ -74,12 +74,27 @@ def parse_times(df: DataFrame) -> DataFrame:
 
 
 def calendar_parts(df: DataFrame) -> DataFrame:
+    return df.select("*", *[x.alias(c) for c, x in _calendar().items()])
+
+
+def _calendar() -> dict:
+    ts = F.col("pickup_datetime")
+    return {"pickup_hour": C.hour_of(ts), "pickup_weekday": C.weekday_of(ts),
+            "pickup_weekday_name": C.day_name_of(ts), "pickup_date": C.date_text(ts)}
+
+
+def of_pickup() -> dict:
+    """The columns of an enriched trip that its pickup time alone decides."""
     ts = F.col("pickup_datetime")
-    return df.select("*",
-                     C.hour_of(ts).alias("pickup_hour"),
-                     C.weekday_of(ts).alias("pickup_weekday"),
-                     C.day_name_of(ts).alias("pickup_weekday_name"),
-                     C.date_text(ts).alias("pickup_date"))
+    return _calendar() | {"is_surge_hour": _surge(C.hour_of(ts)), "is_weekend": _weekend(C.weekday_of(ts))}
+
+
+def _surge(hour):
+    return hour.isin(*S.SURGE_HOURS).cast("int")
+
+
+def _weekend(weekday):
+    return (weekday >= 5).cast("int")
 
 
 def derive_duration(df: DataFrame) -> DataFrame:
@@ -121,8 +136,8 @@ def trip_flags(df: DataFrame, dims: Dims) -> DataFrame:
     airports = airport_lookup(dims)(F.col("city"))
     is_airport = F.coalesce(F.array_contains(airports, F.col("pickup_neighborhood")), F.lit(False)) | \
         F.coalesce(F.array_contains(airports, F.col("dropoff_neighborhood")), F.lit(False))
-    return (df.withColumn("is_surge_hour", F.col("pickup_hour").isin(*S.SURGE_HOURS).cast("int"))
-              .withColumn("is_weekend", (F.col("pickup_weekday") >= 5).cast("int"))
+    return (df.withColumn("is_surge_hour", _surge(F.col("pickup_hour")))
+              .withColumn("is_weekend", _weekend(F.col("pickup_weekday")))
               .withColumn("is_airport_trip", is_airport.cast("int")))
 
 

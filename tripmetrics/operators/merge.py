@@ -66,27 +66,32 @@ def first_per_key(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 
 def insert_or_ignore(batch: DataFrame, key: str, not_null: list[str], order: list[str],
-                     target: DataFrame | None = None) -> DataFrame:
+                     target: DataFrame | None = None, derived: dict | None = None) -> DataFrame:
     """Rows of ``batch`` a keyed insert-or-ignore would add to ``target``.
 
     The key column of a stored table streams past a hash table of the load's
     keys (a table bucketed by the key is neither shuffled nor sorted for it),
     and the load is then anti-joined with the keys that already exist.
+
+    ``derived`` names columns that the others decide, with their expressions:
+    they are neither shuffled nor sorted, but made again of the rows that stay.
+    They must follow the columns they are made of in ``order``.
     """
+    derived = derived or {}
     ok = batch
     for c in not_null:
         ok = ok.filter(F.col(c).isNotNull())
-    first = first_per_key(ok, key, order)
+    first = first_per_key(ok.drop(*derived), key, [c for c in order if c not in derived])
     if target is not None:
         # keys straight from the load: the first-wins aggregate runs once
         existing = target.select(key).join(ok.select(key).hint("shuffle_hash"), key, "left_semi")
         first = first.join(existing, key, "left_anti")
-    return first
+    return first.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in batch.columns]) if derived else first
 
 
-def stage_trips(clean: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def stage_trips(clean: DataFrame, target: DataFrame | None = None, derived: dict | None = None) -> DataFrame:
     order = ["batch_id"] + [c for c in clean.columns if c != "batch_id"]
-    return insert_or_ignore(clean, "trip_id", STAGE_NOT_NULL, order, target)
+    return insert_or_ignore(clean, "trip_id", STAGE_NOT_NULL, order, target, derived)
 
 
 def stage_weather(weather: DataFrame, target: DataFrame | None = None) -> DataFrame:

@@ -98,7 +98,7 @@ def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFra
         clean = Q.survivors(enriched, params).select(*CL.KEEP_COLUMNS, "batch_id")
         checked = go(_check, enriched, f"{batch}/dq", f"{out}/dq_log", load_id, run_id)
         # staging: insert-or-ignore against what other loads staged
-        fresh = MG.stage_trips(clean, wh.staged(STAGED_TRIPS, _staged_schema(clean), "trip_id", without=load_id))
+        fresh = MG.stage_trips(clean, wh.staged(STAGED_TRIPS, _staged_schema(clean), "trip_id", without=load_id), CL.of_pickup())
         staging = go(wh.stage, STAGED_TRIPS, fresh.withColumn("loaded_at", F.lit(now()).cast("timestamp_ntz")), "trip_id", load_id)
         # marts: the small cube is written once; only the load's days are merged
         M.trip_cube(clean).write.mode("overwrite").parquet(f"{batch}/cube")

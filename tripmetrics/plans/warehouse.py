@@ -8,8 +8,8 @@ table's current versions and the loads in them.  So all tables change in one
 step; a load that dies before leaves files no record names, and its repetition
 overwrites them; a reader opens only the days it asks for.
 
-Staged records are one bucketed table a kind (bucketed and sorted by their key,
-a partition a load), so that a load meets the stored keys without moving them.
+Staged records are one bucketed table a kind (bucketed by their key, a partition
+a load), so that a load meets the stored keys without moving them.
 Of these, too, only loads that a record names are read.
 
 The record grows by some 30 bytes a day and table and 20 a load.
@@ -147,7 +147,7 @@ class Warehouse:
             cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
             n = self.head()["buckets"]
             self.spark.sql(f"CREATE TABLE {name} ({cols}, load_id STRING) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (load_id) "
-                           f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {n} BUCKETS LOCATION '{self.base}/{table}'")
+                           f"CLUSTERED BY ({key}) INTO {n} BUCKETS LOCATION '{self.base}/{table}'")
             if there:
                 self.spark.catalog.recoverPartitions(name)
         return name
@@ -163,7 +163,8 @@ class Warehouse:
         """Writes a load's partition, in place of an earlier try; returns it as read back.
         The rows are those of ``merge.insert_or_ignore``, dealt by the hash of
         their key already: they are dealt again only if the session's shuffles
-        are of another width than the table's buckets."""
+        are of another width than the table's buckets.  A task writes the few
+        buckets it holds side by side, without sorting its rows for them."""
         name = self._staging(table, rows.schema, key)
         view = f"stage_{uuid.uuid4().hex}"
         n = self.head()["buckets"]

@@ -116,7 +116,7 @@ class Workspace:
         """The warehouse after a backfill of the fixture's loads one by one;
         each load also sends again a tenth of the one before."""
         out = scratch_path(self.spark, "warehouse-loads")
-        order = F.split("trip_id", "-")[0].cast("long")
+        order = F.substring_index("trip_id", "-", 1).cast("long")
         again = lambda b: (F.col("batch_id") == b - 1) & (order % 10 == 0)
         chunks = [(b, self.raw_trips.where((F.col("batch_id") == b) | again(b)), self.raw_weather) for b in range(A.N_BATCHES)]
         ETL.run_backfill(self.spark, chunks, out, self.dims, self.params)
@@ -137,7 +137,7 @@ class Workspace:
     # -- staging -----------------------------------------------------------
     @cached_property
     def staged(self) -> DataFrame:
-        return MG.stage_trips(self.clean)
+        return MG.stage_trips(self.clean, derived=CL.of_pickup())
 
     @cached_property
     def staged_weather(self) -> DataFrame:

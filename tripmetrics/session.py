@@ -30,32 +30,40 @@ RUNTIME_DEFAULTS = {
     "spark.sql.files.maxPartitionBytes": ("128MB", "32MB"),
     # The same for what a task reads of a shuffle: rows sorted in memory take
     # ten times their shuffled bytes.
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("64MB", "24MB"),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": ("64MB", "8MB"),
     # A task that writes a few partitions (cities, loads) keeps a file open for
     # each, instead of sorting its rows by partition first.
     "spark.sql.maxConcurrentOutputFileWriters": ("0", "16"),
 }
 SHUFFLE, INITIAL = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-INPUT_PER_PARTITION = 8 * 2**20     # compressed bytes of the input tables
-_INITIAL_SET: dict[int, str] = {}
+SPLITS = "spark.sql.files.minPartitionNum"
+INPUT_PER_PARTITION = 4 * 2**20     # compressed bytes of the input tables
+_SET: dict[tuple[int, str], str] = {}
 
 
 def tune(spark: SparkSession, input_bytes: int = 0) -> None:
     """Apply the settings above; with the input's size, also let shuffles start
-    with a number of partitions that grows with it (AQE merges small ones), so
-    that a task's sort or hash table does not grow with the input."""
+    with a number of partitions that grows with it (AQE merges small ones) and
+    cut files into at least that many splits, so that a task's sort or hash
+    table does not grow with the input."""
     for k, (spark_default, ours) in RUNTIME_DEFAULTS.items():
         if spark.conf.get(k, spark_default) == spark_default:
             spark.conf.set(k, ours)
-    if spark.conf.get(INITIAL, None) != _INITIAL_SET.get(id(spark)):
-        return                                                      # the caller's own
     n = -(-input_bytes // INPUT_PER_PARTITION)
-    if n > int(spark.conf.get(SHUFFLE, "200")):
-        spark.conf.set(INITIAL, str(n))
-        _INITIAL_SET[id(spark)] = str(n)
+    _put(spark, INITIAL, n if n > int(spark.conf.get(SHUFFLE, "200")) else 0)
+    _put(spark, SPLITS, n)
+
+
+def _put(spark: SparkSession, key: str, n: int) -> None:
+    """Sets ``key`` to ``n`` (0: unset), unless its value is the caller's own."""
+    if spark.conf.get(key, None) != _SET.get((id(spark), key)):
+        return
+    if n:
+        spark.conf.set(key, str(n))
+        _SET[id(spark), key] = str(n)
     else:
-        spark.conf.unset(INITIAL)
-        _INITIAL_SET.pop(id(spark), None)
+        spark.conf.unset(key)
+        _SET.pop((id(spark), key), None)
 
 
 def shuffle_width(spark: SparkSession) -> int:

@@ -93,7 +93,7 @@ def stream_dedupe(spark: SparkSession, landing: str, schema, dims: Dims, params:
     def insert(batch: DataFrame, epoch: int):
         wh, load = Warehouse(batch.sparkSession, base), f"epoch-{epoch}"
         if not wh.applied(load):
-            wh.stage(STAGED, MG.stage_trips(batch, wh.staged(STAGED, rows.schema, "trip_id", without=load)), "trip_id", load)
+            wh.stage(STAGED, MG.stage_trips(batch, wh.staged(STAGED, rows.schema, "trip_id", without=load), CL.of_pickup()), "trip_id", load)
             wh.commit(load, wh.next_seq(), {})
 
     q = rows.writeStream.option("checkpointLocation", f"{base}/_checkpoint").foreachBatch(insert).trigger(availableNow=True).start()

@@ -1,6 +1,7 @@
 """The batch ETL job: stored marts by day, commits, replays, run and check logs."""
 
 import tempfile
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from tripmetrics.plans.etl import run_backfill, run_daily, run_etl
 from tripmetrics.plans.runlog import RunLog
 from tripmetrics.plans.warehouse import Warehouse
 from tripmetrics.plans.workspace import Workspace, land
+from tripmetrics.session import FREED, freed_shuffles
 
 MARTS = [etl.HOURLY, etl.NEIGHBORHOOD, etl.DAILY]
 
@@ -243,3 +245,74 @@ def test_bad_text_is_quarantined_and_the_rest_replayed(spark, ws, out):
     assert all(r.load_id == 1 and "load_id=1" in r.file and r.ingested_at for r in kept)
     assert etl.replay(spark, out, 0).count() == ws.raw_trips.where("batch_id = 0").count()
     assert spark.read.parquet(f"{out}/quarantine").where("load_id = 0").count() == 0
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_shuffles_leave_the_disk_with_the_write(spark, tmp_path):
+    """Landing and staging leave no shuffle file behind, without a garbage collection of the driver; the setting ends with them."""
+    rows = spark.range(2000).selectExpr("cast(id % 500 AS string) AS trip_id", "id AS n")
+    before = shuffle_files(spark)
+    land(spark, SF_SMALL, "dealt-anew", lambda *_: rows.repartition(4, "n"))
+    with freed_shuffles(spark):
+        assert Warehouse(spark, str(tmp_path / "w"), 4).stage("stg", MG.first_per_key(rows, "trip_id", ["n"]), "trip_id", 1).count() == 500
+    assert spark.conf.get(FREED, None) is None
+    until = time.time() + 10
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    spark.conf.set(FREED, "false")
+    with freed_shuffles(spark):
+        assert spark.conf.get(FREED) == "false"
+    assert spark.conf.get(FREED) == "false"
+    spark.conf.unset(FREED)
+
+
+def test_staging_in_steps_gives_the_same_rows(spark, tmp_path, monkeypatch):
+    """Buckets made a few at a time: every row once, in its bucket, with and without rows staged before."""
+    rows = spark.range(600).selectExpr("cast(id % 200 AS string) AS trip_id", "'c' AS city", "id AS n")
+    monkeypatch.setattr("tripmetrics.plans.warehouse.STAGE_BUCKETS", 3)
+    writer, into = type(rows.write), []
+    real = writer.insertInto
+    monkeypatch.setattr(writer, "insertInto", lambda self, name, *a: (into.append(name), real(self, name, *a))[1])
+    wh, schema = Warehouse(spark, str(tmp_path / "w"), 8), rows.schema
+    first = MG.insert_or_ignore(rows.where("n < 90"), "trip_id", ["trip_id"], ["n"])
+    assert wh.stage("stg", first, "trip_id", 1).count() == 90 and len(into) == 3
+    wh.commit(1, 1, {})
+    got = wh.stage("stg", MG.insert_or_ignore(rows, "trip_id", ["trip_id"], ["n"], wh.staged("stg", schema, "trip_id", without=2)), "trip_id", 2)
+    assert sorted((int(r.trip_id), r.n) for r in got.collect()) == [(i, i) for i in range(90, 200)] and len(into) == 6
+    of = {(r.f, r.b) for r in got.selectExpr("int(regexp_extract(input_file_name(), '_([0-9]{5})[.]c', 1)) AS f", "pmod(hash(trip_id), 8) AS b").collect()}
+    assert {f for f, _ in of} == set(range(8)) and all(f == b for f, b in of)
+
+
+def test_landed_trips_are_not_written_again(spark, ws, out, monkeypatch):
+    """A load of landed trips writes no cleaned batch and its JSON when staging is done, also if that failed; the tables are the same."""
+    seen, stage, landed = [], Warehouse.stage, etl._landed
+    monkeypatch.setattr(Warehouse, "drop", lambda self, folder: None)
+    monkeypatch.setattr(Warehouse, "stage", lambda self, table, *a: (stage(self, table, *a), seen.append(table))[0])
+    monkeypatch.setattr(etl, "_landed", lambda df, load, path, *a: (seen.append(path.rsplit("/", 1)[1]), landed(df, load, path, *a))[1])
+    trips, plain = ws.raw_trips.where("batch_id = 0"), tempfile.mkdtemp(prefix="tm-etl-")
+    for to, known in ((out, True), (plain, False)):
+        run_etl(spark, trips, ws.raw_weather, to, ws.dims, ws.params, 0, landed=known)
+        assert Warehouse(spark, to).exists("_batches/load=0/enriched") is not known
+    assert seen.index("raw_trips") > seen.index(etl.STAGED_TRIPS)
+    for name in (*MARTS, etl.TOTALS):
+        a, b = (sorted(map(str, Warehouse(spark, x).read(name).drop("computed_at").collect())) for x in (out, plain))
+        assert a == b != []
+    a, b = (sorted(map(str, staged(spark, x, ws).drop("loaded_at").collect())) for x in (out, plain))
+    assert a == b != []
+    a, b = (sorted(r.raw_json for r in spark.read.parquet(f"{x}/raw_trips").collect()) for x in (out, plain))
+    assert a == b != []
+
+    def fails(self, table, *a):
+        if table == etl.STAGED_TRIPS:
+            raise RuntimeError("no space left")
+        return stage(self, table, *a)
+
+    monkeypatch.setattr(Warehouse, "stage", fails)
+    with pytest.raises(RuntimeError, match="no space left"):
+        run_etl(spark, trips, ws.raw_weather, out, ws.dims, ws.params, 1, landed=True)
+    assert spark.read.parquet(f"{out}/raw_trips").where("load_id = 1").count() == trips.count()

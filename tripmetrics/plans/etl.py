@@ -10,14 +10,17 @@
 Layout under ``out_dir`` (shared storage): ``raw_trips``, ``raw_weather``
 (JSON text by load and city), ``dq_log``, ``pipeline_runs``, and the tables of
 ``warehouse.Warehouse``.  The cleaned batch is written once and later steps
-read it back, so a lost executor only re-runs the step it was in; one commit
+read it back, so a lost executor only re-runs the step it was in; of trips
+that are a plain scan of stored files already each step makes the cleaned rows
+anew instead, and their JSON text is written when the staged rows no longer lie
+on the disk twice.  What a write shuffled leaves the disk with it.  One commit
 record makes all tables of a load current together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import Future, ThreadPoolExecutor, wait
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -27,6 +30,7 @@ from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
 from ..operators import quality as Q
+from ..session import freed_shuffles
 from ..settings import Params
 from ..sources import feeds as FD
 from ..sources.dims import Dims
@@ -60,8 +64,9 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], int]]:
 
 
 def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir: str, dims: Dims, params: Params, load_id: int,
-            run_id: str | None = None, dag_id: str = "trips", buckets: int | None = None) -> dict:
-    """Run one load and log the run.  A load already applied changes nothing
+            run_id: str | None = None, dag_id: str = "trips", buckets: int | None = None, landed: bool = False) -> dict:
+    """Run one load and log the run.  ``landed``: the trips are a plain scan of
+    stored files that stay as they are.  A load already applied changes nothing
     but the run log; loads may come late or out of order: each is merged once,
     in the order of arrival.  A load that fails leaves a failed run and no
     change that readers see, and can be run again."""
@@ -72,7 +77,8 @@ def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir:
     log.start(run_id, dag_id, TASK, started)
     counts: dict = {None: (0, 0, 0)}
     try:
-        stats = _load(spark, wh, trips, weather, dims, params, load_id, run_id, counts)
+        with freed_shuffles(spark):
+            stats = _load(spark, wh, trips, weather, dims, params, load_id, run_id, counts, landed)
     except Exception as e:
         log.finish(run_id, dag_id, TASK, started, "failed", {c: (0, 0, 0) for c in counts}, str(e)[:2000])
         raise
@@ -82,7 +88,7 @@ def run_etl(spark: SparkSession, trips: DataFrame, weather: DataFrame, out_dir:
 
 
 def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFrame, dims: Dims, params: Params, load_id: int, run_id: str,
-          counts: dict) -> dict:
+          counts: dict, landed: bool = False) -> dict:
     out, seq, batch = wh.base, wh.next_seq(), f"{wh.base}/_batches/load={load_id}"
     if "batch_id" not in trips.columns:  # records from a feed: the load is the batch
         trips = trips.withColumn("batch_id", F.lit(load_id).cast("int"))
@@ -91,15 +97,23 @@ def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFra
         weather_done = go(_load_weather, wh, weather, load_id, seq)
         # raw layer: JSON text by load and city
         seen_trips, extracted = _counted(FD.land_trips(trips), f"trips-{run_id}")
-        landed = go(_landed, seen_trips, load_id, f"{out}/raw_trips", "city")
-        # clean + quality: one pass; the batch is written once and read back
-        Q.with_first_fail(CL.enrich_trips(trips, dims), params).write.mode("overwrite").option("compression", "zstd").parquet(f"{batch}/enriched")
-        enriched = spark.read.parquet(f"{batch}/enriched")
+
+        def land(after: Future | None = None) -> DataFrame:
+            wait([] if after is None else [after])
+            return _landed(seen_trips, load_id, f"{out}/raw_trips", "city")
+
+        landing = None if landed else go(land)
+        # clean + quality: written once and read back, or made anew of landed trips
+        enriched = Q.with_first_fail(CL.enrich_trips(trips, dims), params)
+        if not landed:
+            enriched.write.mode("overwrite").option("compression", "zstd").parquet(f"{batch}/enriched")
+            enriched = spark.read.parquet(f"{batch}/enriched")
         clean = Q.survivors(enriched, params).select(*CL.KEEP_COLUMNS, "batch_id")
         checked = go(_check, enriched, f"{batch}/dq", f"{out}/dq_log", load_id, run_id)
         # staging: insert-or-ignore against what other loads staged
         fresh = MG.stage_trips(clean, wh.staged(STAGED_TRIPS, _staged_schema(clean), "trip_id", without=load_id), CL.of_pickup())
         staging = go(wh.stage, STAGED_TRIPS, fresh.withColumn("loaded_at", F.lit(now()).cast("timestamp_ntz")), "trip_id", load_id)
+        landing = landing or go(land, staging)     # landed trips: beside the staged rows, not beside their shuffle
         # marts: the small cube is written once; only the load's days are merged
         M.trip_cube(clean).write.mode("overwrite").parquet(f"{batch}/cube")
         cube = spark.read.parquet(f"{batch}/cube")
@@ -107,7 +121,7 @@ def _load(spark: SparkSession, wh: Warehouse, trips: DataFrame, weather: DataFra
         at = F.lit(now()).cast("timestamp_ntz").alias("computed_at")
         merging = {name: go(wh.merge, name, df.select("*", at), *MART_RULES[name], days, seq) for name, df in
                    ((HOURLY, M.hourly_pulse(cube)), (NEIGHBORHOOD, M.neighborhood_stats(cube)), (DAILY, M.daily_summary(cube)))}
-        raw = landed.result()
+        raw = landing.result()
         cities = [r["city"] for r in raw.select(F.col("city").cast("string").alias("city")).where("city is not null").distinct().collect()]
         counts.update(dict.fromkeys([None, *cities], (0, 0, 0)))
         raw_weather, readings, by_hour = weather_done.result()

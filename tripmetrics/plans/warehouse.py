@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +28,8 @@ from ..operators import merge as MG
 from ..session import shuffle_width
 
 COMMITS = "_commits"
+#: Buckets that a step of staging shuffles and writes at once.
+STAGE_BUCKETS = 720
 
 
 class Warehouse:
@@ -164,15 +165,18 @@ class Warehouse:
         The rows are those of ``merge.insert_or_ignore``, dealt by the hash of
         their key already: they are dealt again only if the session's shuffles
         are of another width than the table's buckets.  A task writes the few
-        buckets it holds side by side, without sorting its rows for them."""
+        buckets it holds side by side, without sorting its rows for them.  Of
+        many buckets ``STAGE_BUCKETS`` are made at a time, so that the disk
+        holds no shuffle of the whole load beside its rows."""
         name = self._staging(table, rows.schema, key)
-        view = f"stage_{uuid.uuid4().hex}"
         n = self.head()["buckets"]
-        (rows if n == shuffle_width(self.spark) else rows.repartition(n, key)).createOrReplaceTempView(view)
-        cols = ", ".join(f"`{c}`" for c in rows.columns)
+        bucket = F.pmod(F.hash(F.col(key)), F.lit(n))
         if self.exists(f"{table}/load_id={load}"):      # of a try that died; no reader sees it
             self.spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION (load_id = '{load}')")
             self.drop(f"{table}/load_id={load}")
-        self.spark.sql(f"INSERT INTO {name} PARTITION (load_id = '{load}') SELECT {cols} FROM {view}")
-        self.spark.catalog.dropTempView(view)
+        for first in range(0, n, STAGE_BUCKETS):
+            some = rows if n <= STAGE_BUCKETS else rows.where(bucket.between(first, first + STAGE_BUCKETS - 1))
+            some = some if n == shuffle_width(self.spark) else some.repartition(n, key)
+            # a frame's write, not SQL text: only of that does freed_shuffles free the shuffle
+            some.withColumn("load_id", F.lit(str(load))).write.insertInto(name)
         return self.spark.table(name).where(F.col("load_id") == str(load)).drop("load_id")

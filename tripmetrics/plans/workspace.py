@@ -19,7 +19,7 @@ from ..operators import clean as CL
 from ..operators import marts as M
 from ..operators import merge as MG
 from ..operators import quality as Q
-from ..session import scratch_path
+from ..session import freed_shuffles, scratch_path
 from ..settings import Params
 from ..sources import adapters as A
 from ..sources.dims import Dims, fixture_dims
@@ -107,7 +107,7 @@ class Workspace:
     def stored(self) -> Warehouse:
         """The warehouse after all records as one load and a daily roll-up."""
         out = scratch_path(self.spark, "warehouse")
-        ETL.run_etl(self.spark, self.raw_trips, self.raw_weather, out, self.dims, self.params, 0)
+        ETL.run_etl(self.spark, self.raw_trips, self.raw_weather, out, self.dims, self.params, 0, landed=True)
         ETL.run_daily(self.spark, out, self.params)
         return Warehouse(self.spark, out)
 
@@ -174,7 +174,8 @@ def land(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
         return spark.read.parquet(hit[1])
     df = build(spark, sf_dir)
     path = scratch_path(spark, f"raw-{name}")
-    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    with freed_shuffles(spark):
+        df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     _LANDED[k] = (spark, path)
     return spark.read.parquet(path).select(*df.columns)
 

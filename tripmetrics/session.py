@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +40,7 @@ RUNTIME_DEFAULTS = {
 SHUFFLE, INITIAL = "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SPLITS = "spark.sql.files.minPartitionNum"
 INPUT_PER_PARTITION = 4 * 2**20     # compressed bytes of the input tables
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _SET: dict[tuple[int, str], str] = {}
 
 
@@ -73,6 +76,21 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get(INITIAL, n) if merged else n)
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What the writes within shuffle leaves the disk when each is done, not
+    when the driver happens to collect its garbage (a setting of the caller's
+    own stays).  For writes whose frame is not used again."""
+    own = spark.conf.get(FREED, None) is None
+    if own:
+        spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        if own:
+            spark.conf.unset(FREED)
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tripmetrics", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)

@@ -233,6 +233,35 @@ def test_decontam_finds_reparameterised_copies(spark):
         d.BROADCAST_WINDOWS = old
 
 
+def test_decontam_windows_carry_a_run_alone(spark):
+    """A window's row holds the tokens of its run, not of a long text, and every window is there once, where it is in the text."""
+    text = " ".join(f"word{i} and {i}" for i in range(500)).replace("word", "w")
+    rows = decontam.template(spark.createDataFrame([(1, text), (2, "one two three")], "doc_id long, t string"), "t")
+    n, got = rows.selectExpr("max(size(tok))").first()[0], decontam.windows(rows, 8).collect()
+    assert n > 3 * decontam.RUN and max(len(r.tok) for r in got) <= decontam.RUN + 7 and {r.doc_id for r in got} == {1}
+    assert sorted(r.pos for r in got if r.form == 0) == list(range(n - 7))
+    tok = rows.where("doc_id = 1").first().tok
+    assert all(r.tok[r.i:r.i + 8] == tok[r.pos:r.pos + 8] for r in got)
+
+
+def test_decontam_large_benchmark_moves_known_windows_alone(spark, monkeypatch):
+    """Over the broadcast bound only windows with a key of the benchmark are shuffled, and the rows are the same, in one part or several."""
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefghij", k=6))
+    items = [(i, " ".join(word() for _ in range(14))) for i in range(30)] + [(30, ITEMS[0][1])]
+    noise = lambda k: " ".join(word() for _ in range(k))
+    docs = [(i, f"{noise(1200)} {items[i % 31][1]} {noise(40)}") for i in range(20)] + [(20, noise(700) + " " + ITEMS[0][1].replace("3", "5")), (21, noise(2000))]
+    docs, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = sorted(map(tuple, decontam.contaminated(docs, bench).collect()))
+    assert {(r[0], r[1]) for r in want if r[-1]} == {(i, i) for i in range(20)} | {(20, 30)}
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    for keys in (10**6, 50):
+        monkeypatch.setattr(decontam, "BROADCAST_KEYS", keys)
+        plan = decontam.matches(docs, bench, "doc_id", "text", "item_id", "text")._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin [key" in plan and "LeftSemi" in plan
+        assert sorted(map(tuple, decontam.contaminated(docs, bench).collect())) == want
+
+
 def test_decontam_finds_verbatim_items(spark, docs):
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     flat = lambda t: " ".join(t.lower().split())

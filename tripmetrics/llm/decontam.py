@@ -22,7 +22,11 @@ An item is found in a document if some consistent alignment matches
 windows that can meet with other values, as many or all but one are enough.
 
 Benchmark windows are broadcast only if their checked number is at most
-``BROADCAST_WINDOWS``; otherwise both sides are shuffled by window.
+``BROADCAST_WINDOWS``.  Of more, the distinct keys are, ``BROADCAST_KEYS`` at a
+time, and the documents' windows that have one of them are shuffled to the
+benchmark's by key; no other window leaves the task that made it.  A text is
+cut into runs of ``RUN`` windows first: the rows of a run's windows carry its
+tokens, not those of the whole text.
 
 Edge cases: null and empty texts and rows with null ids match nothing;
 repeated rows of a document or an item count once; ties between alignments go
@@ -40,6 +44,8 @@ from .common import col, materialize
 WINDOW = 8
 LEAST_WINDOWS = 4
 BROADCAST_WINDOWS = 200_000
+BROADCAST_KEYS = 1_000_000
+RUN = 512
 #: Stands before a kind (n, d, u) and the value it replaces; never in a token else.
 MARK = "\x01"
 #: Stands for a point or comma within a number.
@@ -89,9 +95,12 @@ def light(tok: str, n: str, form: int = 0) -> str:
 
 
 def windows(df: DataFrame, n: int) -> DataFrame:
-    """Adds (pos, key, form) of every window of ``n`` tokens to ``df`` (with
-    tok): a key of each form that the marks tell from the ones before it."""
-    names, forms = [c for c in df.columns if c not in ("_names", "_values")], []
+    """Adds (pos, key, form, i) of every window of ``n`` tokens to ``df`` (with
+    tok): a key of each form that the marks tell from the ones before it.  The
+    tokens are those of the window's run, where it starts at ``i``."""
+    runs = f"if(size(tok) <= {RUN}, array(tok), transform(sequence(0, size(tok) - 1, {RUN}), s -> slice(tok, s + 1, {RUN + n - 1})))"
+    df = df.select(*[c for c in df.columns if c != "tok"], F.posexplode_outer(F.expr(runs)).alias("_run", "tok"))
+    names, forms = [c for c in df.columns if c not in ("_names", "_values", "_run")], []
     for f, (form, _) in enumerate(FORMS):
         whole = "transform(tok, t -> xxhash64(t))"
         h = (f"if(_names or _values, transform(tok, t -> xxhash64({form})), {whole})" if f == 0 else
@@ -104,9 +113,20 @@ def windows(df: DataFrame, n: int) -> DataFrame:
         forms.append(last)
     # the outer form: from the inner one Spark infers a filter on the array's
     # size and computes the array a second time for it
-    df = df.select(*names, "_names", F.size("tok").alias("n"), F.posexplode_outer(F.concat(*forms)).alias("at", "key"))
+    df = df.select(*names, "_names", "_run", F.size("tok").alias("n"), F.posexplode_outer(F.concat(*forms)).alias("at", "key"))
     df = df.where(f"at % n <= n - {n}")
-    return df.select(*names, F.expr("at % n").alias("pos"), "key", F.expr("int(at / n) + if(at >= n and not _names, 1, 0)").alias("form"))
+    return df.select(*names, F.expr(f"at % n + _run * {RUN}").alias("pos"), "key", F.expr("int(at / n) + if(at >= n and not _names, 1, 0)").alias("form"),
+                     F.expr("at % n").alias("i"))
+
+
+def known(every: DataFrame, keys: DataFrame) -> DataFrame:
+    """The windows that have one of the distinct ``keys``, which are broadcast in parts."""
+    parts, out = max(1, -(-keys.count() // BROADCAST_KEYS)), None
+    for part in range(parts):
+        mine = f"pmod(key, {parts}) = {part}"
+        hit = every.join(F.broadcast(keys.where(mine) if parts > 1 else keys), "key", "left_semi")
+        out = hit if out is None else out.unionByName(hit)
+    return out
 
 
 def matches(docs: DataFrame, bench: DataFrame, doc_id: str, doc_text: str, item_id: str, item_text: str, window: int = WINDOW) -> DataFrame:
@@ -118,18 +138,16 @@ def matches(docs: DataFrame, bench: DataFrame, doc_id: str, doc_text: str, item_
     docs, out = template(docs, "t"), None
     for n in lengths:
         own = windows(items.where(f"size(tok) >= {window}" if n == window else f"size(tok) = {n}"), n)
-        own = own.withColumn("tok", F.expr(f"slice(tok, pos + 1, {n})")).withColumn("light", F.expr(light("tok", n)))
+        own = own.withColumn("tok", F.expr(f"slice(tok, i + 1, {n})")).withColumn("light", F.expr(light("tok", n)))
         own = own.where(" or ".join(f"(form = {f} and {light('tok', n, f)})" for f in range(len(FORMS))))
-        own = own.select("item_id", F.col("pos").alias("place"), "key", "light", F.expr(f"transform(tok, t -> {VALUE})").alias("item_slots")).distinct()
+        own = own.select("item_id", F.col("pos").alias("place"), "key", "light", F.expr(f"transform(tok, t -> {VALUE})").alias("item_slots"))
+        own = materialize(own.distinct(), "decontam-items")
         every = windows(docs, n)
-        slots = f"transform(slice(tok, pos + 1, {n}), t -> {PLAIN})"
-        if own.limit(BROADCAST_WINDOWS + 1).count() <= BROADCAST_WINDOWS:
-            own = F.broadcast(own)
+        slots = F.expr(f"transform(slice(tok, i + 1, {n}), t -> {PLAIN})").alias("slots")
+        if own.count() <= BROADCAST_WINDOWS:
+            found = every.join(F.broadcast(own), "key").select("*", slots)
         else:
-            every = every.select("doc_id", "pos", "key", F.expr(slots).alias("slots"))
-        found = every.join(own, "key")
-        if "slots" not in found.columns:
-            found = found.withColumn("slots", F.expr(slots))
+            found = known(every, own.select("key").distinct()).select("doc_id", "pos", "key", slots).join(own.hint("merge"), "key")
         found = found.select("doc_id", "item_id", "pos", "place", "light", "slots", "item_slots")
         out = found if out is None else out.unionByName(found)
     if out is None:
